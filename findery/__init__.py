@@ -1,5 +1,6 @@
 """Full-text search and tabular ingest as Spark jobs."""
 
+from findery import runtime
 from findery.plans.index import TextIndex, append, build, upsert
 from findery.plans.search import (
     attach_stored,
@@ -27,6 +28,7 @@ __all__ = [
     "search_prefix",
     "search_term",
     "search_wildcard",
+    "runtime",
     "total_hits",
     "upsert",
 ]

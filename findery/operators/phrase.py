@@ -4,54 +4,62 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from findery.functions.scoring import sloppy_freq
 
 
-def phrase_freq(matches: DataFrame, keys: Sequence[str]) -> DataFrame:
+_BITS = 63
+
+
+def phrase_freq(matches: DataFrame, keys: Sequence[str], max_slop: int) -> DataFrame:
     """How often each phrase occurs in each document, as ``freq``.
 
     ``matches(*keys, slots, slop, slot, positions)`` has one row per phrase word found in a document;
-    ``slot`` is the place of the word in the phrase and ``slots`` their number. A match takes one
-    position per slot; its spread is the largest minus the smallest position, each counted back by
-    its slot. Every position of the first word counts once, with the smallest spread it can reach,
+    ``slot`` is the place of the word after the first one and ``slots`` their number. A match takes
+    one position per slot; its spread is the largest minus the smallest position, each counted back
+    by its slot. Every position of the first word counts once, with the smallest spread it can reach,
     as ``1 / (1 + spread)``, if that is within the slop.
 
     Instead of joining positions with each other, every position is put into the windows of slop + 1
     places that cover it, so the work is linear in the positions. The smallest spread is reached in
-    the window that starts at the smallest position of the match. All steps group by ``keys`` and
-    more, so they run in place.
+    the window that starts at the smallest position of the match. The positions of the first word in
+    a window are kept as bits. All steps group by ``keys`` and more, so they run in place.
     """
     keys = [*keys, "slots", "slop"]
-    complete = (
-        matches.groupBy(*keys)
-        .agg(F.count("*").alias("found"), F.min("slot").alias("first"), F.collect_list(F.struct("slot", "positions")).alias("words"))
-        .filter("found = slots")
-        .select(*keys, "first", F.inline("words"))
-    )
-    placed = complete.select(*keys, "first", "slot", F.explode("positions").alias("at")).withColumn(
-        "at", F.col("at") - F.col("slot")
-    )
+    complete = matches.withColumn("found", F.count("*").over(Window.partitionBy(*keys))).filter("found = slots")
+    placed = complete.select(*keys, "slot", F.explode("positions").alias("at")).withColumn("at", F.col("at") - F.col("slot"))
     windows = placed.withColumn("window", F.explode(F.sequence(F.col("at") - F.col("slop"), F.col("at"))))
-    is_first = F.col("slot") == F.col("first")
-    per_slot = windows.groupBy(*keys, "window", "slot").agg(
-        F.min("at").alias("least"),
-        F.collect_list(F.when(is_first, F.col("at"))).alias("starts"),
-        F.max(is_first).alias("is_first"),
-    )
+
+    offset = F.col("at") - F.col("window")
+    words = range(max_slop // _BITS + 1)
+
+    def bits(word: int):
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), (offset - word * _BITS).cast("int"))
+        here = (F.col("slot") == 0) & offset.between(word * _BITS, word * _BITS + _BITS - 1)
+        return F.coalesce(F.bit_or(F.when(here, bit)), F.lit(0).cast("long")).alias(f"bits{word}")
+
+    per_slot = windows.groupBy(*keys, "window", "slot").agg(F.min("at").alias("least"), *[bits(w) for w in words])
     per_window = (
         per_slot.groupBy(*keys, "window")
         .agg(
             F.count("*").alias("filled"),
-            F.max(F.when(~F.col("is_first"), F.col("least"))).alias("farthest"),
-            F.flatten(F.collect_list("starts")).alias("starts"),
+            F.max(F.when(F.col("slot") > 0, F.col("least"))).alias("farthest"),
+            *[F.max(f"bits{w}").alias(f"bits{w}") for w in words],
         )
         .filter("filled = slots")
     )
+
+    def set_places(word: int):
+        def place(i):
+            return F.when(F.getbit(F.col(f"bits{word}"), i) == 1, F.col("window") + word * _BITS + i)
+
+        return F.transform(F.sequence(F.lit(0), F.lit(min(max_slop - word * _BITS, _BITS - 1))), place)
+
+    starts = F.array_compact(F.concat(*[set_places(w) for w in words]))
     spreads = (
-        per_window.select(*keys, "window", "farthest", F.explode("starts").alias("start"))
+        per_window.select(*keys, "window", "farthest", F.explode(starts).alias("start"))
         .withColumn("spread", F.greatest("start", "farthest") - F.col("window"))
         .groupBy(*keys, "start")
         .agg(F.min("spread").alias("spread"))

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
-from functools import cache
+from functools import cache, cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,6 +98,7 @@ class TextIndex:
             .filter("df > 0")
         )
 
+    @cached_property
     def doc_count(self) -> int:
         return self.corpus.agg(F.coalesce(F.sum("docs"), F.lit(0))).first()[0]
 

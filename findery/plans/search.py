@@ -9,6 +9,7 @@ of the index; only the best k documents of each shard are shuffled.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,9 +23,12 @@ from findery.runtime import broadcast_if_small, cut, fits_broadcast
 
 KINDS = ("terms", "term", "prefix", "wildcard", "fuzzy", "phrase")
 _CLAUSE = ("query_id", "clause_id")
-# What scoring needs to know of a clause and its query; carried along with every weighted term.
-_CONTEXT = (*_CLAUSE, "kind", "operator", "occur", "units", "n_clauses", "n_must", "query_norm")
-_TERM = (*_CLAUSE, "unit", "mult", "lead", "field", "term", "boost", "constant")
+# What scoring needs to know of a clause: the query words it has (0 if it is not a keyword clause), how
+# many of them a document must hold, and, in a boolean query, its role and the other clauses.
+_ALONE = ("query_id", "units", "required")
+_AMONG_OTHERS = (*_ALONE, "clause_id", "role", "n_clauses", "n_must")
+_ROLES = {"should": 0, "must": 1, "must_not": 2}
+_CONSTANT = ("prefix", "wildcard")
 
 
 def make_clauses(
@@ -50,19 +54,25 @@ def make_clauses(
     )
 
 
-def _terms_of(index: TextIndex, clauses: DataFrame) -> DataFrame:
+def _terms_of(index: TextIndex, clauses: DataFrame, many_fields: bool) -> DataFrame:
     """Analyzed keyword clauses. A *unit* is one query word in all fields; equal words are one unit
     that counts several times."""
     texts = clauses.select(*_CLAUSE, F.explode("fields").alias("field"), "text")
     tokens = explode_tokens(analyze(texts, index.analyzers, index.analyzer), [*_CLAUSE, "field"])
-    return (
-        tokens.groupBy(*_CLAUSE, "pos")
-        .agg(F.sort_array(F.collect_list(F.struct("field", "term"))).alias("word"))
-        .groupBy(*_CLAUSE, "word")
-        .agg(F.count("*").alias("mult"), F.min("pos").alias("unit"))
-        .select(*_CLAUSE, "unit", "mult", F.posexplode("word").alias("n", "t"))
-        .select(*_CLAUSE, "unit", "mult", (F.col("n") == 0).alias("lead"), "t.field", "t.term",
-                F.lit(1.0).alias("boost"), F.lit(False).alias("constant"))
+    counted = (F.count("*").alias("mult"), F.min("pos").alias("unit"))
+    if many_fields:
+        units = (
+            tokens.groupBy(*_CLAUSE, "pos")
+            .agg(F.sort_array(F.collect_list(F.struct("field", "term"))).alias("word"))
+            .groupBy(*_CLAUSE, "word")
+            .agg(*counted)
+            .select(*_CLAUSE, "unit", "mult", F.posexplode("word").alias("n", "t"))
+            .select(*_CLAUSE, "unit", "mult", (F.col("n") == 0).alias("lead"), "t.field", "t.term")
+        )
+    else:
+        units = tokens.groupBy(*_CLAUSE, "field", "term").agg(*counted).withColumn("lead", F.lit(True))
+    return units.select(
+        *_CLAUSE, "unit", "mult", "lead", "field", "term", F.lit(1.0).alias("boost"), F.lit(False).alias("constant")
     )
 
 
@@ -85,21 +95,18 @@ def _vocabulary_matches(index: TextIndex, kind: str, clauses: DataFrame) -> Data
     return _single(live, F.col("boost"), constant=kind != "fuzzy")
 
 
-def _query_terms(index: TextIndex, clauses: DataFrame, kinds: Sequence[str]) -> DataFrame | None:
+def _query_terms(index: TextIndex, clauses: DataFrame, kinds: Sequence[str], many_fields: bool) -> DataFrame:
     parts = []
     for kind in kinds:
         rows = clauses.filter(F.col("kind") == kind)
         if kind == "terms":
-            parts.append(_terms_of(index, rows))
+            parts.append(_terms_of(index, rows, many_fields))
         elif kind == "term":
             raw = rows.select(*_CLAUSE, F.explode("fields").alias("field"), F.col("text").alias("term"))
             parts.append(_single(raw, F.lit(1.0), constant=False))
         elif kind in ("prefix", "wildcard", "fuzzy"):
             parts.append(_vocabulary_matches(index, kind, rows))
-    joined = None
-    for part in parts:
-        joined = part if joined is None else joined.unionByName(part)
-    return joined
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _phrase_terms(index: TextIndex, clauses: DataFrame) -> DataFrame:
@@ -116,11 +123,9 @@ def _phrase_terms(index: TextIndex, clauses: DataFrame) -> DataFrame:
     )
 
 
-def _with_idf(index: TextIndex, terms: DataFrame) -> DataFrame:
-    """Add the bucket, df and idf of each query term; a term the index has not seen gets df 0."""
-    terms = terms.withColumn("bucket", index.layout.bucket(F.col("field"), F.col("term")))
-    wanted = terms.select("bucket", "field", "term").filter(F.length("term") > 0).distinct()
-    small = fits_broadcast(wanted)
+def _with_idf(index: TextIndex, terms: DataFrame, small: bool) -> DataFrame:
+    """Add the idf of each query term that is weighted by it; an unseen term has df 0."""
+    wanted = terms.filter(~F.col("constant") & (F.length("term") > 0)).select("bucket", "field", "term").distinct()
     found = (
         index.terms.join(F.broadcast(wanted) if small else wanted, ["bucket", "field", "term"])
         .groupBy("field", "term")
@@ -128,70 +133,106 @@ def _with_idf(index: TextIndex, terms: DataFrame) -> DataFrame:
     )
     # At most one row per wanted term, so the same bound holds.
     joined = terms.join(F.broadcast(found) if small else found, ["field", "term"], "left")
-    docs = F.lit(float(index.doc_count()))
+    docs = F.lit(float(index.doc_count))
     return joined.withColumn("idf", scoring.idf(docs, F.coalesce("df", F.lit(0)))).drop("df")
 
 
 def _context(clauses: DataFrame, sums: DataFrame) -> DataFrame:
-    """Per clause: the facts in ``_CONTEXT``. Clauses that match nothing count as well."""
+    """Per clause: its role and words, and the norm of its query. Clauses that match nothing count."""
     counted = F.col("occur") != "must_not"
-    own = F.when(F.col("kind").isin("prefix", "wildcard"), F.lit(1.0)).otherwise(F.coalesce("weight_sq", F.lit(0.0)))
-    joined = clauses.join(sums, list(_CLAUSE), "left").withColumns(
-        {"units": F.coalesce("units", F.lit(0)), "weight_sq": own}
+    own = F.when(F.col("kind").isin(*_CONSTANT), F.lit(1.0)).otherwise(F.coalesce("weight_sq", F.lit(0.0)))
+    role = F.when(F.col("occur") == "must", _ROLES["must"]).when(~counted, _ROLES["must_not"]).otherwise(_ROLES["should"])
+    units = F.when(F.col("kind") == "terms", F.coalesce("units", F.lit(0))).otherwise(F.lit(0)).cast("int")
+    joined = clauses.join(sums, list(_CLAUSE), "left").select(
+        *_CLAUSE,
+        role.alias("role"),
+        units.alias("units"),
+        F.when(F.col("operator") == "and", units).otherwise(F.lit(0)).alias("required"),
+        F.when(counted, own).otherwise(F.lit(0.0)).alias("weight_sq"),
     )
     per_query = joined.groupBy("query_id").agg(
-        F.count(F.when(counted, 1)).alias("n_clauses"),
-        F.count(F.when(F.col("occur") == "must", 1)).alias("n_must"),
-        scoring.query_norm(F.sum(F.when(counted, F.col("weight_sq")).otherwise(F.lit(0.0)))).alias("query_norm"),
+        F.count(F.when(F.col("role") != _ROLES["must_not"], 1)).cast("int").alias("n_clauses"),
+        F.count(F.when(F.col("role") == _ROLES["must"], 1)).cast("int").alias("n_must"),
+        scoring.query_norm(F.sum("weight_sq")).alias("query_norm"),
     )
-    return joined.join(per_query, "query_id").select(*_CONTEXT)
+    return joined.drop("weight_sq").join(per_query, "query_id")
+
 
+def _build_side(terms: DataFrame, small: bool) -> DataFrame:
+    """Query terms as the small side of the join with the postings, cut off from how they were made.
 
-def _term_hits(index: TextIndex, weighted: DataFrame, many_fields: bool) -> DataFrame:
+    The filter makes Spark prune the buckets that none of the terms falls into.
+    """
+    terms = cut(terms).filter(F.length("term") > 0)
+    return F.broadcast(terms) if small else terms
+
+
+def _term_hits(
+    index: TextIndex, weighted: DataFrame, kinds: Sequence[str], clause: Sequence[str], many_fields: bool
+) -> DataFrame:
     """Clause scores of the documents that hold the weighted terms."""
     norm = scoring.tf(F.col("tf")) * scoring.length_norm(F.col("length"))
-    matches = (
-        index.postings.select("field", "term", "doc_id", "tf", "length", "shard", "batch", "bucket")
-        .join(broadcast_if_small(weighted), ["bucket", "field", "term"])
-        .withColumn("contrib", F.when(~F.col("constant"), F.col("weight") * norm))
-        .withColumn("fixed", F.when(F.col("constant"), F.col("weight")))
-    )
+    matches = index.postings.select(
+        "field", "term", "doc_id", "tf", "length", "shard", "batch", "bucket"
+    ).join(weighted, ["bucket", "field", "term"])
+    constant = F.col("constant")
+    if all(k in _CONSTANT for k in kinds):
+        total = F.max("weight")
+    elif any(k in _CONSTANT for k in kinds):
+        total = F.coalesce(F.sum(F.when(~constant, F.col("weight") * norm)), F.max(F.when(constant, F.col("weight"))))
+    else:
+        total = F.sum(F.col("weight") * norm)
+    if "terms" not in kinds:
+        return matches.groupBy(*clause, *DOC).agg(total.alias("contrib"))
     if many_fields:
-        matches = matches.groupBy(*_CONTEXT, "unit", "mult", *DOC).agg(
-            F.sum("contrib").alias("contrib"), F.max("fixed").alias("fixed")
+        # A query word found in several fields is one matched word.
+        per_unit = matches.groupBy(*clause, "unit", "mult", *DOC).agg(total.alias("contrib"))
+        per_clause = per_unit.groupBy(*clause, *DOC).agg(
+            F.sum("contrib").alias("contrib"), F.sum("mult").alias("matched")
         )
-    per_clause = matches.groupBy(*_CONTEXT, *DOC).agg(
-        F.coalesce(F.sum("contrib"), F.max("fixed")).alias("contrib"), F.sum("mult").alias("matched")
-    )
-    is_terms = F.col("kind") == "terms"
-    complete = ~is_terms | (F.col("operator") != "and") | (F.col("matched") == F.col("units"))
-    inner = F.when(is_terms, scoring.coord(F.col("matched"), F.col("units"))).otherwise(F.lit(1.0))
-    return per_clause.filter(complete).select(*_CONTEXT, *DOC, (F.col("contrib") * inner).alias("contrib"))
+    else:
+        per_clause = matches.groupBy(*clause, *DOC).agg(total.alias("contrib"), F.sum("mult").alias("matched"))
+    inner = F.when(F.col("units") > 0, scoring.coord(F.col("matched"), F.col("units"))).otherwise(F.lit(1.0))
+    return per_clause.filter("matched >= required").select(*clause, *DOC, (F.col("contrib") * inner).alias("contrib"))
 
 
-def _phrase_hits(index: TextIndex, phrases: DataFrame) -> DataFrame:
-    keys = [*_CONTEXT, *DOC, "weight", "length"]
+def _phrase_hits(index: TextIndex, phrases: DataFrame, clause: Sequence[str], max_slop: int) -> DataFrame:
+    scale = F.col("weight") * scoring.length_norm(F.col("length"))
     matches = (
         index.postings.select("field", "term", "doc_id", "length", "positions", "shard", "batch", "bucket")
-        .join(broadcast_if_small(phrases), ["bucket", "field", "term"])
-        .select(*keys, "slots", "slop", "slot", "positions")
+        .join(phrases, ["bucket", "field", "term"])
+        .select(*clause, *DOC, scale.alias("scale"), "slots", "slop", "slot", "positions")
     )
-    score = F.col("weight") * scoring.tf(F.col("freq")) * scoring.length_norm(F.col("length"))
-    return phrase_freq(matches, keys).select(*_CONTEXT, *DOC, score.alias("contrib"))
+    found = phrase_freq(matches, [*clause, *DOC, "scale"], max_slop)
+    return found.select(*clause, *DOC, (F.col("scale") * scoring.tf(F.col("freq"))).alias("contrib"))
 
 
 def score_clauses(
-    index: TextIndex, clauses: DataFrame, kinds: Sequence[str], *, many_clauses: bool, many_fields: bool
+    index: TextIndex,
+    clauses: DataFrame,
+    kinds: Sequence[str],
+    *,
+    many_clauses: bool,
+    many_fields: bool,
+    max_slop: int = 0,
 ) -> DataFrame:
     """``(query_id, shard, batch, doc_id, score)`` of every matching document."""
     unknown = set(kinds) - set(KINDS)
     if unknown:
         raise ValueError(f"unknown clause kinds {sorted(unknown)}")
+    clause = _AMONG_OTHERS if many_clauses else _ALONE
     term_kinds = [k for k in kinds if k != "phrase"]
     sums, weighted, phrases = [], None, None
-    square = F.pow(F.col("idf") * F.col("boost"), F.lit(2))
+    terms_small = words_small = False
     if term_kinds:
-        weighted = cut(_with_idf(index, _query_terms(index, clauses, term_kinds)))
+        terms = _query_terms(index, clauses, term_kinds, many_fields)
+        terms = cut(terms.withColumn("bucket", index.layout.bucket(F.col("field"), F.col("term"))))
+        terms_small = fits_broadcast(terms)
+        if all(k in _CONSTANT for k in term_kinds):
+            weighted = terms.withColumn("idf", F.lit(0.0))
+        else:
+            weighted = cut(_with_idf(index, terms, terms_small))
+        square = F.pow(F.col("idf") * F.col("boost"), F.lit(2))
         sums.append(
             weighted.groupBy(*_CLAUSE).agg(
                 F.sum(F.when(~F.col("constant"), F.col("mult") * square)).alias("weight_sq"),
@@ -199,33 +240,43 @@ def score_clauses(
             )
         )
     if "phrase" in kinds:
-        phrases = cut(_with_idf(index, _phrase_terms(index, clauses)))
+        words = _phrase_terms(index, clauses).withColumn("constant", F.lit(False))
+        words = cut(words.withColumn("bucket", index.layout.bucket(F.col("field"), F.col("term"))))
+        words_small = fits_broadcast(words)
+        phrases = cut(_with_idf(index, words, words_small))
         idf_sum = phrases.groupBy(*_CLAUSE).agg(F.sum("idf").alias("idf_sum"))
-        sums.append(idf_sum.select(*_CLAUSE, F.pow("idf_sum", F.lit(2)).alias("weight_sq"), F.lit(0).cast("long").alias("units")))
+        sums.append(
+            idf_sum.select(
+                *_CLAUSE, F.pow("idf_sum", F.lit(2)).alias("weight_sq"), F.lit(0).cast("long").alias("units")
+            )
+        )
         phrases = phrases.join(idf_sum, list(_CLAUSE))
     context = _context(clauses, sums[0] if len(sums) == 1 else sums[0].unionByName(sums[1]))
 
     hits = []
     if weighted is not None:
-        weight = F.when(F.col("constant"), F.col("boost")).otherwise(F.pow("idf", F.lit(2)) * F.col("boost") * F.col("mult"))
+        weight = F.when(F.col("constant"), F.col("boost")).otherwise(
+            F.pow("idf", F.lit(2)) * F.col("boost") * F.col("mult")
+        )
         needed = ("bucket", "field", "term", "unit", "mult", "constant")
-        terms = weighted.filter(F.length("term") > 0).join(context, list(_CLAUSE)).select(
-            *_CONTEXT, *needed, (weight * F.col("query_norm")).alias("weight")
+        scaled = weighted.join(context, list(_CLAUSE)).select(
+            *clause, *needed, (weight * F.col("query_norm")).alias("weight")
         )
-        hits.append(_term_hits(index, terms, many_fields))
+        hits.append(_term_hits(index, _build_side(scaled, terms_small), term_kinds, clause, many_fields))
     if phrases is not None:
         needed = ("bucket", "field", "term", "slot", "slots", "slop")
-        words = phrases.join(context, list(_CLAUSE)).select(
-            *_CONTEXT, *needed, (F.pow("idf_sum", F.lit(2)) * F.col("query_norm")).alias("weight")
+        scaled = phrases.join(context, list(_CLAUSE)).select(
+            *clause, *needed, (F.pow("idf_sum", F.lit(2)) * F.col("query_norm")).alias("weight")
         )
-        hits.append(_phrase_hits(index, words))
+        hits.append(_phrase_hits(index, _build_side(scaled, words_small), clause, max_slop))
     clause_hits = hits[0] if len(hits) == 1 else hits[0].unionByName(hits[1])
     if many_clauses:
-        counted = F.col("occur") != "must_not"
+        role = F.col("role")
+        counted = role != _ROLES["must_not"]
         per_doc = clause_hits.groupBy("query_id", "n_clauses", "n_must", *DOC).agg(
             F.sum(F.when(counted, F.col("contrib"))).alias("contrib"),
             F.count(F.when(counted, 1)).alias("matched"),
-            F.count(F.when(F.col("occur") == "must", 1)).alias("must"),
+            F.count(F.when(role == _ROLES["must"], 1)).alias("must"),
             F.count(F.when(~counted, 1)).alias("banned"),
         )
         scored = per_doc.filter("banned = 0 and must = n_must and matched > 0").withColumn(
@@ -261,8 +312,13 @@ def top_hits(scored: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _search(index: TextIndex, clauses: DataFrame, kind: str, k: int, fields: Sequence[str]) -> DataFrame:
-    return top_hits(score_clauses(index, clauses, [kind], many_clauses=False, many_fields=len(fields) > 1), k)
+def _search(
+    index: TextIndex, clauses: DataFrame, kind: str, k: int, fields: Sequence[str], max_slop: int = 0
+) -> DataFrame:
+    many = len(fields) > 1
+    return top_hits(
+        score_clauses(index, clauses, [kind], many_clauses=False, many_fields=many, max_slop=max_slop), k
+    )
 
 
 def _fields(index: TextIndex, fields: Sequence[str] | str | None) -> list[str]:
@@ -305,7 +361,7 @@ def search_fuzzy(index: TextIndex, queries: DataFrame, field: str, k: int = 3, *
 
 def search_phrase(index: TextIndex, queries: DataFrame, field: str, k: int = 3, *, slop: int = 0) -> DataFrame:
     """The query words in order, with at most ``slop`` places of disorder."""
-    return _search(index, make_clauses(queries, "phrase", _fields(index, field), slop=slop), "phrase", k, [field])
+    return _search(index, make_clauses(queries, "phrase", _fields(index, field), slop=slop), "phrase", k, [field], slop)
 
 
 def search_boolean(index: TextIndex, clauses: DataFrame, k: int = 3) -> DataFrame:
@@ -315,8 +371,11 @@ def search_boolean(index: TextIndex, clauses: DataFrame, k: int = 3) -> DataFram
     field (null: all indexed fields), slop and operator.
     """
     full = _full_clauses(index, clauses)
-    kinds = [r["kind"] for r in full.select("kind").distinct().limit(len(KINDS) + 1).collect()]
-    return top_hits(score_clauses(index, full, kinds, many_clauses=True, many_fields=True), k)
+    kinds = {r["kind"]: r["slop"] for r in full.groupBy("kind").agg(F.max("slop").alias("slop")).limit(len(KINDS) + 1).collect()}
+    max_slop = max(kinds.values(), default=0)
+    return top_hits(
+        score_clauses(index, full, list(kinds), many_clauses=True, many_fields=True, max_slop=max_slop), k
+    )
 
 
 def _full_clauses(index: TextIndex, clauses: DataFrame) -> DataFrame:
