@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,13 @@ _UNIT = f"((?:{HAN}|{NON_HAN_WORD_CHAR}+)(?:(?!{WORD_CHAR})[\\s\\S])*)"
 _TRAILING = f"(?:(?!{WORD_CHAR})[\\s\\S])+$"
 _BLOCK = 256
 
+# The same units for Python: the word or character, and the separators after it.
+_UNIT_PARTS = regex.compile(r"(\p{Han}|[[\p{L}\p{N}]--\p{Han}]+)([^\p{L}\p{N}]*)", regex.V1)
+_END = regex.compile(r"[^\p{L}\p{N}]+$")
+
+# A dictionary up to this size is held by every Python worker.
+MAX_LOOKUP_ENTRIES = 500_000
+
 
 def units(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(_UNIT), F.lit(1))
@@ -53,18 +62,75 @@ def _greedy(matches: Column) -> Column:
     return F.flatten(F.transform(F.aggregate(blocks, nothing, block_step), lambda s: s["kept"]))
 
 
-def segment(df: DataFrame, keys: Sequence[str], text: str, dictionary: DataFrame, word: str = "word") -> DataFrame:
-    """Tokens of each text: ``(*keys, tokens array<string>)``; ``keys`` identify a row.
-
-    One shuffle by ``keys`` serves the grouping of the matches and the join back to the units.
-    """
-    keys = list(keys)
-    entries = (
-        dictionary.select(F.regexp_replace(_trimmed(F.lower(F.col(word))), f"^(?:(?!{WORD_CHAR})[\\s\\S])+", "").alias("entry"))
+def _entries(dictionary: DataFrame, word: str) -> DataFrame:
+    """The dictionary words of more than one unit, written like the text they are looked up in."""
+    leading = f"^(?:(?!{WORD_CHAR})[\\s\\S])+"
+    return (
+        dictionary.select(F.regexp_replace(_trimmed(F.lower(F.col(word))), leading, "").alias("entry"))
         .withColumn("n", F.size(units(F.col("entry"))))
         .filter("n > 1")
         .distinct()
     )
+
+
+def segment(
+    df: DataFrame,
+    keys: Sequence[str],
+    text: str,
+    dictionary: DataFrame,
+    word: str = "word",
+    max_lookup: int = MAX_LOOKUP_ENTRIES,
+) -> DataFrame:
+    """Tokens of each text: ``(*keys, tokens array<string>)``; ``keys`` identify a row.
+
+    A dictionary of up to ``max_lookup`` entries is sent to the executors and looked up in place, without
+    a shuffle. A larger one stays a table and is joined; the result is the same.
+    """
+    entries = _entries(dictionary, word)
+    if entries.limit(max_lookup + 1).count() <= max_lookup:
+        return _segment_in_place(df, list(keys), text, entries)
+    return _segment_by_join(df, list(keys), text, entries)
+
+
+def _segment_in_place(df: DataFrame, keys: list[str], text: str, entries: DataFrame) -> DataFrame:
+    rows = entries.withColumn("units", units(F.col("entry"))).select("entry", "n", F.slice("units", 1, 2).alias("start")).collect()
+    lengths: dict[str, set[int]] = {}
+    for row in rows:
+        lengths.setdefault(row["start"][0] + _END.sub("", row["start"][1]), set()).add(row["n"])
+    known = df.sparkSession.sparkContext.broadcast(
+        ({row["entry"] for row in rows}, {start: sorted(ns, reverse=True) for start, ns in lengths.items()})
+    )
+
+    @F.pandas_udf("array<string>")
+    def tokens_of(texts: pd.Series) -> pd.Series:
+        words, starts = known.value
+
+        def tokens(lowered: str | None) -> list[str] | None:
+            if lowered is None:
+                return None
+            parts = _UNIT_PARTS.findall(lowered)
+            found, at = [], 0
+            while at < len(parts):
+                taken = 1
+                token = parts[at][0]
+                if at + 1 < len(parts):
+                    for n in starts.get(parts[at][0] + parts[at][1] + parts[at + 1][0], ()):
+                        if at + n <= len(parts):
+                            span = "".join(a + b for a, b in parts[at : at + n - 1]) + parts[at + n - 1][0]
+                            if span in words:
+                                token, taken = span, n
+                                break
+                found.append(token)
+                at += taken
+            return found
+
+        return texts.map(tokens)
+
+    return df.select(*keys, tokens_of(F.lower(F.col(text))).alias("tokens"))
+
+
+def _segment_by_join(df: DataFrame, keys: list[str], text: str, entries: DataFrame) -> DataFrame:
+    """Neighbouring units joined to the dictionary; one shuffle by ``keys`` serves all steps."""
     longest = entries.agg(F.coalesce(F.max("n"), F.lit(1))).first()[0]
     rows = df.select(*keys, units(F.col(text)).alias("units")).repartition(*keys)
     if longest == 1:

@@ -126,13 +126,6 @@ PHRASE_SCORED = """(SELECT f.query_id, f.doc_id, round(sqrt(freq) * idf / sqrt(n
 
 _ASCII_FIELDS_INDEX = index_ctes(long_form("documents", "doc_id", DOC_FIELDS), "documents", pattern=ASCII)
 
-_HAN_TEXT = f"SELECT doc_id, translate(lower(text), '{LETTERS}', '{HAN_LETTERS}') AS text FROM documents"
-_HAN_UNIT = r"\p{Han}|[\p{L}\p{N}]"
-# Runs of Han characters and other words, in order.
-_HAN_RUNS = f"""SELECT doc_id, CAST(generate_subscripts(r, 1) AS INTEGER) AS run, unnest(r) AS chars
-    FROM (SELECT doc_id, regexp_extract_all(replace(regexp_replace(regexp_replace(text, '(\\p{{Han}}+)', ' \\1 ', 'g'), ' +', ' ', 'g'), '  ', ' '), '{WORD}') AS r
-          FROM ({_HAN_TEXT}))"""
-
 _UPDATES = """SELECT doc_id, 'reviewed ' || CASE WHEN toxic = 1 THEN 'withheld' ELSE text END AS text
     FROM documents JOIN labels USING (doc_id)"""
 _AFTER_UPSERT = f"""changed AS ({_UPDATES}),
@@ -285,19 +278,23 @@ SQL = {
 }
 
 # Han runs: every word of the mapped text split where the script changes.
-_RUNS = f"""runs AS MATERIALIZED (SELECT doc_id, CAST(generate_subscripts(r, 1) AS INTEGER) AS run, unnest(r) AS chars FROM (
-        SELECT doc_id, regexp_extract_all(regexp_replace(text, '(\\p{{Han}}+)', ' \\1 ', 'g'), '{WORD}') AS r FROM ({_HAN_TEXT})))"""
+def han_runs(keys: str, table: str) -> str:
+    mapped = f"translate(lower(text), '{LETTERS}', '{HAN_LETTERS}')"
+    return f"""runs AS MATERIALIZED (SELECT {keys}, CAST(generate_subscripts(r, 1) AS INTEGER) AS run, unnest(r) AS chars FROM (
+        SELECT {keys}, regexp_extract_all(regexp_replace({mapped}, '(\\p{{Han}}+)', ' \\1 ', 'g'), '{WORD}') AS r FROM {table}))"""
+
+
 _HAN_RUN = "regexp_matches(chars, '^\\p{Han}')"
 
-SQL["bigrams_han"] = f"""WITH {_RUNS},
+SQL["bigrams_han"] = f"""WITH {han_runs('doc_id', 'documents')},
     pieces AS (SELECT doc_id, run, CASE WHEN {_HAN_RUN} AND length(chars) > 1
         THEN list_transform(range(1, length(chars)), lambda i: substr(chars, i, 2)) ELSE [chars] END AS w FROM runs),
     flat AS (SELECT doc_id, run, generate_subscripts(w, 1) AS i, unnest(w) AS term FROM pieces)
     SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY run, i) - 1 AS INTEGER) AS pos, term FROM flat"""
 
-SQL["segment_han"] = f"""WITH RECURSIVE {_RUNS},
+SQL["segment_han"] = f"""WITH RECURSIVE {han_runs('conv_id, turn', 'conversations')},
     dict AS MATERIALIZED (SELECT DISTINCT translate(term, '{LETTERS}', '{HAN_LETTERS}') AS word
-        FROM ({words('conversations', 'conv_id, turn', pattern=ASCII)}) WHERE regexp_full_match(term, '[a-z]+')),
+        FROM ({words('benchmark', 'item_id', pattern=ASCII)}) WHERE regexp_full_match(term, '[a-z]+')),
     longest AS (SELECT max(length(word)) AS n FROM dict),
     distinct_runs AS MATERIALIZED (SELECT DISTINCT chars FROM runs),
     places AS (SELECT chars, unnest(range(1, length(chars) + 1)) AS place FROM distinct_runs WHERE {_HAN_RUN}),
@@ -309,5 +306,5 @@ SQL["segment_han"] = f"""WITH RECURSIVE {_RUNS},
     pieces AS (SELECT s.chars, s.i, substr(s.chars, s.place, coalesce(h.n, 1)) AS term
         FROM steps s LEFT JOIN hits h ON h.chars = s.chars AND h.place = s.place
         UNION ALL SELECT chars, 0, chars FROM distinct_runs WHERE NOT {_HAN_RUN})
-    SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY run, i) - 1 AS INTEGER) AS pos, term
+    SELECT conv_id, turn, CAST(row_number() OVER (PARTITION BY conv_id, turn ORDER BY run, i) - 1 AS INTEGER) AS pos, term
     FROM runs JOIN pieces USING (chars)"""

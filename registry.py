@@ -24,7 +24,7 @@ LETTERS = "abcdefghijklmnopqrstuvwxyz "
 HAN_LETTERS = "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏闰余"
 TOP = 3
 
-_indexes: dict[tuple, fy.IndexStore] = {}
+_indexes: dict[tuple, fy.TextIndex] = {}
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -39,18 +39,18 @@ def _folder(spark: SparkSession, name: str) -> str:
 
 def _store(
     spark: SparkSession, folder: str, name: str, table: str, key: str, fields: list[str], **options
-) -> fy.IndexStore:
+) -> fy.TextIndex:
     """The index over a table, written once per session and folder."""
     slot = (spark.sparkContext.applicationId, folder, name)
     if slot not in _indexes:
         store = fy.IndexStore(spark, _folder(spark, name), **options)
         store.replace(_read(spark, folder, table), key, fields)
-        _indexes[slot] = store
+        _indexes[slot] = store.open()
     return _indexes[slot]
 
 
 def _documents(spark: SparkSession, folder: str) -> fy.TextIndex:
-    return _store(spark, folder, "documents", "documents", "doc_id", ["text", "source", "lang"]).open()
+    return _store(spark, folder, "documents", "documents", "doc_id", ["text", "source", "lang"])
 
 
 def _ascii_words(text: Column) -> Column:
@@ -125,12 +125,12 @@ def _han(text: Column) -> Column:
 
 
 def segment_han(spark, folder):
-    """Unspaced text, written by giving every Latin letter of the documents a Han character, against
-    the words of the conversations written the same way."""
-    docs = _read(spark, folder, "documents").select("doc_id", _han(F.col("text")).alias("text"))
-    words = _read(spark, folder, "conversations").select(F.explode(_ascii_words(F.col("text"))).alias("word"))
-    words = words.select(_han(F.col("word")).alias("word")).filter("word rlike '^\\\\p{IsHan}+$'").distinct()
-    return tk.explode_tokens(segment(docs, ["doc_id"], "text", words), ["doc_id"])
+    """Unspaced text: the conversations with a Han character for every Latin letter and no blanks,
+    against the words of the benchmark texts written the same way."""
+    talks = _read(spark, folder, "conversations").select("conv_id", "turn", _han(F.col("text")).alias("text"))
+    words = _benchmark(spark, folder).select(F.explode(_ascii_words(F.col("text"))).alias("word"))
+    found = segment(talks, ["conv_id", "turn"], "text", words.select(_han(F.col("word")).alias("word")))
+    return tk.explode_tokens(found, ["conv_id", "turn"])
 
 
 def bigrams_han(spark, folder):
@@ -227,8 +227,8 @@ def _upserted(spark, folder):
         store = fy.IndexStore(spark, _folder(spark, "upsert"))
         store.replace(_read(spark, folder, "documents"), "doc_id", ["text"])
         store.upsert(_updates(spark, folder), "seq")
-        _indexes[slot] = store
-    return _indexes[slot].open()
+        _indexes[slot] = store.open()
+    return _indexes[slot]
 
 
 def index_upsert(spark, folder):
@@ -276,7 +276,7 @@ def search_multifield_and(spark, folder):
 
 def search_parts(spark, folder):
     """Short fields: every pair of a part name and type, looked for in name, brand and type of all parts."""
-    index = _store(spark, folder, "parts", "part", "p_partkey", ["p_name", "p_brand", "p_type"]).open()
+    index = _store(spark, folder, "parts", "part", "p_partkey", ["p_name", "p_brand", "p_type"])
     queries = _read(spark, folder, "part").groupBy(F.concat_ws(" ", "p_name", "p_type").alias("text")).agg(
         F.min("p_partkey").alias("query_id")
     )
@@ -284,11 +284,11 @@ def search_parts(spark, folder):
 
 
 def search_per_field(spark, folder):
-    store = _store(spark, folder, "per_field", "documents", "doc_id", ["text", "source", "lang"], analyzers=_per_field_analyzers())
+    index = _store(spark, folder, "per_field", "documents", "doc_id", ["text", "source", "lang"], analyzers=_per_field_analyzers())
     queries = _benchmark(spark, folder)
     sources = queries.select((F.col("query_id") + 100_000).alias("query_id"),
                              F.concat(F.lit("src"), (F.col("query_id") % 20).cast("string")).alias("text"))
-    return _ranked(fy.search_keywords(store.open(), queries.unionByName(sources), TOP))
+    return _ranked(fy.search_keywords(index, queries.unionByName(sources), TOP))
 
 
 def search_term(spark, folder):
@@ -314,7 +314,7 @@ def search_wildcard(spark, folder):
 
 
 def _ascii_documents(spark, folder):
-    return _store(spark, folder, "ascii", "documents", "doc_id", ["text"], analyzer=_ascii_words).open()
+    return _store(spark, folder, "ascii", "documents", "doc_id", ["text"], analyzer=_ascii_words)
 
 
 def search_fuzzy(spark, folder):
@@ -356,9 +356,8 @@ def search_boolean(spark, folder):
     table = clauses[0]
     for clause in clauses[1:]:
         table = table.unionByName(clause)
-    slot = "ascii_fields"
-    store = _store(spark, folder, slot, "documents", "doc_id", ["text", "source", "lang"], analyzer=_ascii_words)
-    return _ranked(fy.search_boolean(store.open(), table, TOP))
+    index = _store(spark, folder, "ascii_fields", "documents", "doc_id", ["text", "source", "lang"], analyzer=_ascii_words)
+    return _ranked(fy.search_boolean(index, table, TOP))
 
 
 def hits_hydrated(spark, folder):
