@@ -11,6 +11,7 @@ them also appends the negated counts of the old versions, and a reader sums what
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from functools import cache, cached_property
@@ -24,6 +25,11 @@ from findery.operators.tokens import analyze, explode_tokens, postings_of, term_
 from findery.runtime import broadcast_if_small
 
 DOC = ("shard", "batch", "doc_id")
+# Text per shard (the work of one task), and per shard and term bucket (one file of postings).
+SHARD_BYTES = 8 * 1024**3
+FILE_BYTES = 128 * 1024**2
+MAX_BUCKETS = 64
+
 POSTING_COLUMNS = ("field", "term", "doc_id", "tf", "length", "positions", "shard", "batch", "bucket")
 
 
@@ -36,10 +42,22 @@ class Layout:
     labels: tuple[int, ...] = field(repr=False)
 
     @staticmethod
-    def of(spark: SparkSession, shards: int | None = None, buckets: int = 16) -> Layout:
-        shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    def of(spark: SparkSession, shards: int | None = None, buckets: int = 1) -> Layout:
+        shards = shards or spark.sparkContext.defaultParallelism
         return Layout(shards, buckets, _shard_labels(spark, shards))
 
+    @staticmethod
+    def sized(records: DataFrame, fields: Sequence[str], shards: int | None, buckets: int | None) -> Layout:
+        """A layout for these records: one pass over the fields measures their text, unless both numbers
+        are given. Shards are kept small enough for a task, buckets large enough for a file."""
+        spark = records.sparkSession
+        if shards is None or buckets is None:
+            width = sum((F.coalesce(F.octet_length(F.col(f"`{n}`").cast("string")), F.lit(0)) for n in fields), F.lit(0).cast("long"))
+            size = records.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+            shards = shards or max(spark.sparkContext.defaultParallelism, math.ceil(size / SHARD_BYTES))
+            buckets = buckets or min(max(round(size / shards / FILE_BYTES), 1), MAX_BUCKETS)
+        return Layout.of(spark, shards, buckets)
+
     def shard(self, key: Column) -> Column:
         labels = F.array(*[F.lit(x) for x in self.labels])
         return F.element_at(labels, F.pmod(F.xxhash64(key), F.lit(self.shards)).cast("int") + 1)

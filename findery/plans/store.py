@@ -48,7 +48,7 @@ class IndexStore:
         analyzers: Mapping[str, Analyzer] | None = None,
         analyzer: Analyzer = words,
         shards: int | None = None,
-        buckets: int = 16,
+        buckets: int | None = None,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -183,7 +183,12 @@ class IndexStore:
         )
 
     def _settings(self, records: DataFrame, key: str, fields: Sequence[str], stored: Sequence[str] | None) -> dict:
-        layout = Layout.of(self.spark, *self._wanted)
+        rows = self._version_rows()
+        if rows:
+            old = json.loads(rows[-1]["settings"])
+            layout = Layout.of(self.spark, old["shards"], old["buckets"])
+        else:
+            layout = Layout.sized(records, fields, *self._wanted)
         kept = [n for n in (stored or records.columns) if n not in DOC]
         missing = [f for f in fields if f not in kept]
         if missing:
@@ -206,7 +211,7 @@ class IndexStore:
         rows = self._version_rows()
         if rows:
             old = json.loads(rows[-1]["settings"])
-            for name in ("key", "key_type", "shards", "buckets", "stored"):
+            for name in ("key", "key_type", "stored"):
                 if old[name] != settings[name]:
                     raise ValueError(f"{self.root} holds an index with another {name}; use a new folder")
 
