@@ -108,20 +108,35 @@ def wildcard_terms(patterns: DataFrame, terms: DataFrame, *, prefix_only: bool =
     return keyed.join(small, ["field", "kind", "width", "anchor"]).filter(matches).drop("kind", "width", "anchor")
 
 
+def _letters(text: Column) -> Column:
+    """The characters of a text as a set of 64 bits. One edit changes at most two of them."""
+    characters = F.filter(F.split(text, ""), lambda c: c != "")
+    return F.aggregate(
+        characters,
+        F.lit(0).cast("long"),
+        lambda seen, c: seen.bitwiseOR(
+            F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.ascii(c), F.lit(64)).cast("int"))
+        ),
+    )
+
+
 def fuzzy_terms(keywords: DataFrame, terms: DataFrame, buckets: int) -> DataFrame:
     """``keywords(…, field, keyword)`` joined to similar vocabulary rows, with ``distance`` and ``boost``.
 
     The similarity bound limits how far the lengths can differ, so length is the join key. A keyword
     table too large to broadcast also takes the term bucket into the key, because there are only a
-    few dozen lengths. Keywords of at most two characters match only themselves.
+    few dozen lengths. Pairs whose sets of characters differ too much are dropped before the distance
+    is computed. Keywords of at most two characters match only themselves.
     """
     n = F.length("keyword")
     short = n <= 2
     # similarity > 0.5 means distance < min/2, and the distance is at least the length difference.
     low = F.when(short, n).otherwise(F.floor(2 * n / 3).cast("int") + 1)
     high = F.when(short, n).otherwise(F.ceil(3 * n / 2).cast("int") - 1)
-    banded = keywords.filter(n > 0).withColumn("n", F.explode(F.sequence(low, high)))
-    sized = terms.withColumn("n", F.length("term"))
+    banded = keywords.filter(n > 0).withColumns(
+        {"n": F.explode(F.sequence(low, high)), "wanted_letters": _letters(F.col("keyword"))}
+    )
+    sized = terms.withColumns({"n": F.length("term"), "letters": _letters(F.col("term"))})
     if fits_broadcast(banded):
         pairs = sized.join(F.broadcast(banded), ["field", "n"])
     else:
@@ -130,9 +145,10 @@ def fuzzy_terms(keywords: DataFrame, terms: DataFrame, buckets: int) -> DataFram
         )
     limit = (F.ceil(F.least(F.length("keyword"), F.col("n")) * MIN_SIMILARITY) - 1).cast("int")
     distance = F.call_function("levenshtein", F.col("term"), F.col("keyword"), F.col("limit"))
-    found = pairs.withColumn("limit", limit).withColumn("distance", distance)
+    differing = F.bit_count(F.col("letters").bitwiseXOR(F.col("wanted_letters")))
+    found = pairs.withColumn("limit", limit).filter(differing <= 2 * F.col("limit")).withColumn("distance", distance)
     matching = F.when(F.length("keyword") <= 2, F.col("term") == F.col("keyword")).otherwise(F.col("distance") >= 0)
     boost = F.when(F.length("keyword") <= 2, F.lit(1.0)).otherwise(
         fuzzy_boost(similarity(F.col("distance"), F.col("term"), F.col("keyword")))
     )
-    return found.filter(matching).withColumn("boost", boost).drop("n", "limit")
+    return found.filter(matching).withColumn("boost", boost).drop("n", "limit", "letters", "wanted_letters")

@@ -84,15 +84,18 @@ def _single(rows: DataFrame, boost, constant: bool) -> DataFrame:
 
 
 def _vocabulary_matches(index: TextIndex, kind: str, clauses: DataFrame) -> DataFrame:
+    """Clauses expanded to terms; equal patterns of many queries are expanded once."""
     texts = clauses.select(*_CLAUSE, F.explode("fields").alias("field"), F.col("text").alias("pattern"))
+    patterns = texts.select("field", "pattern").distinct()
     if kind == "fuzzy":
-        found = fuzzy_terms(texts.withColumnRenamed("pattern", "keyword"), index.terms, index.layout.buckets)
+        keywords = patterns.withColumn("keyword", F.col("pattern"))
+        found = fuzzy_terms(keywords, index.terms, index.layout.buckets)
         boost = F.max("boost")
     else:
-        found = wildcard_terms(texts, index.terms, prefix_only=kind == "prefix")
+        found = wildcard_terms(patterns, index.terms, prefix_only=kind == "prefix")
         boost = F.lit(1.0)
-    live = found.groupBy(*_CLAUSE, "field", "term").agg(F.sum("df").alias("df"), boost.alias("boost")).filter("df > 0")
-    return _single(live, F.col("boost"), constant=kind != "fuzzy")
+    live = found.groupBy("field", "pattern", "term").agg(F.sum("df").alias("df"), boost.alias("boost")).filter("df > 0")
+    return _single(texts.join(live, ["field", "pattern"]), F.col("boost"), constant=kind != "fuzzy")
 
 
 def _query_terms(index: TextIndex, clauses: DataFrame, kinds: Sequence[str], many_fields: bool) -> DataFrame:
@@ -269,11 +272,13 @@ def score_clauses(
             *clause, *needed, (F.pow("idf_sum", F.lit(2)) * F.col("query_norm")).alias("weight")
         )
         hits.append(_phrase_hits(index, _build_side(scaled, words_small), clause, max_slop))
-    clause_hits = hits[0] if len(hits) == 1 else hits[0].unionByName(hits[1])
+    # A union keeps the placement by shard only where that column was named anew in each input.
+    hits = [h.withColumnRenamed("shard", "home") for h in hits]
+    clause_hits = reduce(DataFrame.unionByName, hits)
     if many_clauses:
         role = F.col("role")
         counted = role != _ROLES["must_not"]
-        per_doc = clause_hits.groupBy("query_id", "n_clauses", "n_must", *DOC).agg(
+        per_doc = clause_hits.groupBy("query_id", "n_clauses", "n_must", "home", "batch", "doc_id").agg(
             F.sum(F.when(counted, F.col("contrib"))).alias("contrib"),
             F.count(F.when(counted, 1)).alias("matched"),
             F.count(F.when(role == _ROLES["must"], 1)).alias("must"),
@@ -284,7 +289,9 @@ def score_clauses(
         )
     else:
         scored = clause_hits.withColumn("score", F.col("contrib"))
-    scored = scored.select("query_id", *DOC, scoring.rounded(F.col("score")).alias("score"))
+    scored = scored.withColumnRenamed("home", "shard").select(
+        "query_id", *DOC, scoring.rounded(F.col("score")).alias("score")
+    )
     return without_removed(scored, index.removed)
 
 
@@ -370,7 +377,7 @@ def search_boolean(index: TextIndex, clauses: DataFrame, k: int = 3) -> DataFram
     ``clauses`` has query_id, clause_id, kind, text, occur (should, must, must_not), and optionally
     field (null: all indexed fields), slop and operator.
     """
-    full = _full_clauses(index, clauses)
+    full = cut(_full_clauses(index, clauses))
     kinds = {r["kind"]: r["slop"] for r in full.groupBy("kind").agg(F.max("slop").alias("slop")).limit(len(KINDS) + 1).collect()}
     max_slop = max(kinds.values(), default=0)
     return top_hits(
