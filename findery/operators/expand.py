@@ -97,6 +97,8 @@ def wildcard_terms(patterns: DataFrame, terms: DataFrame, *, prefix_only: bool =
     used = [(r["kind"], r["width"]) for r in anchored.select("kind", "width").distinct().collect()]
     if not used:
         used = [("length", 0)]
+    if any(kind != "start" for kind, _ in used):
+        terms = _spread(terms)
     keyed = terms.withColumn("k", F.explode(F.concat(*[_term_anchors(k, w) for k, w in sorted(used)])))
     keyed = keyed.select("*", "k.kind", "k.width", "k.anchor").drop("k")
     small = F.broadcast(anchored) if fits_broadcast(anchored) else anchored
@@ -108,6 +110,11 @@ def wildcard_terms(patterns: DataFrame, terms: DataFrame, *, prefix_only: bool =
     return keyed.join(small, ["field", "kind", "width", "anchor"]).filter(matches).drop("kind", "width", "anchor")
 
 
+def _spread(terms: DataFrame) -> DataFrame:
+    """Vocabulary rows over all cores: comparing them costs far more than moving them."""
+    return terms.repartition(2 * terms.sparkSession.sparkContext.defaultParallelism, "field", "term")
+
+
 def _letters(text: Column) -> Column:
     """The characters of a text as a set of 64 bits. One edit changes at most two of them."""
     characters = F.filter(F.split(text, ""), lambda c: c != "")
@@ -136,7 +143,7 @@ def fuzzy_terms(keywords: DataFrame, terms: DataFrame, buckets: int) -> DataFram
     banded = keywords.filter(n > 0).withColumns(
         {"n": F.explode(F.sequence(low, high)), "wanted_letters": _letters(F.col("keyword"))}
     )
-    sized = terms.withColumns({"n": F.length("term"), "letters": _letters(F.col("term"))})
+    sized = _spread(terms).withColumns({"n": F.length("term"), "letters": _letters(F.col("term"))})
     if fits_broadcast(banded):
         pairs = sized.join(F.broadcast(banded), ["field", "n"])
     else:
