@@ -100,6 +100,7 @@ class TextIndex:
     layout: Layout
     analyzers: Mapping[str, Analyzer] = field(default_factory=dict)
     analyzer: Analyzer = words
+    summed: bool = False  # ``terms`` has one row per term, because nothing was added or replaced
 
     def documents(self) -> DataFrame:
         """The live documents with their stored fields."""
@@ -110,6 +111,8 @@ class TextIndex:
 
     def term_stats(self) -> DataFrame:
         """Document and total frequency of every live term."""
+        if self.summed:
+            return self.terms.select("field", "term", "df", "total_tf")
         return (
             self.terms.groupBy("field", "term")
             .agg(F.sum("df").alias("df"), F.sum("total_tf").alias("total_tf"))
@@ -218,6 +221,7 @@ def build(
         layout=layout,
         analyzers=analyzers or {},
         analyzer=analyzer,
+        summed=True,
     )
 
 
@@ -228,6 +232,7 @@ def _joined(index: TextIndex, added: TextIndex) -> TextIndex:
         postings=index.postings.unionByName(added.postings),
         terms=index.terms.unionByName(added.terms),
         corpus=index.corpus.unionByName(added.corpus),
+        summed=False,
     )
 
 

@@ -87,14 +87,16 @@ def _vocabulary_matches(index: TextIndex, kind: str, clauses: DataFrame) -> Data
     """Clauses expanded to terms; equal patterns of many queries are expanded once."""
     texts = clauses.select(*_CLAUSE, F.explode("fields").alias("field"), F.col("text").alias("pattern"))
     patterns = texts.select("field", "pattern").distinct()
+    boost = F.lit(1.0)
     if kind == "fuzzy":
         keywords = patterns.withColumn("keyword", F.col("pattern"))
         found = fuzzy_terms(keywords, index.terms, index.layout.buckets)
-        boost = F.max("boost")
+        boost = F.col("boost")
     else:
         found = wildcard_terms(patterns, index.terms, prefix_only=kind == "prefix")
-        boost = F.lit(1.0)
-    live = found.groupBy("field", "pattern", "term").agg(F.sum("df").alias("df"), boost.alias("boost")).filter("df > 0")
+    live = found.select("field", "pattern", "term", "df", boost.alias("boost"))
+    if not index.summed:
+        live = live.groupBy("field", "pattern", "term", "boost").agg(F.sum("df").alias("df")).filter("df > 0")
     return _single(texts.join(live, ["field", "pattern"]), F.col("boost"), constant=kind != "fuzzy")
 
 
@@ -129,11 +131,10 @@ def _phrase_terms(index: TextIndex, clauses: DataFrame) -> DataFrame:
 def _with_idf(index: TextIndex, terms: DataFrame, small: bool) -> DataFrame:
     """Add the idf of each query term that is weighted by it; an unseen term has df 0."""
     wanted = terms.filter(~F.col("constant") & (F.length("term") > 0)).select("bucket", "field", "term").distinct()
-    found = (
-        index.terms.join(F.broadcast(wanted) if small else wanted, ["bucket", "field", "term"])
-        .groupBy("field", "term")
-        .agg(F.sum("df").alias("df"))
-    )
+    found = index.terms.join(F.broadcast(wanted) if small else wanted, ["bucket", "field", "term"])
+    found = found.select("field", "term", "df")
+    if not index.summed:
+        found = found.groupBy("field", "term").agg(F.sum("df").alias("df"))
     # At most one row per wanted term, so the same bound holds.
     joined = terms.join(F.broadcast(found) if small else found, ["field", "term"], "left")
     docs = F.lit(float(index.doc_count))

@@ -68,20 +68,23 @@ class IndexStore:
             raise
 
     def _version_rows(self, version: int | None = None) -> list:
-        """The batches of a version: one small row per batch."""
+        """The batches of the latest or the given version: one small row per batch, in one job."""
         versions = self._versions()
         if versions is None:
             return []
-        if version is None:
-            version = versions.agg(F.max("version")).first()[0]
-        return versions.filter(F.col("version") == F.lit(version)).orderBy("batch").collect()
+        if version is not None:
+            versions = versions.filter(F.col("version") == F.lit(version))
+        row = F.struct("batch", *[n for n in _VERSION_COLUMNS if n != "batch"], "version")
+        latest = versions.groupBy("version").agg(F.sort_array(F.collect_list(row)).alias("rows"))
+        found = latest.orderBy(F.desc("version")).limit(1).collect()
+        return found[0]["rows"] if found else []
 
     def latest_version(self) -> int | None:
-        rows = self._version_rows()
-        return rows[0]["version"] if rows else None
+        return _number(self._version_rows()) or None
 
-    def _publish(self, rows: list[tuple]) -> int:
-        version = (self.latest_version() or 0) + 1
+    def _publish(self, seen: list, rows: list[tuple]) -> int:
+        """Publish the version after the one this write started from; fails if another writer did so first."""
+        version = _number(seen) + 1
         frame = self.spark.createDataFrame(rows, _VERSION).coalesce(1)
         frame.write.mode("error").parquet(f"{self.root}/versions/version={version}")
         return version
@@ -145,6 +148,7 @@ class IndexStore:
             layout=Layout.of(self.spark, settings["shards"], settings["buckets"]),
             analyzers=self.analyzers,
             analyzer=self.analyzer,
+            summed=len(rows) == 1,
         )
 
     @staticmethod
@@ -182,13 +186,9 @@ class IndexStore:
             .parquet(f"{self.root}/terms/batch={batch}")
         )
 
-    def _settings(self, records: DataFrame, key: str, fields: Sequence[str], stored: Sequence[str] | None) -> dict:
-        rows = self._version_rows()
-        if rows:
-            old = json.loads(rows[-1]["settings"])
-            layout = Layout.of(self.spark, old["shards"], old["buckets"])
-        else:
-            layout = Layout.sized(records, fields, *self._wanted)
+    def _settings(
+        self, seen: list, records: DataFrame, key: str, fields: Sequence[str], stored: Sequence[str] | None
+    ) -> dict:
         kept = [n for n in (stored or records.columns) if n not in DOC]
         missing = [f for f in fields if f not in kept]
         if missing:
@@ -198,31 +198,24 @@ class IndexStore:
             [T.StructField(n, records.schema[n].dataType) for n in kept]
             + [T.StructField("doc_id", key_type), T.StructField("shard", T.IntegerType()), T.StructField("batch", T.LongType())]
         )
-        return {
-            "key": key,
-            "key_type": key_type.simpleString(),
-            "fields": list(fields),
-            "shards": layout.shards,
-            "buckets": layout.buckets,
-            "stored": schema.json(),
-        }
-
-    def _check_same_tables(self, settings: dict) -> None:
-        rows = self._version_rows()
-        if rows:
-            old = json.loads(rows[-1]["settings"])
+        settings = {"key": key, "key_type": key_type.simpleString(), "fields": list(fields), "stored": schema.json()}
+        if seen:
+            old = json.loads(seen[-1]["settings"])
             for name in ("key", "key_type", "stored"):
                 if old[name] != settings[name]:
                     raise ValueError(f"{self.root} holds an index with another {name}; use a new folder")
+            return {**settings, "shards": old["shards"], "buckets": old["buckets"]}
+        layout = Layout.sized(records, fields, *self._wanted)
+        return {**settings, "shards": layout.shards, "buckets": layout.buckets}
 
     def replace(self, records: DataFrame, key: str, fields: Sequence[str], stored: Sequence[str] | None = None) -> int:
         """Build the index anew; the version published holds these records only."""
-        settings = self._settings(records, key, fields, stored)
-        self._check_same_tables(settings)
+        seen = self._version_rows()
+        settings = self._settings(seen, records, key, fields, stored)
         batch = _new_batch()
         postings, count = self._write_documents(records, settings, batch)
         self._write_terms(make_terms(postings), batch)
-        return self._publish([(batch, count, False, json.dumps(settings), None, None)])
+        return self._publish(seen, [(batch, count, False, json.dumps(settings), None, None)])
 
     def append(self, records: DataFrame) -> int:
         """Add records with new keys; only the new batch is written."""
@@ -231,7 +224,7 @@ class IndexStore:
         batch = _new_batch()
         postings, count = self._write_documents(records, settings, batch)
         self._write_terms(make_terms(postings), batch)
-        return self._publish([*_kept(rows), (batch, count, False, json.dumps(settings), None, None)])
+        return self._publish(rows, [*_kept(rows), (batch, count, False, json.dumps(settings), None, None)])
 
     def upsert(self, updates: DataFrame, seq: str, *, stream: str | None = None, stream_batch: int | None = None) -> int:
         """Add records, replacing those with the same key; the greatest ``seq`` of a key wins.
@@ -256,7 +249,7 @@ class IndexStore:
         lost = negated(make_terms(postings_of_versions(index, removed)))
         self._write_terms(make_terms(postings).unionByName(lost), batch)
         docs = count - removed.count()
-        return self._publish([*_kept(rows), (batch, docs, True, json.dumps(settings), stream, stream_batch)])
+        return self._publish(rows, [*_kept(rows), (batch, docs, True, json.dumps(settings), stream, stream_batch)])
 
     def compact(self) -> int:
         """Write the live documents of all batches as one batch."""
@@ -270,6 +263,10 @@ def _kept(rows: list) -> list[tuple]:
     return [tuple(r[name] for name in _VERSION_COLUMNS) for r in rows]
 
 
+def _number(rows: list) -> int:
+    return rows[0]["version"] if rows else 0
+
+
 def _new_batch() -> int:
     """A number no other attempt uses, so that repeated attempts never share a partition."""
     return time.time_ns() // 1000

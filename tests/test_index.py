@@ -103,11 +103,21 @@ def test_open_in_a_session_that_does_not_know_the_tables(spark, titles, ask, tmp
 def test_unpublished_batches_stay_invisible(spark, titles, tmp_path):
     store = fy.IndexStore(spark, str(tmp_path / "i"), shards=3)
     store.replace(titles, "Allid", ["Title"])
-    settings = store._settings(titles, "Allid", ["Title"], None)
+    settings = store._settings(store._version_rows(), titles, "Allid", ["Title"], None)
     store._write_documents(titles, settings, 1)
     assert store.open().documents().count() == 5
 
 
+def test_a_second_writer_fails_when_it_publishes(spark, titles, tmp_path):
+    store = fy.IndexStore(spark, str(tmp_path / "i"), shards=2)
+    store.replace(titles, "Allid", ["Title"])
+    seen = store._version_rows()
+    store.append(spark.createDataFrame([(6, "new")], "Allid int, Title string"))
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        store._publish(seen, [])
+    assert store.open().doc_count == 6
+
+
 def test_build_shuffles_the_records_once(titles):
     index = build(titles, "Allid", ["Title"])
     plan = index.postings._jdf.queryExecution().executedPlan().toString()
