@@ -1,11 +1,16 @@
 """The registered queries of the subpackage and their SQL."""
 
 from findery.llm.mixing import OP8_SQL, op8_mixing
+from findery.llm.packing import op4_packing
+from findery.llm.secrets import OP3_SQL, op3_secrets
 
 QUERIES = {
+    "op3_secrets": op3_secrets,
+    "op4_packing": op4_packing,
     "op8_mixing": op8_mixing,
 }
 
 SQL = {
+    "op3_secrets": OP3_SQL,
     "op8_mixing": OP8_SQL,
 }
