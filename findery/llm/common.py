@@ -61,6 +61,8 @@ _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_OTHER = np.ones(256, dtype=bool)
+_OTHER[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -91,11 +93,13 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]] if len(offsets) else data[:0], offsets - (offsets[0] if len(offsets) else 0)
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, text number) of the words of all texts; words are maximal runs without ASCII white space."""
+def word_bounds(
+    data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = _SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, text number) of the words of all texts; words are maximal runs without a separator byte."""
     inside = np.empty(len(data) + 1, dtype=bool)
     inside[0] = False
-    np.logical_not(_SPACE[data], out=inside[1:])
+    np.logical_not(separators[data], out=inside[1:])
     first = inside[1:] & ~inside[:-1]
     begin = offsets[:-1][offsets[:-1] < offsets[1:]]
     first[begin] = inside[1:][begin]
@@ -117,13 +121,20 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed(raw)
 
 
-def hashed_words(texts: pa.Array, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, bounds): hashes of all words in order, ``bounds[i]:bounds[i + 1]`` are those of text i; A-Z folded."""
+def words_of(texts: pa.Array, bare: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, starts, ends, bounds): the words of text i are ``bounds[i]:bounds[i + 1]``; A-Z folded.
+
+    Words are split at ASCII white space, ``bare`` ones at all ASCII characters but letters and digits.
+    """
     data, offsets = text_bytes(texts)
-    if fold:
-        data = _LOWER[data]
-    starts, ends, owner = word_bounds(data, offsets)
-    bounds = np.searchsorted(owner, np.arange(len(offsets)), side="left")
+    data = _LOWER[data]
+    starts, ends, owner = word_bounds(data, offsets, _OTHER if bare else _SPACE)
+    return data, starts, ends, np.searchsorted(owner, np.arange(len(offsets)), side="left")
+
+
+def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, bounds) of the words between ASCII white space, in order."""
+    data, starts, ends, bounds = words_of(texts)
     return span_hashes(data, starts, ends), bounds
 
 

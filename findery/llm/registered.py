@@ -2,12 +2,16 @@
 
 from findery.llm.mixing import OP8_SQL, op8_mixing
 from findery.llm.packing import op4_packing
+from findery.llm.quality import op10_quality
 from findery.llm.secrets import OP3_SQL, op3_secrets
+from findery.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op3_secrets": op3_secrets,
     "op4_packing": op4_packing,
     "op8_mixing": op8_mixing,
+    "op9_toxicity": op9_toxicity,
+    "op10_quality": op10_quality,
 }
 
 SQL = {
