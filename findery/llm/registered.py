@@ -1,6 +1,7 @@
 """The registered queries of the subpackage and their SQL."""
 
 from findery.llm.mixing import OP8_SQL, op8_mixing
+from findery.llm.neardup import OP7_SQL, op7_near_duplicates
 from findery.llm.packing import op4_packing
 from findery.llm.quality import op10_quality
 from findery.llm.secrets import OP3_SQL, op3_secrets
@@ -9,6 +10,7 @@ from findery.llm.toxicity import op9_toxicity
 QUERIES = {
     "op3_secrets": op3_secrets,
     "op4_packing": op4_packing,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
@@ -16,5 +18,6 @@ QUERIES = {
 
 SQL = {
     "op3_secrets": OP3_SQL,
+    "op7_near_duplicates": OP7_SQL,
     "op8_mixing": OP8_SQL,
 }
