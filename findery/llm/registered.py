@@ -1,13 +1,17 @@
 """The registered queries of the subpackage and their SQL."""
 
+from findery.llm.ann import op1_nearest
 from findery.llm.mixing import OP8_SQL, op8_mixing
 from findery.llm.neardup import OP7_SQL, op7_near_duplicates
 from findery.llm.packing import op4_packing
 from findery.llm.quality import op10_quality
 from findery.llm.secrets import OP3_SQL, op3_secrets
+from findery.llm.topk import OP2_SQL, op2_top_k
 from findery.llm.toxicity import op9_toxicity
 
 QUERIES = {
+    "op1_nearest": op1_nearest,
+    "op2_top_k": op2_top_k,
     "op3_secrets": op3_secrets,
     "op4_packing": op4_packing,
     "op7_near_duplicates": op7_near_duplicates,
@@ -17,6 +21,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op2_top_k": OP2_SQL,
     "op3_secrets": OP3_SQL,
     "op7_near_duplicates": OP7_SQL,
     "op8_mixing": OP8_SQL,
