@@ -4,6 +4,7 @@ from findery.llm.ann import op1_nearest
 from findery.llm.mixing import OP8_SQL, op8_mixing
 from findery.llm.neardup import OP7_SQL, op7_near_duplicates
 from findery.llm.packing import op4_packing
+from findery.llm.pii import op6_pii
 from findery.llm.quality import op10_quality
 from findery.llm.secrets import OP3_SQL, op3_secrets
 from findery.llm.topk import OP2_SQL, op2_top_k
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_top_k": op2_top_k,
     "op3_secrets": op3_secrets,
     "op4_packing": op4_packing,
+    "op6_pii": op6_pii,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
