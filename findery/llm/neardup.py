@@ -7,10 +7,11 @@ registers, less the expected chance agreements; a pair that is not ``SIGMAS`` st
 confirmed on the full sets.
 
 Links are searched without listing the pairs of a group. First every member of a bucket is compared with the smallest
-one. Only buckets whose members are then still in several components are searched on, for pairs across components, in
-blocks of at most ``BLOCK`` members; the largest component of a bucket meets the others only. So components equal those
-of all links that a band can find: with 42 bands of 6, a pair at 0.85 shares none with a probability of 3e-9, one at 0.8
-with 3e-6.
+one, then those outside the bucket's largest component with one of its members, another in each bucket. Only buckets whose
+members are then still in several components are searched on, for pairs across components, in blocks of at most ``BLOCK``
+members; the largest component of a bucket meets the others only, and in buckets of more than ``SMALL`` a pair must also
+pass an upper bound of its similarity, from 16 bits of every shingle. So components equal those of all links that a band
+can find: with 42 bands of 6, a pair at 0.85 shares none with a probability of 3e-9, one at 0.8 with 3e-6.
 
 Nothing reaches the driver but counts. Hot classes, buckets and components are summed before shuffles, and what remains
 are joins that Spark can split.
@@ -39,6 +40,7 @@ MANTISSA = 10
 VALUE_BITS = 48
 SIGMAS = 6.0
 BLOCK = 2048
+SMALL = 32
 CHANCE = 0.169919487159739  # of agreement by chance per register, times 2 ** -MANTISSA, for sets of equal size
 _ODD = [np.uint64(2 * pow(0x5DEECE66D, k, 1 << 62) + 1) for k in range(1, 17)]
 
@@ -95,7 +97,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, count: int) -> DataFrame:
-    """(id, n, one, two, registers): set size, two fingerprints of the whole set, compressed registers."""
+    """(id, n, one, two, registers, codes): set size, two fingerprints of the set, compressed registers, 16 bits per shingle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -107,12 +109,13 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, count: int)
                 [
                     batch.column("id"), pa.array([len(s) for s in sets], type=pa.int64()), pa.array(one, type=pa.int64()),
                     pa.array(two, type=pa.int64()), pa.array([row.tobytes() for row in codes], type=pa.binary()),
+                    pa.array([s.astype(np.uint16).tobytes() for s in sets], type=pa.binary()),
                 ],
-                names=["id", "n", "one", "two", "registers"],
+                names=["id", "n", "one", "two", "registers", "codes"],
             )
 
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return plain.mapInArrow(run, "id long, n long, one long, two long, registers binary")
+    return plain.mapInArrow(run, "id long, n long, one long, two long, registers binary, codes binary")
 
 
 def banded(reps: DataFrame, rows: int) -> DataFrame:
@@ -238,7 +241,7 @@ def _across(members: DataFrame, reps: DataFrame, rows: int, percent: int) -> Dat
     )
     placed = (
         members.withColumn("own", own).withColumn("place", F.explode(places))
-        .select("key", "band", "id", "n", "component", "place.*", "own")
+        .select("key", "band", "id", "n", "component", "place.*", "own", "cnt")
     )
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -266,6 +269,8 @@ def _across(members: DataFrame, reps: DataFrame, rows: int, percent: int) -> Dat
             x, y = group.column("x")[0].as_py(), group.column("y")[0].as_py()
             codes = _matrix(group.column("registers").combine_chunks())
             bands = codes.reshape(len(codes), -1, rows)
+            short = [s and np.frombuffer(s, dtype=np.uint16) for s in group.column("codes").to_pylist()]
+            held = np.zeros(1 << 16, dtype=bool)
             found = []
             for i in range(len(ids) - 1):
                 later = np.arange(i + 1, len(ids))
@@ -277,12 +282,21 @@ def _across(members: DataFrame, reps: DataFrame, rows: int, percent: int) -> Dat
                 alike = ((bands[later] == bands[i]).all(axis=2) & bands[i].any(axis=1)).argmax(axis=1)
                 later = later[alike == band]
                 later = later[_plausible(codes[later], codes[i], n[later], n[i], percent)]
+                if short[i] is not None and len(later):
+                    held[short[i]] = True
+                    # Shingles of j whose 16 bits occur in i: at least those that both have.
+                    both = np.array([held[short[j]].sum() for j in later])
+                    held[short[i]] = False
+                    later = later[100 * both >= percent * (n[i] + n[later] - both)]
                 found += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in later]
             if found:
                 a, b = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, type=pa.int64()), pa.array(b, type=pa.int64())], names=["a", "b"])
 
-    with_codes = placed.join(reps.select("id", "registers"), "id")
+    with_codes = (
+        placed.join(reps.select("id", "registers", "codes"), "id")
+        .withColumn("codes", F.when(F.col("cnt") > SMALL, F.col("codes"))).drop("cnt")
+    )
     return (
         with_codes.repartition(F.col("key"), F.col("kind"), F.col("x"), F.col("y"))
         .sortWithinPartitions("key", "kind", "x", "y", "id")
@@ -302,7 +316,7 @@ def near_duplicates(
     )
     reps = stored(
         sketch.join(classes.withColumnRenamed("rep", "id"), ["id", "one", "two", "n"]).dropDuplicates(["id"])
-        .select("id", "n", "registers")
+        .select("id", "n", "registers", "codes")
     )
     members = stored(banded(reps, rows))
     buckets = stored(
@@ -318,16 +332,31 @@ def near_duplicates(
     labels = stored(components(edges))
 
     # Buckets that still hold several components; those of two members have been compared already.
-    labelled = stored(
-        members.join(buckets.filter("cnt > 2").select("key", "cnt"), "key").join(labels, "id", "left")
-        .withColumn("component", F.coalesce("component", "id"))
+    open_ = stored(members.join(buckets.filter("cnt > 2").select("key", "cnt"), "key"))
+
+    def divided(labels: DataFrame) -> DataFrame:
+        """The members of such buckets, with their component, and the largest one of the bucket."""
+        labelled = stored(open_.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")))
+        mixed_keys = (
+            labelled.groupBy("key", "component").agg(F.count("*").alias("held"))
+            .groupBy("key").agg(F.max(F.struct("held", "component")).alias("top"), F.count("*").alias("parts"))
+            .filter("parts > 1").select("key", F.col("top.component").alias("top"), F.col("top.held").alias("most"))
+        )
+        return stored(labelled.join(mixed_keys, "key"))
+
+    left = divided(labels)
+    delegates = (
+        left.filter("component = top").groupBy("key").agg(F.min(F.struct(F.xxhash64("id", "key"), "id", "n")).alias("one"))
+        .select("key", F.col("one.id").alias("other"), F.col("one.n").alias("n_other"))
     )
-    mixed_keys = (
-        labelled.groupBy("key", "component").agg(F.count("*").alias("held"))
-        .groupBy("key").agg(F.max(F.struct("held", "component")).alias("top"), F.count("*").alias("parts"))
-        .filter("parts > 1").select("key", F.col("top.component").alias("top"), F.col("top.held").alias("most"))
+    tries = (
+        left.filter("component <> top AND cnt > 3").join(delegates, "key").filter(_sizes_fit("n", "n_other", percent))
+        .select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
     )
-    pairs = stored(_across(labelled.join(mixed_keys, "key"), reps, rows, percent))
+    tries = stored(_estimated(tries, reps, percent))
+    edges = stored(edges.union(_confirmed(tries, docs, id_col, text_col, size, percent)))
+    left = divided(stored(components(edges)))
+    pairs = stored(_across(left, reps, rows, percent))
     more = _confirmed(pairs, docs, id_col, text_col, size, percent)
     labels = stored(components(edges.union(more)))
 
