@@ -319,5 +319,4 @@ def redact(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", mark
             texts = pa.array([clean(t) for t in batch.column(text_col).to_pylist()], type=batch.column(text_col).type)
             yield pa.RecordBatch.from_arrays([texts if k == at else c for k, c in enumerate(batch.columns)], names=batch.schema.names)
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, fields)
+    return docs.mapInArrow(run, docs.schema)

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from findery.llm.common import id_crc, read_table, slices, span_hashes, words_of
 
@@ -43,6 +44,7 @@ SLICE_BYTES = 2 << 20
 LEAST = 20
 PRECISION = 0.99
 RANGE = (0.3, 0.7)
+SURE = 0.9
 
 
 @dataclass
@@ -187,7 +189,9 @@ def _step(model: Model, texts: list[np.ndarray], y: np.ndarray, sums: list, rate
 
 def _threshold(scores: np.ndarray, labels: np.ndarray) -> float:
     """The lowest score from which on the calibration rows are toxic with precision ``PRECISION``, kept within ``RANGE``;
-    1 if none is."""
+    ``SURE`` if fewer than ``LEAST`` of them are toxic, 1 if none reaches it."""
+    if labels.sum() < LEAST:
+        return SURE
     order = np.argsort(-scores, kind="stable")
     s, good = scores[order], np.cumsum(labels[order])
     last = np.append(s[1:] != s[:-1], True)
@@ -263,8 +267,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
             values = shared.value.scores(*embedded_rows(batch.column(text_col)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, type=pa.float64())], names=[*batch.schema.names, out])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.mapInArrow(run, f"{fields}, `{out}` double")
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(out, T.DoubleType())]))
 
 
 def threshold(model: Model, lang: Column) -> Column:
