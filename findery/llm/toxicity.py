@@ -35,8 +35,8 @@ DIM = 8
 PREFIXES = (4, 5)
 WIDTHS = (1, 2, 3)
 FILTERS = 8
-PER_CLASS = 4000
-CALIBRATION = 6000
+PER_CLASS = 3000
+CALIBRATION = 4000
 EPOCHS = 6
 LEAST_STEPS = 800
 BATCH = 32
