@@ -1,6 +1,7 @@
 """The registered queries of the subpackage and their SQL."""
 
 from findery.llm.ann import op1_nearest
+from findery.llm.mixer import op5_mixer
 from findery.llm.mixing import OP8_SQL, op8_mixing
 from findery.llm.neardup import OP7_SQL, op7_near_duplicates
 from findery.llm.packing import op4_packing
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_top_k": op2_top_k,
     "op3_secrets": op3_secrets,
     "op4_packing": op4_packing,
+    "op5_mixer": op5_mixer,
     "op6_pii": op6_pii,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_mixing": op8_mixing,
