@@ -25,6 +25,8 @@ from findery.operators.tokens import analyze, explode_tokens, postings_of, term_
 from findery.runtime import broadcast_if_small
 
 DOC = ("shard", "batch", "doc_id")
+# The sequence number of the update that a stored row comes from; null if it came by build or append.
+SEQ = "_seq"
 # Text per shard (the work of one task), and per shard and term bucket (one file of postings).
 SHARD_BYTES = 8 * 1024**3
 FILE_BYTES = 128 * 1024**2
@@ -134,7 +136,7 @@ def sharded(records: DataFrame, key: str, fields: Sequence[str], layout: Layout,
     """Records with their document columns, placed by shard: the one shuffle of an index build."""
     require_fields(records, [key, *fields])
     return (
-        drop_empty(records, records.columns)
+        drop_empty(records, [c for c in records.columns if c != SEQ])
         .withColumns(
             {"doc_id": F.col(f"`{key}`"), "shard": layout.shard(F.col(f"`{key}`")), "batch": F.lit(batch).cast("long")}
         )
@@ -169,17 +171,27 @@ def negated(terms: DataFrame) -> DataFrame:
 
 
 def latest_per_key(updates: DataFrame, key: str, seq: str) -> DataFrame:
-    """The update with the greatest sequence number of each key, combined before the shuffle."""
+    """The update with the greatest sequence number of each key, combined before the shuffle; its number is kept as ``SEQ``."""
     names = updates.columns
     order = F.struct(F.col(seq), *[F.col(f"`{n}`") for n in names if n != seq])
     row = F.struct(*[F.col(f"`{n}`") for n in names])
     return (
         updates.groupBy(F.col(f"`{key}`").alias("_key"))
         .agg(F.max_by(row, order).alias("row"))
-        .select(*[F.col("row").getField(n).alias(n) for n in names if n != seq])
+        .select(*[F.col("row").getField(n).alias(n) for n in names if n != seq], F.col("row").getField(seq).cast("long").alias(SEQ))
     )
 
 
+def newer_than_live(index: TextIndex, latest: DataFrame) -> DataFrame:
+    """The updates (key, …, ``SEQ``) that are newer than the live version of their key; a version without a number is older."""
+    if SEQ not in index.stored.columns:
+        return latest
+    key = F.col(f"`{index.key}`")
+    keys = broadcast_if_small(latest.select(key.alias("doc_id"), index.layout.shard(key).alias("shard"), F.col(SEQ).alias("_new")))
+    stale = index.documents().select("shard", "doc_id", SEQ).join(keys, ["shard", "doc_id"]).filter(F.col(SEQ) >= F.col("_new"))
+    return latest.join(broadcast_if_small(stale.select(F.col("doc_id").alias("_stale"))), key == F.col("_stale"), "left_anti")
+
+
 def replaced_versions(index: TextIndex, keys: DataFrame) -> DataFrame:
     """Live document versions whose key is in ``keys(doc_id)``."""
     keys = keys.select("doc_id").withColumn("shard", index.layout.shard(F.col("doc_id"))).distinct()
@@ -208,8 +220,9 @@ def build(
     layout = layout or Layout.of(records.sparkSession)
     docs = sharded(records, key, fields, layout, batch)
     postings = make_postings(docs, fields, layout, analyzers or {}, analyzer)
-    names = [n for n in (stored or records.columns) if n not in DOC]
-    kept = docs.select(*DOC, *[F.col(f"`{n}`") for n in names])
+    names = [n for n in (stored or records.columns) if n not in (*DOC, SEQ)]
+    seq = F.col(SEQ) if SEQ in records.columns else F.lit(None).cast("long").alias(SEQ)
+    kept = docs.select(*DOC, *[F.col(f"`{n}`") for n in names], seq)
     return TextIndex(
         stored=kept,
         postings=postings,
@@ -254,8 +267,8 @@ def append(index: TextIndex, records: DataFrame, *, batch: int) -> TextIndex:
 
 
 def upsert(index: TextIndex, updates: DataFrame, seq: str, *, batch: int) -> TextIndex:
-    """Add records, replacing those with the same key; of several updates to a key the last wins."""
-    latest = latest_per_key(updates, index.key, seq)
+    """Add records, replacing those with the same key; the greatest ``seq`` of a key wins, also over earlier calls."""
+    latest = newer_than_live(index, latest_per_key(updates, index.key, seq))
     added = _added(index, latest, batch)
     gone = replaced_versions(index, added.stored)
     joined = _joined(index, added)

@@ -18,7 +18,7 @@ from findery.functions import scoring
 from findery.operators.expand import fuzzy_terms, wildcard_terms
 from findery.operators.phrase import phrase_freq
 from findery.operators.tokens import analyze, explode_tokens
-from findery.plans.index import DOC, TextIndex, without_removed
+from findery.plans.index import DOC, SEQ, TextIndex, without_removed
 from findery.runtime import broadcast_if_small, cut, fits_broadcast
 
 KINDS = ("terms", "term", "prefix", "wildcard", "fuzzy", "phrase")
@@ -411,7 +411,7 @@ def total_hits(queries: DataFrame, top: DataFrame) -> DataFrame:
 
 def attach_stored(index: TextIndex, top: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
     """Stored fields of the hits, read from the shards that hold one."""
-    names = list(fields) if fields is not None else [c for c in index.stored.columns if c not in DOC]
+    names = list(fields) if fields is not None else [c for c in index.stored.columns if c not in (*DOC, SEQ)]
     top = cut(top)
     # At most one number per shard of the layout.
     shards = [r["shard"] for r in top.select("shard").distinct().collect()]

@@ -2,7 +2,8 @@
 
 A write adds a *batch* to the tables and then publishes a version, which names the batches that are
 visible. Readers pin a version. A batch that was never published (a failed attempt) is never read,
-so a job can be lost and repeated at any point.
+so a job can be lost and repeated at any point. Tables are named by their layout, so building anew may
+choose another one, and batches that other applications published are made known before they are read.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import json
 import time
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,20 +22,22 @@ from pyspark.sql.utils import AnalysisException
 from findery.functions.analysis import Analyzer, words
 from findery.plans.index import (
     DOC,
-    POSTING_COLUMNS,
+    SEQ,
     Layout,
     TextIndex,
     latest_per_key,
     make_postings,
     make_terms,
     negated,
+    newer_than_live,
     postings_of_versions,
     replaced_versions,
     sharded,
 )
 
-_VERSION_COLUMNS = ("batch", "docs", "removes", "settings", "stream", "stream_batch")
-_VERSION = "batch bigint, docs bigint, removes boolean, settings string, stream string, stream_batch bigint"
+# ``settings`` and ``streams`` (the last batch applied of each stream) stand in the newest row of a version only.
+_VERSION_COLUMNS = ("batch", "docs", "removes", "settings", "streams")
+_VERSION = "batch bigint, docs bigint, removes boolean, settings string, streams map<string, bigint>"
 _TERMS = "field string, term string, df bigint, total_tf bigint, batch bigint, bucket int"
 
 
@@ -56,6 +60,7 @@ class IndexStore:
         self.analyzer = analyzer
         self._wanted = (shards, buckets)
         self._prefix = "findery_" + hashlib.sha256(self.root.encode()).hexdigest()[:16]
+        self._known: dict[str, set[int]] = {}
 
     # -- versions ---------------------------------------------------------------------------
 
@@ -68,52 +73,74 @@ class IndexStore:
             raise
 
     def _version_rows(self, version: int | None = None) -> list:
-        """The batches of the latest or the given version: one small row per batch, in one job."""
+        """The batches of the latest or the given version, oldest first; only that version's file is read."""
         versions = self._versions()
         if versions is None:
             return []
-        if version is not None:
-            versions = versions.filter(F.col("version") == F.lit(version))
+        if version is None:
+            version = versions.agg(F.max("version")).first()[0]
         row = F.struct("batch", *[n for n in _VERSION_COLUMNS if n != "batch"], "version")
-        latest = versions.groupBy("version").agg(F.sort_array(F.collect_list(row)).alias("rows"))
-        found = latest.orderBy(F.desc("version")).limit(1).collect()
-        return found[0]["rows"] if found else []
+        return [r["row"] for r in versions.filter(F.col("version") == F.lit(version)).select(row.alias("row")).orderBy("row.batch").collect()]
 
     def latest_version(self) -> int | None:
         return _number(self._version_rows()) or None
 
     def _publish(self, seen: list, rows: list[tuple]) -> int:
-        """Publish the version after the one this write started from; fails if another writer did so first."""
+        """Publish the version after the one this write started from; fails if another writer did so first.
+
+        The version is written aside and renamed, which the file system refuses if the name exists.
+        """
         version = _number(seen) + 1
-        frame = self.spark.createDataFrame(rows, _VERSION).coalesce(1)
-        frame.write.mode("error").parquet(f"{self.root}/versions/version={version}")
+        aside = f"{self.root}/staging/{uuid.uuid4().hex}"
+        self.spark.createDataFrame(rows, _VERSION).coalesce(1).write.parquet(aside)
+        jvm, gateway = self.spark._jvm, self.spark.sparkContext._gateway
+        path = jvm.org.apache.hadoop.fs.Path
+        target = path(f"{self.root}/versions/version={version}")
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self.spark._jsc.hadoopConfiguration())
+        context.mkdir(target.getParent(), jvm.org.apache.hadoop.fs.permission.FsPermission.getDirDefault(), True)
+        rename = jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename").getEnumConstants()[0]  # NONE
+        options = gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+        options[0] = rename
+        try:
+            context.rename(path(aside), target, options)
+        except Exception as refused:
+            if context.util().exists(target):
+                raise RuntimeError(f"version {version} of {self.root} was published by another writer") from refused
+            raise
         return version
 
     # -- tables -----------------------------------------------------------------------------
 
-    def _table(self, name: str, columns: str, partitions: str, sort: str, shards: int) -> str:
-        """A bucketed table: a scan of it is already partitioned by shard."""
-        table = f"{self._prefix}_{name}"
+    def _table(self, name: str, columns: str, partitions: str, sort: str, settings: dict, batches: Sequence[int]) -> str:
+        """A bucketed table: a scan of it is already partitioned by shard.
+
+        Its partitions are known to this session's catalog for all ``batches``, whoever wrote them.
+        """
+        layout = f"{settings['shards']}x{settings['buckets']}"
+        table = f"{self._prefix}_{name}_{layout}"
         if not self.spark.catalog.tableExists(table):
             self.spark.sql(
                 f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({partitions}) "
-                f"CLUSTERED BY (shard) SORTED BY ({sort}) INTO {shards} BUCKETS LOCATION '{self.root}/{name}'"
+                f"CLUSTERED BY (shard) SORTED BY ({sort}) INTO {settings['shards']} BUCKETS LOCATION '{self.root}/{name}-{layout}'"
             )
-            if self._versions() is not None:
-                self.spark.sql(f"MSCK REPAIR TABLE {table}")
+            self._known[table] = set()
+        known = self._known.setdefault(table, set())
+        if not known.issuperset(batches):
+            self.spark.sql(f"MSCK REPAIR TABLE {table}")
+            known.update(batches)
         return table
 
-    def _postings_table(self, settings: dict) -> str:
+    def _postings_table(self, settings: dict, batches: Sequence[int] = ()) -> str:
         columns = (
             f"field string, term string, doc_id {settings['key_type']}, tf int, length int, positions array<int>, "
             "shard int, batch bigint, bucket int"
         )
-        return self._table("postings", columns, "batch, bucket", "field, term, doc_id", settings["shards"])
+        return self._table("postings", columns, "batch, bucket", "field, term, doc_id", settings, batches)
 
-    def _stored_table(self, settings: dict) -> str:
+    def _stored_table(self, settings: dict, batches: Sequence[int] = ()) -> str:
         schema = T.StructType.fromJson(json.loads(settings["stored"]))
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        return self._table("stored", columns, "batch", "doc_id", settings["shards"])
+        return self._table("stored", columns, "batch", "doc_id", settings, batches)
 
     def _parquet(self, name: str, schema: str, batches: Sequence[int]) -> DataFrame:
         paths = [f"{self.root}/{name}/batch={b}" for b in batches]
@@ -138,8 +165,8 @@ class IndexStore:
         live = F.col("batch").isin(batches)
         corpus = self.spark.createDataFrame([(r["docs"],) for r in rows], "docs bigint")
         return TextIndex(
-            stored=self.spark.table(self._stored_table(settings)).filter(live),
-            postings=self.spark.table(self._postings_table(settings)).filter(live),
+            stored=self.spark.table(self._stored_table(settings, batches)).filter(live),
+            postings=self.spark.table(self._postings_table(settings, batches)).filter(live),
             terms=self._parquet("terms", _TERMS, batches).drop("batch"),
             corpus=corpus,
             removed=removed,
@@ -167,10 +194,16 @@ class IndexStore:
         schema = T.StructType.fromJson(json.loads(settings["stored"]))
         stored = self._stored_table(settings)
         docs = sharded(records, settings["key"], settings["fields"], layout, batch)
+        if SEQ not in docs.columns:
+            docs = docs.withColumn(SEQ, F.lit(None).cast("long"))
         docs.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in schema.fields]).write.insertInto(stored)
+        self._known[stored].add(batch)
         written = self.spark.table(stored).filter(F.col("batch") == F.lit(batch))
         table = self._postings_table(settings)
-        make_postings(written, settings["fields"], layout, self.analyzers, self.analyzer).write.insertInto(table)
+        # A field that is not stored is analyzed from the records, which are placed by shard once more.
+        source = written if set(settings["fields"]) <= set(written.columns) else docs
+        make_postings(source, settings["fields"], layout, self.analyzers, self.analyzer).write.insertInto(table)
+        self._known[table].add(batch)
         postings = self.spark.table(table).filter(F.col("batch") == F.lit(batch))
         count = written.count()
         return postings, count
@@ -189,14 +222,14 @@ class IndexStore:
     def _settings(
         self, seen: list, records: DataFrame, key: str, fields: Sequence[str], stored: Sequence[str] | None
     ) -> dict:
-        kept = [n for n in (stored or records.columns) if n not in DOC]
-        missing = [f for f in fields if f not in kept]
-        if missing:
-            raise ValueError(f"indexed fields must be stored as well: {missing}")
+        kept = [n for n in (stored or records.columns) if n not in (*DOC, SEQ)]
         key_type = records.schema[key].dataType
         schema = T.StructType(
             [T.StructField(n, records.schema[n].dataType) for n in kept]
-            + [T.StructField("doc_id", key_type), T.StructField("shard", T.IntegerType()), T.StructField("batch", T.LongType())]
+            + [
+                T.StructField(SEQ, T.LongType()), T.StructField("doc_id", key_type), T.StructField("shard", T.IntegerType()),
+                T.StructField("batch", T.LongType()),
+            ]
         )
         settings = {"key": key, "key_type": key_type.simpleString(), "fields": list(fields), "stored": schema.json()}
         if seen:
@@ -204,18 +237,24 @@ class IndexStore:
             for name in ("key", "key_type", "stored"):
                 if old[name] != settings[name]:
                     raise ValueError(f"{self.root} holds an index with another {name}; use a new folder")
-            return {**settings, "shards": old["shards"], "buckets": old["buckets"]}
         layout = Layout.sized(records, fields, *self._wanted)
         return {**settings, "shards": layout.shards, "buckets": layout.buckets}
 
     def replace(self, records: DataFrame, key: str, fields: Sequence[str], stored: Sequence[str] | None = None) -> int:
         """Build the index anew; the version published holds these records only."""
-        seen = self._version_rows()
+        return self._replace(records, key, fields, stored, self._version_rows(), {}, None)
+
+    def _replace(
+        self, records: DataFrame, key: str, fields: Sequence[str], stored: Sequence[str] | None, seen: list,
+        streams: dict, expected: int | None,
+    ) -> int:
         settings = self._settings(seen, records, key, fields, stored)
         batch = _new_batch()
         postings, count = self._write_documents(records, settings, batch)
+        if expected is not None and count != expected:
+            raise RuntimeError(f"{count} documents were written, but the version has {expected}; nothing was published")
         self._write_terms(make_terms(postings), batch)
-        return self._publish(seen, [(batch, count, False, json.dumps(settings), None, None)])
+        return self._publish(seen, [(batch, count, False, json.dumps(settings), streams)])
 
     def append(self, records: DataFrame) -> int:
         """Add records with new keys; only the new batch is written."""
@@ -224,21 +263,25 @@ class IndexStore:
         batch = _new_batch()
         postings, count = self._write_documents(records, settings, batch)
         self._write_terms(make_terms(postings), batch)
-        return self._publish(rows, [*_kept(rows), (batch, count, False, json.dumps(settings), None, None)])
+        return self._publish(rows, [*_kept(rows), (batch, count, False, json.dumps(settings), rows[-1]["streams"])])
 
     def upsert(self, updates: DataFrame, seq: str, *, stream: str | None = None, stream_batch: int | None = None) -> int:
-        """Add records, replacing those with the same key; the greatest ``seq`` of a key wins.
+        """Add records, replacing those with the same key; the greatest ``seq`` of a key wins, in whatever order
+        the updates arrive: one that is not newer than the live version is left out.
 
         With ``stream`` and ``stream_batch`` a batch of a stream that was already published is left
         alone, so a replay changes nothing.
         """
         rows = self._version_rows()
-        if stream is not None and any(r["stream"] == stream and r["stream_batch"] >= stream_batch for r in rows):
+        streams = dict(rows[-1]["streams"] or {})
+        if stream is not None and streams.get(stream, -1) >= stream_batch:
             return rows[0]["version"]
+        if stream is not None:
+            streams[stream] = stream_batch
         index = self._snapshot(rows)
         settings = json.loads(rows[-1]["settings"])
         batch = _new_batch()
-        postings, count = self._write_documents(latest_per_key(updates, settings["key"], seq), settings, batch)
+        postings, count = self._write_documents(newer_than_live(index, latest_per_key(updates, settings["key"], seq)), settings, batch)
         added = self.spark.table(self._stored_table(settings)).filter(F.col("batch") == F.lit(batch))
         gone = replaced_versions(index, added)
         path = f"{self.root}/removed/batch={batch}"
@@ -249,18 +292,30 @@ class IndexStore:
         lost = negated(make_terms(postings_of_versions(index, removed)))
         self._write_terms(make_terms(postings).unionByName(lost), batch)
         docs = count - removed.count()
-        return self._publish(rows, [*_kept(rows), (batch, docs, True, json.dumps(settings), stream, stream_batch)])
+        return self._publish(rows, [*_kept(rows), (batch, docs, True, json.dumps(settings), streams)])
 
     def compact(self) -> int:
-        """Write the live documents of all batches as one batch."""
-        index = self.open()
-        settings = json.loads(self._version_rows()[-1]["settings"])
+        """Write the live documents of all batches as one batch, in a layout that fits them.
+
+        Fails, and publishes nothing, if it does not find as many documents as the version has. An index with fields
+        that are not stored cannot be compacted.
+        """
+        rows = self._version_rows()
+        index = self._snapshot(rows)
+        settings = json.loads(rows[-1]["settings"])
+        lacking = set(settings["fields"]) - set(index.stored.columns)
+        if lacking:
+            raise ValueError(f"not stored, so they cannot be indexed again: {sorted(lacking)}")
         records = index.documents().drop(*[c for c in DOC if c != settings["key"]])
-        return self.replace(records, settings["key"], settings["fields"])
+        stored = [c for c in records.columns if c != SEQ]
+        return self._replace(
+            records, settings["key"], settings["fields"], stored, rows, rows[-1]["streams"] or {}, sum(r["docs"] for r in rows)
+        )
 
 
 def _kept(rows: list) -> list[tuple]:
-    return [tuple(r[name] for name in _VERSION_COLUMNS) for r in rows]
+    """Rows of earlier batches; the settings go on in the newest row alone."""
+    return [(r["batch"], r["docs"], r["removes"], None, None) for r in rows]
 
 
 def _number(rows: list) -> int:
