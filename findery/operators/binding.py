@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+UNBOUND = "unbound"
+
+
 def role_field(name: str, data_type: T.DataType, *, store: bool = False, index: bool = False) -> T.StructField:
     """A schema field whose roles (kept with the hit / searchable) are in its metadata."""
     return T.StructField(name, data_type, True, {"store": store, "index": index})
@@ -85,7 +88,8 @@ def bind(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Bind a table to a typed schema by name, ignoring case.
 
     Source columns without a target are dropped, targets without a source get the default of their
-    type, a missing text is ``''``. A value that cannot be converted fails the job.
+    type, a missing text is ``''``. A value that cannot be converted fails the job. Fields with a role
+    that have no source are marked, so that storing or indexing them fails early (``require_fields``).
     """
     sources = _sources(df, schema)
     columns = []
@@ -105,7 +109,8 @@ def bind(df: DataFrame, schema: T.StructType) -> DataFrame:
                     )
                 ).cast(field.dataType),
             )
-        columns.append(value.alias(field.name, metadata=field.metadata or {}))
+        marked = {UNBOUND: True} if source is None and (has_role(field, "store") or has_role(field, "index")) else {}
+        columns.append(value.alias(field.name, metadata={**(field.metadata or {}), **marked}))
     return df.select(*columns)
 
 
@@ -122,8 +127,8 @@ def bind_permissive(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, Dat
 
 
 def require_fields(df: DataFrame, names: Sequence[str]) -> None:
-    """Fail before the job starts when an annotated field has no column."""
-    missing = [n for n in names if n not in df.columns]
+    """Fail before the job starts when an annotated field has no column, here or in the table it was bound from."""
+    missing = [n for n in names if n not in df.columns or (df.schema[n].metadata or {}).get(UNBOUND)]
     if missing:
         raise ValueError(f"no column for the fields {missing}")
 

@@ -16,8 +16,9 @@ _BITS = 63
 def phrase_freq(matches: DataFrame, keys: Sequence[str], max_slop: int) -> DataFrame:
     """How often each phrase occurs in each document, as ``freq``.
 
-    ``matches(*keys, slots, slop, slot, positions)`` has one row per phrase word found in a document;
-    ``slot`` is the place of the word after the first one and ``slots`` their number. A match takes
+    ``matches(*keys, slots, slop, repeats, slot, positions)`` has one row per phrase word found in a document;
+    ``slot`` is the place of the word after the first one and ``slots`` their number; ``repeats`` says that
+    a word stands in the phrase more than once, which must then be met at different positions. A match takes
     one position per slot; its spread is the largest minus the smallest position, each counted back
     by its slot. Every position of the first word counts once, with the smallest spread it can reach,
     as ``1 / (1 + spread)``, if that is within the slop.
@@ -26,8 +27,12 @@ def phrase_freq(matches: DataFrame, keys: Sequence[str], max_slop: int) -> DataF
     places that cover it, so the work is linear in the positions. The smallest spread is reached in
     the window that starts at the smallest position of the match. The positions of the first word in
     a window are kept as bits. All steps group by ``keys`` and more, so they run in place.
+
+    For a phrase with a repeated word the positions in a window are kept too. Given the first word's
+    position, the other slots take the smallest one that is still free, in the order of the slots; as the
+    slots' ranges begin and end in that order, this finds a choice if there is any.
     """
-    keys = [*keys, "slots", "slop"]
+    keys = [*keys, "slots", "slop", "repeats"]
     complete = matches.withColumn("found", F.count("*").over(Window.partitionBy(*keys))).filter("found = slots")
     placed = complete.select(*keys, "slot", F.explode("positions").alias("at")).withColumn("at", F.col("at") - F.col("slot"))
     windows = placed.withColumn("window", F.explode(F.sequence(F.col("at") - F.col("slop"), F.col("at"))))
@@ -40,26 +45,41 @@ def phrase_freq(matches: DataFrame, keys: Sequence[str], max_slop: int) -> DataF
         here = (F.col("slot") == 0) & offset.between(word * _BITS, word * _BITS + _BITS - 1)
         return F.coalesce(F.bit_or(F.when(here, bit)), F.lit(0).cast("long")).alias(f"bits{word}")
 
-    per_slot = windows.groupBy(*keys, "window", "slot").agg(F.min("at").alias("least"), *[bits(w) for w in words])
+    place = F.when(F.col("repeats"), F.col("at") + F.col("slot"))
+    per_slot = windows.groupBy(*keys, "window", "slot").agg(
+        F.min("at").alias("least"), F.sort_array(F.collect_set(place)).alias("places"), *[bits(w) for w in words]
+    )
+    other = F.when(F.col("repeats") & (F.col("slot") > 0), F.struct("slot", "places"))
     per_window = (
         per_slot.groupBy(*keys, "window")
         .agg(
             F.count("*").alias("filled"),
             F.max(F.when(F.col("slot") > 0, F.col("least"))).alias("farthest"),
+            F.sort_array(F.collect_list(other)).alias("others"),
             *[F.max(f"bits{w}").alias(f"bits{w}") for w in words],
         )
         .filter("filled = slots")
     )
 
     def set_places(word: int):
-        def place(i):
+        def set_place(i):
             return F.when(F.getbit(F.col(f"bits{word}"), i) == 1, F.col("window") + word * _BITS + i)
 
-        return F.transform(F.sequence(F.lit(0), F.lit(min(max_slop - word * _BITS, _BITS - 1))), place)
+        return F.transform(F.sequence(F.lit(0), F.lit(min(max_slop - word * _BITS, _BITS - 1))), set_place)
 
     starts = F.array_compact(F.concat(*[set_places(w) for w in words]))
+    # The used positions; a slot without a free one adds a null, so a choice is whole if it has ``slots`` positions.
+    taken = F.aggregate(
+        "others", F.array("start"),
+        lambda used, o: F.concat(used, F.array(F.try_element_at(F.filter(o["places"], lambda p: ~F.array_contains(used, p)), F.lit(1)))),
+        lambda used: F.array_compact(used),
+    )
+    last = F.array_max(F.transform("taken", lambda p, i: p - i))
     spreads = (
-        per_window.select(*keys, "window", "farthest", F.explode(starts).alias("start"))
+        per_window.select(*keys, "window", "farthest", "others", F.explode(starts).alias("start"))
+        .withColumn("taken", F.when(F.col("repeats"), taken))
+        .filter(~F.col("repeats") | (F.size("taken") == F.col("slots")))
+        .withColumn("farthest", F.when(F.col("repeats"), last).otherwise(F.col("farthest")))
         .withColumn("spread", F.greatest("start", "farthest") - F.col("window"))
         .groupBy(*keys, "start")
         .agg(F.min("spread").alias("spread"))

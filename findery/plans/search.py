@@ -55,31 +55,43 @@ def make_clauses(
 
 
 def _terms_of(index: TextIndex, clauses: DataFrame, many_fields: bool) -> DataFrame:
-    """Analyzed keyword clauses. A *unit* is one query word in all fields; equal words are one unit
-    that counts several times."""
-    texts = clauses.select(*_CLAUSE, F.explode("fields").alias("field"), "text")
-    tokens = explode_tokens(analyze(texts, index.analyzers, index.analyzer), [*_CLAUSE, "field"])
+    """Analyzed keyword clauses. Equal words are one unit that counts several times.
+
+    Over one field the text is analyzed as a whole, and a unit is a term. Over several fields the text is split at blanks
+    first, and a unit is such a word in all fields: each analyzes it in its own way, perhaps to several terms.
+    """
     counted = (F.count("*").alias("mult"), F.min("pos").alias("unit"))
     if many_fields:
+        split = F.posexplode(F.regexp_extract_all("text", F.lit(r"\S+"), F.lit(0))).alias("pos", "text")
+        texts = clauses.select(*_CLAUSE, "fields", split).select(*_CLAUSE, "pos", F.explode("fields").alias("field"), "text")
+        tokens = explode_tokens(
+            analyze(texts, index.analyzers, index.analyzer).withColumnRenamed("pos", "unit"), [*_CLAUSE, "field", "unit"]
+        ).select(*_CLAUSE, "field", F.col("unit").alias("pos"), "term")
         units = (
-            tokens.groupBy(*_CLAUSE, "pos")
+            tokens.distinct().groupBy(*_CLAUSE, "pos")
             .agg(F.sort_array(F.collect_list(F.struct("field", "term"))).alias("word"))
             .groupBy(*_CLAUSE, "word")
             .agg(*counted)
-            .select(*_CLAUSE, "unit", "mult", F.posexplode("word").alias("n", "t"))
-            .select(*_CLAUSE, "unit", "mult", (F.col("n") == 0).alias("lead"), "t.field", "t.term")
+            .select(*_CLAUSE, "unit", "mult", "word", F.posexplode("word").alias("n", "t"))
+            .withColumn("own", F.col("t.field"))
+            .select(
+                *_CLAUSE, "unit", "mult", (F.col("n") == 0).alias("lead"), "t.field", "t.term",
+                F.size(F.filter(F.col("word.field"), lambda f: f == F.col("own"))).alias("parts"),
+            )
         )
     else:
-        units = tokens.groupBy(*_CLAUSE, "field", "term").agg(*counted).withColumn("lead", F.lit(True))
+        texts = clauses.select(*_CLAUSE, F.explode("fields").alias("field"), "text")
+        tokens = explode_tokens(analyze(texts, index.analyzers, index.analyzer), [*_CLAUSE, "field"])
+        units = tokens.groupBy(*_CLAUSE, "field", "term").agg(*counted).withColumns({"lead": F.lit(True), "parts": F.lit(1)})
     return units.select(
-        *_CLAUSE, "unit", "mult", "lead", "field", "term", F.lit(1.0).alias("boost"), F.lit(False).alias("constant")
+        *_CLAUSE, "unit", "mult", "lead", "parts", "field", "term", F.lit(1.0).alias("boost"), F.lit(False).alias("constant")
     )
 
 
 def _single(rows: DataFrame, boost, constant: bool) -> DataFrame:
     return rows.select(
         *_CLAUSE, F.lit(0).alias("unit"), F.lit(1).cast("long").alias("mult"), F.lit(True).alias("lead"),
-        "field", "term", boost.alias("boost"), F.lit(constant).alias("constant"),
+        F.lit(1).alias("parts"), "field", "term", boost.alias("boost"), F.lit(constant).alias("constant"),
     )
 
 
@@ -122,9 +134,9 @@ def _phrase_terms(index: TextIndex, clauses: DataFrame) -> DataFrame:
         F.count("*").cast("int").alias("slots"),
         F.min("pos").alias("first"),
         F.collect_list(F.struct("pos", "term")).alias("words"),
-    )
-    return per_phrase.select(*_CLAUSE, "field", "slop", "slots", "first", F.inline("words")).select(
-        *_CLAUSE, "field", "slop", "slots", (F.col("pos") - F.col("first")).alias("slot"), "term"
+    ).withColumn("repeats", F.size(F.array_distinct("words.term")) < F.col("slots"))
+    return per_phrase.select(*_CLAUSE, "field", "slop", "slots", "first", "repeats", F.inline("words")).select(
+        *_CLAUSE, "field", "slop", "slots", "repeats", (F.col("pos") - F.col("first")).alias("slot"), "term"
     )
 
 
@@ -189,15 +201,26 @@ def _term_hits(
     if "terms" not in kinds:
         return matches.groupBy(*clause, *DOC).agg(total.alias("contrib"))
     if many_fields:
-        # A query word found in several fields is one matched word.
-        per_unit = matches.groupBy(*clause, "unit", "mult", *DOC).agg(total.alias("contrib"))
+        # A query word found in several fields is one matched word; where every word is required, some field must hold
+        # all terms that it makes of the word.
+        per_unit = (
+            matches.groupBy(*clause, "unit", "mult", "constant", "field", "parts", *DOC)
+            .agg(total.alias("in_field"), F.count("*").alias("found"))
+            .groupBy(*clause, "unit", "mult", "constant", *DOC)
+            .agg(
+                F.when(F.col("constant"), F.max("in_field")).otherwise(F.sum("in_field")).alias("contrib"),
+                F.max(F.col("found") >= F.col("parts")).alias("whole"),
+            )
+        )
         per_clause = per_unit.groupBy(*clause, *DOC).agg(
-            F.sum("contrib").alias("contrib"), F.sum("mult").alias("matched")
+            F.sum("contrib").alias("contrib"), F.sum("mult").alias("matched"),
+            F.sum(F.when(F.col("whole"), F.col("mult")).otherwise(0)).alias("complete"),
         )
     else:
         per_clause = matches.groupBy(*clause, *DOC).agg(total.alias("contrib"), F.sum("mult").alias("matched"))
+        per_clause = per_clause.withColumn("complete", F.col("matched"))
     inner = F.when(F.col("units") > 0, scoring.coord(F.col("matched"), F.col("units"))).otherwise(F.lit(1.0))
-    return per_clause.filter("matched >= required").select(*clause, *DOC, (F.col("contrib") * inner).alias("contrib"))
+    return per_clause.filter("complete >= required").select(*clause, *DOC, (F.col("contrib") * inner).alias("contrib"))
 
 
 def _phrase_hits(index: TextIndex, phrases: DataFrame, clause: Sequence[str], max_slop: int) -> DataFrame:
@@ -205,10 +228,11 @@ def _phrase_hits(index: TextIndex, phrases: DataFrame, clause: Sequence[str], ma
     matches = (
         index.postings.select("field", "term", "doc_id", "length", "positions", "shard", "batch", "bucket")
         .join(phrases, ["bucket", "field", "term"])
-        .select(*clause, *DOC, scale.alias("scale"), "slots", "slop", "slot", "positions")
+        .select(*clause, "field", *DOC, scale.alias("scale"), "slots", "slop", "repeats", "slot", "positions")
     )
-    found = phrase_freq(matches, [*clause, *DOC, "scale"], max_slop)
-    return found.select(*clause, *DOC, (F.col("scale") * scoring.tf(F.col("freq"))).alias("contrib"))
+    found = phrase_freq(matches, [*clause, "field", *DOC, "scale"], max_slop)
+    # A document with the phrase in several fields is one match of the clause.
+    return found.groupBy(*clause, *DOC).agg(F.sum(F.col("scale") * scoring.tf(F.col("freq"))).alias("contrib"))
 
 
 def score_clauses(
@@ -248,13 +272,14 @@ def score_clauses(
         words = cut(words.withColumn("bucket", index.layout.bucket(F.col("field"), F.col("term"))))
         words_small = fits_broadcast(words)
         phrases = cut(_with_idf(index, words, words_small))
-        idf_sum = phrases.groupBy(*_CLAUSE).agg(F.sum("idf").alias("idf_sum"))
+        # Each field has a phrase of its own.
+        idf_sum = phrases.groupBy(*_CLAUSE, "field").agg(F.sum("idf").alias("idf_sum"))
         sums.append(
-            idf_sum.select(
-                *_CLAUSE, F.pow("idf_sum", F.lit(2)).alias("weight_sq"), F.lit(0).cast("long").alias("units")
+            idf_sum.groupBy(*_CLAUSE).agg(
+                F.sum(F.pow("idf_sum", F.lit(2))).alias("weight_sq"), F.lit(0).cast("long").alias("units")
             )
         )
-        phrases = phrases.join(idf_sum, list(_CLAUSE))
+        phrases = phrases.join(idf_sum, [*_CLAUSE, "field"])
     context = _context(clauses, sums[0] if len(sums) == 1 else sums[0].unionByName(sums[1]))
 
     hits = []
@@ -262,13 +287,13 @@ def score_clauses(
         weight = F.when(F.col("constant"), F.col("boost")).otherwise(
             F.pow("idf", F.lit(2)) * F.col("boost") * F.col("mult")
         )
-        needed = ("bucket", "field", "term", "unit", "mult", "constant")
+        needed = ("bucket", "field", "term", "unit", "mult", "parts", "constant")
         scaled = weighted.join(context, list(_CLAUSE)).select(
             *clause, *needed, (weight * F.col("query_norm")).alias("weight")
         )
         hits.append(_term_hits(index, _build_side(scaled, terms_small), term_kinds, clause, many_fields))
     if phrases is not None:
-        needed = ("bucket", "field", "term", "slot", "slots", "slop")
+        needed = ("bucket", "field", "term", "slot", "slots", "slop", "repeats")
         scaled = phrases.join(context, list(_CLAUSE)).select(
             *clause, *needed, (F.pow("idf_sum", F.lit(2)) * F.col("query_norm")).alias("weight")
         )

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from findery.plans.index import TextIndex
 from findery.plans.store import IndexStore
+from findery.runtime import cut
 
 
 def standing_search(
@@ -22,11 +24,14 @@ def standing_search(
     """Answer each micro-batch of ``queries`` against one snapshot of an index.
 
     The answers of a micro-batch go to ``output/answered=<batch>``; a repeated batch overwrites its own
-    folder, so replays leave no duplicates.
+    folder, so replays leave no duplicates. A query without hits is answered by one row with ``total_hits`` 0.
     """
 
     def answer(batch: DataFrame, batch_id: int) -> None:
-        search(index, batch).write.mode("overwrite").parquet(f"{output}/answered={batch_id}")
+        found = cut(search(index, batch))
+        silent = batch.select("query_id").distinct().join(found.select("query_id").distinct(), "query_id", "left_anti")
+        silent = silent.withColumn("total_hits", F.lit(0).cast("long"))
+        found.unionByName(silent, allowMissingColumns=True).write.mode("overwrite").parquet(f"{output}/answered={batch_id}")
 
     return (
         queries.writeStream.foreachBatch(answer)

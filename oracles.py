@@ -41,27 +41,46 @@ def ranked(scored: str, k: int = TOP) -> str:
             CAST(count(*) OVER (PARTITION BY query_id) AS BIGINT) AS total_hits FROM {scored}) WHERE rank <= {k}"""
 
 
+def blank_words(relation: str, keys: str) -> str:
+    """Rows (keys, pos, word) of the blank-separated words."""
+    return f"""SELECT {keys}, generate_subscripts(w, 1) - 1 AS pos, unnest(w) AS word
+        FROM (SELECT {keys}, regexp_extract_all(text, '\\S+') AS w FROM {relation})"""
+
+
+def words_of_blanks(relation: str, keys: str, pattern: str = WORD) -> str:
+    """Rows (keys, pos, term): the terms of each blank-separated word, all with that word's place."""
+    return f"""SELECT {keys}, pos, unnest(regexp_extract_all(lower(word), '{pattern}')) AS term
+        FROM ({blank_words(relation, keys)})"""
+
+
 def keyword_ctes(queries: str, fields: list[str], and_: bool = False, query_tokens: str | None = None) -> str:
-    """Clause ``terms`` over fields: tables qunit(query_id, unit, m), qterm(…, field, term, idf) and kw(query_id, doc_id, score parts)."""
+    """Clause ``terms`` over fields: tables qunit(query_id, unit, m), qterm(…, field, term, idf) and kw(query_id, doc_id, score parts).
+
+    Over several fields a unit is a blank-separated word; with AND some field must hold all terms it makes of the word.
+    """
     names = ", ".join(f"'{f}'" for f in fields)
-    tokens = query_tokens or f"""SELECT query_id, pos, field, term FROM ({words('queries', 'query_id')})
-        CROSS JOIN (SELECT unnest([{names}]) AS field)"""
-    needed = "units.total" if and_ else "1"
+    split = words("queries", "query_id") if len(fields) == 1 else words_of_blanks("queries", "query_id")
+    tokens = query_tokens or f"SELECT query_id, pos, field, term FROM ({split}) CROSS JOIN (SELECT unnest([{names}]) AS field)"
+    needed = "units.total" if and_ else "0"
     return f"""queries AS ({queries}),
-    qtok AS MATERIALIZED ({tokens}),
-    qword AS (SELECT query_id, pos, list(field || ' ' || term ORDER BY field) AS word FROM qtok GROUP BY ALL),
+    qtok AS MATERIALIZED (SELECT DISTINCT query_id, pos, field, term FROM ({tokens})),
+    qword AS (SELECT query_id, pos, list(field || ' ' || term ORDER BY field, term) AS word FROM qtok GROUP BY ALL),
     qunit AS MATERIALIZED (SELECT query_id, word, min(pos) AS unit, count(*) AS m FROM qword GROUP BY ALL),
     units AS MATERIALIZED (SELECT query_id, sum(m) AS total FROM qunit GROUP BY ALL),
-    qterm AS MATERIALIZED (SELECT u.query_id, u.unit, u.m, t.field, t.term, {IDF} AS idf
+    qterm AS MATERIALIZED (SELECT u.query_id, u.unit, u.m, t.field, t.term, {IDF} AS idf,
+            count(*) OVER (PARTITION BY u.query_id, u.unit, t.field) AS parts
         FROM qunit u JOIN qtok t ON t.query_id = u.query_id AND t.pos = u.unit
         LEFT JOIN stats s ON s.field = t.field AND s.term = t.term),
     qsum AS MATERIALIZED (SELECT query_id, sum(m * idf * idf) AS squares FROM qterm GROUP BY ALL),
-    byunit AS MATERIALIZED (SELECT q.query_id, q.unit, q.m, p.doc_id, sum(q.m * q.idf * q.idf * sqrt(p.tf) / sqrt(l.n)) AS part
+    byfield AS MATERIALIZED (SELECT q.query_id, q.unit, q.m, p.doc_id, q.field, count(*) = any_value(q.parts) AS whole,
+            sum(q.m * q.idf * q.idf * sqrt(p.tf) / sqrt(l.n)) AS part
         FROM qterm q JOIN post p ON p.field = q.field AND p.term = q.term
         JOIN lens l ON l.field = p.field AND l.doc_id = p.doc_id GROUP BY ALL),
+    byunit AS MATERIALIZED (SELECT query_id, unit, m, doc_id, sum(part) AS part, bool_or(whole) AS whole FROM byfield
+        GROUP BY query_id, unit, m, doc_id),
     kw AS MATERIALIZED (SELECT b.query_id, b.doc_id, sum(part) * sum(b.m) / any_value(units.total) AS part
         FROM byunit b JOIN units ON units.query_id = b.query_id
-        GROUP BY b.query_id, b.doc_id, units.total HAVING sum(b.m) >= {needed})"""
+        GROUP BY b.query_id, b.doc_id, units.total HAVING coalesce(sum(b.m) FILTER (WHERE whole), 0) >= {needed})"""
 
 
 KEYWORD_SCORED = """(SELECT kw.query_id, doc_id, round(part / sqrt(squares), 6) AS score
@@ -108,6 +127,7 @@ def phrase_ctes(size: int, slop: int) -> str:
     for i in range(1, size):
         joins.append(
             f"JOIN tok p{i} ON p{i}.doc_id = p0.doc_id AND p{i}.term = q.t{i} AND p{i}.pos - {i} BETWEEN p0.pos - {slop} AND p0.pos + {slop}"
+            + "".join(f" AND p{i}.pos <> p{j}.pos" for j in range(i))
         )
         adjusted.append(f"p{i}.pos - {i}")
     spread = f"greatest({', '.join(adjusted)}) - least({', '.join(adjusted)})"
@@ -139,21 +159,38 @@ _TOP3 = f"WITH {TEXT_INDEX}, {keyword_ctes(BENCHMARK, ['text'])} {ranked(KEYWORD
 _SOURCE_TOKENS = f"""SELECT doc_id, field, pos, term FROM ({words("(SELECT * FROM texts WHERE field <> 'source')", 'doc_id, field')})
         WHERE NOT (field = 'text' AND list_contains({_STOP}, term))
     UNION ALL SELECT doc_id, field, 0, text FROM texts WHERE field = 'source'"""
-_PER_FIELD_QUERY_TOKENS = f"""SELECT query_id, pos, field, term FROM ({words('queries', 'query_id')})
+_PER_FIELD_QUERY_TOKENS = f"""SELECT query_id, pos, field, term FROM ({words_of_blanks('queries', 'query_id')})
         CROSS JOIN (SELECT unnest(['text', 'lang']) AS field) WHERE NOT (field = 'text' AND list_contains({_STOP}, term))
-    UNION ALL SELECT query_id, 0, 'source', text FROM queries"""
-_PER_FIELD_QUERIES = f"""{BENCHMARK} UNION ALL
+    UNION ALL SELECT query_id, pos, 'source', word FROM ({blank_words('queries', 'query_id')})"""
+_PER_FIELD_QUERIES = f"""SELECT item_id AS query_id, text || ' fr src' || CAST(item_id % 20 AS VARCHAR) AS text FROM benchmark UNION ALL
     SELECT item_id + 100000, 'src' || CAST(item_id % 20 AS VARCHAR) FROM benchmark"""
+_PER_FIELD_AND = f"""SELECT query_id, text || ' src' || CAST(query_id % 20 AS VARCHAR) AS text FROM ({windows(2)})"""
+_PER_FIELD_INDEX = index_ctes(long_form("documents", "doc_id", DOC_FIELDS), "documents", tokens=_SOURCE_TOKENS)
 
 _ORDERS = "SELECT o_orderkey, o_orderstatus, o_orderpriority, o_totalprice FROM orders"
 _PARTS_TEXT = """SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type, CAST(p_size AS VARCHAR) AS p_size,
     CAST(p_retailprice AS VARCHAR) AS p_retailprice, (SELECT count(*) + 1 FROM part) AS written FROM part"""
 
-_BOOL_FIRST = "SELECT item_id AS query_id, regexp_extract_all(lower(text), '[a-z0-9]+')[1] AS text, regexp_extract_all(lower(text), '[a-z0-9]+')[2] AS next FROM benchmark"
+_BOOL_FIRST = "SELECT item_id AS query_id, regexp_extract_all(lower(text), '[a-z0-9]+')[1] AS text, regexp_extract_all(lower(text), '[a-z0-9]+')[2] AS next, regexp_extract_all(lower(text), '[a-z0-9]+')[3] AS last FROM benchmark"
 _NAMES = ", ".join(f"'{f}'" for f in DOC_FIELDS)
-_BOOL_TOKENS = f"""SELECT query_id, pos, field, term FROM ({words('queries', 'query_id', pattern=ASCII)})
+_BOOL_TOKENS = f"""SELECT query_id, pos, field, term FROM ({words_of_blanks('queries', 'query_id', pattern=ASCII)})
         CROSS JOIN (SELECT unnest([{_NAMES}]) AS field)"""
 
+
+
+def _bool_phrase(name: str, one: str, two: str) -> str:
+    """A phrase of two words of first_word in any field, without slop: tables {name}_sum(query_id, squares), {name}_hits."""
+    idf = "(SELECT {} FROM (SELECT max(df) AS df FROM stats WHERE stats.field = f.field AND term = w.{}))"
+    return f"""{name}_field AS MATERIALIZED (SELECT query_id, f.field, w.{one} AS one, w.{two} AS two, {idf.format(IDF, one)} + {idf.format(IDF, two)} AS idf
+            FROM first_word w CROSS JOIN (SELECT unnest([{_NAMES}]) AS field) f),
+        {name}_sum AS MATERIALIZED (SELECT query_id, sum(idf * idf) AS squares FROM {name}_field GROUP BY ALL),
+        {name}_freq AS (SELECT query_id, p.field, a.doc_id, any_value(idf) AS idf, count(*) AS freq FROM {name}_field p
+            JOIN tok a ON a.field = p.field AND a.term = one JOIN tok b ON b.field = p.field AND b.doc_id = a.doc_id AND b.term = two AND b.pos = a.pos + 1
+            GROUP BY query_id, p.field, a.doc_id),
+        {name}_hits AS MATERIALIZED (SELECT query_id, f.doc_id, sum(idf * idf * sqrt(freq) / sqrt(n)) AS part FROM {name}_freq f
+            JOIN lens l ON l.field = f.field AND l.doc_id = f.doc_id GROUP BY query_id, f.doc_id)"""
+
+
 SQL = {
     "tokens": words("documents", "doc_id"),
     "tokens_nostop": f"SELECT * FROM ({words('documents', 'doc_id')}) WHERE NOT list_contains({_STOP}, term)",
@@ -187,7 +224,7 @@ SQL = {
             CAST(sum(n) AS BIGINT) AS postings, CAST(sum(t) AS BIGINT) AS tokens FROM (
             SELECT term, count(DISTINCT doc_id) AS n, count(*) AS t
             FROM ({words(f'(SELECT * FROM documents WHERE {c})', 'doc_id')}) GROUP BY term)"""
-        for v, c in (("first", "lang <> 'en'"), ("last", "true"))),
+        for v, c in (("first", "lang <> 'en'"), ("last", "true"), ("compacted", "true"))),
     "index_upsert": f"""WITH {_AFTER_UPSERT}, {_CURRENT_INDEX}
         {_STATS}, (SELECT docs FROM corpus) AS docs FROM post GROUP BY field, term""",
     "search_after_upsert": f"""WITH {_AFTER_UPSERT}, {_CURRENT_INDEX},
@@ -206,8 +243,10 @@ SQL = {
     "search_parts": f"""WITH {index_ctes(long_form('part', 'p_partkey', ['p_name', 'p_brand', 'p_type']), 'part')},
         {keyword_ctes("SELECT min(p_partkey) AS query_id, p_name || ' ' || p_type AS text FROM part GROUP BY p_name, p_type", ['p_name', 'p_brand', 'p_type'])}
         {ranked(KEYWORD_SCORED)}""",
-    "search_per_field": f"""WITH {index_ctes(long_form('documents', 'doc_id', DOC_FIELDS), 'documents', tokens=_SOURCE_TOKENS)},
+    "search_per_field": f"""WITH {_PER_FIELD_INDEX},
         {keyword_ctes(_PER_FIELD_QUERIES, DOC_FIELDS, query_tokens=_PER_FIELD_QUERY_TOKENS)} {ranked(KEYWORD_SCORED)}""",
+    "search_per_field_and": f"""WITH {_PER_FIELD_INDEX},
+        {keyword_ctes(_PER_FIELD_AND, DOC_FIELDS, True, _PER_FIELD_QUERY_TOKENS)} {ranked(KEYWORD_SCORED)}""",
     "search_term": f"""WITH {TEXT_INDEX}, queries AS ({BENCHMARK_WORDS}) {ranked(f'''(SELECT query_id, p.doc_id,
         round(({IDF}) * sqrt(tf) / sqrt(n), 6) AS score FROM queries q JOIN stats s ON s.term = q.text
         JOIN post p ON p.term = q.text JOIN lens l ON l.doc_id = p.doc_id)''')}""",
@@ -238,9 +277,10 @@ SQL = {
         near AS MATERIALIZED ({fuzzy_pairs('first_word')}),
         fz AS MATERIALIZED (SELECT query_id, term, {IDF} AS idf, boost FROM near),
         fsum AS (SELECT query_id, sum(idf * boost * idf * boost) AS squares FROM fz GROUP BY ALL),
-        norm AS MATERIALIZED (SELECT f.query_id, 1 / sqrt(coalesce(q.squares, 0) + t.idf * t.idf + 1 + 1 + coalesce(z.squares, 0)) AS qn
+        {_bool_phrase('pair', 'next', 'last')},
+        norm AS MATERIALIZED (SELECT f.query_id, 1 / sqrt(coalesce(q.squares, 0) + t.idf * t.idf + 1 + 1 + coalesce(z.squares, 0) + coalesce(y.squares, 0)) AS qn
             FROM first_word f LEFT JOIN qsum q ON q.query_id = f.query_id JOIN tw t ON t.query_id = f.query_id
-            LEFT JOIN fsum z ON z.query_id = f.query_id),
+            LEFT JOIN fsum z ON z.query_id = f.query_id LEFT JOIN pair_sum y ON y.query_id = f.query_id),
         parts AS (
             SELECT 1 AS clause, query_id, doc_id, part FROM kw
             UNION ALL SELECT 2, query_id, p.doc_id, idf * idf * sqrt(tf) / sqrt(n) FROM tw
@@ -249,19 +289,28 @@ SQL = {
             UNION ALL SELECT DISTINCT 4, query_id, doc_id, 1.0 FROM first_word JOIN post ON field = 'text' AND starts_with(term, left(text, 3))
             UNION ALL SELECT 5, query_id, p.doc_id, sum(idf * idf * boost * sqrt(tf) / sqrt(n)) FROM fz
                 JOIN post p ON p.field = 'text' AND p.term = fz.term JOIN lens l ON l.field = 'text' AND l.doc_id = p.doc_id
-                GROUP BY query_id, p.doc_id),
+                GROUP BY query_id, p.doc_id
+            UNION ALL SELECT 8, query_id, doc_id, part FROM pair_hits),
         banned AS (SELECT query_id, doc_id FROM first_word CROSS JOIN documents WHERE lang = 'fr'
             UNION SELECT query_id, a.doc_id FROM first_word JOIN tok a ON a.field = 'text' AND a.term = text
                 JOIN tok b ON b.field = 'text' AND b.doc_id = a.doc_id AND b.term = next AND abs(b.pos - 1 - a.pos) <= 1),
-        scored AS (SELECT p.query_id, p.doc_id, round(any_value(qn) * sum(part) * count(*) / 5, 6) AS score
+        scored AS (SELECT p.query_id, p.doc_id, round(any_value(qn) * sum(part) * count(*) / 6, 6) AS score
             FROM parts p JOIN norm ON norm.query_id = p.query_id ANTI JOIN banned b ON b.query_id = p.query_id AND b.doc_id = p.doc_id
             GROUP BY p.query_id, p.doc_id HAVING count(*) FILTER (WHERE clause = 4) = 1)
         {ranked('scored')}""",
+    "search_boolean_phrase": f"""WITH {_ASCII_FIELDS_INDEX}, first_word AS MATERIALIZED ({_BOOL_FIRST}),
+        {_bool_phrase('pair', 'text', 'next')}, {_bool_phrase('other', 'next', 'last')},
+        scored AS (SELECT p.query_id, p.doc_id,
+                round((p.part + coalesce(o.part, 0)) / sqrt(a.squares + b.squares) * (CASE WHEN o.part IS NULL THEN 1 ELSE 2 END) / 2, 6) AS score
+            FROM pair_hits p JOIN pair_sum a ON a.query_id = p.query_id JOIN other_sum b ON b.query_id = p.query_id
+            LEFT JOIN other_hits o ON o.query_id = p.query_id AND o.doc_id = p.doc_id)
+        {ranked('scored')}""",
     "hits_hydrated": f"""SELECT query_id, rank, score, t.doc_id, lang || source || text AS shown
         FROM ({_TOP3}) t JOIN documents d ON d.doc_id = t.doc_id""",
     "bind_model": """SELECT o_orderkey AS "O_OrderKey", o_orderstatus AS "O_OrderStatus", o_orderpriority AS "O_OrderPriority",
         o_totalprice AS "O_TotalPrice", CAST(NULL AS VARCHAR) AS "O_Clerk", CAST(0 AS INTEGER) AS "O_Lines" FROM orders""",
-    "bind_rejects": """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, 'o_orderstatus' AS bad_fields FROM orders""",
+    "bind_rejects": """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus
+        ELSE CAST(o_orderkey % 7 AS VARCHAR) END AS o_orderstatus, CASE WHEN o_orderkey % 3 = 0 THEN 'o_orderstatus' ELSE '' END AS bad_fields FROM orders""",
     "role_projection": """SELECT CAST(o_orderkey AS VARCHAR) AS "O_OrderKey", o_orderstatus AS "O_OrderStatus",
         o_orderpriority AS "O_OrderPriority" FROM orders""",
     "field_rows": """SELECT o_orderkey AS "O_OrderKey", 'O_OrderStatus' AS field, o_orderstatus AS text FROM orders
@@ -272,9 +321,10 @@ SQL = {
         UNION ALL SELECT CAST(s_suppkey AS INTEGER), s_name FROM supplier""",
     "export_text": _PARTS_TEXT,
     "workbook_tables": _PARTS_TEXT,
-    "stream_search": _TOP3,
-    "stream_upsert": f"""WITH {_AFTER_UPSERT}, {_CURRENT_INDEX}
-        {_STATS}, (SELECT docs FROM corpus) AS docs FROM post GROUP BY field, term""",
+    "workbook_no_header": """SELECT CAST(p_partkey AS VARCHAR) AS _c0, p_name AS _c1, p_brand AS _c2 FROM part""",
+    "stream_search": f"""SELECT * FROM ({_TOP3}) UNION ALL SELECT -item_id - 1, NULL, NULL, NULL, 0 FROM benchmark""",
+    **dict.fromkeys(("stream_upsert", "upsert_out_of_order"), f"""WITH {_AFTER_UPSERT}, {_CURRENT_INDEX}
+        {_STATS}, (SELECT docs FROM corpus) AS docs FROM post GROUP BY field, term"""),
 }
 
 # Han runs: every word of the mapped text split where the script changes.

@@ -201,13 +201,14 @@ def index_snapshot(spark, folder):
     store = fy.IndexStore(spark, _folder(spark, "snapshot"))
     first = store.replace(docs.filter("lang <> 'en'"), "doc_id", ["text"])
     last = store.replace(docs, "doc_id", ["text"])
+    compacted = store.compact()
     frames = []
-    for name, version in (("first", first), ("last", last)):
+    for name, version in (("first", first), ("last", last), ("compacted", compacted)):
         index = store.open(version)
         frames.append(index.term_stats().agg(F.count("*").alias("terms"), F.sum("df").alias("postings"),
                                              F.sum("total_tf").alias("tokens"))
                       .select(F.lit(name).alias("version"), F.lit(index.doc_count).cast("long").alias("docs"), "*"))
-    return frames[0].union(frames[1])
+    return frames[0].union(frames[1]).union(frames[2])
 
 
 def _updates(spark, folder):
@@ -286,9 +287,19 @@ def search_parts(spark, folder):
 def search_per_field(spark, folder):
     index = _store(spark, folder, "per_field", "documents", "doc_id", ["text", "source", "lang"], analyzers=_per_field_analyzers())
     queries = _benchmark(spark, folder)
-    sources = queries.select((F.col("query_id") + 100_000).alias("query_id"),
-                             F.concat(F.lit("src"), (F.col("query_id") % 20).cast("string")).alias("text"))
-    return _ranked(fy.search_keywords(index, queries.unionByName(sources), TOP))
+    source = F.concat(F.lit("src"), (F.col("query_id") % 20).cast("string"))
+    sources = queries.select((F.col("query_id") + 100_000).alias("query_id"), source.alias("text"))
+    mixed = queries.withColumn("text", F.concat("text", F.lit(" fr "), source))
+    return _ranked(fy.search_keywords(index, mixed.unionByName(sources), TOP))
+
+
+def search_per_field_and(spark, folder):
+    """Pairs of words and a source, all required, over fields with analyzers of their own (one of them by pairs)."""
+    analyzers = {**_per_field_analyzers(), "lang": an.han_bigrams}
+    index = _store(spark, folder, "per_field_pairs", "documents", "doc_id", ["text", "source", "lang"], analyzers=analyzers)
+    source = F.concat(F.lit(" src"), (F.col("query_id") % 20).cast("string"))
+    queries = _word_windows(spark, folder, 2).withColumn("text", F.concat("text", source))
+    return _ranked(fy.search_keywords(index, queries, TOP, operator="and"))
 
 
 def search_term(spark, folder):
@@ -341,7 +352,8 @@ def _clause(queries, clause_id, kind, field, text, occur, slop=0):
 
 def search_boolean(spark, folder):
     """Per benchmark text: its words in any field, its first word as term, wildcard, prefix and near
-    match, in documents that are not English and lack its first two words as a phrase."""
+    match, its second and third as a phrase in any field, in documents that are not French and lack its
+    first two words as a phrase."""
     queries = _benchmark(spark, folder).withColumn("w", _ascii_words(F.col("text")))
     first = F.get("w", F.lit(0))
     clauses = [
@@ -352,7 +364,12 @@ def search_boolean(spark, folder):
         _clause(queries, 5, "fuzzy", "text", first, "should"),
         _clause(queries, 6, "term", "lang", F.lit("fr"), "must_not"),
         _clause(queries, 7, "phrase", "text", F.array_join(F.slice("w", 1, 2), " "), "must_not", 1),
+        _clause(queries, 8, "phrase", None, F.array_join(F.slice("w", 2, 2), " "), "should"),
     ]
+    return _search_clauses(spark, folder, clauses)
+
+
+def _search_clauses(spark, folder, clauses):
     table = clauses[0]
     for clause in clauses[1:]:
         table = table.unionByName(clause)
@@ -360,6 +377,16 @@ def search_boolean(spark, folder):
     return _ranked(fy.search_boolean(index, table, TOP))
 
 
+def search_boolean_phrase(spark, folder):
+    """Per benchmark text: its first two words as a phrase in any field, required, and the next pair, which adds to the score."""
+    queries = _benchmark(spark, folder).withColumn("w", _ascii_words(F.col("text")))
+    clauses = [
+        _clause(queries, 1, "phrase", None, F.array_join(F.slice("w", 1, 2), " "), "must"),
+        _clause(queries, 2, "phrase", None, F.array_join(F.slice("w", 2, 2), " "), "should"),
+    ]
+    return _search_clauses(spark, folder, clauses)
+
+
 def hits_hydrated(spark, folder):
     index = _documents(spark, folder)
     top = fy.search_keywords(index, _benchmark(spark, folder), TOP, fields="text")
@@ -380,7 +407,7 @@ ORDER = T.StructType([
 
 
 def _order_texts(spark, folder):
-    orders = _read(spark, folder, "orders").drop("o_orderdate")
+    orders = _read(spark, folder, "orders")
     return orders.select(*[F.col(c).cast("string").alias(c) for c in orders.columns])
 
 
@@ -389,9 +416,11 @@ def bind_model(spark, folder):
 
 
 def bind_rejects(spark, folder):
-    """Permissive binding: order statuses bound to a number are all rejected."""
-    wrong = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_orderstatus", T.IntegerType())])
-    good, bad = bd.bind_permissive(_order_texts(spark, folder), wrong)
+    """Permissive binding to a number: every third order has its letter as status and is rejected, the others a digit."""
+    target = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_orderstatus", T.IntegerType())])
+    key = F.col("o_orderkey").cast("long")
+    status = F.when(key % 3 == 0, F.col("o_orderstatus")).otherwise((key % 7).cast("string"))
+    good, bad = bd.bind_permissive(_order_texts(spark, folder).withColumn("o_orderstatus", status), target)
     return bad.select("o_orderkey", "o_orderstatus", F.array_join("bad_fields", ",").alias("bad_fields")).unionByName(
         good.select(F.col("o_orderkey").cast("string"), F.col("o_orderstatus").cast("string"), F.lit("").alias("bad_fields"))
     )
@@ -437,13 +466,22 @@ def workbook_tables(spark, folder):
     return tb.read_workbooks(spark, path, sheet="Parts").withColumn("written", F.lit(written).cast("long"))
 
 
+def workbook_no_header(spark, folder):
+    """Part keys, names and brands written as workbooks and read as sheets without a header, less the names' rows."""
+    path = _folder(spark, "plain-workbooks")
+    parts = _read(spark, folder, "part").select("p_partkey", "p_name", "p_brand")
+    tb.export_workbooks(parts.repartition(2, "p_partkey"), path, sheet="Parts")
+    return tb.read_workbooks(spark, path, sheet="Parts", header=False).filter("_c0 <> 'p_partkey'")
+
+
 # -- streams ------------------------------------------------------------------------------------
 
 
 def stream_search(spark, folder):
     schema = _read(spark, folder, "benchmark").schema
     arriving = spark.readStream.schema(schema).parquet(f"{folder}/benchmark.parquet*")
-    queries = arriving.select(F.col("item_id").alias("query_id"), "text")
+    wordless = F.struct((-F.col("item_id") - 1).alias("query_id"), F.regexp_replace("text", f"{an.WORD_CHAR}+", "--").alias("text"))
+    queries = arriving.select(F.inline(F.array(F.struct(F.col("item_id").alias("query_id"), "text"), wordless)))
     output = _folder(spark, "answers")
     run = standing_search(
         queries, _documents(spark, folder), lambda index, batch: fy.search_keywords(index, batch, TOP, fields="text"),
@@ -453,15 +491,25 @@ def stream_search(spark, folder):
     return _ranked(spark.read.parquet(output))
 
 
+def upsert_out_of_order(spark, folder):
+    """The second changes arrive before the first ones, which then change nothing."""
+    store = fy.IndexStore(spark, _folder(spark, "out-of-order"))
+    store.replace(_read(spark, folder, "documents"), "doc_id", ["text"])
+    for seq in (2, 1):
+        store.upsert(_updates(spark, folder).filter(F.col("seq") == seq), "seq")
+    index = store.open()
+    return index.term_stats().withColumn("docs", F.lit(index.doc_count).cast("long"))
+
+
 def stream_upsert(spark, folder):
-    """Label changes arrive file by file and replace documents of an index."""
+    """Label changes, first and second ones, arrive file by file and replace documents of an index."""
     changes = _folder(spark, "changes")
     updates = _updates(spark, folder)
     updates.repartition(3, "seq", "lang").write.parquet(changes)
     store = fy.IndexStore(spark, _folder(spark, "stream"))
     store.replace(_read(spark, folder, "documents"), "doc_id", ["text"])
     arriving = spark.readStream.schema(updates.schema).option("maxFilesPerTrigger", 1).parquet(changes)
-    run = maintain_index(arriving.filter("seq = 2"), store, "seq", "labels", _folder(spark, "stream-progress"))
+    run = maintain_index(arriving, store, "seq", "labels", _folder(spark, "stream-progress"))
     run.awaitTermination()
     index = store.open()
     return index.term_stats().withColumn("docs", F.lit(index.doc_count).cast("long"))
@@ -471,9 +519,9 @@ NAMES = (
     "tokens tokens_nostop tokens_nostop_table tokens_keep_codes tokens_keep_codes_table segment_han bigrams_han "
     "normalize_queries analyze_per_field token_limit postings term_stats field_norms corpus_size index_append "
     "index_snapshot index_upsert search_after_upsert search_or_top3 search_total_hits search_and search_multifield "
-    "search_multifield_and search_parts search_per_field search_term search_prefix search_wildcard search_fuzzy "
-    "search_phrase search_phrase_slop search_boolean hits_hydrated bind_model bind_rejects role_projection field_rows "
-    "skip_empty positional_union export_text workbook_tables stream_search stream_upsert"
+    "search_multifield_and search_parts search_per_field search_per_field_and search_term search_prefix search_wildcard search_fuzzy "
+    "search_phrase search_phrase_slop search_boolean search_boolean_phrase hits_hydrated bind_model bind_rejects role_projection field_rows "
+    "skip_empty positional_union export_text workbook_tables workbook_no_header stream_search stream_upsert upsert_out_of_order"
 ).split()
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: globals()[name] for name in NAMES}
