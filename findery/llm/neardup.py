@@ -219,6 +219,14 @@ def components(edges: DataFrame) -> DataFrame:
     return current.select(F.col("a").alias("id"), F.col("b").alias("component")).union(roots)
 
 
+def _first_labels(edges: DataFrame) -> DataFrame:
+    """(id, component): the smallest linked id, or that one's smallest. Not yet whole components, but never more than those."""
+    least = edges.select(F.col("b").alias("id"), "a").groupBy("id").agg(F.min("a").alias("component"))
+    further = least.select(F.col("id").alias("component"), F.col("component").alias("further"))
+    jumped = least.join(further, "component", "left").select("id", F.coalesce("further", "component").alias("component"))
+    return jumped.union(edges.select(F.col("a").alias("id")).distinct().join(least, "id", "left_anti").select("id", F.col("id").alias("component")))
+
+
 def _across(members: DataFrame, reps: DataFrame, rows: int, percent: int) -> DataFrame:
     """Plausible pairs (a, b) of different components within a bucket; members (key, band, id, n, component, cnt, top, most).
 
@@ -329,7 +337,7 @@ def near_duplicates(
     )
     stars = stored(_estimated(stars, reps, percent))
     edges = stored(_confirmed(stars, docs, id_col, text_col, size, percent))
-    labels = stored(components(edges))
+    labels = stored(_first_labels(edges))
 
     # Buckets that still hold several components; those of two members have been compared already.
     open_ = stored(members.join(buckets.filter("cnt > 2").select("key", "cnt"), "key"))
@@ -355,10 +363,11 @@ def near_duplicates(
     )
     tries = stored(_estimated(tries, reps, percent))
     edges = stored(edges.union(_confirmed(tries, docs, id_col, text_col, size, percent)))
-    left = divided(stored(components(edges)))
-    pairs = stored(_across(left, reps, rows, percent))
-    more = _confirmed(pairs, docs, id_col, text_col, size, percent)
-    labels = stored(components(edges.union(more)))
+    labels = stored(components(edges))
+    pairs = stored(_across(divided(labels), reps, rows, percent))
+    more = stored(_confirmed(pairs, docs, id_col, text_col, size, percent))
+    if not more.isEmpty():
+        labels = stored(components(labels.select(F.col("component").alias("a"), F.col("id").alias("b")).union(more)))
 
     named = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
         "one", "two", "n", F.coalesce("component", "rep").alias("component")
