@@ -94,7 +94,9 @@ def per_field(field: Column, text: Column, analyzers: Mapping[str, Analyzer], de
     chosen = None
     for name, analyzer in analyzers.items():
         condition = field == name
-        chosen = F.when(condition, analyzer(text)) if chosen is None else chosen.when(condition, analyzer(text))
+        # An analyzer outside the JVM would otherwise get the texts of all fields.
+        tokens = analyzer(F.when(condition, text) if getattr(analyzer, "only_own_rows", False) else text)
+        chosen = F.when(condition, tokens) if chosen is None else chosen.when(condition, tokens)
     return default(text) if chosen is None else chosen.otherwise(default(text))
 
 

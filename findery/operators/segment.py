@@ -7,15 +7,15 @@ token when the dictionary lists them. Matching is greedy from the left, longest
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from findery.functions.analysis import HAN, NON_HAN_WORD_CHAR, WORD_CHAR
-from findery.runtime import broadcast_if_small
+from findery.functions.analysis import HAN, NON_HAN_WORD_CHAR, WORD_CHAR, Analyzer
+from findery.runtime import broadcast_if_small, fits_broadcast
 
 _UNIT = f"((?:{HAN}|{NON_HAN_WORD_CHAR}+)(?:(?!{WORD_CHAR})[\\s\\S])*)"
 _TRAILING = f"(?:(?!{WORD_CHAR})[\\s\\S])+$"
@@ -92,12 +92,35 @@ def segment(
     return _segment_by_join(df, list(keys), text, entries)
 
 
+def segmenting(dictionary: DataFrame, word: str = "word") -> Analyzer:
+    """An analyzer that segments by the dictionary, for indexes and searches alike.
+
+    The dictionary is measured, read and sent to the executors once. One beyond the bounds of a broadcast is refused:
+    segment such texts with :func:`segment` and index its tokens.
+    """
+    entries = _entries(dictionary, word)
+    if entries.limit(MAX_LOOKUP_ENTRIES + 1).count() > MAX_LOOKUP_ENTRIES or not fits_broadcast(entries):
+        raise ValueError("the dictionary is too large to travel with an analyzer")
+    tokens_of = _lookup(entries)
+
+    def analyze(text: Column) -> Column:
+        return tokens_of(F.lower(text))
+
+    analyze.only_own_rows = True
+    return analyze
+
+
 def _segment_in_place(df: DataFrame, keys: list[str], text: str, entries: DataFrame) -> DataFrame:
+    return df.select(*keys, _lookup(entries)(F.lower(F.col(text))).alias("tokens"))
+
+
+def _lookup(entries: DataFrame) -> Callable[[Column], Column]:
+    """Segments lower-cased text in place, an Arrow batch at a time, by a dictionary held by every worker."""
     rows = entries.withColumn("units", units(F.col("entry"))).select("entry", "n", F.slice("units", 1, 2).alias("start")).collect()
     lengths: dict[str, set[int]] = {}
     for row in rows:
         lengths.setdefault(row["start"][0] + _END.sub("", row["start"][1]), set()).add(row["n"])
-    known = df.sparkSession.sparkContext.broadcast(
+    known = entries.sparkSession.sparkContext.broadcast(
         ({row["entry"] for row in rows}, {start: sorted(ns, reverse=True) for start, ns in lengths.items()})
     )
 
@@ -126,7 +149,7 @@ def _segment_in_place(df: DataFrame, keys: list[str], text: str, entries: DataFr
 
         return texts.map(tokens)
 
-    return df.select(*keys, tokens_of(F.lower(F.col(text))).alias("tokens"))
+    return tokens_of
 
 
 def _segment_by_join(df: DataFrame, keys: list[str], text: str, entries: DataFrame) -> DataFrame:

@@ -342,7 +342,9 @@ SQL["bigrams_han"] = f"""WITH {han_runs('doc_id', 'documents')},
     flat AS (SELECT doc_id, run, generate_subscripts(w, 1) AS i, unnest(w) AS term FROM pieces)
     SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY run, i) - 1 AS INTEGER) AS pos, term FROM flat"""
 
-SQL["segment_han"] = f"""WITH RECURSIVE {han_runs('conv_id, turn', 'conversations')},
+def segmented_ctes(keys: str, table: str) -> str:
+    """Table alltok(keys, pos, term): the Han-written texts of a table cut by the benchmark words."""
+    return f"""{han_runs(keys, table)},
     dict AS MATERIALIZED (SELECT DISTINCT translate(term, '{LETTERS}', '{HAN_LETTERS}') AS word
         FROM ({words('benchmark', 'item_id', pattern=ASCII)}) WHERE regexp_full_match(term, '[a-z]+')),
     longest AS (SELECT max(length(word)) AS n FROM dict),
@@ -355,6 +357,18 @@ SQL["segment_han"] = f"""WITH RECURSIVE {han_runs('conv_id, turn', 'conversation
         FROM steps s LEFT JOIN hits h ON h.chars = s.chars AND h.place = s.place WHERE s.place + coalesce(h.n, 1) <= length(s.chars)),
     pieces AS (SELECT s.chars, s.i, substr(s.chars, s.place, coalesce(h.n, 1)) AS term
         FROM steps s LEFT JOIN hits h ON h.chars = s.chars AND h.place = s.place
-        UNION ALL SELECT chars, 0, chars FROM distinct_runs WHERE NOT {_HAN_RUN})
-    SELECT conv_id, turn, CAST(row_number() OVER (PARTITION BY conv_id, turn ORDER BY run, i) - 1 AS INTEGER) AS pos, term
-    FROM runs JOIN pieces USING (chars)"""
+        UNION ALL SELECT chars, 0, chars FROM distinct_runs WHERE NOT {_HAN_RUN}),
+    alltok AS MATERIALIZED (SELECT {keys}, CAST(row_number() OVER (PARTITION BY {keys} ORDER BY run, i) - 1 AS INTEGER) AS pos, term
+        FROM runs JOIN pieces USING (chars))"""
+
+
+SQL["segment_han"] = f"WITH RECURSIVE {segmented_ctes('conv_id, turn', 'conversations')} SELECT conv_id, turn, pos, term FROM alltok"
+
+_BOTH = """(SELECT 'd' AS side, conv_id * 1000 + turn AS id, text FROM conversations
+        UNION ALL SELECT 'q', item_id, text FROM benchmark)"""
+_SEGMENTED_INDEX = index_ctes(
+    "SELECT 1 AS unused", "conversations", tokens="SELECT id AS doc_id, 'text' AS field, pos, term FROM alltok WHERE side = 'd'"
+)
+_SEGMENTED_QUERY = "SELECT id AS query_id, pos, 'text' AS field, term FROM alltok WHERE side = 'q'"
+SQL["search_segmented"] = f"""WITH RECURSIVE {segmented_ctes('side, id', _BOTH)}, {_SEGMENTED_INDEX},
+    {keyword_ctes(BENCHMARK, ['text'], query_tokens=_SEGMENTED_QUERY)} {ranked(KEYWORD_SCORED)}"""

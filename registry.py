@@ -12,7 +12,7 @@ import findery as fy
 from findery.functions import analysis as an
 from findery.operators import binding as bd
 from findery.operators import tokens as tk
-from findery.operators.segment import segment
+from findery.operators.segment import segment, segmenting
 from findery.runtime import shared_folder
 from findery.sources import tables as tb
 from findery.streaming.standing import maintain_index, standing_search
@@ -133,6 +133,19 @@ def segment_han(spark, folder):
     return tk.explode_tokens(found, ["conv_id", "turn"])
 
 
+def search_segmented(spark, folder):
+    """Unspaced text indexed and searched by the same dictionary: the Han-written conversations and benchmark texts."""
+    talks = _read(spark, folder, "conversations").select(
+        (F.col("conv_id") * 1_000 + F.col("turn")).alias("doc_id"), _han(F.col("text")).alias("text")
+    )
+    words = _benchmark(spark, folder).select(F.explode(_ascii_words(F.col("text"))).alias("word"))
+    by_dictionary = segmenting(words.select(_han(F.col("word")).alias("word")))
+    store = fy.IndexStore(spark, _folder(spark, "segmented"), analyzers={"text": by_dictionary})
+    store.replace(talks, "doc_id", ["text"])
+    queries = _benchmark(spark, folder).withColumn("text", _han(F.col("text")))
+    return _ranked(fy.search_keywords(store.open(), queries, TOP, fields="text"))
+
+
 def bigrams_han(spark, folder):
     docs = _read(spark, folder, "documents").select("doc_id", an.han_bigrams(_han(F.col("text"))).alias("tokens"))
     return tk.explode_tokens(docs, ["doc_id"])
@@ -520,7 +533,7 @@ NAMES = (
     "normalize_queries analyze_per_field token_limit postings term_stats field_norms corpus_size index_append "
     "index_snapshot index_upsert search_after_upsert search_or_top3 search_total_hits search_and search_multifield "
     "search_multifield_and search_parts search_per_field search_per_field_and search_term search_prefix search_wildcard search_fuzzy "
-    "search_phrase search_phrase_slop search_boolean search_boolean_phrase hits_hydrated bind_model bind_rejects role_projection field_rows "
+    "search_phrase search_phrase_slop search_boolean search_boolean_phrase search_segmented hits_hydrated bind_model bind_rejects role_projection field_rows "
     "skip_empty positional_union export_text workbook_tables workbook_no_header stream_search stream_upsert upsert_out_of_order"
 ).split()
 
