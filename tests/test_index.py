@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
 import findery as fy
 from conftest import SMALL, hits
 from findery.functions.analysis import words
+from findery.operators import binding as bd
 from findery.plans.index import append, build, upsert
 from findery.streaming.standing import maintain_index, standing_search
 
@@ -165,3 +170,76 @@ def test_maintained_index_equals_batch_and_skips_replays(spark, docs, changes, r
         index = store.open()
         assert (stats(index), index.doc_count) == rebuilt
         assert store.latest_version() == 2
+
+
+_APPEND = """
+import sys
+sys.path.insert(0, sys.argv[1])
+import findery as fy
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", sys.argv[3])
+    .config("spark.sql.warehouse.dir", sys.argv[3]).config("spark.sql.shuffle.partitions", "2").getOrCreate())
+fy.IndexStore(spark, sys.argv[2]).append(spark.createDataFrame([(6, "valve pressure"), (7, "new valve")], "Allid int, Title string"))
+"""
+
+
+def test_batches_of_another_application_are_found(spark, titles, ask, tmp_path):
+    root = str(tmp_path / "i")
+    store = fy.IndexStore(spark, root, shards=2, buckets=2)
+    store.replace(titles, "Allid", ["Title"])
+    store.open()
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", _APPEND, here, root, str(tmp_path / "other")], check=True, capture_output=True, timeout=300)
+    index = store.open()
+    assert index.doc_count == index.documents().count() == 7
+    assert hits(fy.search_keywords(index, ask("valve pressure"), 1))[1][0][0] == 6
+    store.upsert(spark.createDataFrame([(7, "gauge", 1)], "Allid int, Title string, seq int"), "seq")
+    store.compact()
+    index = store.open()
+    assert index.doc_count == index.documents().count() == 7
+    assert not hits(fy.search_keywords(index, ask("new"), 1))
+
+
+def test_compact_refuses_to_lose_documents(spark, titles, tmp_path):
+    store = fy.IndexStore(spark, str(tmp_path / "i"), shards=2)
+    version = store.replace(titles, "Allid", ["Title"])
+    rows = store._version_rows()
+    store._publish(rows, [(rows[0]["batch"], rows[0]["docs"] + 1, False, rows[0]["settings"], None)])
+    with pytest.raises(RuntimeError, match="nothing was published"):
+        store.compact()
+    assert store.latest_version() == version + 1
+
+
+def test_newer_changes_win_in_any_order_and_marks_survive(spark, titles, tmp_path):
+    def change(text, seq):
+        return spark.createDataFrame([(1, text, seq)], "Allid int, Title string, seq int")
+
+    store = fy.IndexStore(spark, str(tmp_path / "i"), shards=2)
+    store.replace(titles, "Allid", ["Title"])
+    store.upsert(change("nine", 9), "seq", stream="feed", stream_batch=4)
+    store.upsert(change("three", 3), "seq")
+    store.compact()
+    store.upsert(change("eight", 8), "seq")
+    version = store.latest_version()
+    assert store.upsert(change("ten", 10), "seq", stream="feed", stream_batch=4) == version
+    text = {r["Allid"]: r["Title"] for r in store.open().documents().collect()}
+    assert text[1] == "nine" and len(text) == 5
+    index = upsert(upsert(build(titles, "Allid", ["Title"]), change("nine", 9), "seq", batch=1), change("three", 3), "seq", batch=2)
+    assert {r["Title"] for r in index.documents().filter("Allid = 1").collect()} == {"nine"} and index.doc_count == 5
+
+
+def test_fields_that_are_indexed_only(spark, ask, tmp_path):
+    rows = spark.createDataFrame([(1, "red valve", "hidden words"), (2, "pump", "more")], "id int, shown string, kept_out string")
+    store = fy.IndexStore(spark, str(tmp_path / "i"), shards=2)
+    store.replace(rows, "id", ["shown", "kept_out"], ["id", "shown"])
+    index = store.open()
+    top = fy.search_keywords(index, ask("hidden"), 3, fields="kept_out")
+    assert [r.asDict() for r in fy.attach_stored(index, top).select("id", "shown").collect()] == [{"id": 1, "shown": "red valve"}]
+    with pytest.raises(ValueError, match="kept_out"):
+        store.compact()
+
+
+def test_indexing_an_unbound_field_fails_early(spark):
+    records = bd.bind(spark.createDataFrame([("1", "x")], "allid string, answer string"), bd.QUESTION)
+    with pytest.raises(ValueError, match="Title"):
+        build(records, "Allid", ["Title"])

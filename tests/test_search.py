@@ -9,6 +9,7 @@ from collections import Counter
 
 import findery as fy
 from conftest import TITLES, hits
+from findery.functions import analysis as an
 from findery.plans.index import build
 from findery.plans.search import total_hits
 
@@ -205,3 +206,40 @@ def test_hits_get_their_stored_fields(title_index, ask):
     assert {(r["query_id"], r["rank"], r["Title"]) for r in rows} == {
         (1, 1, TITLES[0][1]), (1, 2, TITLES[3][1]), (2, 1, TITLES[2][1])
     }
+
+
+def test_phrase_clause_over_all_fields(spark):
+    rows = [(1, "red valve", "red valve"), (2, "red x", "y valve"), (3, "red valve", "valve red"), (4, "a pump", "b pump")]
+    index = build(spark.createDataFrame(rows, "id int, one string, two string"), "id", ["one", "two"])
+
+    def found(occur):
+        clauses = spark.createDataFrame(
+            [(1, 1, "phrase", None, "red valve", occur), (1, 2, "term", "one", "a", "should")],
+            "query_id long, clause_id long, kind string, field string, text string, occur string",
+        )
+        return dict(hits(fy.search_boolean(index, clauses, 10))[1])
+
+    must, should = found("must"), found("should")
+    assert set(must) == {1, 3} and set(should) == {1, 3, 4}
+    # Per field: idf of both words, each in fields of two words; the query norm holds both fields' phrases and the term.
+    idf = lambda df: 1 + math.log(4 / (df + 1))
+    one, two, term = idf(3) + idf(2), idf(2) + idf(3), idf(1)
+    norm = 1 / math.sqrt(one**2 + two**2 + term**2)
+    assert abs(must[3] - round(one**2 / math.sqrt(2) * norm / 2, 6)) < 1e-6
+    assert abs(must[1] - round((one**2 + two**2) / math.sqrt(2) * norm / 2, 6)) < 1e-6
+
+
+def test_a_repeated_phrase_word_needs_two_places(spark, ask):
+    rows = [(1, "one valve here"), (2, "valve to valve"), (3, "valve valve")]
+    index = build(spark.createDataFrame(rows, "id int, text string"), "id", ["text"])
+    assert {d for d, _ in hits(fy.search_phrase(index, ask("valve valve"), "text", 9, slop=2))[1]} == {2, 3}
+    assert {d for d, _ in hits(fy.search_phrase(index, ask("valve valve"), "text", 9))[1]} == {3}
+
+
+def test_a_query_word_is_one_unit_in_unlike_fields(spark, ask):
+    rows = [(1, "valve 锅炉压力", "锅炉压力 valve", "src6"), (2, "pump", "pump", "src6"), (3, "valve", "x", "src7")]
+    table = spark.createDataFrame(rows, "id int, plain string, pairs string, source string")
+    index = build(table, "id", ["plain", "pairs", "source"], analyzers={"pairs": an.han_bigrams, "source": an.whole})
+    both = fy.search_keywords(index, ask("锅炉压力 valve", "valve src6", "压力 valve"), 9, operator="and")
+    assert {q: [d for d, _ in found] for q, found in hits(both).items()} == {1: [1], 2: [1], 3: [1]}
+    assert {d for d, _ in hits(fy.search_keywords(index, ask("valve src6"), 9))[1]} == {1, 2, 3}
