@@ -102,14 +102,24 @@ def wildcard_terms(patterns: DataFrame, terms: DataFrame, *, prefix_only: bool =
     keyed = terms.withColumn("k", F.explode(F.concat(*[_term_anchors(k, w) for k, w in sorted(used)])))
     keyed = keyed.select("*", "k.kind", "k.width", "k.anchor").drop("k")
     small = F.broadcast(anchored) if fits_broadcast(anchored) else anchored
-    matches = (
-        F.col("term").startswith(F.col("pattern"))
-        if prefix_only
-        else F.regexp_like(F.col("term"), pattern_regex(F.col("pattern")))
-    )
+    matches = F.col("term").startswith(F.col("pattern")) if prefix_only else _matches(F.col("term"), F.col("pattern"))
     return keyed.join(small, ["field", "kind", "width", "anchor"]).filter(matches).drop("kind", "width", "anchor")
 
 
+def _matches(term: Column, pattern: Column) -> Column:
+    """Does the term match the pattern? Patterns with ``*`` at their ends only need no regular expression."""
+    core = F.regexp_replace(pattern, r"^\*+|\*+$", "")
+    plain = ~core.contains("*") & ~core.contains("?")
+    open_start, open_end = pattern.startswith("*"), pattern.endswith("*")
+    return (
+        F.when(plain & open_start & open_end, term.contains(core))
+        .when(plain & open_start, term.endswith(core))
+        .when(plain & open_end, term.startswith(core))
+        .when(plain, term == core)
+        .otherwise(F.regexp_like(term, pattern_regex(pattern)))
+    )
+
+
 def _spread(terms: DataFrame) -> DataFrame:
     """Vocabulary rows over all cores: comparing them costs far more than moving them."""
     return terms.repartition(2 * terms.sparkSession.sparkContext.defaultParallelism, "field", "term")

@@ -28,7 +28,7 @@ DOC = ("shard", "batch", "doc_id")
 # The sequence number of the update that a stored row comes from; null if it came by build or append.
 SEQ = "_seq"
 # Text per shard (the work of one task), and per shard and term bucket (one file of postings).
-SHARD_BYTES = 8 * 1024**3
+SHARD_BYTES = 1024**3
 FILE_BYTES = 128 * 1024**2
 MAX_BUCKETS = 64
 
