@@ -134,7 +134,9 @@ def test_from_workbook_to_answer(spark, tmp_path, ask):
     records = bd.bind(tb.read_workbooks(spark, str(tmp_path)), bd.QUESTION)
     schema = records.schema
     store = fy.IndexStore(spark, str(tmp_path / "index"), shards=2)
-    store.replace(records, bd.key_field(schema), bd.indexed_fields(schema), stored=bd.stored_fields(schema))
+    with pytest.raises(ValueError, match="Choosea"):  # an indexed field that no workbook has
+        store.replace(records, bd.key_field(schema), bd.indexed_fields(schema), stored=bd.stored_fields(schema))
+    store.replace(records, bd.key_field(schema), ["Title", "Answer"], stored=bd.stored_fields(schema))
     index = store.open()
     top = fy.search_keywords(index, ask("Valve?"), fields="Title")
     shown = fy.attach_stored(index, top).select(bd.rendered().alias("shown")).collect()
