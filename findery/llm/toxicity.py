@@ -35,8 +35,8 @@ DIM = 8
 PREFIXES = (4, 5)
 WIDTHS = (1, 2, 3)
 FILTERS = 8
-PER_CLASS = 3000
-CALIBRATION = 4000
+PER_CLASS = 2000
+CALIBRATION = 3000
 EPOCHS = 6
 LEAST_STEPS = 800
 BATCH = 32
@@ -241,6 +241,7 @@ def train(
     words = [np.frombuffer(r.words, dtype=np.int32).reshape(-1, 1 + len(PREFIXES)) for r in rows]
     y = np.array([r.label for r in rows], dtype=np.float64)
     part = np.array([r.place & 1 for r in rows], dtype=bool)
+    langs = np.array([r.lang or "" for r in rows], dtype=object)[part]
     if not len(rows) or len(set(y[~part])) < 2 or len(set(y[part])) < 2:
         model = Model(np.zeros((2, DIM), np.float32), [], np.zeros(0), 0.0, constant=float(y.mean()) if len(y) else 0.0)
         model.threshold = 1.0
@@ -248,7 +249,6 @@ def train(
     pick = lambda mask: [w for w, m in zip(words, mask, strict=True) if m]
     model = fit(pick(~part), y[~part], pick(part), y[part])
     scores = _sigmoid(model.slope * _in_slices(model, pick(part)) + model.shift)
-    langs = np.array([r.lang or "" for r in rows], dtype=object)[part]
     model.threshold = _threshold(scores, y[part])
     for lang in set(langs) - {""}:
         own = langs == lang
