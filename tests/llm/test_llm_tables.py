@@ -282,3 +282,18 @@ def test_pipeline_stages(spark):
     assert corpus_pipeline.pack_sequences(spark, docs, SMALL).groupBy("doc_id").count().count() == docs.select("doc_id").distinct().count()
 
 
+
+
+def test_mixer_learns_from_all_pairs(spark):
+    n = (1 << 19) + 1000
+    pairs = spark.range(n, numPartitions=4).select(F.lit(0).alias("state"), F.hex("id").cast("binary").alias("word"))
+    counts = np.zeros((mixer.INPUTS, 1 << mixer.SLOT_BITS, 2), dtype=np.float32)
+    size = sum(len(f"{k:x}") + 1 for k in range(n))
+    assert mixer.learnt(pairs, n, counts).refined[:, :, 0].sum() == 8 * size
+
+
+def test_mixer_states_of_all_classes(spark):
+    rows = [(10 * k + j, f"own{k} is{k}", f"c{k}", False) for k in range(12) for j in range(3)]
+    found = mixer.typical_words(spark.createDataFrame(rows, "doc_id long, text string, class string, held boolean"))
+    state = [{s for s, _ in mixer.runs([f"own{k}".encode(), b"x", b""], found)} for k in range(12)]
+    assert len(set(map(max, state))) == 12 and all(max(s) > 0 for s in state)
