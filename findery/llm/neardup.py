@@ -8,8 +8,8 @@ confirmed on the full sets.
 
 Links are searched without listing the pairs of a group. First every member of a bucket is compared with the smallest
 one, then those outside the bucket's largest component with one of its members, another in each bucket. Only buckets whose
-members are then still in several components are searched on, for pairs across components, in blocks of at most ``BLOCK``
-members; the largest component of a bucket meets the others only, and in buckets of more than ``SMALL`` a pair must also
+members are then still in several components are searched on, for pairs across components, in blocks of two chunks of about
+``BLOCK`` members (chunks are dealt by hash); the largest component of a bucket meets the others only, and in buckets of more than ``SMALL`` a pair must also
 pass an upper bound of its similarity, from 16 bits of every shingle. So components equal those of all links that a band
 can find: with 42 bands of 6, a pair at 0.85 shares none with a probability of 3e-9, one at 0.8 with 3e-6.
 
@@ -227,19 +227,20 @@ def _first_labels(edges: DataFrame) -> DataFrame:
     return jumped.union(edges.select(F.col("a").alias("id")).distinct().join(least, "id", "left_anti").select("id", F.col("id").alias("component")))
 
 
-def _across(members: DataFrame, reps: DataFrame, rows: int, percent: int) -> DataFrame:
-    """Plausible pairs (a, b) of different components within a bucket; members (key, band, id, n, component, cnt, top, most).
+def _placed(members: DataFrame) -> DataFrame:
+    """members (key, band, id, n, component, cnt, top, most) with the blocks (kind, x, y) each is compared in.
 
-    ``top`` is the bucket's largest component and ``most`` its size. A pair is reported by the first band it shares.
+    ``top`` is the bucket's largest component and ``most`` its size. Blocks: 'w' a whole small bucket, 't' a chunk x of the
+    largest component and a chunk y of the others, 'o' the chunks x and y of the others.
     """
     others = F.col("cnt") - F.col("most")
     chunks = lambda n: F.ceil(n / BLOCK).cast("int")
     mine = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
     whole = F.array(F.struct(F.lit("w").alias("kind"), F.lit(0).alias("x"), F.lit(0).alias("y")))
     block = lambda kind, x, y: F.struct(F.lit(kind).alias("kind"), x.alias("x"), y.alias("y"))
-    with_top = F.transform(F.sequence(F.lit(0), chunks(F.col("most")) - 1), lambda c: block("t", c, F.lit(0)))
-    of_top = F.array(block("t", mine(chunks(F.col("most"))), F.lit(0)))
-    own = mine(F.greatest(chunks(others), F.lit(1)))
+    own = mine(F.greatest(chunks(F.when(F.col("component") == F.col("top"), F.col("most")).otherwise(others)), F.lit(1)))
+    with_top = F.transform(F.sequence(F.lit(0), chunks(F.col("most")) - 1), lambda c: block("t", c, F.col("own")))
+    of_top = F.transform(F.sequence(F.lit(0), F.greatest(chunks(others), F.lit(1)) - 1), lambda c: block("t", F.col("own"), c))
     among = F.transform(
         F.sequence(F.lit(0), F.greatest(chunks(others), F.lit(1)) - 1),
         lambda c: block("o", F.least(c, F.col("own")), F.greatest(c, F.col("own"))),
@@ -247,11 +248,15 @@ def _across(members: DataFrame, reps: DataFrame, rows: int, percent: int) -> Dat
     places = (
         F.when(F.col("cnt") <= BLOCK, whole).when(F.col("component") == F.col("top"), of_top).otherwise(F.concat(with_top, among))
     )
-    placed = (
+    return (
         members.withColumn("own", own).withColumn("place", F.explode(places))
-        .select("key", "band", "id", "n", "component", "place.*", "own", "cnt")
+        .select("key", "band", "id", "n", "component", "place.*", "own", (F.col("component") == F.col("top")).alias("of_top"), "cnt")
     )
 
+
+def _across(members: DataFrame, reps: DataFrame, rows: int, percent: int) -> DataFrame:
+    """Plausible pairs (a, b) of different components within a bucket; a pair is reported by the first band it shares."""
+
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         """Whole groups; rows come sorted, and the last group of a batch waits for the next one."""
         rest = None
@@ -275,6 +280,7 @@ def _across(members: DataFrame, reps: DataFrame, rows: int, percent: int) -> Dat
             ids, n, component, own_block = (group.column(c).to_numpy() for c in ("id", "n", "component", "own"))
             band, kind = group.column("band")[0].as_py(), group.column("kind")[0].as_py()
             x, y = group.column("x")[0].as_py(), group.column("y")[0].as_py()
+            of_top = group.column("of_top").to_numpy(zero_copy_only=False)
             codes = _matrix(group.column("registers").combine_chunks())
             bands = codes.reshape(len(codes), -1, rows)
             short = [s and np.frombuffer(s, dtype=np.uint16) for s in group.column("codes").to_pylist()]
@@ -283,7 +289,9 @@ def _across(members: DataFrame, reps: DataFrame, rows: int, percent: int) -> Dat
             for i in range(len(ids) - 1):
                 later = np.arange(i + 1, len(ids))
                 later = later[(component[later] != component[i]) & (100 * np.minimum(n[later], n[i]) >= percent * np.maximum(n[later], n[i]))]
-                if kind == "o" and x != y:
+                if kind == "t":
+                    later = later[of_top[later] != of_top[i]]
+                elif kind == "o" and x != y:
                     later = later[own_block[later] != own_block[i]]
                 if not len(later):
                     continue
@@ -302,7 +310,7 @@ def _across(members: DataFrame, reps: DataFrame, rows: int, percent: int) -> Dat
                 yield pa.RecordBatch.from_arrays([pa.array(a, type=pa.int64()), pa.array(b, type=pa.int64())], names=["a", "b"])
 
     with_codes = (
-        placed.join(reps.select("id", "registers", "codes"), "id")
+        _placed(members).join(reps.select("id", "registers", "codes"), "id")
         .withColumn("codes", F.when(F.col("cnt") > SMALL, F.col("codes"))).drop("cnt")
     )
     return (

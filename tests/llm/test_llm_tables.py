@@ -297,3 +297,16 @@ def test_mixer_states_of_all_classes(spark):
     found = mixer.typical_words(spark.createDataFrame(rows, "doc_id long, text string, class string, held boolean"))
     state = [{s for s, _ in mixer.runs([f"own{k}".encode(), b"x", b""], found)} for k in range(12)]
     assert len(set(map(max, state))) == 12 and all(max(s) > 0 for s in state)
+
+
+def test_blocks_of_hot_buckets_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    members = spark.range(203).select(
+        F.lit(1).alias("key"), F.lit(0).alias("band"), "id", F.lit(9).alias("n"), F.greatest("id", F.lit(2)).alias("component"),
+        F.lit(203).alias("cnt"), F.lit(2).alias("top"), F.lit(3).alias("most"),
+    )
+    blocks = neardup._placed(members).groupBy("kind", "x", "y").agg(F.collect_list("id").alias("ids")).collect()
+    assert max(len(r.ids) for r in blocks) <= 5 * neardup.BLOCK  # chunks are dealt by hash: 8 on average
+    across = Counter((min(p), max(p)) for r in blocks if r.kind == "t" for p in combinations(r.ids, 2) if min(p) < 3 <= max(p))
+    assert len(across) == 3 * 200 and set(across.values()) == {1}
+    assert {tuple(sorted(p)) for r in blocks if r.kind == "o" for p in combinations(r.ids, 2)} == set(combinations(range(3, 203), 2))
