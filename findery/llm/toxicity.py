@@ -4,21 +4,23 @@ A word (letters, digits and all beyond ASCII; A-Z folded) is hashed to three row
 by its first four and five bytes, and embedded as their sum. Filters of several widths run
 over the words of the whole text, the largest response of each filter is kept, and a logistic layer scores these. Training
 follows the gradient of the log loss (Adagrad, mini-batches); only the places that won the pooling take part, so a step
-touches few rows of the table. A fixed part of the labelled training rows is set aside to choose the epoch, to calibrate
-the score (Platt) and to set the rejection threshold of each language.
+touches few rows of the table. A fixed part of the labelled training rows is set aside: some of it chooses the round, and
+all of it calibrates the score (Platt) and sets the rejection threshold of each language, from a histogram of its scores.
 
-Bounds, all parameters: the labelled rows used are at most ``per_class`` of each class for training and ``calibration``
-rows in their natural proportions (by hash of the id); only these reach the driver, as word hashes. The model has a fixed
-size and is the only thing broadcast. Scoring is one pass over the table without a shuffle, a bounded slice at a time.
+Bounds, all parameters: the rows the network is fitted on are at most ``per_class`` of each class for training and
+``calibration`` rows in their natural proportions for choosing the round (by hash of the id); one row of each id counts. A round of
+training is a task that reads the sample a mini-batch at a time and returns the model, which has a fixed size; texts never
+reach the driver. Scoring is one pass over the table without a shuffle, a bounded slice at a time.
 
 Defined results: a null or empty text pools to zeros and gets the score of that; a null language uses the threshold of all
-languages, as does one with fewer than ``LEAST`` calibration rows of either class; without training rows of both classes
+languages, as does one with fewer than ``LEAST`` rows set aside of either class; without training rows of both classes
 every score is the share of toxic ones (0 without any); labels that are null are ignored, of repeated labels the largest
 counts; repeated rows get equal scores; the input's other columns never enter a score.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from findery.llm.common import id_crc, read_table, slices, span_hashes, words_of
+from findery.llm.common import id_crc, read_table, slices, span_hashes, stored, words_of
 
 ROWS = 1 << 18
 DIM = 8
@@ -39,11 +41,13 @@ PER_CLASS = 2000
 CALIBRATION = 3000
 EPOCHS = 6
 LEAST_STEPS = 800
+ROUNDS = 8
 BATCH = 32
 SLICE_BYTES = 2 << 20
+BATCH_BYTES = 8 << 20
 LEAST = 20
 PRECISION = 0.99
-RANGE = (0.3, 0.7)
+BINS = 64
 SURE = 0.9
 
 
@@ -110,21 +114,21 @@ def _joined(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(texts) if texts else np.zeros((0, 1 + len(PREFIXES)), np.int32)), bounds
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a one-variable logistic regression (Newton steps, slightly regularised)."""
+def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray | float = 1.0) -> tuple[float, float]:
+    """Slope and shift of a one-variable logistic regression of rows that count ``n`` times (Newton steps, slightly regularised)."""
     a, b = 1.0, 0.0
     for _ in range(50):
         p = _sigmoid(a * x + b)
-        w = p * (1 - p) + 1e-9
-        g = np.array([((p - y) * x).sum() + 1e-3 * (a - 1), (p - y).sum()])
+        w = n * (p * (1 - p) + 1e-9)
+        g = np.array([(n * (p - y) * x).sum() + 1e-3 * (a - 1), (n * (p - y)).sum()])
         h = np.array([[(w * x * x).sum() + 1e-3, (w * x).sum()], [(w * x).sum(), w.sum()]]) + 1e-9 * np.eye(2)
         step = np.linalg.solve(h, g)
         a, b = a - np.clip(step[0], -1, 1), b - np.clip(step[1], -1, 1)
     return float(a), float(b)
 
 
-def fit(texts: list[np.ndarray], labels: np.ndarray, held: list[np.ndarray], held_labels: np.ndarray, seed: int = 7) -> Model:
-    """Train on balanced rows, then choose the epoch and calibrate on held rows in natural proportions."""
+def fit(sample: DataFrame, size: int, seed: int = 7) -> Model:
+    """Train on the balanced rows of the sample (part 0, ``size`` rows), and choose the epoch by those in natural proportions (part 1)."""
     random = np.random.default_rng(seed)
     model = Model(
         random.normal(0, 0.05, (ROWS, DIM)).astype(np.float32),
@@ -133,22 +137,61 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, held: list[np.ndarray], hel
     )
     sums = [np.full(ROWS, 1e-3), [np.full(f.shape, 1e-3) for f in model.filters], np.full(len(model.dense), 1e-3)]
     best, kept = np.inf, None
-    for _ in range(max(EPOCHS, -(-LEAST_STEPS * BATCH // len(texts)))):
-        order = random.permutation(len(texts))
-        for at in range(0, len(order), BATCH):
-            _step(model, [texts[i] for i in order[at : at + BATCH]], labels[order[at : at + BATCH]], sums, 0.1)
-        logit = _in_slices(model, held)
-        slope, shift = _logistic(logit, held_labels)
+    epochs = max(EPOCHS, -(-LEAST_STEPS * BATCH // size))
+    rounds = min(epochs, ROUNDS)
+    for _ in range(rounds):
+        model, sums = _round(sample.filter("part = 0"), model, sums, -(-epochs // rounds))
+        logit, y = _sample_logits(sample.filter("part = 1"), model)
+        slope, shift = _logistic(logit, y)
         p = np.clip(_sigmoid(slope * logit + shift), 1e-9, 1 - 1e-9)
-        loss = -np.mean(held_labels * np.log(p) + (1 - held_labels) * np.log(1 - p))
+        loss = -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))
         if loss < best - 1e-4:
-            best = loss
-            kept = Model(model.table.copy(), [f.copy() for f in model.filters], model.dense.copy(), model.bias, slope, shift)
+            best, kept = loss, model
     return kept
 
 
-def _in_slices(model: Model, texts: list[np.ndarray], size: int = 128) -> np.ndarray:
-    return np.concatenate([model.logits(*_joined(texts[i : i + size])) for i in range(0, len(texts), size)])
+def _words(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(w.as_buffer(), dtype=np.int32).reshape(-1, 1 + len(PREFIXES)) for w in column]
+
+
+def _round(rows: DataFrame, model: Model, sums: list, epochs: int) -> tuple[Model, list]:
+    """Model and squares after some epochs: a single task goes through the bounded sample, and only mini-batches are held."""
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast((model, sums))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, sums = pickle.loads(pickle.dumps(shared.value))
+        texts, labels, held = [], [], 0
+        for batch in batches:
+            for words, label in zip(_words(batch.column("words")), batch.column("label").to_pylist(), strict=True):
+                texts.append(words.copy())
+                labels.append(label)
+                held += words.nbytes
+                if len(texts) == BATCH or held > BATCH_BYTES:
+                    _step(model, texts, np.array(labels, dtype=np.float64), sums, 0.1)
+                    texts, labels, held = [], [], 0
+        if texts:
+            _step(model, texts, np.array(labels, dtype=np.float64), sums, 0.1)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((model, sums))], type=pa.binary())], names=["model"])
+
+    passes = rows.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs)))).coalesce(1).sortWithinPartitions("epoch", "place")
+    out = pickle.loads(passes.select("label", "words").mapInArrow(run, "model binary").collect()[0].model)  # of a fixed size
+    shared.destroy()
+    return out
+
+
+def _sample_logits(rows: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """(logits, labels) of a bounded sample."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            logits = [shared.value.logits(*_joined([w]))[0] for w in _words(batch.column("words"))]
+            yield pa.RecordBatch.from_arrays([pa.array(logits, type=pa.float64()), batch.column("label")], names=["logit", "label"])
+
+    out = rows.select("label", "words").mapInArrow(run, "logit double, label int").orderBy("logit", "label").toArrow()
+    shared.destroy()
+    return out.column("logit").to_numpy(), out.column("label").to_numpy().astype(np.float64)
 
 
 def _step(model: Model, texts: list[np.ndarray], y: np.ndarray, sums: list, rate: float) -> None:
@@ -187,31 +230,72 @@ def _step(model: Model, texts: list[np.ndarray], y: np.ndarray, sums: list, rate
     model.table[touched] -= (rate * total / np.sqrt(sums[0][touched])[:, None]).astype(np.float32)
 
 
-def _threshold(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The lowest score from which on the calibration rows are toxic with precision ``PRECISION``, kept within ``RANGE``;
-    ``SURE`` if fewer than ``LEAST`` of them are toxic, 1 if none reaches it."""
-    if labels.sum() < LEAST:
+def _threshold(scores: np.ndarray, toxic: np.ndarray, n: np.ndarray) -> float:
+    """The lowest score from which on the rows are toxic with precision ``PRECISION``; ``SURE`` if fewer than ``LEAST`` of
+    them are toxic, 1 if none reaches it. Each score stands for ``n`` rows, ``toxic`` of them toxic."""
+    if toxic.sum() < LEAST:
         return SURE
     order = np.argsort(-scores, kind="stable")
-    s, good = scores[order], np.cumsum(labels[order])
+    s, good, all_ = scores[order], np.cumsum(toxic[order]), np.cumsum(n[order])
     last = np.append(s[1:] != s[:-1], True)
-    fine = np.flatnonzero(last & (good >= PRECISION * np.arange(1, len(s) + 1)))
-    return float(np.clip(s[fine[-1]], *RANGE)) if len(fine) else 1.0
+    fine = np.flatnonzero(last & (good >= PRECISION * all_))
+    return float(s[fine[-1]]) if len(fine) else 1.0
 
 
-def _word_rows(df: DataFrame) -> list:
-    """(label, lang, table rows of the words) of a bounded table (doc text in ``text``)."""
+def _word_rows(df: DataFrame) -> DataFrame:
+    """(place, part, label, words): the table rows of the words of a table with the doc's ``text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE_BYTES):
             rows, bounds = embedded_rows(batch.column("text"))
             packed = [rows[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("place"), batch.column("label"), batch.column("lang"), pa.array(packed, type=pa.binary())],
-                names=["place", "label", "lang", "words"],
+                [batch.column("place"), batch.column("part"), batch.column("label"), pa.array(packed, type=pa.binary())],
+                names=["place", "part", "label", "words"],
             )
 
-    return df.mapInArrow(run, "place long, label int, lang string, words binary").orderBy("place", "label", "words").collect()
+    return df.select("place", "part", "label", "text").mapInArrow(run, "place long, part int, label int, words binary")
+
+
+def _one_row(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """One row of docs (id, text, lang) for each id of ids, with the columns of ids: the one with the least hash of its text."""
+    found = docs.join(ids, "id")
+    return found.groupBy(*ids.columns).agg(F.min_by(F.struct("text", "lang"), F.struct(F.xxhash64("text"), "lang")).alias("doc")).select(*ids.columns, "doc.*")
+
+
+def histogram(docs: DataFrame, held: DataFrame, model: Model) -> DataFrame:
+    """(lang, bin, n, toxic, least) of the logits of all rows of docs (id, text, lang) with an id in held (id, label).
+
+    An id counts once. ``bin`` is the logit in steps of 1 / ``BINS``, ``least`` the smallest one in it.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", SLICE_BYTES):
+            logits = shared.value.logits(*embedded_rows(batch.column("text")))
+            columns = [batch.column("id").cast(pa.string()), batch.column("lang"), batch.column("label"), pa.array(logits)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "lang", "label", "logit"])
+
+    rows = docs.join(held.select("id", "label"), "id").select("id", "lang", "label", "text").mapInArrow(run, "id string, lang string, label int, logit double")
+    once = rows.groupBy("id", "label").agg(F.min(F.struct("logit", "lang")).alias("doc")).select("label", "doc.*")
+    return once.groupBy("lang", F.floor(F.col("logit") * BINS).alias("bin")).agg(
+        F.count("*").alias("n"), F.sum("label").alias("toxic"), F.min("logit").alias("least")
+    )
+
+
+def calibrate(model: Model, bins: DataFrame) -> None:
+    """Sets slope, shift and thresholds from all rows of the histogram."""
+    sums = [F.sum("n").alias("n"), F.sum("toxic").alias("toxic"), F.min("least").alias("least")]
+    own = bins.groupBy("lang").agg(F.sum("n").alias("of"), F.sum("toxic").alias("bad")).filter(f"lang IS NOT NULL AND least(bad, of - bad) >= {LEAST}")
+    table = bins.groupBy("bin").agg(*sums).orderBy("bin").toArrow()  # a row per bin of logits
+    least, toxic, n = (table.column(c).to_numpy().astype(np.float64) for c in ("least", "toxic", "n"))
+    model.slope, model.shift = _logistic(np.tile(least + 0.5 / BINS, 2), np.repeat([1.0, 0.0], len(n)), np.concatenate([toxic, n - toxic]))
+    of = lambda least, toxic, n: _threshold(_sigmoid(model.slope * least + model.shift), toxic, n)
+    model.threshold = of(least, toxic, n)
+    tables: dict = {}
+    for r in bins.join(own.select("lang"), "lang").orderBy("lang", "bin").collect():  # a row per bin and language
+        tables.setdefault(r.lang, []).append((r.least, r.toxic, r.n))
+    model.thresholds = {lang: of(*np.array(rows, dtype=np.float64).T) for lang, rows in tables.items()}
 
 
 def train(
@@ -225,35 +309,25 @@ def train(
         .agg(F.max(label_col).cast("int").alias("label"))
         .withColumn("place", F.xxhash64("id"))
     )
-    held = known.filter(F.pmod("place", F.lit(4)) == 0).orderBy("place", "id").limit(calibration).withColumn("part", F.lit(1))
+    held = known.filter(F.pmod("place", F.lit(4)) == 0)
     rest = known.filter(F.pmod("place", F.lit(4)) != 0)
-    chosen = held
+    chosen = held.orderBy("place", "id").limit(calibration).withColumn("part", F.lit(1))
     for value in (0, 1):
         chosen = chosen.unionByName(
             rest.filter(F.col("label") == value).orderBy("place", "id").limit(per_class).withColumn("part", F.lit(0))
         )
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    rows = _word_rows(
-        texts.join(F.broadcast(chosen), "id").select(  # at most 2 * per_class + calibration rows
-            (F.col("place").bitwiseAND(~1) + F.col("part")).alias("place"), F.col("label").cast("int").alias("label"), "lang", "text"
-        )
-    )
-    words = [np.frombuffer(r.words, dtype=np.int32).reshape(-1, 1 + len(PREFIXES)) for r in rows]
-    y = np.array([r.label for r in rows], dtype=np.float64)
-    part = np.array([r.place & 1 for r in rows], dtype=bool)
-    langs = np.array([r.lang or "" for r in rows], dtype=object)[part]
-    if not len(rows) or len(set(y[~part])) < 2 or len(set(y[part])) < 2:
-        model = Model(np.zeros((2, DIM), np.float32), [], np.zeros(0), 0.0, constant=float(y.mean()) if len(y) else 0.0)
+    # At most 2 * per_class + calibration rows, in an order that mixes the classes.
+    sample = stored(_word_rows(_one_row(texts, F.broadcast(chosen))).repartition(8, "place").sortWithinPartitions("place"))
+    sizes = {(r.part, r.label): r["count"] for r in sample.groupBy("part", "label").count().collect()}
+    total = sum(sizes.values())
+    if len(sizes) < 4:
+        share = (sizes.get((0, 1), 0) + sizes.get((1, 1), 0)) / max(total, 1)
+        model = Model(np.zeros((2, DIM), np.float32), [], np.zeros(0), 0.0, constant=float(share))
         model.threshold = 1.0
         return model
-    pick = lambda mask: [w for w, m in zip(words, mask, strict=True) if m]
-    model = fit(pick(~part), y[~part], pick(part), y[part])
-    scores = _sigmoid(model.slope * _in_slices(model, pick(part)) + model.shift)
-    model.threshold = _threshold(scores, y[part])
-    for lang in set(langs) - {""}:
-        own = langs == lang
-        if min(y[part][own].sum(), (1 - y[part][own]).sum()) >= LEAST:
-            model.thresholds[lang] = _threshold(scores[own], y[part][own])
+    model = fit(sample, sizes[0, 0] + sizes[0, 1])
+    calibrate(model, stored(histogram(texts, held, model)))
     return model
 
 

@@ -310,3 +310,12 @@ def test_blocks_of_hot_buckets_are_bounded(spark, monkeypatch):
     across = Counter((min(p), max(p)) for r in blocks if r.kind == "t" for p in combinations(r.ids, 2) if min(p) < 3 <= max(p))
     assert len(across) == 3 * 200 and set(across.values()) == {1}
     assert {tuple(sorted(p)) for r in blocks if r.kind == "o" for p in combinations(r.ids, 2)} == set(combinations(range(3, 203), 2))
+
+
+def test_thresholds_from_all_rows(spark):
+    # 16,000 rows: no threshold of a language is bound to a range, and rare toxic languages get their own.
+    rows = [(lang, b, n, bad, b / toxicity.BINS) for lang, cells in {"a": [(-300, 9000, 0), (120, 1000, 0), (250, 5000, 5000)], "b": [(-300, 970, 0), (40, 30, 30)]}.items() for b, n, bad in cells]
+    model = toxicity.Model(np.zeros((2, toxicity.DIM), np.float32), [], np.zeros(0), 0.0)
+    toxicity.calibrate(model, spark.createDataFrame(rows, "lang string, bin long, n long, toxic long, least double"))
+    at = lambda b: float(toxicity._sigmoid(model.slope * b / toxicity.BINS + model.shift))
+    assert model.thresholds == pytest.approx({"a": at(250), "b": at(40)}) and at(250) > 0.7 > 0.3 > at(40)
