@@ -319,3 +319,11 @@ def test_thresholds_from_all_rows(spark):
     toxicity.calibrate(model, spark.createDataFrame(rows, "lang string, bin long, n long, toxic long, least double"))
     at = lambda b: float(toxicity._sigmoid(model.slope * b / toxicity.BINS + model.shift))
     assert model.thresholds == pytest.approx({"a": at(250), "b": at(40)}) and at(250) > 0.7 > 0.3 > at(40)
+
+
+def test_toxicity_counts_an_id_once(spark):
+    model = toxicity.Model(np.zeros((toxicity.ROWS, toxicity.DIM), np.float32), [np.zeros((1, toxicity.DIM, toxicity.FILTERS), np.float32)], np.zeros(toxicity.FILTERS), 0.0)
+    docs = spark.createDataFrame([(1, f"t {k}", "en") for k in range(500)] + [(k, "x", "en") for k in range(2, 5000)], "id long, text string, lang string")
+    held = spark.range(1, 5000).select("id", (F.col("id") % 2).cast("int").alias("label"))
+    assert [(r.n, r.toxic) for r in toxicity.histogram(docs, held, model).collect()] == [(4999, 2500)]
+    assert toxicity._one_row(docs, held).count() == 4999
