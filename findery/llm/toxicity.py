@@ -8,9 +8,9 @@ touches few rows of the table. A fixed part of the labelled training rows is set
 all of it calibrates the score (Platt) and sets the rejection threshold of each language, from a histogram of its scores.
 
 Bounds, all parameters: the rows the network is fitted on are at most ``per_class`` of each class for training and
-``calibration`` rows in their natural proportions for choosing the round (by hash of the id); one row of each id counts. A round of
-training is a task that reads the sample a mini-batch at a time and returns the model, which has a fixed size; texts never
-reach the driver. Scoring is one pass over the table without a shuffle, a bounded slice at a time.
+``calibration`` rows in their natural proportions for choosing the round (by hash of the id); one row of each id counts. All
+rounds are one task that reads the stored sample a mini-batch at a time and returns the model, which has a fixed size; it reaches
+the driver and is sent to the tasks once, texts never reach the driver. Scoring is one pass over the table without a shuffle, a bounded slice at a time.
 
 Defined results: a null or empty text pools to zeros and gets the score of that; a null language uses the threshold of all
 languages, as does one with fewer than ``LEAST`` rows set aside of either class; without training rows of both classes
@@ -26,6 +26,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,6 +63,7 @@ class Model:
     constant: float | None = None
     thresholds: dict = field(default_factory=dict)
     threshold: float = 0.5
+    sent: Broadcast | None = None  # the weights, once they are sent to the tasks
 
     def pooled(self, rows: np.ndarray, bounds: np.ndarray, places: bool = False):
         """(pooled responses per text, winning places or None, the words' embeddings)."""
@@ -88,13 +90,19 @@ class Model:
                     won[text, at] = bounds[text] + answer[bounds[text] : bounds[text + 1]].argmax(axis=0)
         return out, won, words
 
+    def shared(self, spark: SparkSession) -> Broadcast:
+        """The weights for tasks, sent once; the driver keeps no copy of its own."""
+        if self.sent is None:
+            self.sent = spark.sparkContext.broadcast(Model(self.table, self.filters, self.dense, self.bias))
+            self.table, self.filters, self.dense = np.zeros((1, DIM), np.float32), [], np.zeros(0)
+        return self.sent
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "sent": None}
+
     def logits(self, rows: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         return self.pooled(rows, bounds)[0].astype(np.float64) @ self.dense + self.bias
 
-    def scores(self, rows: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        if self.constant is not None:
-            return np.full(len(bounds) - 1, self.constant)
-        return _sigmoid(self.slope * self.logits(rows, bounds) + self.shift)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -128,70 +136,74 @@ def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray | float = 1.0) -> tupl
 
 
 def fit(sample: DataFrame, size: int, seed: int = 7) -> Model:
-    """Train on the balanced rows of the sample (part 0, ``size`` rows), and choose the epoch by those in natural proportions (part 1)."""
-    random = np.random.default_rng(seed)
-    model = Model(
-        random.normal(0, 0.05, (ROWS, DIM)).astype(np.float32),
-        [random.normal(0, 0.4, (w, DIM, FILTERS)).astype(np.float32) for w in WIDTHS],
-        random.normal(0, 0.3, FILTERS * len(WIDTHS)), 0.0,
-    )
-    sums = [np.full(ROWS, 1e-3), [np.full(f.shape, 1e-3) for f in model.filters], np.full(len(model.dense), 1e-3)]
-    best, kept = np.inf, None
+    """Train on the balanced rows of the sample (part 0, ``size`` rows), and choose the round by those in natural proportions (part 1).
+
+    One task reads the stored sample in the order of its use, round by round, and holds a mini-batch of it, the model and the
+    best one so far; the driver gets the model it chose.
+    """
     epochs = max(EPOCHS, -(-LEAST_STEPS * BATCH // size))
     rounds = min(epochs, ROUNDS)
-    for _ in range(rounds):
-        model, sums = _round(sample.filter("part = 0"), model, sums, -(-epochs // rounds))
-        logit, y = _sample_logits(sample.filter("part = 1"), model)
-        slope, shift = _logistic(logit, y)
-        p = np.clip(_sigmoid(slope * logit + shift), 1e-9, 1 - 1e-9)
-        loss = -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))
-        if loss < best - 1e-4:
-            best, kept = loss, model
-    return kept
-
-
-def _words(column: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(w.as_buffer(), dtype=np.int32).reshape(-1, 1 + len(PREFIXES)) for w in column]
-
-
-def _round(rows: DataFrame, model: Model, sums: list, epochs: int) -> tuple[Model, list]:
-    """Model and squares after some epochs: a single task goes through the bounded sample, and only mini-batches are held."""
-    spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast((model, sums))
+    each = -(-epochs // rounds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, sums = pickle.loads(pickle.dumps(shared.value))
-        texts, labels, held = [], [], 0
+        random = np.random.default_rng(seed)
+        model = Model(
+            random.normal(0, 0.05, (ROWS, DIM)).astype(np.float32),
+            [random.normal(0, 0.4, (w, DIM, FILTERS)).astype(np.float32) for w in WIDTHS],
+            random.normal(0, 0.3, FILTERS * len(WIDTHS)), 0.0,
+        )
+        sums = [np.full(ROWS, 1e-3), [np.full(f.shape, 1e-3) for f in model.filters], np.full(len(model.dense), 1e-3)]
+        best, kept = np.inf, None
+        texts: list[np.ndarray] = []
+        labels: list[int] = []
+        held, logits, answers, now = 0, [], [], (1, 0)
+
+        def learn() -> None:
+            nonlocal held
+            if texts:
+                _step(model, texts, np.array(labels, dtype=np.float64), sums, 0.1)
+                texts.clear()
+                labels.clear()
+            held = 0
+
+        def compare() -> None:
+            nonlocal best, kept
+            order = np.lexsort((answers, logits))
+            logit, y = np.array(logits)[order], np.array(answers, dtype=np.float64)[order]
+            slope, shift = _logistic(logit, y)
+            p = np.clip(_sigmoid(slope * logit + shift), 1e-9, 1 - 1e-9)
+            loss = -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))
+            if loss < best - 1e-4:
+                best, kept = loss, pickle.dumps(model)
+            logits.clear()
+            answers.clear()
+
         for batch in batches:
-            for words, label in zip(_words(batch.column("words")), batch.column("label").to_pylist(), strict=True):
+            steps = zip(batch.column("round").to_pylist(), batch.column("part").to_pylist(), strict=True)
+            for step, words, label in zip(steps, _words(batch.column("words")), batch.column("label").to_pylist(), strict=True):
+                if step != now:
+                    learn() if now[1] == 0 else compare()
+                    now = step
+                if step[1]:
+                    logits.append(model.logits(*_joined([words]))[0])
+                    answers.append(label)
+                    continue
                 texts.append(words.copy())
                 labels.append(label)
                 held += words.nbytes
                 if len(texts) == BATCH or held > BATCH_BYTES:
-                    _step(model, texts, np.array(labels, dtype=np.float64), sums, 0.1)
-                    texts, labels, held = [], [], 0
-        if texts:
-            _step(model, texts, np.array(labels, dtype=np.float64), sums, 0.1)
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((model, sums))], type=pa.binary())], names=["model"])
+                    learn()
+        compare()
+        yield pa.RecordBatch.from_arrays([pa.array([kept], type=pa.binary())], names=["model"])
 
-    passes = rows.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs)))).coalesce(1).sortWithinPartitions("epoch", "place")
-    out = pickle.loads(passes.select("label", "words").mapInArrow(run, "model binary").collect()[0].model)  # of a fixed size
-    shared.destroy()
-    return out
+    turns = F.when(F.col("part") == 0, F.lit(each)).otherwise(F.lit(1))
+    uses = sample.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds)))).withColumn("epoch", F.explode(F.sequence(F.lit(1), turns)))
+    ordered = uses.coalesce(1).sortWithinPartitions("round", "part", "epoch", "place").select("round", "part", "label", "words")
+    return pickle.loads(ordered.mapInArrow(run, "model binary").first().model)  # of a fixed size
 
 
-def _sample_logits(rows: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """(logits, labels) of a bounded sample."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            logits = [shared.value.logits(*_joined([w]))[0] for w in _words(batch.column("words"))]
-            yield pa.RecordBatch.from_arrays([pa.array(logits, type=pa.float64()), batch.column("label")], names=["logit", "label"])
-
-    out = rows.select("label", "words").mapInArrow(run, "logit double, label int").orderBy("logit", "label").toArrow()
-    shared.destroy()
-    return out.column("logit").to_numpy(), out.column("label").to_numpy().astype(np.float64)
+def _words(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(w.as_buffer(), dtype=np.int32).reshape(-1, 1 + len(PREFIXES)) for w in column]
 
 
 def _step(model: Model, texts: list[np.ndarray], y: np.ndarray, sums: list, rate: float) -> None:
@@ -268,7 +280,7 @@ def histogram(docs: DataFrame, held: DataFrame, model: Model) -> DataFrame:
 
     An id counts once. ``bin`` is the logit in steps of 1 / ``BINS``, ``least`` the smallest one in it.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = model.shared(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE_BYTES):
@@ -334,11 +346,13 @@ def train(
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
     """All columns of the table and ``out``; a column of that name is replaced."""
     kept = docs.drop(out)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    if model.constant is not None:
+        return kept.withColumn(out, F.lit(model.constant))
+    shared, slope, shift = model.shared(docs.sparkSession), model.slope, model.shift
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text_col, SLICE_BYTES):
-            values = shared.value.scores(*embedded_rows(batch.column(text_col)))
+            values = _sigmoid(slope * shared.value.logits(*embedded_rows(batch.column(text_col))) + shift)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, type=pa.float64())], names=[*batch.schema.names, out])
 
     return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(out, T.DoubleType())]))
