@@ -204,12 +204,132 @@ def test_compact_refuses_to_lose_documents(spark, titles, tmp_path):
     store = fy.IndexStore(spark, str(tmp_path / "i"), shards=2)
     version = store.replace(titles, "Allid", ["Title"])
     rows = store._version_rows()
-    store._publish(rows, [(rows[0]["batch"], rows[0]["docs"] + 1, False, rows[0]["settings"], None)])
+    store._publish(rows, [{**rows[0].asDict(), "docs": rows[0]["docs"] + 1}])
     with pytest.raises(RuntimeError, match="nothing was published"):
         store.compact()
     assert store.latest_version() == version + 1
 
 
+def test_versions_are_ordered_without_clocks(spark, titles, ask, tmp_path, monkeypatch):
+    """Batches with ever smaller names, as writers with slow clocks once gave them, open, update and compact."""
+    from findery.plans import store as stores
+
+    names = iter([900, 500, 300, 100, 50])
+    monkeypatch.setattr(stores, "_new_batch", lambda: next(names))
+    store = fy.IndexStore(spark, str(tmp_path / "i"), shards=2)
+    store.replace(titles, "Allid", ["Title"])
+    store.append(spark.createDataFrame([(6, "late valve")], "Allid int, Title string"))
+    index = store.open()
+    assert index.doc_count == 6 and [r["batch"] for r in store._version_rows()] == [900, 500]
+    store.upsert(spark.createDataFrame([(6, "later pump", 1), (7, "gauge", 1)], "Allid int, Title string, seq int"), "seq", stream="feed", stream_batch=3)
+    assert store.upsert(spark.createDataFrame([(6, "x", 9)], "Allid int, Title string, seq int"), "seq", stream="feed", stream_batch=3) == 3
+    store.append(spark.createDataFrame([(8, "new valve")], "Allid int, Title string"))
+    assert {r["Allid"]: r["Title"] for r in store.open().documents().filter("Allid > 5").collect()} == {6: "later pump", 7: "gauge", 8: "new valve"}
+    store.compact()
+    index = store.open()
+    assert index.doc_count == index.documents().count() == 8 and index.removed is None
+    assert not hits(fy.search_keywords(index, ask("late"), 3)) and hits(fy.search_keywords(index, ask("later"), 3))[1][0][0] == 6
+
+
+def files(root) -> int:
+    return sum(name.endswith(".parquet") for _, _, names in os.walk(root) for name in names)
+
+
+def test_small_batches_are_merged(spark, titles, ask, tmp_path, monkeypatch):
+    from findery.plans import store as stores
+
+    monkeypatch.setattr(stores, "FANOUT", 3)
+    store = fy.IndexStore(spark, str(tmp_path / "i"), shards=2, buckets=4)
+    store.replace(titles, "Allid", ["Title"])
+    live = {r["Allid"]: (r["Title"], 0) for r in titles.collect()}
+    known = []
+    for k in range(11):
+        rows = [(6 + k, f"valve number{k}", k), (1 + k % 4, f"changed pump {k}", k), (5 + k // 2, f"again {k}", k)]
+        store.upsert(spark.createDataFrame(rows, "Allid int, Title string, seq int"), "seq")
+        live |= {key: (text, k) for key, text, _ in rows}
+        known.append(len(store._version_rows()))
+    assert max(known) <= 1 + 2 * 3
+    index = store.open()
+    assert {r["Allid"]: r["Title"] for r in index.documents().collect()} == {key: text for key, (text, _) in live.items()}
+    whole = build(spark.createDataFrame([(key, text) for key, (text, _) in live.items()], "Allid int, Title string"), "Allid", ["Title"])
+    assert stats(index) == stats(whole) and index.doc_count == whole.doc_count == len(live)
+    queries = ask("valve pressure", "pump again", "changed number3")
+    want = hits(fy.search_keywords(whole, queries, 9))
+    assert hits(fy.search_keywords(index, queries, 9)) == want
+    before = files(tmp_path)
+    gone = store.vacuum(older_than=0)
+    assert gone and files(tmp_path) < before / 2 and store.versions() == [store.latest_version()]
+    assert hits(fy.search_keywords(store.open(), queries, 9)) == want
+    again = fy.IndexStore(spark, store.root)
+    assert hits(fy.search_keywords(again.open(), queries, 9)) == want
+    again.compact()
+    assert hits(fy.search_keywords(again.open(), queries, 9)) == want and again.open().summed
+
+
+def test_merging_keeps_what_was_removed_elsewhere(spark, titles, tmp_path):
+    store = fy.IndexStore(spark, str(tmp_path / "i"), shards=2)
+    store.replace(titles, "Allid", ["Title"])
+    for k in range(2):
+        store.upsert(spark.createDataFrame([(1 + k, f"new {k}", 1)], "Allid int, Title string, seq int"), "seq")
+    rows = store._version_rows()
+    store.merge([r["batch"] for r in rows[1:]])
+    merged = store._version_rows()
+    assert len(merged) == 2 and merged[1]["removes"] and store.open().documents().count() == store.open().doc_count == 5
+    store.merge([r["batch"] for r in merged])
+    index = store.open()
+    assert index.removed is None and index.documents().count() == index.doc_count == 5
+    assert {"boiler", "slowly", "new"} & {r["term"] for r in index.term_stats().collect()} == {"new"}
+
+
+def test_old_enough_folders_go_and_young_ones_stay(spark, titles, tmp_path):
+    store = fy.IndexStore(spark, str(tmp_path / "i"), shards=2)
+    store.replace(titles, "Allid", ["Title"])
+    store._write_documents(titles, stores_settings(store), 77)
+    store.append(spark.createDataFrame([(6, "new")], "Allid int, Title string"))
+    assert store.vacuum(keep=2) == [] and store.versions() == [1, 2]
+    gone = store.vacuum(keep=2, older_than=0)
+    assert gone and all(name.endswith("/batch=77") for name in gone) and store.open(1).documents().count() == 5
+    with pytest.raises(ValueError, match="at least one"):
+        store.vacuum(keep=0)
+
+
+def stores_settings(store):
+    from findery.plans.store import _settings_of
+
+    return _settings_of(store._version_rows())
+
+
+def test_opening_knows_only_named_partitions(spark, titles, tmp_path):
+    root = str(tmp_path / "i")
+    store = fy.IndexStore(spark, root, shards=2, buckets=16)
+    store.replace(titles, "Allid", ["Title"])
+    store.append(spark.createDataFrame([(6, "new valve")], "Allid int, Title string"))
+    store._write_documents(titles, stores_settings(store), 77)
+    for table in spark.catalog.listTables():
+        if table.name.startswith(store._prefix):
+            spark.sql(f"DROP TABLE {table.name}")
+    again = fy.IndexStore(spark, root)
+    again.open()
+    rows = again._version_rows()
+    parts = {t.name: {r[0] for r in spark.sql(f"SHOW PARTITIONS {t.name}").collect()} for t in spark.catalog.listTables() if t.name.startswith(store._prefix)}
+    wanted = {f"batch={rows[0]['batch']}/bucket={b}" for b in rows[0]["buckets"]}
+    assert sorted(map(len, parts.values())) == sorted([2, 1, len(wanted)]) and wanted in parts.values() and 1 < len(wanted) < 16
+
+
+def test_both_layouts_keep_their_placement(spark, titles, ask, tmp_path):
+    store = fy.IndexStore(spark, str(tmp_path / "i"), shards=3, buckets=2)
+    store.replace(titles, "Allid", ["Title"])
+    alone = plan_of(fy.search_keywords(store.open(), ask("valve pressure"), 3))
+    store.append(spark.createDataFrame([(6, "new valve")], "Allid int, Title string"))
+    both = plan_of(fy.search_keywords(store.open(), ask("valve pressure"), 3))
+    assert "Union" in both and both.count("Exchange hashpartitioning") == alone.count("Exchange hashpartitioning")
+
+
+def plan_of(frame) -> str:
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return plan[plan.rfind("Initial Plan") :] if "Initial Plan" in plan else plan
+
+
 def test_newer_changes_win_in_any_order_and_marks_survive(spark, titles, tmp_path):
     def change(text, seq):
         return spark.createDataFrame([(1, text, seq)], "Allid int, Title string, seq int")
