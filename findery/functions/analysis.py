@@ -1,7 +1,8 @@
 """Analyzers: functions from a text column to an array of terms.
 
 An analyzer is a plain ``Column -> Column`` function returning ``array<string>``. The place of an
-element is its position; a dropped token leaves a null behind, so positions never move.
+element is its position; a dropped token leaves a null behind, so positions never move. What needs
+a join, as segmentation by a dictionary does, is a table analyzer (``operators.tokens.analyze``).
 """
 
 from __future__ import annotations
@@ -94,9 +95,7 @@ def per_field(field: Column, text: Column, analyzers: Mapping[str, Analyzer], de
     chosen = None
     for name, analyzer in analyzers.items():
         condition = field == name
-        # An analyzer outside the JVM would otherwise get the texts of all fields.
-        tokens = analyzer(F.when(condition, text) if getattr(analyzer, "only_own_rows", False) else text)
-        chosen = F.when(condition, tokens) if chosen is None else chosen.when(condition, tokens)
+        chosen = F.when(condition, analyzer(text)) if chosen is None else chosen.when(condition, analyzer(text))
     return default(text) if chosen is None else chosen.otherwise(default(text))
 
 

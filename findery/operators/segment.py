@@ -3,31 +3,25 @@
 One operator serves unspaced Han text and multi-part codes: the text is cut into units (a Han
 character, or a word, with the separators that follow it), and neighbouring units are joined into one
 token when the dictionary lists them. Matching is greedy from the left, longest entry first.
+
+The dictionary stays a table, of whatever size. Its entries are keyed by their first two units, and only the
+lengths known there are tried: places of a text meet the pairs first, and what they begin meets the entries.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from findery.functions.analysis import HAN, NON_HAN_WORD_CHAR, WORD_CHAR, Analyzer
-from findery.runtime import broadcast_if_small, fits_broadcast
+from findery.functions.analysis import HAN, NON_HAN_WORD_CHAR, WORD_CHAR
+from findery.runtime import broadcast_if_small, cut
 
 _UNIT = f"((?:{HAN}|{NON_HAN_WORD_CHAR}+)(?:(?!{WORD_CHAR})[\\s\\S])*)"
 _TRAILING = f"(?:(?!{WORD_CHAR})[\\s\\S])+$"
 _BLOCK = 256
 
-# The same units for Python: the word or character, and the separators after it.
-_UNIT_PARTS = regex.compile(r"(\p{Han}|[[\p{L}\p{N}]--\p{Han}]+)([^\p{L}\p{N}]*)", regex.V1)
-_END = regex.compile(r"[^\p{L}\p{N}]+$")
-
-# A dictionary up to this size is held by every Python worker.
-MAX_LOOKUP_ENTRIES = 500_000
-
 
 def units(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(_UNIT), F.lit(1))
@@ -73,123 +67,73 @@ def _entries(dictionary: DataFrame, word: str) -> DataFrame:
     )
 
 
-def segment(
-    df: DataFrame,
-    keys: Sequence[str],
-    text: str,
-    dictionary: DataFrame,
-    word: str = "word",
-    max_lookup: int = MAX_LOOKUP_ENTRIES,
-) -> DataFrame:
-    """Tokens of each text: ``(*keys, tokens array<string>)``; ``keys`` identify a row.
+def segment(df: DataFrame, keys: Sequence[str], text: str, dictionary: DataFrame, word: str = "word") -> DataFrame:
+    """Tokens of each text: ``(*keys, tokens array<string>)``; ``keys`` identify a row."""
+    return Segmenter(dictionary, word).tokens(df, keys, text)
 
-    A dictionary of up to ``max_lookup`` entries is sent to the executors and looked up in place, without
-    a shuffle. A larger one stays a table and is joined; the result is the same.
-    """
-    entries = _entries(dictionary, word)
-    if entries.limit(max_lookup + 1).count() <= max_lookup:
-        return _segment_in_place(df, list(keys), text, entries)
-    return _segment_by_join(df, list(keys), text, entries)
 
+class Segmenter:
+    """A table analyzer (see ``operators.tokens.analyze``): segments by a dictionary, in indexes and searches alike.
 
-def segmenting(dictionary: DataFrame, word: str = "word") -> Analyzer:
-    """An analyzer that segments by the dictionary, for indexes and searches alike.
-
-    The dictionary is measured, read and sent to the executors once. One beyond the bounds of a broadcast is refused:
-    segment such texts with :func:`segment` and index its tokens.
+    The dictionary is prepared once, in the shared folder. Its two tables are broadcast where they were measured to be
+    small, and joined by a shuffle beyond that; the steps are the same.
     """
-    entries = _entries(dictionary, word)
-    if entries.limit(MAX_LOOKUP_ENTRIES + 1).count() > MAX_LOOKUP_ENTRIES or not fits_broadcast(entries):
-        raise ValueError("the dictionary is too large to travel with an analyzer")
-    tokens_of = _lookup(entries)
-
-    def analyze(text: Column) -> Column:
-        return tokens_of(F.lower(text))
-
-    analyze.only_own_rows = True
-    return analyze
 
+    def __init__(self, dictionary: DataFrame, word: str = "word"):
+        parts = units(F.col("entry"))
+        entries = _entries(dictionary, word).withColumn("pair", _pair(F.element_at(parts, 1), F.element_at(parts, 2)))
+        self._entries = cut(entries)
+        self._pairs = cut(self._entries.groupBy("pair").agg(F.sort_array(F.collect_set("n")).alias("lengths")))
+        self._longest = self._entries.agg(F.coalesce(F.max("n"), F.lit(1))).first()[0]
+
+    def tokens(self, df: DataFrame, keys: Sequence[str], text: str = "text") -> DataFrame:
+        """``(*keys, tokens)``; one shuffle by ``keys`` serves all steps that look at whole texts."""
+        keys, longest = list(keys), self._longest
+        rows = df.select(*keys, units(F.col(text)).alias("_units")).repartition(*keys)
+        if longest == 1:
+            return rows.select(*keys, F.transform("_units", _trimmed).alias("tokens"))
+
+        def start(unit: Column, at: Column) -> Column:
+            after = F.try_element_at("_units", at + 2)
+            return F.when(
+                after.isNotNull(),
+                F.struct(at.alias("at"), _pair(unit, after).alias("pair"), F.slice("_units", at + 1, longest).alias("ahead")),
+            )
+
+        begun = (
+            rows.select(*keys, F.explode(F.array_compact(F.transform("_units", start))).alias("_s"))
+            .select(*keys, "_s.*")
+            .join(broadcast_if_small(self._pairs), "pair")
+            .select(*keys, "at", "ahead", F.explode("lengths").alias("n"))
+            .filter(F.col("n") <= F.size("ahead"))
+            .select(*keys, "at", "n", _trimmed(F.array_join(F.slice("ahead", F.lit(1), F.col("n")), "")).alias("entry"))
+        )
+        matches = (
+            begun.join(broadcast_if_small(self._entries.select("entry")), "entry", "left_semi")
+            .groupBy(*keys, "at")
+            .agg(F.max("n").alias("n"))
+            .groupBy(*keys)
+            .agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("_matches"))
+        )
+        kept = matches.select(*keys, _greedy(F.col("_matches")).alias("_kept"))
+
+        def piece(match: Column, i: Column) -> Column:
+            before = F.try_element_at("_kept", F.when(i > 0, i).otherwise(F.size("_kept") + 1))
+            free = F.coalesce(before["at"] + before["n"], F.lit(0))
+            singles = F.slice("_units", free + 1, match["at"] - free)
+            return F.concat(singles, F.array(F.array_join(F.slice("_units", match["at"] + 1, match["n"]), "")))
+
+        last = F.element_at("_kept", -1)
+        rest = F.slice("_units", last["at"] + last["n"] + 1, F.size("_units"))
+        joined = F.when(F.col("_kept").isNull(), F.col("_units")).otherwise(
+            F.concat(F.flatten(F.transform("_kept", piece)), rest)
+        )
+        return rows.join(kept, keys, "left").select(*keys, F.transform(joined, _trimmed).alias("tokens"))
 
-def _segment_in_place(df: DataFrame, keys: list[str], text: str, entries: DataFrame) -> DataFrame:
-    return df.select(*keys, _lookup(entries)(F.lower(F.col(text))).alias("tokens"))
 
+def _pair(first: Column, second: Column) -> Column:
+    """The first unit with the separators after it, and the second without."""
+    return F.concat(first, _trimmed(second))
 
-def _lookup(entries: DataFrame) -> Callable[[Column], Column]:
-    """Segments lower-cased text in place, an Arrow batch at a time, by a dictionary held by every worker."""
-    rows = entries.withColumn("units", units(F.col("entry"))).select("entry", "n", F.slice("units", 1, 2).alias("start")).collect()
-    lengths: dict[str, set[int]] = {}
-    for row in rows:
-        lengths.setdefault(row["start"][0] + _END.sub("", row["start"][1]), set()).add(row["n"])
-    known = entries.sparkSession.sparkContext.broadcast(
-        ({row["entry"] for row in rows}, {start: sorted(ns, reverse=True) for start, ns in lengths.items()})
-    )
 
-    @F.pandas_udf("array<string>")
-    def tokens_of(texts: pd.Series) -> pd.Series:
-        words, starts = known.value
-
-        def tokens(lowered: str | None) -> list[str] | None:
-            if lowered is None:
-                return None
-            parts = _UNIT_PARTS.findall(lowered)
-            found, at = [], 0
-            while at < len(parts):
-                taken = 1
-                token = parts[at][0]
-                if at + 1 < len(parts):
-                    for n in starts.get(parts[at][0] + parts[at][1] + parts[at + 1][0], ()):
-                        if at + n <= len(parts):
-                            span = "".join(a + b for a, b in parts[at : at + n - 1]) + parts[at + n - 1][0]
-                            if span in words:
-                                token, taken = span, n
-                                break
-                found.append(token)
-                at += taken
-            return found
-
-        return texts.map(tokens)
-
-    return tokens_of
-
-
-def _segment_by_join(df: DataFrame, keys: list[str], text: str, entries: DataFrame) -> DataFrame:
-    """Neighbouring units joined to the dictionary; one shuffle by ``keys`` serves all steps."""
-    longest = entries.agg(F.coalesce(F.max("n"), F.lit(1))).first()[0]
-    rows = df.select(*keys, units(F.col(text)).alias("units")).repartition(*keys)
-    if longest == 1:
-        return rows.select(*keys, F.transform("units", _trimmed).alias("tokens"))
-
-    def candidates(_, at: Column) -> Column:
-        lengths = F.sequence(F.lit(2), F.least(F.lit(longest), F.size("units") - at))
-        spans = F.transform(
-            lengths,
-            lambda n: F.struct(
-                at.alias("at"), n.alias("n"), _trimmed(F.array_join(F.slice("units", at + 1, n), "")).alias("entry")
-            ),
-        )
-        return F.when(F.size("units") - at > 1, spans).otherwise(F.slice(spans, 1, 0))
-
-    starts = F.slice("units", 1, F.greatest(F.size("units") - 1, F.lit(0)))
-    matches = (
-        rows.select(*keys, F.explode(F.flatten(F.transform(starts, candidates))).alias("c"))
-        .select(*keys, "c.at", "c.n", "c.entry")
-        .join(broadcast_if_small(entries.select("entry", F.lit(True).alias("listed"))), "entry")
-        .groupBy(*keys, "at")
-        .agg(F.max("n").alias("n"))
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("matches"))
-    )
-    kept = matches.select(*keys, _greedy(F.col("matches")).alias("kept"))
-
-    def piece(match: Column, i: Column) -> Column:
-        before = F.try_element_at("kept", F.when(i > 0, i).otherwise(F.size("kept") + 1))
-        free = F.coalesce(before["at"] + before["n"], F.lit(0))
-        singles = F.slice("units", free + 1, match["at"] - free)
-        return F.concat(singles, F.array(F.array_join(F.slice("units", match["at"] + 1, match["n"]), "")))
-
-    last = F.element_at("kept", -1)
-    rest = F.slice("units", last["at"] + last["n"] + 1, F.size("units"))
-    joined = F.when(F.col("kept").isNull(), F.col("units")).otherwise(
-        F.concat(F.flatten(F.transform("kept", piece)), rest)
-    )
-    return rows.join(kept, keys, "left").select(*keys, F.transform(joined, _trimmed).alias("tokens"))
+segmenting = Segmenter

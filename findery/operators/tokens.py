@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,9 +15,39 @@ from findery.runtime import broadcast_if_small
 def analyze(
     df: DataFrame, analyzers: Mapping[str, Analyzer] | None = None, default: Analyzer = words, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """``(…, field, text)`` to ``(…, field, tokens)``, each field with its own analyzer."""
-    tokens = per_field(F.col("field"), F.col("text"), analyzers or {}, default)
-    return df.select(*[c for c in df.columns if c != "text" or c in keep], tokens.alias("tokens"))
+    """``(…, field, text)`` to ``(…, field, tokens)``, each field with its own analyzer.
+
+    An analyzer is a function of a text column, or a *table analyzer* with a method ``tokens(df, keys)`` that turns rows
+    ``(*keys, text)`` into ``(*keys, tokens)``; there the other columns must identify a row.
+    """
+    analyzers = analyzers or {}
+    kept = [c for c in df.columns if c != "text" or c in keep]
+    if not by_table(analyzers, default):
+        return df.select(*kept, per_field(F.col("field"), F.col("text"), analyzers, default).alias("tokens"))
+    field, parts = F.col("field"), []
+    plain = {name: a for name, a in analyzers.items() if not is_table_analyzer(a)}
+    tables: dict[int, tuple] = {}
+    for name, a in analyzers.items():
+        if is_table_analyzer(a):
+            tables.setdefault(id(a), (a, []))[1].append(name)
+    if not is_table_analyzer(default):
+        rest = df.filter(~field.isin([n for _, names in tables.values() for n in names]))
+        parts.append(rest.select(*kept, per_field(field, F.col("text"), plain, default).alias("tokens")))
+    else:
+        if plain:
+            parts.append(df.filter(field.isin(list(plain))).select(*kept, per_field(field, F.col("text"), plain, words).alias("tokens")))
+        parts.append(default.tokens(df.filter(~field.isin(list(analyzers))), kept))
+    parts += [a.tokens(df.filter(field.isin(names)), kept) for a, names in tables.values()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def is_table_analyzer(analyzer: object) -> bool:
+    return hasattr(analyzer, "tokens")
+
+
+def by_table(analyzers: Mapping[str, Analyzer], default: Analyzer) -> bool:
+    """Is any of these a table analyzer? Its tokens lose the placement that the rows had."""
+    return any(is_table_analyzer(a) for a in (*analyzers.values(), default))
 
 
 def explode_tokens(df: DataFrame, keys: Sequence[str], tokens: str = "tokens") -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from findery.functions.analysis import Analyzer, words
 from findery.operators.binding import drop_empty, require_fields
-from findery.operators.tokens import analyze, explode_tokens, postings_of, term_stats
+from findery.operators.tokens import analyze, by_table, explode_tokens, postings_of, term_stats
 from findery.runtime import broadcast_if_small
 
 DOC = ("shard", "batch", "doc_id")
@@ -147,14 +147,17 @@ def sharded(records: DataFrame, key: str, fields: Sequence[str], layout: Layout,
 def make_postings(
     docs: DataFrame, fields: Sequence[str], layout: Layout, analyzers: Mapping[str, Analyzer], analyzer: Analyzer
 ) -> DataFrame:
-    """Postings of documents that are already placed by shard; no further shuffle.
+    """Postings of documents that are already placed by shard; no further shuffle, but for the tokens of table analyzers.
 
     Fields are unfolded with ``inline`` here, which keeps the placement (``unpivot`` does not).
     """
     pairs = [F.struct(F.lit(n).alias("field"), F.col(f"`{n}`").cast("string").alias("text")) for n in fields]
     texts = docs.select(*DOC, F.inline(F.array(*pairs)))
     keys = [*DOC, "field", "length"]
-    tokens = analyze(texts, analyzers, analyzer).withColumn("length", F.size(F.array_compact("tokens")))
+    tokens = analyze(texts, analyzers, analyzer)
+    if by_table(analyzers, analyzer):
+        tokens = tokens.repartition(layout.shards, "shard")
+    tokens = tokens.withColumn("length", F.size(F.array_compact("tokens")))
     return (
         postings_of(explode_tokens(tokens, keys), keys)
         .withColumn("bucket", layout.bucket(F.col("field"), F.col("term")))

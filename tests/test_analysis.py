@@ -7,9 +7,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import findery as fy
+from findery import runtime
 from findery.functions import analysis as an
 from findery.operators import tokens as tk
-from findery.operators.segment import segment
+from findery.operators.segment import Segmenter, segment
 
 
 def analyzed(spark, analyzer, *texts):
@@ -61,12 +63,19 @@ def test_per_field(spark):
 DICTIONARY = ["试题", "标题", "题标", "试题标", "AB-1200", "QX 77", "锅", "  升高 。"]
 
 
-@pytest.mark.parametrize("max_lookup", [0, 1000])
-def test_segmentation(spark, max_lookup):
+@pytest.fixture(params=["broadcast", "shuffle"])
+def sides(request, monkeypatch):
+    """The same joins with and without broadcasts."""
+    if request.param == "shuffle":
+        monkeypatch.setattr(runtime, "BROADCAST_MAX_ROWS", -1)
+    return request.param
+
+
+def test_segmentation(spark, sides):
     texts = ["试题标题甲", "用 AB-1200 试题, 标题 x", "", None, "QX 77 qx  77 ab-1200b 题标题", "升高。升,高"]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
     words = spark.createDataFrame([(w,) for w in DICTIONARY], "word string")
-    rows = segment(df, ["i"], "t", words, max_lookup=max_lookup).orderBy("i").collect()
+    rows = segment(df, ["i"], "t", words).orderBy("i").collect()
     assert [r["tokens"] for r in rows] == [
         ["试题标", "题", "甲"],
         ["用", "ab-1200", "试题", "标题", "x"],
@@ -86,13 +95,45 @@ def _longest_match(text: str, words: set[str]) -> list[str]:
     return tokens
 
 
-def test_both_segmentations_against_brute_force(spark):
+def test_segmentation_against_brute_force(spark, sides):
     rng = random.Random(3)
     texts = ["".join(rng.choice("天地玄黄") for _ in range(rng.choice([0, 1, 5, 700]))) for _ in range(25)]
     words = {"".join(rng.choice("天地玄黄") for _ in range(rng.randint(2, 6))) for _ in range(40)}
     df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
     table = spark.createDataFrame([(w,) for w in words], "word string")
     want = [_longest_match(t, words) for t in texts]
-    for max_lookup in (0, 1000):
-        rows = segment(df, ["i"], "t", table, max_lookup=max_lookup).orderBy("i").collect()
-        assert [r["tokens"] for r in rows] == want
+    rows = segment(df, ["i"], "t", table).orderBy("i").collect()
+    assert [r["tokens"] for r in rows] == want
+
+
+def test_index_and_search_by_a_dictionary(spark, sides, tmp_path):
+    talks = spark.createDataFrame([(1, "天地玄黄宇宙", "天地 x"), (2, "玄黄天地", "y"), (3, "地玄", None)], "id int, han string, plain string")
+    store = fy.IndexStore(spark, str(tmp_path / "i"), shards=2, buckets=2, analyzers={"han": Segmenter(spark.createDataFrame([("天地",), ("玄黄宇",), ("玄黄",)], "word string"))})
+    store.replace(talks, "id", ["han", "plain"])
+    index = store.open()
+    terms = {(r["field"], r["term"]): r["df"] for r in index.term_stats().collect()}
+    assert terms == {("han", "天地"): 2, ("han", "玄黄宇"): 1, ("han", "玄黄"): 1, ("han", "宙"): 1, ("han", "地"): 1, ("han", "玄"): 1, ("plain", "天地"): 1, ("plain", "x"): 1, ("plain", "y"): 1}
+    queries = spark.createDataFrame([(1, "玄黄天地"), (2, "地"), (3, "玄黄宇 宙 x")], "query_id bigint, text string")
+    found = fy.search_keywords(index, queries, 5, fields="han", operator="and").collect()
+    assert {(r["query_id"], r["doc_id"]) for r in found} == {(1, 2), (2, 3)}
+    both = fy.search_keywords(index, queries, 5, operator="and").collect()
+    assert {(r["query_id"], r["doc_id"]) for r in both} == {(1, 2), (2, 3), (3, 1)}
+    assert [r["doc_id"] for r in fy.search_phrase(index, queries.filter("query_id = 1"), "han").collect()] == [2]
+    store.upsert(spark.createDataFrame([(3, "玄黄宇", "z", 1)], "id int, han string, plain string, seq int"), "seq")
+    assert {r["doc_id"] for r in fy.search_term(store.open(), spark.createDataFrame([(1, "玄黄宇")], "query_id bigint, text string"), "han").collect()} == {1, 3}
+
+
+def test_a_dictionary_of_a_million_entries(spark):
+    han = "".join(chr(0x4E00 + k) for k in range(100))
+    sign = lambda n: F.substring(F.lit(han), (F.floor(F.col("id") / n) % 100 + 1).cast("int"), F.lit(1))
+    words = spark.range(1_000_000, numPartitions=4).select(F.concat(sign(1), sign(100), sign(10_000)).alias("word"))
+    rng = random.Random(1)
+    texts = ["".join(rng.choice(han) for _ in range(n)) for n in (0, 1, 2, 3, 8, 300)]
+    rows = segment(spark.createDataFrame(list(enumerate(texts)), "i int, t string"), ["i"], "t", words).orderBy("i").collect()
+    assert [r["tokens"] for r in rows] == [[t[k : k + 3] for k in range(0, len(t) - len(t) % 3, 3)] + list(t[len(t) - len(t) % 3 :]) for t in texts]
+
+
+def test_segmentation_runs_no_python(spark):
+    df = spark.createDataFrame([(1, "天地")], "i int, t string")
+    plan = segment(df, ["i"], "t", spark.createDataFrame([("天地",)], "word string"))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
