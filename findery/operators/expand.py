@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from findery.functions.scoring import MIN_SIMILARITY, fuzzy_boost, similarity
-from findery.runtime import fits_broadcast
+from findery.runtime import any_of, fits_broadcast
 
 _ANCHOR = 3
+PUSHED_STARTS = 64
 
 
 def pattern_regex(pattern: Column) -> Column:
@@ -97,7 +98,9 @@ def wildcard_terms(patterns: DataFrame, terms: DataFrame, *, prefix_only: bool =
     used = [(r["kind"], r["width"]) for r in anchored.select("kind", "width").distinct().collect()]
     if not used:
         used = [("length", 0)]
-    if any(kind != "start" for kind, _ in used):
+    if all(kind == "start" for kind, _ in used):
+        terms = terms.filter(_starting(anchored))
+    else:
         terms = _spread(terms)
     keyed = terms.withColumn("k", F.explode(F.concat(*[_term_anchors(k, w) for k, w in sorted(used)])))
     keyed = keyed.select("*", "k.kind", "k.width", "k.anchor").drop("k")
@@ -106,6 +109,18 @@ def wildcard_terms(patterns: DataFrame, terms: DataFrame, *, prefix_only: bool =
     return keyed.join(small, ["field", "kind", "width", "anchor"]).filter(matches).drop("kind", "width", "anchor")
 
 
+def _starting(anchored: DataFrame) -> Column:
+    """A condition that terms matching patterns with a literal start meet. It is pushed to the files of the vocabulary, whose
+    rows are sorted by field and term; more than ``PUSHED_STARTS`` starts are shortened until there are no more."""
+    start = F.when(F.col("pattern").contains("*") | F.col("pattern").contains("?"), F.regexp_extract("pattern", "^([^*?]*)", 1)).otherwise(F.col("pattern"))
+    starts = anchored.select("field", start.alias("start"))
+    for width in (64, 16, 8, 4, 3, 2, 1):
+        found = starts.select("field", F.left("start", F.lit(width)).alias("start")).distinct().limit(PUSHED_STARTS + 1).collect()
+        if len(found) <= PUSHED_STARTS:
+            return any_of([(F.col("field") == r["field"]) & F.col("term").startswith(r["start"]) for r in found])
+    return F.lit(True)
+
+
 def _matches(term: Column, pattern: Column) -> Column:
     """Does the term match the pattern? Patterns with ``*`` at their ends only need no regular expression."""
     core = F.regexp_replace(pattern, r"^\*+|\*+$", "")

@@ -3,7 +3,8 @@
 Layout. Every document belongs to one *shard*, a hash of its key, and all its postings stay in that
 shard. Matching, scoring and the first top-k of a search therefore need no shuffle, and a term that
 occurs in a third of all documents is spread evenly over all shards. Within a shard, postings are
-grouped by *bucket*, a hash of the term, so that a search reads only the buckets of its terms.
+grouped by *bucket*, a hash of the term, so that a search reads only the buckets of its terms, and sorted
+by *block*, another hash of it, so that of a bucket's file it reads only the pages of its terms' blocks.
 
 Term statistics and the document count are additive rows: adding documents appends counts, replacing
 them also appends the negated counts of the old versions, and a reader sums what it needs.
@@ -32,7 +33,11 @@ SHARD_BYTES = 1024**3
 FILE_BYTES = 128 * 1024**2
 MAX_BUCKETS = 64
 
-POSTING_COLUMNS = ("field", "term", "doc_id", "tf", "length", "positions", "shard", "batch", "bucket")
+# Terms of a bucket stand in this many blocks, by hash. Postings are sorted by block, so that a search for few terms skips the
+# pages of all other blocks.
+BLOCKS = 1 << 16
+
+POSTING_COLUMNS = ("block", "field", "term", "doc_id", "tf", "length", "positions", "shard", "batch", "bucket")
 
 
 @dataclass(frozen=True)
@@ -67,6 +72,16 @@ class Layout:
     def bucket(self, name: Column, term: Column) -> Column:
         return F.pmod(F.xxhash64(name, term), F.lit(self.buckets)).cast("int")
 
+    @staticmethod
+    def block(name: Column, term: Column) -> Column:
+        """Taken from other bits of the hash than the bucket."""
+        return F.pmod(F.shiftright(F.xxhash64(name, term), 32), F.lit(BLOCKS)).cast("int")
+
+    def placed(self, terms: DataFrame) -> DataFrame:
+        """Terms (field, term, …) with their bucket and block."""
+        name, term = F.col("field"), F.col("term")
+        return terms.withColumns({"bucket": self.bucket(name, term), "block": self.block(name, term)})
+
 
 @cache
 def _shard_labels(spark: SparkSession, shards: int) -> tuple[int, ...]:
@@ -158,11 +173,7 @@ def make_postings(
     if by_table(analyzers, analyzer):
         tokens = tokens.repartition(layout.shards, "shard")
     tokens = tokens.withColumn("length", F.size(F.array_compact("tokens")))
-    return (
-        postings_of(explode_tokens(tokens, keys), keys)
-        .withColumn("bucket", layout.bucket(F.col("field"), F.col("term")))
-        .select(*POSTING_COLUMNS)
-    )
+    return layout.placed(postings_of(explode_tokens(tokens, keys), keys)).select(*POSTING_COLUMNS)
 
 
 def make_terms(postings: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from findery.functions import scoring
@@ -19,7 +19,7 @@ from findery.operators.expand import fuzzy_terms, wildcard_terms
 from findery.operators.phrase import phrase_freq
 from findery.operators.tokens import analyze, explode_tokens
 from findery.plans.index import DOC, SEQ, TextIndex, without_removed
-from findery.runtime import broadcast_if_small, cut, fits_broadcast
+from findery.runtime import any_of, broadcast_if_small, cut, measured, ranges
 
 KINDS = ("terms", "term", "prefix", "wildcard", "fuzzy", "phrase")
 _CLAUSE = ("query_id", "clause_id")
@@ -29,6 +29,9 @@ _ALONE = ("query_id", "units", "required")
 _AMONG_OTHERS = (*_ALONE, "clause_id", "role", "n_clauses", "n_must")
 _ROLES = {"should": 0, "must": 1, "must_not": 2}
 _CONSTANT = ("prefix", "wildcard")
+# Conditions pushed to the files: on blocks of terms, and on ids of stored rows.
+PUSHED_BLOCKS = 64
+PUSHED_IDS = 2_048
 
 
 def make_clauses(
@@ -183,12 +186,25 @@ def _build_side(terms: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(terms) if small else terms
 
 
+def _blocks() -> Column:
+    """The blocks of query terms: at most as many numbers as there are blocks."""
+    return F.sort_array(F.collect_set("block"))
+
+
+def _in_blocks(index: TextIndex, blocks: Sequence[int]) -> DataFrame:
+    """The postings in the blocks of the query terms. The condition is pushed to the files, which skip pages by it; more than
+    ``PUSHED_BLOCKS`` blocks are covered by as many ranges."""
+    block = F.col("block")
+    wanted = [block == a if a == b else block.between(a, b) for a, b in ranges(blocks, PUSHED_BLOCKS)]
+    return index.postings.filter(any_of(wanted))
+
+
 def _term_hits(
-    index: TextIndex, weighted: DataFrame, kinds: Sequence[str], clause: Sequence[str], many_fields: bool
+    postings: DataFrame, weighted: DataFrame, kinds: Sequence[str], clause: Sequence[str], many_fields: bool
 ) -> DataFrame:
     """Clause scores of the documents that hold the weighted terms."""
     norm = scoring.tf(F.col("tf")) * scoring.length_norm(F.col("length"))
-    matches = index.postings.select(
+    matches = postings.select(
         "field", "term", "doc_id", "tf", "length", "shard", "batch", "bucket"
     ).join(weighted, ["bucket", "field", "term"])
     constant = F.col("constant")
@@ -223,10 +239,10 @@ def _term_hits(
     return per_clause.filter("complete >= required").select(*clause, *DOC, (F.col("contrib") * inner).alias("contrib"))
 
 
-def _phrase_hits(index: TextIndex, phrases: DataFrame, clause: Sequence[str], max_slop: int) -> DataFrame:
+def _phrase_hits(postings: DataFrame, phrases: DataFrame, clause: Sequence[str], max_slop: int) -> DataFrame:
     scale = F.col("weight") * scoring.length_norm(F.col("length"))
     matches = (
-        index.postings.select("field", "term", "doc_id", "length", "positions", "shard", "batch", "bucket")
+        postings.select("field", "term", "doc_id", "length", "positions", "shard", "batch", "bucket")
         .join(phrases, ["bucket", "field", "term"])
         .select(*clause, "field", *DOC, scale.alias("scale"), "slots", "slop", "repeats", "slot", "positions")
     )
@@ -254,8 +270,8 @@ def score_clauses(
     terms_small = words_small = False
     if term_kinds:
         terms = _query_terms(index, clauses, term_kinds, many_fields)
-        terms = cut(terms.withColumn("bucket", index.layout.bucket(F.col("field"), F.col("term"))))
-        terms_small = fits_broadcast(terms)
+        terms = cut(index.layout.placed(terms))
+        terms_small, term_blocks = measured(terms, _blocks())
         if all(k in _CONSTANT for k in term_kinds):
             weighted = terms.withColumn("idf", F.lit(0.0))
         else:
@@ -269,8 +285,8 @@ def score_clauses(
         )
     if "phrase" in kinds:
         words = _phrase_terms(index, clauses).withColumn("constant", F.lit(False))
-        words = cut(words.withColumn("bucket", index.layout.bucket(F.col("field"), F.col("term"))))
-        words_small = fits_broadcast(words)
+        words = cut(index.layout.placed(words))
+        words_small, word_blocks = measured(words, _blocks())
         phrases = cut(_with_idf(index, words, words_small))
         # Each field has a phrase of its own.
         idf_sum = phrases.groupBy(*_CLAUSE, "field").agg(F.sum("idf").alias("idf_sum"))
@@ -291,13 +307,15 @@ def score_clauses(
         scaled = weighted.join(context, list(_CLAUSE)).select(
             *clause, *needed, (weight * F.col("query_norm")).alias("weight")
         )
-        hits.append(_term_hits(index, _build_side(scaled, terms_small), term_kinds, clause, many_fields))
+        index_part = _in_blocks(index, term_blocks)
+        hits.append(_term_hits(index_part, _build_side(scaled, terms_small), term_kinds, clause, many_fields))
     if phrases is not None:
         needed = ("bucket", "field", "term", "slot", "slots", "slop", "repeats")
         scaled = phrases.join(context, list(_CLAUSE)).select(
             *clause, *needed, (F.pow("idf_sum", F.lit(2)) * F.col("query_norm")).alias("weight")
         )
-        hits.append(_phrase_hits(index, _build_side(scaled, words_small), clause, max_slop))
+        index_part = _in_blocks(index, word_blocks)
+        hits.append(_phrase_hits(index_part, _build_side(scaled, words_small), clause, max_slop))
     # A union keeps the placement by shard only where that column was named anew in each input.
     hits = [h.withColumnRenamed("shard", "home") for h in hits]
     clause_hits = reduce(DataFrame.unionByName, hits)
@@ -321,24 +339,26 @@ def score_clauses(
     return without_removed(scored, index.removed)
 
 
-def top_hits(scored: DataFrame, k: int) -> DataFrame:
-    """The best k documents of each query with their rank and the number of all matches.
+def top_hits(scored: DataFrame, k: int, *, total: bool = True) -> DataFrame:
+    """The best k documents of each query with their rank and, with ``total``, the number of all matches.
 
     Each shard ranks and counts its own hits in place; the shuffle carries k rows per query and
-    shard. Ties are broken by ``doc_id``.
+    shard. Ties are broken by ``doc_id``. Without the number of matches a hit beyond the k-th is dropped while the
+    shard's hits are ranked, and again while those of a query are.
     """
     best_first = [F.desc("score"), F.asc("doc_id")]
     in_shard = Window.partitionBy("query_id", "shard").orderBy(*best_first)
-    everything = in_shard.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    local = (
-        scored.withColumn("place", F.row_number().over(in_shard))
-        .withColumn("shard_hits", F.count("*").over(everything))
-        .filter(F.col("place") <= max(k, 1))
-    )
+    placed = scored.withColumn("place", F.row_number().over(in_shard))
     of_query = Window.partitionBy("query_id").orderBy(*best_first)
+    rank = F.row_number().over(of_query)
+    if not total:
+        ranked = placed.filter(F.col("place") <= k).drop("place").withColumn("rank", rank).filter(F.col("rank") <= k)
+        return ranked.select("query_id", *DOC, "score", F.col("rank").cast("long").alias("rank"))
+    everything = in_shard.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    local = placed.withColumn("shard_hits", F.count("*").over(everything)).filter(F.col("place") <= max(k, 1))
     all_of_query = of_query.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return (
-        local.withColumn("rank", F.row_number().over(of_query).cast("long"))
+        local.withColumn("rank", rank.cast("long"))
         .withColumn("total_hits", F.sum(F.when(F.col("place") == 1, F.col("shard_hits"))).over(all_of_query))
         .filter(F.col("rank") <= k)
         .select("query_id", *DOC, "score", "rank", "total_hits")
@@ -346,12 +366,11 @@ def top_hits(scored: DataFrame, k: int) -> DataFrame:
 
 
 def _search(
-    index: TextIndex, clauses: DataFrame, kind: str, k: int, fields: Sequence[str], max_slop: int = 0
+    index: TextIndex, clauses: DataFrame, kind: str, k: int, fields: Sequence[str], total: bool, max_slop: int = 0
 ) -> DataFrame:
     many = len(fields) > 1
-    return top_hits(
-        score_clauses(index, clauses, [kind], many_clauses=False, many_fields=many, max_slop=max_slop), k
-    )
+    scored = score_clauses(index, clauses, [kind], many_clauses=False, many_fields=many, max_slop=max_slop)
+    return top_hits(scored, k, total=total)
 
 
 def _fields(index: TextIndex, fields: Sequence[str] | str | None) -> list[str]:
@@ -363,41 +382,51 @@ def _fields(index: TextIndex, fields: Sequence[str] | str | None) -> list[str]:
 
 
 def search_keywords(
-    index: TextIndex, queries: DataFrame, k: int = 3, *, fields: Sequence[str] | str | None = None, operator: str = "or"
+    index: TextIndex, queries: DataFrame, k: int = 3, *, fields: Sequence[str] | str | None = None, operator: str = "or",
+    total: bool = True,
 ) -> DataFrame:
     """Keyword search over one, several or (by default) all indexed fields.
 
-    With ``operator="and"`` a document must hold every query word, in any of the fields.
+    With ``operator="and"`` a document must hold every query word, in any of the fields. Like all searches it is cheaper
+    without the ``total`` number of hits.
     """
     names = _fields(index, fields)
-    return _search(index, make_clauses(queries, "terms", names, operator=operator), "terms", k, names)
+    return _search(index, make_clauses(queries, "terms", names, operator=operator), "terms", k, names, total)
 
 
-def search_term(index: TextIndex, queries: DataFrame, field: str, k: int = 3, *, normalize: bool = False) -> DataFrame:
+def search_term(
+    index: TextIndex, queries: DataFrame, field: str, k: int = 3, *, normalize: bool = False, total: bool = True
+) -> DataFrame:
     """The keyword as one term, not analyzed (``normalize`` lower-cases it)."""
-    return _search(index, make_clauses(queries, "term", _fields(index, field), normalize=normalize), "term", k, [field])
+    return _search(index, make_clauses(queries, "term", _fields(index, field), normalize=normalize), "term", k, [field], total)
 
 
-def search_prefix(index: TextIndex, queries: DataFrame, field: str, k: int = 3, *, normalize: bool = False) -> DataFrame:
-    return _search(index, make_clauses(queries, "prefix", _fields(index, field), normalize=normalize), "prefix", k, [field])
+def search_prefix(
+    index: TextIndex, queries: DataFrame, field: str, k: int = 3, *, normalize: bool = False, total: bool = True
+) -> DataFrame:
+    return _search(index, make_clauses(queries, "prefix", _fields(index, field), normalize=normalize), "prefix", k, [field], total)
 
 
-def search_wildcard(index: TextIndex, queries: DataFrame, field: str, k: int = 3, *, normalize: bool = False) -> DataFrame:
+def search_wildcard(
+    index: TextIndex, queries: DataFrame, field: str, k: int = 3, *, normalize: bool = False, total: bool = True
+) -> DataFrame:
     """Terms matching a pattern: ``*`` any text, ``?`` one character."""
-    return _search(index, make_clauses(queries, "wildcard", _fields(index, field), normalize=normalize), "wildcard", k, [field])
+    return _search(index, make_clauses(queries, "wildcard", _fields(index, field), normalize=normalize), "wildcard", k, [field], total)
 
 
-def search_fuzzy(index: TextIndex, queries: DataFrame, field: str, k: int = 3, *, normalize: bool = False) -> DataFrame:
+def search_fuzzy(
+    index: TextIndex, queries: DataFrame, field: str, k: int = 3, *, normalize: bool = False, total: bool = True
+) -> DataFrame:
     """Terms within edit distance of the keyword (similarity above one half)."""
-    return _search(index, make_clauses(queries, "fuzzy", _fields(index, field), normalize=normalize), "fuzzy", k, [field])
+    return _search(index, make_clauses(queries, "fuzzy", _fields(index, field), normalize=normalize), "fuzzy", k, [field], total)
 
 
-def search_phrase(index: TextIndex, queries: DataFrame, field: str, k: int = 3, *, slop: int = 0) -> DataFrame:
+def search_phrase(index: TextIndex, queries: DataFrame, field: str, k: int = 3, *, slop: int = 0, total: bool = True) -> DataFrame:
     """The query words in order, with at most ``slop`` places of disorder."""
-    return _search(index, make_clauses(queries, "phrase", _fields(index, field), slop=slop), "phrase", k, [field], slop)
+    return _search(index, make_clauses(queries, "phrase", _fields(index, field), slop=slop), "phrase", k, [field], total, slop)
 
 
-def search_boolean(index: TextIndex, clauses: DataFrame, k: int = 3) -> DataFrame:
+def search_boolean(index: TextIndex, clauses: DataFrame, k: int = 3, *, total: bool = True) -> DataFrame:
     """Boolean combinations.
 
     ``clauses`` has query_id, clause_id, kind, text, occur (should, must, must_not), and optionally
@@ -406,9 +435,8 @@ def search_boolean(index: TextIndex, clauses: DataFrame, k: int = 3) -> DataFram
     full = cut(_full_clauses(index, clauses))
     kinds = {r["kind"]: r["slop"] for r in full.groupBy("kind").agg(F.max("slop").alias("slop")).limit(len(KINDS) + 1).collect()}
     max_slop = max(kinds.values(), default=0)
-    return top_hits(
-        score_clauses(index, full, list(kinds), many_clauses=True, many_fields=True, max_slop=max_slop), k
-    )
+    scored = score_clauses(index, full, list(kinds), many_clauses=True, many_fields=True, max_slop=max_slop)
+    return top_hits(scored, k, total=total)
 
 
 def _full_clauses(index: TextIndex, clauses: DataFrame) -> DataFrame:
@@ -438,7 +466,24 @@ def attach_stored(index: TextIndex, top: DataFrame, fields: Sequence[str] | None
     """Stored fields of the hits, read from the shards that hold one."""
     names = list(fields) if fields is not None else [c for c in index.stored.columns if c not in (*DOC, SEQ)]
     top = cut(top)
-    # At most one number per shard of the layout.
-    shards = [r["shard"] for r in top.select("shard").distinct().collect()]
-    wanted = index.stored.filter(F.col("shard").isin(shards)).select(*DOC, *[F.col(f"`{n}`") for n in names])
+    wanted = index.stored.filter(_with_ids(top)).select(*DOC, *[F.col(f"`{n}`") for n in names])
     return wanted.join(broadcast_if_small(top), list(DOC))
+
+
+def _with_ids(top: DataFrame) -> Column:
+    """A condition on stored rows that the hits' rows meet: their shards, batches and ids, or, where there are more than
+    ``PUSHED_IDS`` ids, the span of each shard's ids. Stored rows are sorted by id within a shard, so the files skip pages by it."""
+    ids = top.select(*DOC).distinct()
+    span = ids.groupBy("shard", "batch").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("n"))
+    # At most one row per shard and batch of the index.
+    spans = span.collect()
+    own: dict[tuple, list] = {(r["shard"], r["batch"]): [] for r in spans}
+    if sum(r["n"] for r in spans) <= PUSHED_IDS:
+        for r in ids.collect():
+            own[r["shard"], r["batch"]].append(r["doc_id"])
+    doc, parts = F.col("doc_id"), []
+    for r in spans:
+        exact = own[r["shard"], r["batch"]]
+        inside = any_of([doc == F.lit(i) for i in sorted(exact)]) if exact else doc.between(F.lit(r["least"]), F.lit(r["most"]))
+        parts.append((F.col("shard") == r["shard"]) & (F.col("batch") == r["batch"]) & inside)
+    return any_of(parts) & F.col("batch").isin(sorted({r["batch"] for r in spans}))

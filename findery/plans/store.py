@@ -161,14 +161,14 @@ class IndexStore:
     def _postings_table(self, settings: dict, rows: Sequence[Mapping] = (), small: bool = False) -> str:
         """Of small batches the bucket is a column, of others a partition."""
         columns = (
-            f"field string, term string, doc_id {settings['key_type']}, tf int, length int, positions array<int>, "
+            f"block int, field string, term string, doc_id {settings['key_type']}, tf int, length int, positions array<int>, "
             "shard int, batch bigint, bucket int"
         )
         rows = [r for r in rows if bool(r["small"]) == small]
         if small:
-            return self._table("postings_small", columns, "batch", "bucket, field, term, doc_id", settings, [(r["batch"],) for r in rows])
+            return self._table("blocks_small", columns, "batch", "block, field, term, doc_id", settings, [(r["batch"],) for r in rows])
         wanted = [(r["batch"], bucket) for r in rows for bucket in _buckets(r, settings)]
-        return self._table("postings", columns, "batch, bucket", "field, term, doc_id", settings, wanted)
+        return self._table("blocks", columns, "batch, bucket", "block, field, term, doc_id", settings, wanted)
 
     def _stored_table(self, settings: dict, rows: Sequence[Mapping] = ()) -> str:
         schema = T.StructType.fromJson(json.loads(settings["stored"]))
@@ -413,7 +413,7 @@ class IndexStore:
 
     def _batch_folders(self) -> Iterator[tuple[str, int, int]]:
         for table, _ in self._entries(""):
-            if table in ("terms", "removed") or table.startswith(("postings", "stored-")):
+            if table in ("terms", "removed") or table.startswith(("blocks", "stored-")):
                 for name, changed in self._entries(table):
                     if match := re.fullmatch(r"batch=(\d+)", name):
                         yield table, int(match[1]), changed

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,8 +37,8 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Measure a table: do its rows and text bytes stay below the broadcast bounds?"""
+def measured(df: DataFrame, *aggregates: Column) -> tuple:
+    """Measure a table in one job: do its rows and text bytes stay below the broadcast bounds? And further aggregates."""
     fixed = 16 * len(df.columns)
     width = F.lit(fixed).cast("long")
     for field in df.schema.fields:
@@ -45,8 +46,27 @@ def fits_broadcast(df: DataFrame) -> bool:
             width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
         elif isinstance(field.dataType, T.ArrayType):
             width = width + 32 * F.greatest(F.size(field.name), F.lit(0))
-    rows, size = df.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
-    return rows <= BROADCAST_MAX_ROWS and size <= BROADCAST_MAX_BYTES
+    rows, size, *more = df.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0)), *aggregates).first()
+    return rows <= BROADCAST_MAX_ROWS and size <= BROADCAST_MAX_BYTES, *more
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    return measured(df)[0]
+
+
+def any_of(conditions: Sequence[Column]) -> Column:
+    """Is one of them true? A balanced tree, so that hundreds of them nest only a few levels deep."""
+    parts = list(conditions) or [F.lit(False)]
+    while len(parts) > 1:
+        parts = [a | b for a, b in zip(parts[::2], parts[1::2], strict=False)] + parts[len(parts) & ~1 :]
+    return parts[0]
+
+
+def ranges(values: Sequence[int], most: int) -> list[tuple[int, int]]:
+    """At most ``most`` ranges that hold sorted numbers; the widest gaps stay between them."""
+    gaps = sorted(range(1, len(values)), key=lambda i: values[i - 1] - values[i])[: most - 1]
+    starts = [0, *sorted(i for i in gaps if values[i] - values[i - 1] > 1)]
+    return [(values[a], values[b - 1]) for a, b in zip(starts, [*starts[1:], len(values)], strict=True)] if values else []
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:

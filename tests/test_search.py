@@ -7,6 +7,8 @@ import math
 import random
 from collections import Counter
 
+import pytest
+
 import findery as fy
 from conftest import TITLES, hits
 from findery.functions import analysis as an
@@ -243,3 +245,111 @@ def test_a_query_word_is_one_unit_in_unlike_fields(spark, ask):
     both = fy.search_keywords(index, ask("锅炉压力 valve", "valve src6", "压力 valve"), 9, operator="and")
     assert {q: [d for d, _ in found] for q, found in hits(both).items()} == {1: [1], 2: [1], 3: [1]}
     assert {d for d, _ in hits(fy.search_keywords(index, ask("valve src6"), 9))[1]} == {1, 2, 3}
+
+
+def scanned(frame, table: str) -> tuple[int, str]:
+    """Rows that came out of the scans of a table's files, after pages were skipped, and their plan."""
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan()
+    rows, text, left = 0, [], [plan]
+    while left:
+        node = left.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            left.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStageExec"):
+            left.append(node.plan())
+            continue
+        if name == "FileSourceScanExec" and table in node.toString():
+            rows += node.metrics().apply("numOutputRows").value()
+            text.append(node.verboseStringWithOperatorId())
+        children = node.children()
+        left += [children.apply(i) for i in range(children.size())]
+    return rows, "\n".join(text)
+
+
+@pytest.fixture(scope="module")
+def paged(spark, tmp_path_factory):
+    """An index whose files have many small pages."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("parquet.page.row.count.limit", "100")
+    conf.set("parquet.block.size", str(64 * 1024))
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    store = fy.IndexStore(spark, str(tmp_path_factory.mktemp("paged") / "index"), shards=2, buckets=1)
+    store.replace(docs, "doc_id", ["text"])
+    yield store.open()
+    conf.unset("parquet.page.row.count.limit")
+    conf.unset("parquet.block.size")
+
+
+def test_a_search_reads_the_blocks_of_its_terms(spark, paged, ask):
+    postings = paged.postings.count()
+    words = [r["term"] for r in paged.term_stats().filter("df BETWEEN 3 AND 9").orderBy("term").limit(400).collect()]
+    reads = []
+    for n in (2, 40, 400):
+        frame = fy.search_keywords(paged, ask(" ".join(words[:n])), 3)
+        rows, plan = scanned(frame, "_blocks_")
+        reads.append(rows)
+        assert "PushedFilters" in plan and "block" in plan
+    assert 0 < reads[0] < postings / 20 and reads[0] < reads[1] < reads[2] <= postings
+    phrase, plan = scanned(fy.search_phrase(paged, ask(" ".join(words[:2])), "text"), "_blocks_")
+    assert phrase < postings / 20
+
+
+def test_stored_rows_are_read_by_id(spark, paged, ask):
+    queries = ask(*[r["term"] for r in paged.term_stats().filter("df < 4").orderBy("term").limit(10).collect()])
+    top = fy.search_keywords(paged, queries, 3)
+    frame = fy.attach_stored(paged, top, ["text"])
+    rows, plan = scanned(frame, "_stored_")
+    assert frame.count() == top.count() and rows < paged.doc_count and "EqualTo(doc_id" in plan
+
+
+def test_many_ids_are_read_by_their_span(spark, title_index, ask, monkeypatch):
+    from findery.plans import search
+
+    want = sorted(map(tuple, fy.attach_stored(title_index, fy.search_keywords(title_index, ask("valve pressure the"), 9)).collect()), key=repr)
+    monkeypatch.setattr(search, "PUSHED_IDS", 1)
+    monkeypatch.setattr(search, "PUSHED_BLOCKS", 1)
+    assert sorted(map(tuple, fy.attach_stored(title_index, fy.search_keywords(title_index, ask("valve pressure the"), 9)).collect()), key=repr) == want
+    assert fy.attach_stored(title_index, fy.search_keywords(title_index, ask("nothing"), 9)).count() == 0
+
+
+def test_a_prefix_reads_its_range_of_the_vocabulary(spark, paged, ask):
+    from findery.operators.expand import wildcard_terms
+
+    patterns = spark.createDataFrame([("text", "qu"), ("text", "we")], "field string, pattern string")
+    found = wildcard_terms(patterns, paged.terms, prefix_only=True)
+    rows, plan = scanned(found, "terms")
+    want = {r["term"] for r in paged.term_stats().collect() if r["term"].startswith(("qu", "we"))}
+    assert {r["term"] for r in found.collect()} == want and len(want) > 5
+    assert "StringStartsWith(term,qu)" in plan and rows < paged.terms.count() / 3
+    starred = wildcard_terms(spark.createDataFrame([("text", "qu*"), ("text", "w?e*")], "field string, pattern string"), paged.terms)
+    assert "StringStartsWith(term,qu)" in scanned(starred, "terms")[1]
+
+
+def test_more_starts_than_can_be_pushed_are_shortened(spark, paged, monkeypatch):
+    from findery.operators import expand
+
+    starts = sorted({r["term"][:3] for r in paged.term_stats().limit(300).collect() if len(r["term"]) > 3})
+    patterns = spark.createDataFrame([("text", s) for s in starts], "field string, pattern string")
+    want = {(r["pattern"], r["term"]) for r in expand.wildcard_terms(patterns, paged.terms, prefix_only=True).collect()}
+    monkeypatch.setattr(expand, "PUSHED_STARTS", 3)
+    assert {(r["pattern"], r["term"]) for r in expand.wildcard_terms(patterns, paged.terms, prefix_only=True).collect()} == want
+
+
+def test_without_total_hits_the_ranking_is_limited(spark, title_index, ask):
+    queries = ask("valve pressure the closes", "pump", "nothing")
+    with_total = fy.search_keywords(title_index, queries, 2)
+    without = fy.search_keywords(title_index, queries, 2, total=False)
+    assert hits(without) == hits(with_total) and "total_hits" not in without.columns
+    assert without._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") >= 2
+
+
+def test_ranges_cover_all_values():
+    from findery.runtime import ranges
+
+    assert ranges([], 4) == [] and ranges([5], 4) == [(5, 5)]
+    assert ranges([1, 2, 3, 10, 11, 50, 90], 3) == [(1, 11), (50, 50), (90, 90)]
+    assert ranges([1, 2, 3, 10, 11, 50, 90], 9) == [(1, 3), (10, 11), (50, 50), (90, 90)]
+    assert ranges([1, 5, 9], 1) == [(1, 9)]
