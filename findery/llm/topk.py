@@ -6,19 +6,22 @@ that a vector of the bucket must reach. Above 1 the bucket is left out. Otherwis
 candidates: the vectors that are long enough (length pruning), or those whose unit components in the query's largest
 coordinates lie in the interval which that cosine allows (coordinate pruning). All candidates are verified by products.
 
-Defined results: vectors that are null or empty or hold null or non-finite components take no part, nor do those of a
-length of 2 ** 31 or more after scaling, whose products might not fit a long; zero vectors take part with score 0; equal
-vectors, repeated rows and ties are exact, ties go to the smaller id; vectors of another dimension than the query are no
+Scores are exact at any length: products that a double cannot hold exactly are summed as long integers, those that a long
+cannot hold as Python's integers. A product that does not fit a long counts as the largest long of its sign.
+
+Defined results: vectors that are null or empty or hold null or non-finite components take no part; zero vectors take part with
+score 0; equal vectors, repeated rows and ties are exact, ties go to the smaller id; vectors of another dimension than the query are no
 candidates; a query with fewer candidates than k gets all of them; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from findery.llm import vectors as vs
@@ -26,8 +29,9 @@ from findery.llm.common import read_table, stored
 
 BUCKET_ROWS = 4096
 FOCUS = 3
-LONGEST = 2.0**31
 SLACK = 1e-9
+EXACT = 2.0**53  # integers below it are exact in a double
+LARGEST = 2**63 - 1
 
 
 def buckets(classes: DataFrame, keep: int, rows: int = BUCKET_ROWS) -> DataFrame:
@@ -83,16 +87,26 @@ class Bucket:
 
     def __init__(self, ids: np.ndarray, vecs: np.ndarray):
         self.ids, self.vecs = ids, vecs
-        self.lengths = np.sqrt((vecs**2).sum(axis=1))
+        with np.errstate(over="ignore"):  # an infinite length prunes nothing
+            self.lengths = np.sqrt((vecs**2).sum(axis=1))
         unit = vecs / np.maximum(self.lengths, 1e-300)[:, None]
         self.order = np.argsort(unit, axis=0, kind="stable")
         self.sorted = np.take_along_axis(unit, self.order, axis=0)
         self.unit = unit
 
     def _products(self, rows: np.ndarray | slice, query: np.ndarray, length: float) -> np.ndarray:
-        if length * self.lengths[0] < 2.0**53:  # then every partial sum is exact in a double
+        if length * self.lengths[0] < EXACT:  # then every partial sum is exact in a double
             return (self.vecs[rows] @ query).astype(np.int64)
-        return self.vecs[rows].astype(np.int64) @ query.astype(np.int64)
+        vecs = self.vecs[rows]
+        with np.errstate(invalid="ignore"):  # a component beyond a long meets zeros only, or is treated below
+            out = vecs.astype(np.int64) @ query.astype(np.int64)
+            far = np.flatnonzero(~(length * self.lengths[rows] < 2.0**62))
+        if len(far):
+            whole = [int(x) for x in query]
+            for k in far.tolist():
+                product = sum(a * int(x) for a, x in zip(whole, vecs[k], strict=True))
+                out[k] = min(max(product, -LARGEST), LARGEST)
+        return out
 
     def candidates(self, query: np.ndarray, length: float, bound: float) -> np.ndarray | slice | None:
         """Rows that may reach the bound; None if the bucket is left out."""
@@ -125,7 +139,8 @@ class Bucket:
         return rows
 
     def top(self, query: np.ndarray, own: int, bound: float, k: int) -> tuple[np.ndarray, np.ndarray]:
-        length = float(np.sqrt((query**2).sum()))
+        with np.errstate(over="ignore"):
+            length = float(np.sqrt((query**2).sum()))
         if not np.isfinite(bound):
             head = slice(0, 8 * k)
             _, scores = vs.best(self._products(head, query, length), self.ids[head], own, k)
@@ -161,12 +176,15 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     return vs.ranked(vs.answered(vs.paired(vs.query_blocks(stored(known), ["bound"]), index), _search(k), "long"), k)
 
 
+def _whole(x: Column) -> Column:
+    """floor(256 * x) in a double; numbers that have no fraction stay, one whose 256-fold is no finite double is the largest."""
+    y = F.greatest(F.least(F.lit(256.0) * x, F.lit(sys.float_info.max)), F.lit(-sys.float_info.max))
+    return F.when(F.abs(y) < EXACT, F.floor(y).cast("double")).otherwise(y)
+
+
 def op2_top_k(spark: SparkSession, folder: str) -> DataFrame:
     plain = vs.usable(read_table(spark, folder, "embeddings"), "vec_id", "embedding")
-    # Checked before the floor, which gives a long.
-    fitting = F.aggregate("vec", F.lit(0.0), lambda a, x: a + F.pow(F.abs(F.lit(256.0) * x) + 1, 2.0)) < LONGEST**2
-    floors = F.transform("vec", lambda x: F.floor(F.lit(256.0) * x).cast("double"))
-    vectors = stored(plain.filter(fitting).select("id", floors.alias("vec")))
+    vectors = stored(plain.select("id", F.transform("vec", _whole).alias("vec")))
     return top_k(vectors, vectors.filter(F.pmod("id", F.lit(50)) == 0))
 
 
