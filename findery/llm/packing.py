@@ -9,7 +9,7 @@ tokens fill, and powers of two for the rest, so nothing is padded.
 A group is a bounded run of documents within an input partition: tokenizing and packing are one pass without a shuffle,
 a task holds one group, and a lost task is simply run again with the same result.
 
-Defined results: a null or empty text is the end id alone; repeated rows are packed each on its own; any length of text is
+Defined results: the string of a special token is that token's id; a null or empty text is the end id alone; repeated rows are packed each on its own; any length of text is
 tokenized whole; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -17,8 +17,10 @@ from __future__ import annotations
 
 import base64
 import heapq
+import json
+import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -58,8 +60,18 @@ class _Memo(dict):
         return ids
 
 
-def encoder(path: str) -> Callable[[str], np.ndarray]:
-    """Text -> ids of the byte-level vocabulary whose ranks the file holds; special tokens' strings are ordinary text.
+def special_tokens(path: str) -> dict[str, int]:
+    """The strings that the vocabulary's JSON file gives ids of their own, wherever they stand in a text."""
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added):
+        raise ValueError("only special tokens that are found as they are")
+    return {t["content"]: t["id"] for t in added}
+
+
+def encoder(path: str, special: Mapping[str, int]) -> Callable[[str], np.ndarray]:
+    """Text -> ids of the byte-level vocabulary whose ranks the file holds; a special string is its id, what stands between
+    such strings is encoded apart.
 
     No piece of the vocabulary's splitting pattern crosses a single blank between two visible characters, so a text is
     encoded chunk by chunk there; a text with other white space around a blank is encoded as a whole.
@@ -82,7 +94,18 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
             return np.array(encoding.encode_ordinary(text), dtype="<u4")
         return np.frombuffer(np.array(encoding.encode_ordinary(first), dtype="<u4").tobytes() + tail, dtype="<u4")
 
-    return encode
+    if not special:
+        return encode
+    # Of special strings that begin at one place the longest counts.
+    strings = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")")
+
+    def encode_parts(text: str) -> np.ndarray:
+        parts = strings.split(text)
+        if len(parts) == 1:
+            return encode(text)
+        return np.concatenate([np.array([special[p]], dtype="<u4") if k % 2 else encode(p) for k, p in enumerate(parts)])
+
+    return encode_parts
 
 
 def place(lengths: list[int], size: int = LENGTH, linear: float = LINEAR, quadratic: float = QUADRATIC):
@@ -143,13 +166,19 @@ def _flush(group: list[tuple[object, np.ndarray]], first: int, id_type: pa.DataT
     return batch, len(costs)
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
-    """One row per piece, columns as in ``SCHEMA``; a sequence's pieces lie side by side from offset 0."""
+def pack(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, json_path: str | None = None
+) -> DataFrame:
+    """One row per piece, columns as in ``SCHEMA``; a sequence's pieces lie side by side from offset 0.
+
+    ``path`` is the vocabulary's rank file and ``json_path`` the JSON file of the same vocabulary, which names its special tokens.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
 
-        encode = encoder(path or public_tokenizers.path("byte_bpe_50k.tiktoken"))
+        special = special_tokens(json_path or public_tokenizers.path("byte_bpe_50k.json"))
+        encode = encoder(path or public_tokenizers.path("byte_bpe_50k.tiktoken"), special)
         end = np.array([END], dtype="<u4")
         sequence = TaskContext.get().partitionId() << 36
         group, tokens = [], 0
