@@ -4,6 +4,8 @@ Candidates are maximal runs of a character class (hexadecimal digits; base-64 ch
 characters that no allow-list pattern names. A window of ``WINDOW`` characters moves over a candidate; the counts of its
 characters and the sum of c * log2(c) change by the character that enters and the one that leaves, so a candidate costs
 its length times its distinct characters. Windows at or above the entropy of the class count, overlapping ones as one span.
+A long candidate is taken in chunks of ``CHUNK`` windows, which overlap by ``WINDOW`` - 1 characters; spans that touch across
+chunks are one span.
 
 Everything is DataFrame operations. Matches of a text become rows, and their places come from the lengths of the matches
 and of the gaps between them, so a text with very many matches stays linear.
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 from findery.llm.common import read_table, stored
 
 WINDOW = 20
+CHUNK = 2048
 # kind -> (pattern, least length of the counted group, group)
 BASE = {
     "assign": (
@@ -63,11 +66,10 @@ def _found(text: Column, kind: str, pattern: str, group: int) -> Column:
     return F.when(text.rlike(pattern), rows).otherwise(empty)
 
 
-def high_entropy(value: str, least: str) -> Column:
-    """The merged spans [start, end) of a candidate whose windows reach the entropy; names of two columns are given."""
+def _entropy_spans(value: str, least: str) -> str:
+    """SQL for the merged spans [start, end) of a string whose windows reach the entropy; its characters are cut apart once."""
     table = "array(" + ", ".join(f"{c * math.log2(c) if c else 0.0!r}D" for c in range(WINDOW + 2)) + ")"
-    chars = f"split({value}, '')"
-    new, old = f"element_at({chars}, i)", f"element_at({chars}, greatest(i - {WINDOW}, 1))"
+    new, old = "element_at(chars, i)", f"element_at(chars, greatest(i - {WINDOW}, 1))"
     full = f"i > {WINDOW}"
 
     def term(key: str, change: int) -> str:
@@ -84,19 +86,32 @@ def high_entropy(value: str, least: str) -> Column:
             'start', CASE WHEN ({hit}) AND NOT ({joins}) THEN i - {WINDOW} ELSE b.start END,
             'stop', CASE WHEN {hit} THEN i ELSE b.stop END,
             'spans', CASE WHEN ({hit}) AND NOT ({joins}) THEN {closed} ELSE b.spans END)), 1)"""
-    keys = f"array_distinct({chars})"
-    return F.expr(
-        f"""aggregate(sequence(1, length({value})),
+    keys = "array_distinct(chars)"
+    return f"""element_at(transform(array(split({value}, '')), chars -> aggregate(sequence(1, length({value})),
             named_struct('counts', map_from_arrays({keys}, array_repeat(0, size({keys}))), 'total', 0D, 'start', -1, 'stop', -1,
                 'spans', cast(array() AS array<struct<start:int,stop:int>>)),
-            (a, i) -> {step}, b -> {closed})"""
-    )
+            (a, i) -> {step}, b -> {closed})), 1)"""
+
+
+def high_entropy(candidates: DataFrame, value: str, least: str) -> DataFrame:
+    """Adds ``islands``: the merged spans (start, stop, text) of a candidate (of ASCII characters) whose windows reach the entropy."""
+    chunks = f"sequence(0, greatest(cast(ceil((octet_length({value}) - {WINDOW - 1}) / {CHUNK}) AS int) - 1, 0))"
+    piece = f"cast(substring(bytes, chunk * {CHUNK} + 1, {CHUNK + WINDOW - 1}) AS string)"
+    moved = f"s -> named_struct('start', s.start + chunk * {CHUNK}, 'stop', s.stop + chunk * {CHUNK})"
+    parts = f"""flatten(element_at(transform(array(cast({value} AS binary)), bytes -> transform({chunks}, chunk ->
+        element_at(transform(array({piece}), piece -> transform({_entropy_spans("piece", least)}, {moved})), 1))), 1))"""
+    first = "filter(_parts, (x, i) -> i = 0 OR x.start > _parts[greatest(i - 1, 0)].stop)"
+    last = "filter(_parts, (x, i) -> i = size(_parts) - 1 OR _parts[least(i + 1, size(_parts) - 1)].start > x.stop)"
+    text = "cast(substring(bytes, a.start + 1, b.stop - a.start) AS string)"
+    islands = f"""element_at(transform(array(cast({value} AS binary)), bytes ->
+        zip_with({first}, {last}, (a, b) -> named_struct('start', a.start, 'stop', b.stop, 'text', {text}))), 1)"""
+    return candidates.withColumn("_parts", F.expr(parts)).withColumn("islands", F.expr(islands)).drop("_parts")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(rows, spans): rows (row, doc_id) has every document; spans (row, kind, start, stop, value) has all that was found.
 
-    ``kind`` is the number in ``KINDS``; ``value`` is the text of the span's match (of a window span, the candidate).
+    ``kind`` is the number in ``KINDS``; ``value`` is the text of the span (of an assignment, the value assigned).
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     patterns = {k: (p, g) for k, (p, _, g) in BASE.items()} | {k: (p, 0) for k, (p, _) in CLASSES.items()}
@@ -118,13 +133,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
     for pattern in ALLOWED:
         allowed = allowed | F.col("value").rlike(pattern)
     bits = F.element_at(F.array(*[F.lit(b) for _, b in CLASSES.values()]), F.col("kind") - len(BASE) + 1)
+    candidates = placed.filter((F.col("kind") >= len(BASE)) & ~allowed).withColumn("bits", bits)
     windows = (
-        placed.filter((F.col("kind") >= len(BASE)) & ~allowed)
-        .withColumn("bits", bits)
-        .withColumn("span", F.explode(high_entropy("value", "bits")))
+        high_entropy(candidates, "value", "bits")
+        # An inner explode would have its input tested, and so computed, a second time.
+        .select("row", "kind", F.col("start").alias("at"), F.explode_outer("islands").alias("span"))
+        .filter(F.col("span").isNotNull())
         .select(
-            "row", "kind", (F.col("start") + F.col("span.start")).alias("start"),
-            (F.col("start") + F.col("span.stop")).alias("stop"), "value",
+            "row", "kind", (F.col("at") + F.col("span.start")).alias("start"), (F.col("at") + F.col("span.stop")).alias("stop"),
+            F.col("span.text").alias("value"),
         )
     )
     return rows.select("row", "doc_id"), base.select("row", "kind", "start", "stop", "value").unionByName(windows)

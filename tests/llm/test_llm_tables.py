@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -106,8 +107,7 @@ def test_packing_is_exact(spark):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
-    odd = ["a  b", " lead", "trail ", "tab\t x", "x\n y", "nb  sp", "<|endoftext|> z", "", None, "ü 漢字 😀 's don't  ", "w " * 3000]
+    odd = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", " <|endoftext|", "a  b", " lead", "trail ", "tab\t x", "x\n y", "nb  sp", "<|endoftext|> z", "", None, "ü 漢字 😀 's don't  ", "w " * 3000]
     docs = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
     rows = packing.pack(docs).collect()
     ids = {k: np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], dtype="<u4") for k, t in enumerate(odd)}
@@ -202,6 +202,53 @@ def test_vector_searches(spark):
     assert ann.nearest(nothing, nothing).count() == topk.top_k(nothing, nothing).count() == 0
 
 
+def test_products_of_any_size(spark, tmp_path):
+    rows = [(0, [1.0, 2.0]), (1, [0.5, 0.5]), (2, [2e7, 0.0]), (3, [1.0, 0.0]), (50, [3e12, -1.0]), (51, [7e300, 1e308]), (52, [-1e306, 0.0]), (100, [0.0, 0.0]), (53, [1e9 + 0.001, 3e9]), (54, None)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = {}
+    for r in sorted(topk.op2_top_k(spark, str(tmp_path)).collect()):
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    whole = {k: [math.floor(256 * x) if abs(256 * x) != math.inf else int(math.copysign(1.7976931348623157e308, x)) for x in v] for k, v in rows if v}
+    for q in (0, 50, 100):
+        scores = {k: min(max(sum(a * b for a, b in zip(whole[q], v, strict=True)), 1 - 2**63), 2**63 - 1) for k, v in whole.items() if k != q}
+        assert got[q] == sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:5]
+    assert got[0][1][0] == 53 or got[0][1][0] == 50
+
+
+def test_long_candidates_cost_in_proportion(spark):
+    random_ = random.Random(9)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+
+    def found(n):
+        text = "".join(random_.choice(letters) for _ in range(n))
+        docs = spark.createDataFrame([(1, "x " + text)], "doc_id long, text string")
+        start = time.perf_counter()
+        rows = sorted(tuple(r) for r in secrets.scan(docs)[1].select("kind", "start", "stop", "value").collect())
+        return time.perf_counter() - start, text, rows
+
+    found(2_000)
+    short, _, _ = found(50_000)
+    long, text, rows = found(100_000)
+    assert long < 30 and long < 3 * short + 3
+    spans = [r for r in rows if r[0] == secrets.KINDS.index("entropy_base64")]
+    log = [c * math.log2(c) if c else 0.0 for c in range(secrets.WINDOW + 1)]
+    want, counts, total = [], Counter(), 0.0
+    for at, letter in enumerate(text):
+        total += log[counts[letter] + 1] - log[counts[letter]]
+        counts[letter] += 1
+        if at >= secrets.WINDOW:
+            old = text[at - secrets.WINDOW]
+            total += log[counts[old] - 1] - log[counts[old]]
+            counts[old] -= 1
+        if at >= secrets.WINDOW - 1 and math.log2(secrets.WINDOW) - total / secrets.WINDOW >= secrets.CLASSES["entropy_base64"][1] - 1e-9:
+            a = at - secrets.WINDOW + 1
+            if want and a <= want[-1][1]:
+                want[-1][1] = at + 1
+            else:
+                want.append([a, at + 1])
+    assert [(s - 2, e - 2, v) for _, s, e, v in spans] == [(a, b, text[a:b]) for a, b in want] and len(spans) > 1
+
+
 def test_personal_data_patterns():
     random_ = random.Random(3)
     forms = [
