@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -138,8 +139,17 @@ def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return span_hashes(data, starts, ends), bounds
 
 
+def released() -> None:
+    """Gives the memory that the worker's earlier tasks left unused back to the system; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cuts batches so that their texts stay near ``size`` bytes; a longer single text stays whole."""
+    released()
     for batch in batches:
         if not batch.num_rows:
             continue

@@ -21,6 +21,7 @@ counts; repeated rows get equal scores; the input's other columns never enter a
 from __future__ import annotations
 
 import pickle
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -188,7 +189,7 @@ def fit(sample: DataFrame, size: int, seed: int = 7) -> Model:
                     logits.append(model.logits(*_joined([words]))[0])
                     answers.append(label)
                     continue
-                texts.append(words.copy())
+                texts.append(words)
                 labels.append(label)
                 held += words.nbytes
                 if len(texts) == BATCH or held > BATCH_BYTES:
@@ -203,7 +204,7 @@ def fit(sample: DataFrame, size: int, seed: int = 7) -> Model:
 
 
 def _words(column: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(w.as_buffer(), dtype=np.int32).reshape(-1, 1 + len(PREFIXES)) for w in column]
+    return [np.frombuffer(zlib.decompress(w.as_buffer()), dtype=np.int32).reshape(-1, 1 + len(PREFIXES)) for w in column]
 
 
 def _step(model: Model, texts: list[np.ndarray], y: np.ndarray, sums: list, rate: float) -> None:
@@ -255,12 +256,12 @@ def _threshold(scores: np.ndarray, toxic: np.ndarray, n: np.ndarray) -> float:
 
 
 def _word_rows(df: DataFrame) -> DataFrame:
-    """(place, part, label, words): the table rows of the words of a table with the doc's ``text``."""
+    """(place, part, label, words): the table rows of the words of a table with the doc's ``text``, compressed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE_BYTES):
             rows, bounds = embedded_rows(batch.column("text"))
-            packed = [rows[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            packed = [zlib.compress(rows[a:b].tobytes(), 1) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("place"), batch.column("part"), batch.column("label"), pa.array(packed, type=pa.binary())],
                 names=["place", "part", "label", "words"],
