@@ -10,7 +10,8 @@ The only window without a key runs over one row per source.
 
 Defined results: a null or empty text has size 0 and takes nothing; a null source is a source of its own, sorted last;
 repeated rows are separate documents; an empty table gives empty tables; other columns of the input are ignored. The
-order of a source is by md5 of the id, then id and size, so reruns agree.
+order of a source is by md5 of id and text, then id and size, so reruns agree, and rows that share an id, or have none, are
+spread like others. Rows of size 0 change nothing and lie anywhere.
 """
 
 from __future__ import annotations
@@ -74,6 +75,20 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], share: float, repeat: in
     )
 
 
+def _sized(docs: DataFrame, row: Column, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """(row, doc_id, source, size, place): what the schedule needs of a document."""
+    name, text = F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.coalesce(F.col(text_col), F.lit(""))
+    sized = docs.select(
+        row.alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+        words(F.col(text_col)).alias("size"), F.md5(F.concat(name, F.lit("\n"), text)).alias("place"),
+    )
+    return sized.withColumn("place", F.when(F.col("size") > 0, F.col("place")).otherwise(F.md5(F.col("row").cast("string"))))
+
+
+def _fraction(place: Column) -> Column:
+    return F.conv(F.substring(place, 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
+
+
 def _part(position: Column, rows: Column) -> Column:
     """The number of a row's part, if rows of the group are spread evenly over the position in [0, 1)."""
     size = F.greatest(F.lit(float(PART_ROWS)), F.sqrt(rows))
@@ -98,12 +113,7 @@ def mix(
     """
     spark = docs.sparkSession
     row = F.col(row_col) if row_col else F.monotonically_increasing_id()
-    sized = stored(
-        docs.select(
-            row.alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-            words(F.col(text_col)).alias("size"),
-        ).withColumn("place", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")))
-    )
+    sized = stored(_sized(docs, row, id_col, text_col, source_col))
     sources = stored(
         targets(
             sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")), weights, share, repeat
@@ -113,11 +123,10 @@ def mix(
     block = int(max(1, min(block_words, budget // slots)))
     n_slots = int(-(-budget // block))
 
-    fraction = F.conv(F.substring("place", 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
     located = sized.join(
         sources.select(F.col("source").alias("_source"), "sid", "source_size", "target", "n"),
         F.col("source").eqNullSafe(F.col("_source")),
-    ).withColumn("part", _part(fraction, F.col("n").cast("double")))
+    ).withColumn("part", _part(_fraction(F.col("place")), F.col("n").cast("double")))
     documents = running(located, ["sid"], "part", ["place", "doc_id", "size", "row"], "size", "before").select(
         "row", "doc_id", "source", "sid", "size", "source_size", "target", "before"
     )
@@ -170,7 +179,7 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
 OP8_SQL = rf"""
 WITH sized AS MATERIALIZED (
     SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS BIGINT) AS size,
-        md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS place
+        md5(coalesce(CAST(doc_id AS VARCHAR), '') || chr(10) || coalesce(text, '')) AS place
     FROM documents),
 ranked AS (
     SELECT source, source_size, [5, 2, 1][(sid % 3) + 1] AS weight, sid, 2.0::DOUBLE * source_size AS lim,

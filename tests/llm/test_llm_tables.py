@@ -134,6 +134,16 @@ def test_mix_takes_what_the_targets_say(spark):
     assert sum(t for _, t in sums) == pytest.approx(1.5 * sum(r.size for r in first))
 
 
+def test_rows_without_an_id_are_spread_over_parts(spark):
+    n = 100_000
+    text = F.when(F.col("id") % 4 == 0, F.lit(" ")).otherwise(F.concat(F.lit("some words "), "id"))
+    docs = spark.range(n).select(F.lit(None).cast("long").alias("doc_id"), text.alias("text"), F.lit("s").alias("source"))
+    sized = mixing._sized(docs, F.monotonically_increasing_id(), "doc_id", "text", "source")
+    part = mixing._part(mixing._fraction(F.col("place")), F.lit(float(n)))
+    parts = [r["count"] for r in sized.groupBy(part.alias("part")).count().collect()]
+    assert len(parts) > 150 and max(parts) < 2 * mixing.PART_ROWS
+
+
 def test_near_duplicates_equal_all_pairs(spark):
     random_ = random.Random(2)
     base = [str(random_.randrange(300)) for _ in range(60)]
