@@ -1,7 +1,7 @@
 """Expanding patterns and misspelt words to terms of the vocabulary.
 
 Each expansion is an equi join: a pattern is looked up by a piece of text every matching term must
-contain, a misspelt word by the lengths its matches can have. The vocabulary is never crossed with
+contain, a misspelt word by pieces of which its matches hold one about where it stands. The vocabulary is never crossed with
 the patterns.
 """
 
@@ -137,7 +137,7 @@ def _matches(term: Column, pattern: Column) -> Column:
 
 def _spread(terms: DataFrame) -> DataFrame:
     """Vocabulary rows over all cores: comparing them costs far more than moving them."""
-    return terms.repartition(2 * terms.sparkSession.sparkContext.defaultParallelism, "field", "term")
+    return terms.repartition("field", "term")
 
 
 def _letters(text: Column) -> Column:
@@ -152,35 +152,83 @@ def _letters(text: Column) -> Column:
     )
 
 
-def fuzzy_terms(keywords: DataFrame, terms: DataFrame, buckets: int) -> DataFrame:
-    """``keywords(…, field, keyword)`` joined to similar vocabulary rows, with ``distance`` and ``boost``.
+def _limit(keyword: Column, length: Column) -> Column:
+    """The most edits that leave a keyword similar to a term of this length."""
+    return (F.ceil(F.least(F.length(keyword), length) * MIN_SIMILARITY) - 1).cast("int")
+
+
+def _pieces(keyword: Column, length: Column) -> Column:
+    """What a term of this length must hold one of to be similar: array of (place, piece), places from 0.
+
+    The keyword is cut into limit + 1 pieces. Let piece i be the first one up to whose end there are at most i edits
+    (counted from 0; there is one, as all of them are at most limit). Then exactly i edits lie before it, none in it and at most
+    limit - i after it, so it is moved by at most i, and by what the lengths differ up to at most limit - i.
+    """
+    limit = _limit(keyword, length)
+    n, grown = F.length(keyword), length - F.length(keyword)
+
+    def moved(i):
+        start = F.floor(i * n / (limit + 1)).cast("int")
+        piece = F.substr(keyword, start + 1, F.floor((i + 1) * n / (limit + 1)).cast("int") - start)
+        moves = F.filter(
+            F.sequence(-limit, limit),
+            lambda d: (F.abs(d) <= i) & (F.abs(grown - d) <= limit - i) & (start + d >= 0) & (start + d + F.length(piece) <= length),
+        )
+        return F.transform(moves, lambda d: F.struct((start + d).alias("place"), piece.alias("piece")))
 
-    The similarity bound limits how far the lengths can differ, so length is the join key. A keyword
-    table too large to broadcast also takes the term bucket into the key, because there are only a
-    few dozen lengths. Pairs whose sets of characters differ too much are dropped before the distance
-    is computed. Keywords of at most two characters match only themselves.
+    return F.flatten(F.transform(F.sequence(F.lit(0), limit), moved))
+
+
+def _holds(term: Column, piece: Column) -> Column:
+    return F.substr(term, piece["place"] + 1, F.length(piece["piece"])) == piece["piece"]
+
+
+def fuzzy_pairs(keywords: DataFrame, terms: DataFrame) -> DataFrame:
+    """Keywords joined to terms that hold one of their pieces where it may stand, a row per such piece.
+
+    The key is the field, the length, a place and the two characters there (one at the start, for pieces of one), so the rows
+    made are a few per character of the vocabulary and the pairs those that share a piece.
     """
     n = F.length("keyword")
-    short = n <= 2
     # similarity > 0.5 means distance < min/2, and the distance is at least the length difference.
-    low = F.when(short, n).otherwise(F.floor(2 * n / 3).cast("int") + 1)
-    high = F.when(short, n).otherwise(F.ceil(3 * n / 2).cast("int") - 1)
-    banded = keywords.filter(n > 0).withColumns(
-        {"n": F.explode(F.sequence(low, high)), "wanted_letters": _letters(F.col("keyword"))}
-    )
-    sized = _spread(terms).withColumns({"n": F.length("term"), "letters": _letters(F.col("term"))})
-    if fits_broadcast(banded):
-        pairs = sized.join(F.broadcast(banded), ["field", "n"])
-    else:
-        pairs = sized.join(
-            banded.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))), ["field", "n", "bucket"]
+    low = F.when(n <= 2, n).otherwise(F.floor(2 * n / 3).cast("int") + 1)
+    high = F.when(n <= 2, n).otherwise(F.ceil(3 * n / 2).cast("int") - 1)
+    wanted = (
+        keywords.filter(n > 0)
+        .withColumn("n", F.explode(F.sequence(low, high)))
+        .select("*", F.posexplode(_pieces(F.col("keyword"), F.col("n"))).alias("order", "piece"))
+        .withColumns(
+            {"place": F.col("piece.place"), "gram": F.left(F.col("piece.piece"), F.lit(2)), "wanted_letters": _letters(F.col("keyword"))}
         )
-    limit = (F.ceil(F.least(F.length("keyword"), F.col("n")) * MIN_SIMILARITY) - 1).cast("int")
-    distance = F.call_function("levenshtein", F.col("term"), F.col("keyword"), F.col("limit"))
+    )
+    length, term = F.length("term"), F.col("term")
+    pairs_of = F.transform(
+        F.sequence(F.lit(0), F.greatest(length - 2, F.lit(0))),
+        lambda i: F.struct(i.alias("place"), F.substr(term, i + 1, F.lit(2)).alias("gram")),
+    )
+    first = F.array(F.struct(F.lit(0).alias("place"), F.left(term, F.lit(1)).alias("gram")))
+    keyed = (
+        terms.filter(length > 0).withColumns({"n": length, "letters": _letters(term)})
+        .select("*", F.explode(F.array_distinct(F.concat(first, pairs_of))).alias("at"))
+        .select("*", "at.place", "at.gram").drop("at")
+    )
+    small = F.broadcast(wanted) if fits_broadcast(wanted) else wanted
+    return keyed.join(small, ["field", "n", "place", "gram"]).filter(_holds(term, F.col("piece"))).drop("place", "gram")
+
+
+def fuzzy_terms(keywords: DataFrame, terms: DataFrame) -> DataFrame:
+    """``keywords(…, field, keyword)`` joined to similar vocabulary rows, with ``distance`` and ``boost``.
+
+    Pairs come from shared pieces (``fuzzy_pairs``); those whose sets of characters differ too much are dropped before the
+    distance is computed, and of a pair that shares several pieces the first one is kept. Keywords of at most two characters
+    match only themselves.
+    """
     differing = F.bit_count(F.col("letters").bitwiseXOR(F.col("wanted_letters")))
-    found = pairs.withColumn("limit", limit).filter(differing <= 2 * F.col("limit")).withColumn("distance", distance)
-    matching = F.when(F.length("keyword") <= 2, F.col("term") == F.col("keyword")).otherwise(F.col("distance") >= 0)
+    close = fuzzy_pairs(keywords, terms).withColumn("limit", _limit(F.col("keyword"), F.col("n"))).filter(differing <= 2 * F.col("limit"))
+    distance = F.call_function("levenshtein", F.col("term"), F.col("keyword"), F.col("limit"))
+    earlier = F.slice(_pieces(F.col("keyword"), F.col("n")), F.lit(1), F.col("order"))
+    found = close.withColumn("distance", distance).filter("distance >= 0").filter(~F.exists(earlier, lambda p: _holds(F.col("term"), p)))
     boost = F.when(F.length("keyword") <= 2, F.lit(1.0)).otherwise(
         fuzzy_boost(similarity(F.col("distance"), F.col("term"), F.col("keyword")))
     )
-    return found.filter(matching).withColumn("boost", boost).drop("n", "limit", "letters", "wanted_letters")
+    return found.withColumn("boost", boost).drop("n", "order", "piece", "limit", "letters", "wanted_letters")

@@ -105,7 +105,7 @@ def _vocabulary_matches(index: TextIndex, kind: str, clauses: DataFrame) -> Data
     boost = F.lit(1.0)
     if kind == "fuzzy":
         keywords = patterns.withColumn("keyword", F.col("pattern"))
-        found = fuzzy_terms(keywords, index.terms, index.layout.buckets)
+        found = fuzzy_terms(keywords, index.terms)
         boost = F.col("boost")
     else:
         found = wildcard_terms(patterns, index.terms, prefix_only=kind == "prefix")

@@ -12,6 +12,7 @@ import pytest
 import findery as fy
 from conftest import TITLES, hits
 from findery.functions import analysis as an
+from findery.operators import expand
 from findery.plans.index import build
 from findery.plans.search import total_hits
 
@@ -98,6 +99,46 @@ def test_fuzzy_join_without_broadcast(title_index, ask, monkeypatch):
     assert hits(fy.search_fuzzy(title_index, ask("valv", "presure", "gage"), "Title", 10)) == want
 
 
+def _distance(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_near_words_equal_all_pairs(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr("findery.runtime.BROADCAST_MAX_ROWS", -1)
+    random_ = random.Random(8)
+    words = sorted({"".join(random_.choice("abé") for _ in range(random_.randint(0, 11))) for _ in range(1200)})
+    keywords = sorted({"".join(random_.choice("abé") for _ in range(random_.randint(0, 12))) for _ in range(80)}) + ["a", "ab"]
+    found = expand.fuzzy_terms(
+        spark.createDataFrame([("f", k) for k in set(keywords)], "field string, keyword string"),
+        spark.createDataFrame([(f, w) for w in words for f in "fg"], "field string, term string"),
+    ).collect()
+    want = {}
+    for k in filter(None, keywords):
+        for w in filter(None, words):
+            d = _distance(k, w)
+            if (k == w) if len(k) <= 2 else 2 * d < min(len(k), len(w)):
+                want[k, w] = d
+    assert {(r.keyword, r.term): r.distance for r in found} == want and len(found) == len(want)
+
+
+def test_near_words_meet_few_terms(spark):
+    random_ = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(random_.choice(letters) for _ in range(random_.randint(5, 9))) for _ in range(20_000)]
+    terms = spark.createDataFrame([("f", w) for w in words], "field string, term string")
+    keywords = spark.createDataFrame([("f", w[:2] + w[3:]) for w in words[:50]], "field string, keyword string")
+    met = expand.fuzzy_pairs(keywords, terms).count()
+    band = sum(2 * n // 3 < len(w) < 1.5 * n for n in (len(w) - 1 for w in words[:50]) for w in words)
+    assert met < 0.2 * band
+
+
 def test_search_without_broadcast(title_index, ask, monkeypatch):
     queries = ask("valve pressure", "the pump closes")
     want = hits(fy.search_keywords(title_index, queries, 10)), hits(fy.search_phrase(title_index, queries, "Title", 10, slop=9))
@@ -329,7 +370,6 @@ def test_a_prefix_reads_its_range_of_the_vocabulary(spark, paged, ask):
 
 
 def test_more_starts_than_can_be_pushed_are_shortened(spark, paged, monkeypatch):
-    from findery.operators import expand
 
     starts = sorted({r["term"][:3] for r in paged.term_stats().limit(300).collect() if len(r["term"]) > 3})
     patterns = spark.createDataFrame([("text", s) for s in starts], "field string, pattern string")
