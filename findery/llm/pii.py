@@ -1,8 +1,11 @@
 """Personal data: labelers vote on candidate spans, expectation-maximisation weighs them, a classifier decides.
 
 Candidates are matches of the fixed patterns (also those that fail their digit checks) and of looser ones: mail addresses
-spelled out, phone numbers without a plus, card-like and address-like digit groups, IBANs and numbers after a naming word.
-Regex labelers (the strict form, check sums, digit counts), gazetteer labelers (mail domains, issuer and country prefixes,
+spelled out, phone numbers without a plus (in the forms (ddd) ddd-dddd and ddd-ddd-dddd, and national ones from a leading 0, not within
+a longer row of digit groups),
+full IPv6 addresses, IBANs, and phone, card and account numbers after a naming word. Those that touch a span of a fixed
+pattern are no candidates, as they could not be taken.
+Regex labelers (the strict form, check sums and ranges, digit counts), gazetteer labelers (mail domains, issuer and country prefixes,
 reserved numbers) and context labelers (naming words before, code-like or decimal surroundings) vote for, against or not.
 Votes are counted as patterns; a two-class model with one accuracy per labeler and outcome is fitted to the counts by
 expectation-maximisation. A logistic classifier is then trained on the posteriors over the votes, the kind and the shape
@@ -22,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -48,6 +52,8 @@ _LOOSE = {
     "ip": re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9a-f]{1,4}:){7}[0-9a-f]{1,4}(?![0-9a-f:])"),
     "card": re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:\x20?[0-9A-Z]{4}){3,7}(?:\x20?[0-9A-Z]{1,3})?(?![0-9A-Za-z])"),
 }
+_SPELLED = re.compile(r"[A-Za-z0-9._%+-]{1,64}\x20at\x20[A-Za-z0-9-]{1,63}(?:\x20dot\x20[A-Za-z0-9-]{1,63})+")
+_NATIONAL = re.compile(r"(?<![0-9A-Za-z+.,/-])(?<![0-9]\x20)0[1-9][0-9]{0,4}([\x20./-])[0-9]{2,8}(?:\1[0-9]{2,8}){0,3}(?![\x20./-]?[0-9])")
 # Gazetteers.
 _DOMAINS = ("example.com", "example.org", "example.net", "gmail.com", "yahoo.com", "hotmail.com", "outlook.com", "web.de", "gmx.de", "orange.fr")
 _TOP_LEVELS = ("com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "uk", "eu")
@@ -59,7 +65,11 @@ _NAMING = {
     "email": re.compile(r"(?i)(?:e-?mail|contact|write to|correo|courriel|kontakt)\W{0,3}$"),
     "ip": re.compile(r"(?i)(?:\bip\b|address|host|server|login from)\W{0,3}$"),
     "card": re.compile(r"(?i)(?:card|visa|credit|karte|carte|tarjeta|iban|account|konto)\W{0,3}(?:no|number|nr)?\W{0,3}$"),
-    "phone": re.compile(r"(?i)(?:phone|call|tel|mobile|fax|telefon|teléfono|téléphone)\W{0,3}$"),
+    "phone": re.compile(r"(?i)(?:phone|call|tel|mobile|fax|telefon|teléfono|téléphone)\W{0,3}(?:no|number|nr)?\W{0,3}$"),
+}
+_NAMED = {
+    "card": re.compile(r"(?i)\b(?:card|visa|credit|karte|carte|tarjeta|account|konto)\W{0,3}(?:(?:no|number|nr)\W{0,3})?(?<![0-9])([0-9](?:[\x20-]?[0-9]){7,18})(?![0-9])"),
+    "phone": re.compile(r"(?i)\b(?:phone|call|tel|mobile|fax|telefon|teléfono|téléphone)[^\w(]{0,3}(?:(?:no|number|nr)[^\w(]{0,3})?(?<![0-9+])(\(?[0-9]{2,15}\)?(?:[\x20./-]{1,2}[0-9]{2,8}){0,6})(?![0-9])"),
 }
 _CODE_BEFORE = re.compile(r"(?:[vV]|[vV]ersion\x20?|ISBN\x20?|[$€#=/]\x20?)$")
 
@@ -114,12 +124,40 @@ def candidates(text: str) -> list[tuple[int, int, int, int, int]]:
         for name in ("phone", "ip", "card"):
             if name != "ip" or ":" in text:
                 out += [(KINDS.index(name), m.start(), m.end(), 0, 0) for m in _LOOSE[name].finditer(text)]
+        out += [(3, m.start(), m.end(), 0, 0) for m in _NATIONAL.finditer(text) if 9 <= len(_digits(m.group())) <= 12]
+        for name, form in _NAMED.items():
+            least = 7 if name == "phone" else 8
+            out += [(KINDS.index(name), *m.span(1), 0, 0) for m in form.finditer(text) if least <= len(_digits(m.group(1))) <= 19]
     if "at" in text or "AT" in text:
         if "(" in text or "[" in text:
             out += [(0, m.start(), m.end(), 0, 0) for m in _LOOSE["email"].finditer(text)]
+        if " dot " in text:
+            out += [(0, m.start(), m.end(), 0, 0) for m in _SPELLED.finditer(text)]
+    return _apart(out)
+
+
+def _apart(found: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """Without repeats, and without those that overlap a fixed span."""
+    ends, starts = [], []
+    for _, start, end, fixed, _ in sorted(found, key=lambda c: c[1]):
+        if fixed and ends and start < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        elif fixed:
+            starts.append(start)
+            ends.append(end)
+    out = []
+    for c in dict.fromkeys(found):
+        at = bisect_right(ends, c[1])
+        if c[3] or at == len(starts) or starts[at] >= c[2]:
+            out.append(c)
     return out
 
 
+def _plain_mail(span: str) -> str:
+    """A spelled-out mail address with its signs."""
+    return re.sub(r"[\x20(\[]+(at|dot)[\x20)\]]+", lambda m: "@" if m.group(1).lower() == "at" else ".", span, flags=re.IGNORECASE)
+
+
 def votes(text: str, kind: int, start: int, end: int, strict: int) -> list[int]:
     """One vote per labeler: 1 for, -1 against, 0 none."""
     span, name = text[start:end], KINDS[kind]
@@ -127,10 +165,11 @@ def votes(text: str, kind: int, start: int, end: int, strict: int) -> list[int]:
     before, after = text[max(0, start - 24) : start], text[end : end + 1]
     checksum = gazetteer = reserved = 0
     if kind == 0:
-        domain = span.rpartition("@")[2].lower()
+        domain = _plain_mail(span).rpartition("@")[2].lower()
         gazetteer = 1 if domain.endswith(_DOMAINS) else 1 if domain.rpartition(".")[2] in _TOP_LEVELS else -1
         count = 1 if len(span) <= 254 else -1
     elif kind == 1:
+        checksum = 0 if ":" in span else 1 if strict else -1
         count = 1 if ":" in span or len(digits) >= 6 else -1
         reserved = -1 if span.startswith(_RESERVED) else 0
     elif kind == 2:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 import re
@@ -277,6 +278,56 @@ def test_personal_data_patterns():
     assert not pii.candidates("0" * 100_000 + "@" * 1000)
 
 
+def test_personal_data_query(spark, tmp_path):
+    forms = [
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m, d: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m, d: all(int(x) <= 255 for x in m.split("."))),
+        ("card", r"[0-9]([ -]?[0-9])+", lambda m, d: 13 <= len(d) <= 19 and pii.luhn(d)),
+        ("phone", r"\+[0-9][ ().0-9-]+[0-9]", lambda m, d: 9 <= len(d) <= 15),
+    ]
+    random_ = random.Random(5)
+    number = lambda n: "".join(random_.choice("0123456789") for _ in range(n))
+    texts, hidden, decoys = [None, "", "no numbers é"], {}, {}
+    for k in range(600):
+        name = random_.choice(["tel: ", "phone ", "Telefon: ", "call "])
+        value, kind, kept = random_.choice([
+            (f"+1 {number(3)} {number(3)} {number(4)}", None, None), (f"a{number(3)}@example.org", None, None),
+            (f"0171 5{number(6)}", "phone", True), (f"020 7{number(3)} {number(4)}", "phone", True), (f"(826) 555-{number(4)}", "phone", True),
+            (f"9999{number(12)}", "card", False), (f"01.02.20{number(2)}", "phone", False), (f"1.{number(1)}.300.{number(2)}", "ip", False),
+        ])
+        before = ("é " * (k % 4)) + (name if kind == "phone" and kept or value[0] == "+" else "code ")
+        texts.append(f"{before}{value} end")
+        if kind:
+            (hidden if kept else decoys)[len(texts) - 1] = (kind, len(before), len(before) + len(value))
+    docs = spark.createDataFrame([(k, t, "x") for k, t in enumerate([*texts, texts[5]])], "doc_id long, text string, found string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    rows = pii.op6_pii(spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(len(texts) + 1))
+    for r in rows:
+        text = [*texts, texts[5]][r.doc_id] or ""
+        base = [
+            (name, m.start(), m.end()) for name, form, good in forms for m in re.finditer(form, text)
+            if good(m.group(), re.sub("[^0-9]", "", m.group()))
+        ]
+        spelled = [f"{n}:{a}:{b}" for n, a, b in base]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(b[0] == f[0] for b in base) for f in forms]
+        assert r.base_sha256 == hashlib.sha256(",".join(spelled).encode()).hexdigest()
+        spans = r.spans.split(",") if r.spans else []
+        assert set(spelled) <= set(spans) and len(set(spans)) == len(spans)
+        if r.doc_id in hidden:
+            assert ":".join(map(str, hidden[r.doc_id])) in spans, text
+        if r.doc_id in decoys and not pii.luhn(re.sub("[^0-9]", "", text)):
+            assert not spans, text
+
+
+def test_candidates_touch_no_fixed_span():
+    for text in ("tel +1 (826) 555-4081", "card 4111 1111 1111 1111 no", "bob@example.com at x dot com"):
+        found = pii.candidates(text)
+        fixed = [c[1:3] for c in found if c[3]]
+        assert fixed and not any(not c[3] and c[1] < e and c[2] > s for c in found for s, e in fixed)
+    assert not pii.candidates("tel " * 20_000 + "01 " * 50_000 + "a" * 100_000 + " at b dot")
+
+
 def test_labelers_learn_who_is_right(spark):
     found = pii.labelled(spark.createDataFrame([(1, "call (826) 555-4081 now, build 1.2.3.4567, 4111 1111 1111 1111"), (2, "tel 826-555-4081")] * 20, "doc_id long, text string"))
     model = pii.train(found)
