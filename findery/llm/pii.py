@@ -1,10 +1,9 @@
 """Personal data: labelers vote on candidate spans, expectation-maximisation weighs them, a classifier decides.
 
 Candidates are matches of the fixed patterns (also those that fail their digit checks) and of looser ones: mail addresses
-spelled out, phone numbers without a plus (in the forms (ddd) ddd-dddd and ddd-ddd-dddd, and national ones from a leading 0, not within
-a longer row of digit groups),
-full IPv6 addresses, IBANs, and phone, card and account numbers after a naming word. Those that touch a span of a fixed
-pattern are no candidates, as they could not be taken.
+spelled out, phone numbers without a plus (in the forms (ddd) ddd-dddd and ddd-ddd-dddd, and national ones from a leading 0,
+not within a longer row of digit groups), full IPv6 addresses, IBANs, and phone, card and account numbers after a naming
+word. Those that touch a span of a fixed pattern are no candidates, as they could not be taken.
 Regex labelers (the strict form, check sums and ranges, digit counts), gazetteer labelers (mail domains, issuer and country prefixes,
 reserved numbers) and context labelers (naming words before, code-like or decimal surroundings) vote for, against or not.
 Votes are counted as patterns; a two-class model with one accuracy per labeler and outcome is fitted to the counts by

@@ -325,7 +325,7 @@ def test_candidates_touch_no_fixed_span():
         found = pii.candidates(text)
         fixed = [c[1:3] for c in found if c[3]]
         assert fixed and not any(not c[3] and c[1] < e and c[2] > s for c in found for s, e in fixed)
-    assert not pii.candidates("tel " * 20_000 + "01 " * 50_000 + "a" * 100_000 + " at b dot")
+    assert len(pii.candidates("tel " * 20_000 + "01 " * 50_000 + "a" * 100_000 + " at b dot")) == 1  # after the last "tel"
 
 
 def test_labelers_learn_who_is_right(spark):
