@@ -140,18 +140,6 @@ def _spread(terms: DataFrame) -> DataFrame:
     return terms.repartition("field", "term")
 
 
-def _letters(text: Column) -> Column:
-    """The characters of a text as a set of 64 bits. One edit changes at most two of them."""
-    characters = F.filter(F.split(text, ""), lambda c: c != "")
-    return F.aggregate(
-        characters,
-        F.lit(0).cast("long"),
-        lambda seen, c: seen.bitwiseOR(
-            F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.ascii(c), F.lit(64)).cast("int"))
-        ),
-    )
-
-
 def _limit(keyword: Column, length: Column) -> Column:
     """The most edits that leave a keyword similar to a term of this length."""
     return (F.ceil(F.least(F.length(keyword), length) * MIN_SIMILARITY) - 1).cast("int")
@@ -196,21 +184,16 @@ def fuzzy_pairs(keywords: DataFrame, terms: DataFrame) -> DataFrame:
     wanted = (
         keywords.filter(n > 0)
         .withColumn("n", F.explode(F.sequence(low, high)))
-        .select("*", F.posexplode(_pieces(F.col("keyword"), F.col("n"))).alias("order", "piece"))
-        .withColumns(
-            {"place": F.col("piece.place"), "gram": F.left(F.col("piece.piece"), F.lit(2)), "wanted_letters": _letters(F.col("keyword"))}
-        )
+        .withColumn("pieces", _pieces(F.col("keyword"), F.col("n")))
+        .select("*", F.posexplode("pieces").alias("order", "piece"))
+        .withColumns({"place": F.col("piece.place"), "gram": F.left(F.col("piece.piece"), F.lit(2))})
     )
     length, term = F.length("term"), F.col("term")
-    pairs_of = F.transform(
-        F.sequence(F.lit(0), F.greatest(length - 2, F.lit(0))),
-        lambda i: F.struct(i.alias("place"), F.substr(term, i + 1, F.lit(2)).alias("gram")),
-    )
-    first = F.array(F.struct(F.lit(0).alias("place"), F.left(term, F.lit(1)).alias("gram")))
+    gram = F.when(F.col("at") < 0, F.left(term, F.lit(1))).otherwise(F.substr(term, F.col("at") + 1, F.lit(2)))
     keyed = (
-        terms.filter(length > 0).withColumns({"n": length, "letters": _letters(term)})
-        .select("*", F.explode(F.array_distinct(F.concat(first, pairs_of))).alias("at"))
-        .select("*", "at.place", "at.gram").drop("at")
+        terms.filter(length > 0).withColumn("n", length)
+        .withColumn("at", F.explode(F.sequence(F.lit(-1), F.col("n") - 2)))
+        .withColumns({"place": F.greatest("at", F.lit(0)), "gram": gram}).drop("at")
     )
     small = F.broadcast(wanted) if fits_broadcast(wanted) else wanted
     return keyed.join(small, ["field", "n", "place", "gram"]).filter(_holds(term, F.col("piece"))).drop("place", "gram")
@@ -219,16 +202,14 @@ def fuzzy_pairs(keywords: DataFrame, terms: DataFrame) -> DataFrame:
 def fuzzy_terms(keywords: DataFrame, terms: DataFrame) -> DataFrame:
     """``keywords(…, field, keyword)`` joined to similar vocabulary rows, with ``distance`` and ``boost``.
 
-    Pairs come from shared pieces (``fuzzy_pairs``); those whose sets of characters differ too much are dropped before the
-    distance is computed, and of a pair that shares several pieces the first one is kept. Keywords of at most two characters
-    match only themselves.
+    Pairs come from shared pieces (``fuzzy_pairs``); of a pair that shares several the first one is kept. Keywords of at most
+    two characters match only themselves.
     """
-    differing = F.bit_count(F.col("letters").bitwiseXOR(F.col("wanted_letters")))
-    close = fuzzy_pairs(keywords, terms).withColumn("limit", _limit(F.col("keyword"), F.col("n"))).filter(differing <= 2 * F.col("limit"))
-    distance = F.call_function("levenshtein", F.col("term"), F.col("keyword"), F.col("limit"))
-    earlier = F.slice(_pieces(F.col("keyword"), F.col("n")), F.lit(1), F.col("order"))
-    found = close.withColumn("distance", distance).filter("distance >= 0").filter(~F.exists(earlier, lambda p: _holds(F.col("term"), p)))
+    limit = _limit(F.col("keyword"), F.col("n"))
+    close = fuzzy_pairs(keywords, terms).withColumn("distance", F.call_function("levenshtein", F.col("term"), F.col("keyword"), limit))
+    earlier = F.slice("pieces", F.lit(1), F.col("order"))
+    found = close.filter("distance >= 0").filter(~F.exists(earlier, lambda p: _holds(F.col("term"), p)))
     boost = F.when(F.length("keyword") <= 2, F.lit(1.0)).otherwise(
         fuzzy_boost(similarity(F.col("distance"), F.col("term"), F.col("keyword")))
     )
-    return found.withColumn("boost", boost).drop("n", "order", "piece", "limit", "letters", "wanted_letters")
+    return found.withColumn("boost", boost).drop("n", "order", "piece", "pieces")
