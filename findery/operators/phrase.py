@@ -13,7 +13,20 @@ from findery.functions.scoring import sloppy_freq
 _BITS = 63
 
 
-def phrase_freq(matches: DataFrame, keys: Sequence[str], max_slop: int) -> DataFrame:
+def exact_phrase_freq(matches: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``phrase_freq`` where no phrase has a slop: the positions of all words, each counted back by its slot, are intersected.
+
+    One grouping by ``keys``, no row per position. The shortest list comes first, so that the rest is looked up in it.
+    """
+    keys = [*keys, "slots", "slop", "repeats"]
+    places = F.transform("positions", lambda p: p - F.col("slot"))
+    whole = matches.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.size("positions").alias("n"), places.alias("at")))).alias("words"))
+    lists = F.col("words.at")
+    common = F.aggregate(F.slice(lists, F.lit(2), F.size(lists)), F.get(lists, F.lit(0)), F.array_intersect)
+    return whole.filter(F.size("words") == F.col("slots")).select(*keys, F.size(common).cast("double").alias("freq")).filter("freq > 0")
+
+
+def phrase_freq(matches: DataFrame, keys: Sequence[str], max_slop: int, repeats: bool = True) -> DataFrame:
     """How often each phrase occurs in each document, as ``freq``.
 
     ``matches(*keys, slots, slop, repeats, slot, positions)`` has one row per phrase word found in a document;
@@ -30,8 +43,10 @@ def phrase_freq(matches: DataFrame, keys: Sequence[str], max_slop: int) -> DataF
 
     For a phrase with a repeated word the positions in a window are kept too. Given the first word's
     position, the other slots take the smallest one that is still free, in the order of the slots; as the
-    slots' ranges begin and end in that order, this finds a choice if there is any.
+    slots' ranges begin and end in that order, this finds a choice if there is any. With ``repeats`` false no phrase has one.
     """
+    if max_slop == 0:
+        return exact_phrase_freq(matches, keys)
     keys = [*keys, "slots", "slop", "repeats"]
     complete = matches.withColumn("found", F.count("*").over(Window.partitionBy(*keys))).filter("found = slots")
     placed = complete.select(*keys, "slot", F.explode("positions").alias("at")).withColumn("at", F.col("at") - F.col("slot"))
@@ -46,16 +61,18 @@ def phrase_freq(matches: DataFrame, keys: Sequence[str], max_slop: int) -> DataF
         return F.coalesce(F.bit_or(F.when(here, bit)), F.lit(0).cast("long")).alias(f"bits{word}")
 
     place = F.when(F.col("repeats"), F.col("at") + F.col("slot"))
-    per_slot = windows.groupBy(*keys, "window", "slot").agg(
-        F.min("at").alias("least"), F.sort_array(F.collect_set(place)).alias("places"), *[bits(w) for w in words]
-    )
-    other = F.when(F.col("repeats") & (F.col("slot") > 0), F.struct("slot", "places"))
+    places = [F.sort_array(F.collect_set(place)).alias("places")] if repeats else []
+    per_slot = windows.groupBy(*keys, "window", "slot").agg(F.min("at").alias("least"), *places, *[bits(w) for w in words])
+    others = []
+    if repeats:
+        other = F.when(F.col("repeats") & (F.col("slot") > 0), F.struct("slot", "places"))
+        others = [F.sort_array(F.collect_list(other)).alias("others")]
     per_window = (
         per_slot.groupBy(*keys, "window")
         .agg(
             F.count("*").alias("filled"),
             F.max(F.when(F.col("slot") > 0, F.col("least"))).alias("farthest"),
-            F.sort_array(F.collect_list(other)).alias("others"),
+            *others,
             *[F.max(f"bits{w}").alias(f"bits{w}") for w in words],
         )
         .filter("filled = slots")
@@ -68,6 +85,19 @@ def phrase_freq(matches: DataFrame, keys: Sequence[str], max_slop: int) -> DataF
         return F.transform(F.sequence(F.lit(0), F.lit(min(max_slop - word * _BITS, _BITS - 1))), set_place)
 
     starts = F.array_compact(F.concat(*[set_places(w) for w in words]))
+    spreads = per_window.select(*keys, "window", "farthest", *(["others"] if repeats else []), F.explode(starts).alias("start"))
+    if repeats:
+        spreads = _apart(spreads)
+    spreads = (
+        spreads.withColumn("spread", F.greatest("start", "farthest") - F.col("window"))
+        .groupBy(*keys, "start")
+        .agg(F.min("spread").alias("spread"))
+    )
+    return spreads.groupBy(*keys).agg(F.sum(sloppy_freq(F.col("spread"))).alias("freq"))
+
+
+def _apart(spreads: DataFrame) -> DataFrame:
+    """Windows whose words can be met at different positions; ``farthest`` is then that of the positions taken."""
     # The used positions; a slot without a free one adds a null, so a choice is whole if it has ``slots`` positions.
     taken = F.aggregate(
         "others", F.array("start"),
@@ -75,13 +105,8 @@ def phrase_freq(matches: DataFrame, keys: Sequence[str], max_slop: int) -> DataF
         lambda used: F.array_compact(used),
     )
     last = F.array_max(F.transform("taken", lambda p, i: p - i))
-    spreads = (
-        per_window.select(*keys, "window", "farthest", "others", F.explode(starts).alias("start"))
-        .withColumn("taken", F.when(F.col("repeats"), taken))
+    return (
+        spreads.withColumn("taken", F.when(F.col("repeats"), taken))
         .filter(~F.col("repeats") | (F.size("taken") == F.col("slots")))
         .withColumn("farthest", F.when(F.col("repeats"), last).otherwise(F.col("farthest")))
-        .withColumn("spread", F.greatest("start", "farthest") - F.col("window"))
-        .groupBy(*keys, "start")
-        .agg(F.min("spread").alias("spread"))
     )
-    return spreads.groupBy(*keys).agg(F.sum(sloppy_freq(F.col("spread"))).alias("freq"))

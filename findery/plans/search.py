@@ -239,14 +239,14 @@ def _term_hits(
     return per_clause.filter("complete >= required").select(*clause, *DOC, (F.col("contrib") * inner).alias("contrib"))
 
 
-def _phrase_hits(postings: DataFrame, phrases: DataFrame, clause: Sequence[str], max_slop: int) -> DataFrame:
+def _phrase_hits(postings: DataFrame, phrases: DataFrame, clause: Sequence[str], max_slop: int, repeats: bool) -> DataFrame:
     scale = F.col("weight") * scoring.length_norm(F.col("length"))
     matches = (
         postings.select("field", "term", "doc_id", "length", "positions", "shard", "batch", "bucket")
         .join(phrases, ["bucket", "field", "term"])
         .select(*clause, "field", *DOC, scale.alias("scale"), "slots", "slop", "repeats", "slot", "positions")
     )
-    found = phrase_freq(matches, [*clause, "field", *DOC, "scale"], max_slop)
+    found = phrase_freq(matches, [*clause, "field", *DOC, "scale"], max_slop, repeats)
     # A document with the phrase in several fields is one match of the clause.
     return found.groupBy(*clause, *DOC).agg(F.sum(F.col("scale") * scoring.tf(F.col("freq"))).alias("contrib"))
 
@@ -286,7 +286,7 @@ def score_clauses(
     if "phrase" in kinds:
         words = _phrase_terms(index, clauses).withColumn("constant", F.lit(False))
         words = cut(index.layout.placed(words))
-        words_small, word_blocks = measured(words, _blocks())
+        words_small, word_blocks, repeats = measured(words, _blocks(), F.coalesce(F.bool_or("repeats"), F.lit(False)))
         phrases = cut(_with_idf(index, words, words_small))
         # Each field has a phrase of its own.
         idf_sum = phrases.groupBy(*_CLAUSE, "field").agg(F.sum("idf").alias("idf_sum"))
@@ -315,7 +315,7 @@ def score_clauses(
             *clause, *needed, (F.pow("idf_sum", F.lit(2)) * F.col("query_norm")).alias("weight")
         )
         index_part = _in_blocks(index, word_blocks)
-        hits.append(_phrase_hits(index_part, _build_side(scaled, words_small), clause, max_slop))
+        hits.append(_phrase_hits(index_part, _build_side(scaled, words_small), clause, max_slop, repeats))
     # A union keeps the placement by shard only where that column was named anew in each input.
     hits = [h.withColumnRenamed("shard", "home") for h in hits]
     clause_hits = reduce(DataFrame.unionByName, hits)
