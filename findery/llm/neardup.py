@@ -2,16 +2,21 @@
 
 Each distinct shingle of a document falls into one of ``bands * rows`` buckets; a bucket keeps the smallest hash as its
 number of leading zeros and ``MANTISSA`` bits after them. Equal shingle sets form one class, and one member stands for it.
-Documents whose registers agree in a whole band are candidates. A pair's similarity is estimated from the agreeing
+For bands an empty register takes the value of a filled one, the first in a fixed random order of its own, so that the bands
+of a short text hold several of its shingles and not one that very many texts share. Documents whose registers agree in a
+whole band are candidates. A pair's similarity is estimated from the agreeing
 registers, less the expected chance agreements; a pair that is not ``SIGMAS`` standard errors below the threshold is
 confirmed on the full sets.
 
 Links are searched without listing the pairs of a group. First every member of a bucket is compared with the smallest
 one, then those outside the bucket's largest component with one of its members, another in each bucket. Only buckets whose
-members are then still in several components are searched on, for pairs across components, in blocks of two chunks of about
-``BLOCK`` members (chunks are dealt by hash); the largest component of a bucket meets the others only, and in buckets of more than ``SMALL`` a pair must also
-pass an upper bound of its similarity, from 16 bits of every shingle. So components equal those of all links that a band
-can find: with 42 bands of 6, a pair at 0.85 shares none with a probability of 3e-9, one at 0.8 with 3e-6.
+members are then still in several components are searched on, for pairs across components. Those of more than ``BLOCK``
+members are first divided by every further band, and only members that agree in a second one meet. What is still larger is
+compared in blocks of two chunks of about ``BLOCK`` members (chunks are dealt by hash); the largest component of a bucket meets
+the others only, and in buckets of more than ``SMALL`` a pair must also pass an upper bound of its similarity, from 16 bits of
+every shingle. So components equal those of all links that a band can find: with 42 bands of 6, a pair at 0.85 shares none with
+a probability of 3e-9, one at 0.8 with 3e-6; where its only chance is a divided bucket it must share two, and misses that with
+6e-8, at 0.8 with 5e-5.
 
 Nothing reaches the driver but counts. Hot classes, buckets and components are summed before shuffles, and what remains
 are joins that Spark can split.
@@ -24,7 +29,7 @@ an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -77,6 +82,23 @@ def registers(sets: list[np.ndarray], count: int) -> np.ndarray:
     return code.astype(np.uint16).reshape(len(sets), count)
 
 
+@cache
+def _turns(count: int) -> np.ndarray:
+    """Row i: the order in which an empty register i looks at the others, least first."""
+    return (mixed(np.arange(count * count, dtype=np.uint64) + _ODD[1]) >> np.uint64(32)).astype(np.uint32).reshape(count, count)
+
+
+def densified(codes: np.ndarray) -> np.ndarray:
+    """Rows of registers whose empty ones hold the value of the row's filled register that comes first in their order."""
+    out = codes.copy()
+    turns = _turns(codes.shape[1])
+    some = codes != 0
+    for row in np.flatnonzero(some.any(axis=1) & ~some.all(axis=1)):
+        filled, empty = np.flatnonzero(some[row]), np.flatnonzero(~some[row])
+        out[row, empty] = codes[row, filled[turns[empty[:, None], filled].argmin(axis=1)]]
+    return out
+
+
 def estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(similarity, registers used) of rows of registers, corrected for chance agreements."""
     used = ((a != 0) | (b != 0)).sum(axis=-1)
@@ -119,13 +141,13 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, count: int)
 
 
 def banded(reps: DataFrame, rows: int) -> DataFrame:
-    """(key, band, id, n): a row per band with a filled register."""
+    """(key, band, id, n): a row per band of each document with shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
-                codes = _matrix(part.column("registers"))
+                codes = densified(_matrix(part.column("registers")))
                 bands = codes.reshape(len(codes), -1, rows).astype(np.uint64)
                 key = np.zeros(bands.shape[:2], dtype=np.uint64) + np.arange(bands.shape[1], dtype=np.uint64)
                 for k in range(rows):
@@ -250,12 +272,35 @@ def _placed(members: DataFrame) -> DataFrame:
     )
     return (
         members.withColumn("own", own).withColumn("place", F.explode(places))
-        .select("key", "band", "id", "n", "component", "place.*", "own", (F.col("component") == F.col("top")).alias("of_top"), "cnt")
+        .select(*members.columns, "place.*", "own", (F.col("component") == F.col("top")).alias("of_top")).drop("top", "most")
+    )
+
+
+def _in_parts(labelled: DataFrame) -> DataFrame:
+    """The members (key, id, component, …) of buckets in several components, with the largest one (top) and its size (most)."""
+    parts = (
+        labelled.groupBy("key", "component").agg(F.count("*").alias("held"))
+        .groupBy("key").agg(F.max(F.struct("held", "component")).alias("top"), F.count("*").alias("parts"), F.sum("held").alias("cnt"))
+        .filter("parts > 1").select("key", F.col("top.component").alias("top"), F.col("top.held").alias("most"), "cnt")
+    )
+    return labelled.drop("cnt").join(parts, "key")
+
+
+def _divided_again(members: DataFrame, all_members: DataFrame) -> DataFrame:
+    """Members (key, band, second, id, n, component, cnt, top, most): buckets of more than ``BLOCK`` are divided by each later
+    band (second), whose members agree in both; ``second`` is -1 in the others."""
+    whole = members.filter(F.col("cnt") <= BLOCK).withColumn("second", F.lit(-1))
+    later = all_members.select("id", F.col("key").alias("other"), F.col("band").alias("second"))
+    twice = (
+        members.filter(F.col("cnt") > BLOCK).drop("top", "most").join(later, "id").filter("second > band")
+        .withColumn("key", F.xxhash64("key", "other")).drop("other")
     )
+    return whole.unionByName(_in_parts(stored(twice)))
 
 
 def _across(members: DataFrame, reps: DataFrame, rows: int, percent: int) -> DataFrame:
-    """Plausible pairs (a, b) of different components within a bucket; a pair is reported by the first band it shares."""
+    """Plausible pairs (a, b) of different components within a bucket; a pair is reported by the first band it shares, in
+    divided buckets by the first two."""
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         """Whole groups; rows come sorted, and the last group of a batch waits for the next one."""
@@ -278,11 +323,11 @@ def _across(members: DataFrame, reps: DataFrame, rows: int, percent: int) -> Dat
             if group.num_rows < 2:
                 continue
             ids, n, component, own_block = (group.column(c).to_numpy() for c in ("id", "n", "component", "own"))
-            band, kind = group.column("band")[0].as_py(), group.column("kind")[0].as_py()
+            band, second, kind = (group.column(c)[0].as_py() for c in ("band", "second", "kind"))
             x, y = group.column("x")[0].as_py(), group.column("y")[0].as_py()
             of_top = group.column("of_top").to_numpy(zero_copy_only=False)
             codes = _matrix(group.column("registers").combine_chunks())
-            bands = codes.reshape(len(codes), -1, rows)
+            bands = densified(codes).reshape(len(codes), -1, rows)
             short = [s and np.frombuffer(s, dtype=np.uint16) for s in group.column("codes").to_pylist()]
             held = np.zeros(1 << 16, dtype=bool)
             found = []
@@ -295,8 +340,11 @@ def _across(members: DataFrame, reps: DataFrame, rows: int, percent: int) -> Dat
                     later = later[own_block[later] != own_block[i]]
                 if not len(later):
                     continue
-                alike = ((bands[later] == bands[i]).all(axis=2) & bands[i].any(axis=1)).argmax(axis=1)
-                later = later[alike == band]
+                alike = (bands[later] == bands[i]).all(axis=2)
+                reported = alike[:, band] & ~alike[:, :band].any(axis=1)
+                if second >= 0:
+                    reported &= alike[:, second] & ~alike[:, band + 1 : second].any(axis=1)
+                later = later[reported]
                 later = later[_plausible(codes[later], codes[i], n[later], n[i], percent)]
                 if short[i] is not None and len(later):
                     held[short[i]] = True
@@ -353,12 +401,7 @@ def near_duplicates(
     def divided(labels: DataFrame) -> DataFrame:
         """The members of such buckets, with their component, and the largest one of the bucket."""
         labelled = stored(open_.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")))
-        mixed_keys = (
-            labelled.groupBy("key", "component").agg(F.count("*").alias("held"))
-            .groupBy("key").agg(F.max(F.struct("held", "component")).alias("top"), F.count("*").alias("parts"))
-            .filter("parts > 1").select("key", F.col("top.component").alias("top"), F.col("top.held").alias("most"))
-        )
-        return stored(labelled.join(mixed_keys, "key"))
+        return stored(_in_parts(labelled))
 
     left = divided(labels)
     delegates = (
@@ -372,7 +415,7 @@ def near_duplicates(
     tries = stored(_estimated(tries, reps, percent))
     edges = stored(edges.union(_confirmed(tries, docs, id_col, text_col, size, percent)))
     labels = stored(components(edges))
-    pairs = stored(_across(divided(labels), reps, rows, percent))
+    pairs = stored(_across(_divided_again(divided(labels), members), reps, rows, percent))
     more = stored(_confirmed(pairs, docs, id_col, text_col, size, percent))
     if not more.isEmpty():
         labels = stored(components(labels.select(F.col("component").alias("a"), F.col("id").alias("b")).union(more)))
