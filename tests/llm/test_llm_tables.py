@@ -345,6 +345,7 @@ def test_word_scores(spark):
         assert rows[k].base_score == pytest.approx(sum(math.log10((counts[t] + 1) / (n + v + 1)) for t in tokens))
         assert (rows[k].n_tokens, rows[k].n_known, rows[k].train_tokens) == (len(tokens), sum(counts[t] > 0 for t in tokens), n)
         assert rows[k].score < 0 and rows[k].held_out == (k == 3)
+        assert rows[k].bits_per_byte == pytest.approx(-rows[k].score * math.log2(10) / (len((text or "").encode()) + 1))
 
 
 def test_spelling_is_a_distribution():
@@ -407,6 +408,117 @@ def test_mixer_states_of_all_classes(spark):
     assert len(set(map(max, state))) == 12 and all(max(s) > 0 for s in state)
 
 
+def _components(sets, percent):
+    parent = list(range(len(sets)))
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for a, b in combinations(range(len(sets)), 2):
+        if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+            a, b = sorted((root(a), root(b)))
+            parent[b] = a
+    return {k: root(k) for k in range(len(sets))}
+
+
+def _shingles(text):
+    words = text.split()
+    return {tuple(words[i : i + 3]) for i in range(max(1, len(words) - 2))}
+
+
+def test_a_passage_of_short_texts_fills_no_bucket(spark):
+    random_ = random.Random(5)
+    texts = ["one two three " + " ".join(str(random_.randrange(10**6)) for _ in range(10)) for _ in range(2000)]
+    texts += [t + " more" for t in texts[:50]]  # 11 of 12 shingles
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sketch = neardup.sketches(table, "doc_id", "text", 3, neardup.BANDS * neardup.ROWS)
+    held = [r["count"] for r in neardup.banded(sketch, neardup.ROWS).groupBy("key").count().filter("count > 1").collect()]
+    assert sum(n * (n - 1) // 2 for n in held) < 0.005 * len(texts) ** 2 / 2
+    found = {r.id: r.component for r in neardup.near_duplicates(table).collect()}
+    assert found == {k: k - 2000 if k >= 2000 else k for k in range(len(texts))}
+
+
+def test_divided_buckets_lose_no_link(spark, monkeypatch):
+    # Half of each text is shared, so buckets hold many that are not linked; families of near copies are among them.
+    random_ = random.Random(6)
+    half = " ".join(f"s{k}" for k in range(40))
+    texts = []
+    for k in range(60):
+        own = [f"{k}x{random_.randrange(10**6)}" for _ in range(30)]
+        texts += [" ".join([half, *own[:n]]) for n in (30, 28, 24)[: 1 + k % 3]]
+    monkeypatch.setattr(neardup, "BLOCK", 6)
+    divided = []
+    again = neardup._divided_again
+
+    def watched(members, all_members):
+        out = again(members, all_members)
+        divided.append(out.filter("second >= 0").count())
+        return out
+
+    monkeypatch.setattr(neardup, "_divided_again", watched)
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.id: r.component for r in neardup.near_duplicates(table).collect()}
+    assert found == _components([_shingles(t) for t in texts], 85) and divided[0] > 0
+
+
+def test_filled_registers():
+    random_ = np.random.default_rng(7)
+    sets = [np.unique(random_.integers(0, 1 << 63, n).astype(np.uint64)) for n in (1, 9, 300, 5000)]
+    codes = neardup.registers([*sets, np.zeros(0, np.uint64)], 252)
+    full = neardup.densified(codes)
+    assert (full[codes != 0] == codes[codes != 0]).all() and (full[:4] != 0).all() and (full[4] == 0).all()
+    # Filled registers of two sets agree as often as the sets are similar: 9 of 10 shingles.
+    shares = []
+    for _ in range(40):
+        many = random_.integers(0, 1 << 63, 10).astype(np.uint64)
+        one, two = neardup.densified(neardup.registers([many, many[1:]], 252))
+        shares.append((one == two).mean())
+    assert abs(np.mean(shares) - 0.9) < 0.03
+
+
+def test_graphs_find_what_brute_force_finds(spark):
+    folder = "/root/testdata/sf0.1"
+    table = vectors.usable(common.read_table(spark, folder, "embeddings"), "vec_id", "embedding").collect()
+    ids, vecs = np.array([r.id for r in table]), np.array([r.vec for r in table])
+    unit = vecs / np.linalg.norm(vecs, axis=1, keepdims=True)
+    got = {}
+    for r in ann.op1_nearest(spark, folder).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in np.flatnonzero(ids % 50 == 0):
+        score = unit @ unit[q]
+        score[q] = -2
+        hits += len(got[ids[q]] & set(ids[np.argsort(-score)[:5]].tolist()))
+    assert len(got) == (ids % 50 == 0).sum() and hits >= 0.9 * 5 * len(got)
+
+
+def test_a_search_meets_a_small_part_of_its_graph():
+    random_ = np.random.default_rng(8)
+    unit = ann._unit(random_.normal(size=(200, 16))[random_.integers(0, 200, 12_000)] + 0.3 * random_.normal(size=(12_000, 16)))
+    graph, met = ann.build(unit, 0), [0]
+    plain = graph._far
+
+    def counted(queries, nodes):
+        met[0] += int((nodes >= 0).sum())
+        return plain(queries, nodes)
+
+    graph._far = counted
+    nodes, _ = graph.search(unit[::100], ann.BEAM)
+    true = np.argsort(-(unit[::100] @ unit.T), axis=1)[:, :6]
+    assert met[0] / 120 < 0.15 * len(unit)
+    assert np.mean([len(set(a) & set(b[:6])) for a, b in zip(true, nodes, strict=True)]) >= 0.9 * 6
+
+
+def test_shards_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SHARD_BYTES", 8 * 8 * 100)
+    table, _ = _vectors(spark)
+    shards = ann.index(common.stored(vectors.classes(vectors.usable(table, "id", "vec").filter("id <> 803"), 6)), 6).collect()
+    sizes = [len(r.vecs) // (8 * r.dim) for r in shards if r.dim == 8]
+    assert len(sizes) == 8 and sum(sizes) == 701 and max(sizes) < 150 and [r.shard for r in shards if r.dim == 2] == [0]
+
+
 def test_blocks_of_hot_buckets_are_bounded(spark, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", 8)
     members = spark.range(203).select(
