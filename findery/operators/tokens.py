@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from findery.functions.analysis import Analyzer, per_field, words
@@ -69,6 +69,39 @@ def postings_of(tokens: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def postings_in_rows(df: DataFrame, keys: Sequence[str], tokens: str = "tokens") -> DataFrame:
+    """``postings_of`` where each row of ``(*keys, tokens)`` is all that its keys have: the row's tokens are sorted in place."""
+    placed = F.transform(tokens, lambda t, i: F.struct(t.alias("term"), i.alias("pos")))
+    by_term = F.sort_array(F.filter(placed, lambda p: p["term"].isNotNull()))
+
+    def grouped(rows: Column) -> Column:
+        last = F.size(rows) - 1
+        starts = F.filter(
+            F.sequence(F.lit(0), last), lambda i: (i == 0) | (F.get(rows, i)["term"] != F.get(rows, i - 1)["term"])
+        )
+        return _bound(
+            starts,
+            lambda at: F.transform(
+                at,
+                lambda start, n: F.struct(
+                    F.get(rows, start)["term"].alias("term"),
+                    F.transform(
+                        F.slice(rows, start + 1, F.coalesce(F.get(at, n + 1), last + 1) - start), lambda p: p["pos"]
+                    ).alias("positions"),
+                ),
+            ),
+        )
+
+    some = df.select(*keys, tokens).filter(F.exists(tokens, lambda t: t.isNotNull()))
+    rows = some.select(*keys, F.inline(_bound(by_term, grouped)))
+    return rows.select(*keys, "term", F.size("positions").alias("tf"), "positions")
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def term_stats(postings: DataFrame, keys: Sequence[str] = ("field", "term")) -> DataFrame:
     """Documents holding a term, and its occurrences in all of them."""
     return postings.groupBy(*keys).agg(F.count("*").alias("df"), F.sum("tf").alias("total_tf"))

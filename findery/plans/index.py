@@ -22,14 +22,15 @@ from pyspark.sql import functions as F
 
 from findery.functions.analysis import Analyzer, words
 from findery.operators.binding import drop_empty, require_fields
-from findery.operators.tokens import analyze, by_table, explode_tokens, postings_of, term_stats
+from findery.operators.tokens import analyze, by_table, explode_tokens, postings_in_rows, postings_of, term_stats
 from findery.runtime import broadcast_if_small
 
 DOC = ("shard", "batch", "doc_id")
 # The sequence number of the update that a stored row comes from; null if it came by build or append.
 SEQ = "_seq"
-# Text per shard (the work of one task), and per shard and term bucket (one file of postings).
-SHARD_BYTES = 1024**3
+# Text per shard (the work of one task), and per shard and term bucket (one file of postings). The postings of a shard are
+# sorted by one task, and take some 15 times the text in that; they must fit its memory, or all of them are spilled.
+SHARD_BYTES = 32 * 1024**2
 FILE_BYTES = 128 * 1024**2
 MAX_BUCKETS = 64
 
@@ -160,11 +161,13 @@ def sharded(records: DataFrame, key: str, fields: Sequence[str], layout: Layout,
 
 
 def make_postings(
-    docs: DataFrame, fields: Sequence[str], layout: Layout, analyzers: Mapping[str, Analyzer], analyzer: Analyzer
+    docs: DataFrame, fields: Sequence[str], layout: Layout, analyzers: Mapping[str, Analyzer], analyzer: Analyzer,
+    distinct: bool = False,
 ) -> DataFrame:
     """Postings of documents that are already placed by shard; no further shuffle, but for the tokens of table analyzers.
 
-    Fields are unfolded with ``inline`` here, which keeps the placement (``unpivot`` does not).
+    Fields are unfolded with ``inline`` here, which keeps the placement (``unpivot`` does not). Where no two rows have
+    one id (``distinct``), the postings of a row are made of that row alone, without a grouping of all tokens.
     """
     pairs = [F.struct(F.lit(n).alias("field"), F.col(f"`{n}`").cast("string").alias("text")) for n in fields]
     texts = docs.select(*DOC, F.inline(F.array(*pairs)))
@@ -173,6 +176,8 @@ def make_postings(
     if by_table(analyzers, analyzer):
         tokens = tokens.repartition(layout.shards, "shard")
     tokens = tokens.withColumn("length", F.size(F.array_compact("tokens")))
+    if distinct:
+        return layout.placed(postings_in_rows(tokens, keys)).select(*POSTING_COLUMNS)
     return layout.placed(postings_of(explode_tokens(tokens, keys), keys)).select(*POSTING_COLUMNS)
 
 

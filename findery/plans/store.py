@@ -43,6 +43,7 @@ from findery.plans.index import (
     sharded,
     without_removed,
 )
+from findery.runtime import broadcast_if_small, cut
 
 # A batch of fewer documents is small; so many small ones of about the same size are merged.
 SMALL_DOCS = 100_000
@@ -240,7 +241,18 @@ class IndexStore:
         # A field that is not stored is analyzed from the records, which are placed by shard once more.
         source = written if set(settings["fields"]) <= set(written.columns) else docs
         row = {"batch": batch, "docs": count, "removes": False, "written": count, "small": may_be_small and count < SMALL_DOCS}
-        made = make_postings(source, settings["fields"], layout, self.analyzers, self.analyzer)
+        def make(part: DataFrame, distinct: bool) -> DataFrame:
+            return make_postings(part, settings["fields"], layout, self.analyzers, self.analyzer, distinct)
+
+        # Rows of one id are one document; only their tokens are brought together.
+        twice = cut(written.groupBy("shard", "doc_id").agg(F.count("*").alias("n")).filter("n > 1").drop("n"))
+        if twice.isEmpty():
+            made = make(source, True)
+        else:
+            twice, same = broadcast_if_small(twice.select(F.col("shard").alias("_s"), F.col("doc_id").alias("_d"))), (
+                F.col("shard").eqNullSafe(F.col("_s")) & F.col("doc_id").eqNullSafe(F.col("_d"))
+            )
+            made = make(source.join(twice, same, "left_anti"), True).unionByName(make(source.join(twice, same, "left_semi"), False))
         return self._write_postings(made, settings, row), row
 
     def _write_stored(self, docs: DataFrame, settings: dict, batch: int) -> tuple[DataFrame, int]:

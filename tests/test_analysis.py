@@ -137,3 +137,15 @@ def test_segmentation_runs_no_python(spark):
     df = spark.createDataFrame([(1, "天地")], "i int, t string")
     plan = segment(df, ["i"], "t", spark.createDataFrame([("天地",)], "word string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_postings_of_a_row_equal_the_grouping(spark):
+    from findery.operators.tokens import explode_tokens, postings_in_rows, postings_of
+
+    rows = [(1, ["b", "a", None, "b", "c"]), (2, []), (3, [None]), (4, None), (5, ["x"]), (6, ["q"] * 30 + [None, "p", "q"])]
+    table = spark.createDataFrame(rows, "id int, tokens array<string>")
+    want = postings_of(explode_tokens(table, ["id"]), ["id"]).select("id", "term", "tf", "positions")
+    got = postings_in_rows(table, ["id"])
+    key = lambda r: (r["id"], r["term"])
+    assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)
+    assert "Aggregate" not in got._jdf.queryExecution().executedPlan().toString()
