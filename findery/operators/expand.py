@@ -191,7 +191,7 @@ def fuzzy_pairs(keywords: DataFrame, terms: DataFrame) -> DataFrame:
     length, term = F.length("term"), F.col("term")
     gram = F.when(F.col("at") < 0, F.left(term, F.lit(1))).otherwise(F.substr(term, F.col("at") + 1, F.lit(2)))
     keyed = (
-        terms.filter(length > 0).withColumn("n", length)
+        _spread(terms.filter(length > 0)).withColumn("n", length)
         .withColumn("at", F.explode(F.sequence(F.lit(-1), F.col("n") - 2)))
         .withColumns({"place": F.greatest("at", F.lit(0)), "gram": gram}).drop("at")
     )

@@ -13,13 +13,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from findery.functions import scoring
 from findery.operators.expand import fuzzy_terms, wildcard_terms
 from findery.operators.phrase import phrase_freq
 from findery.operators.tokens import analyze, explode_tokens
 from findery.plans.index import DOC, SEQ, TextIndex, without_removed
-from findery.runtime import any_of, broadcast_if_small, cut, measured, ranges
+from findery.plans.ranking import Entries, by_entries, by_phrases, entries_of, listed_entries, phrases_of
+from findery.runtime import any_of, broadcast_if_small, cut, fits_broadcast, measured, ranges
 
 KINDS = ("terms", "term", "prefix", "wildcard", "fuzzy", "phrase")
 _CLAUSE = ("query_id", "clause_id")
@@ -251,6 +253,50 @@ def _phrase_hits(postings: DataFrame, phrases: DataFrame, clause: Sequence[str],
     return found.groupBy(*clause, *DOC).agg(F.sum(F.col("scale") * scoring.tf(F.col("freq"))).alias("contrib"))
 
 
+def _weighted_terms(index: TextIndex, clauses: DataFrame, kinds: Sequence[str], many_fields: bool) -> tuple:
+    """The clauses' terms with their idf, whether they are small, their blocks, and each clause's sum of squared weights."""
+    terms = cut(index.layout.placed(_query_terms(index, clauses, kinds, many_fields)))
+    small, blocks = measured(terms, _blocks())
+    if all(k in _CONSTANT for k in kinds):
+        weighted = terms.withColumn("idf", F.lit(0.0))
+    else:
+        weighted = cut(_with_idf(index, terms, small))
+    square = F.pow(F.col("idf") * F.col("boost"), F.lit(2))
+    sums = weighted.groupBy(*_CLAUSE).agg(
+        F.sum(F.when(~F.col("constant"), F.col("mult") * square)).alias("weight_sq"),
+        F.sum(F.when(F.col("lead"), F.col("mult"))).alias("units"),
+    )
+    return weighted, small, blocks, sums
+
+
+def _weighted_phrases(index: TextIndex, clauses: DataFrame) -> tuple:
+    """The words of the clauses' phrases with their idf, whether they are small, their blocks, whether a phrase repeats a word,
+    and each clause's sum of squared weights."""
+    words = _phrase_terms(index, clauses).withColumn("constant", F.lit(False))
+    words = cut(index.layout.placed(words))
+    small, blocks, repeats = measured(words, _blocks(), F.coalesce(F.bool_or("repeats"), F.lit(False)))
+    phrases = cut(_with_idf(index, words, small))
+    # Each field has a phrase of its own.
+    idf_sum = phrases.groupBy(*_CLAUSE, "field").agg(F.sum("idf").alias("idf_sum"))
+    sums = idf_sum.groupBy(*_CLAUSE).agg(
+        F.sum(F.pow("idf_sum", F.lit(2))).alias("weight_sq"), F.lit(0).cast("long").alias("units")
+    )
+    return phrases.join(idf_sum, [*_CLAUSE, "field"]), small, blocks, repeats, sums
+
+
+def _scaled_terms(weighted: DataFrame, context: DataFrame, clause: Sequence[str]) -> DataFrame:
+    weight = F.when(F.col("constant"), F.col("boost")).otherwise(F.pow("idf", F.lit(2)) * F.col("boost") * F.col("mult"))
+    needed = ("bucket", "field", "term", "unit", "mult", "parts", "constant")
+    return weighted.join(context, list(_CLAUSE)).select(*clause, *needed, (weight * F.col("query_norm")).alias("weight"))
+
+
+def _scaled_phrases(phrases: DataFrame, context: DataFrame, clause: Sequence[str]) -> DataFrame:
+    needed = ("bucket", "field", "term", "slot", "slots", "slop", "repeats", "idf")
+    return phrases.join(context, list(_CLAUSE)).select(
+        *clause, *needed, (F.pow("idf_sum", F.lit(2)) * F.col("query_norm")).alias("weight")
+    )
+
+
 def score_clauses(
     index: TextIndex,
     clauses: DataFrame,
@@ -267,53 +313,21 @@ def score_clauses(
     clause = _AMONG_OTHERS if many_clauses else _ALONE
     term_kinds = [k for k in kinds if k != "phrase"]
     sums, weighted, phrases = [], None, None
-    terms_small = words_small = False
     if term_kinds:
-        terms = _query_terms(index, clauses, term_kinds, many_fields)
-        terms = cut(index.layout.placed(terms))
-        terms_small, term_blocks = measured(terms, _blocks())
-        if all(k in _CONSTANT for k in term_kinds):
-            weighted = terms.withColumn("idf", F.lit(0.0))
-        else:
-            weighted = cut(_with_idf(index, terms, terms_small))
-        square = F.pow(F.col("idf") * F.col("boost"), F.lit(2))
-        sums.append(
-            weighted.groupBy(*_CLAUSE).agg(
-                F.sum(F.when(~F.col("constant"), F.col("mult") * square)).alias("weight_sq"),
-                F.sum(F.when(F.col("lead"), F.col("mult"))).alias("units"),
-            )
-        )
+        weighted, terms_small, term_blocks, of_terms = _weighted_terms(index, clauses, term_kinds, many_fields)
+        sums.append(of_terms)
     if "phrase" in kinds:
-        words = _phrase_terms(index, clauses).withColumn("constant", F.lit(False))
-        words = cut(index.layout.placed(words))
-        words_small, word_blocks, repeats = measured(words, _blocks(), F.coalesce(F.bool_or("repeats"), F.lit(False)))
-        phrases = cut(_with_idf(index, words, words_small))
-        # Each field has a phrase of its own.
-        idf_sum = phrases.groupBy(*_CLAUSE, "field").agg(F.sum("idf").alias("idf_sum"))
-        sums.append(
-            idf_sum.groupBy(*_CLAUSE).agg(
-                F.sum(F.pow("idf_sum", F.lit(2))).alias("weight_sq"), F.lit(0).cast("long").alias("units")
-            )
-        )
-        phrases = phrases.join(idf_sum, [*_CLAUSE, "field"])
+        phrases, words_small, word_blocks, repeats, of_phrases = _weighted_phrases(index, clauses)
+        sums.append(of_phrases)
     context = _context(clauses, sums[0] if len(sums) == 1 else sums[0].unionByName(sums[1]))
 
     hits = []
     if weighted is not None:
-        weight = F.when(F.col("constant"), F.col("boost")).otherwise(
-            F.pow("idf", F.lit(2)) * F.col("boost") * F.col("mult")
-        )
-        needed = ("bucket", "field", "term", "unit", "mult", "parts", "constant")
-        scaled = weighted.join(context, list(_CLAUSE)).select(
-            *clause, *needed, (weight * F.col("query_norm")).alias("weight")
-        )
+        scaled = _scaled_terms(weighted, context, clause)
         index_part = _in_blocks(index, term_blocks)
         hits.append(_term_hits(index_part, _build_side(scaled, terms_small), term_kinds, clause, many_fields))
     if phrases is not None:
-        needed = ("bucket", "field", "term", "slot", "slots", "slop", "repeats")
-        scaled = phrases.join(context, list(_CLAUSE)).select(
-            *clause, *needed, (F.pow("idf_sum", F.lit(2)) * F.col("query_norm")).alias("weight")
-        )
+        scaled = _scaled_phrases(phrases, context, clause)
         index_part = _in_blocks(index, word_blocks)
         hits.append(_phrase_hits(index_part, _build_side(scaled, words_small), clause, max_slop, repeats))
     # A union keeps the placement by shard only where that column was named anew in each input.
@@ -368,9 +382,94 @@ def top_hits(scored: DataFrame, k: int, *, total: bool = True) -> DataFrame:
 def _search(
     index: TextIndex, clauses: DataFrame, kind: str, k: int, fields: Sequence[str], total: bool, max_slop: int = 0
 ) -> DataFrame:
-    many = len(fields) > 1
-    scored = score_clauses(index, clauses, [kind], many_clauses=False, many_fields=many, max_slop=max_slop)
-    return top_hits(scored, k, total=total)
+    """One clause per query. Queries of equal text are answered once."""
+    clauses = cut(clauses)
+    rows, ids, texts = clauses.agg(F.count("*"), F.count_distinct("query_id"), F.count_distinct("text")).first()
+    if rows == ids and texts < rows:
+        first = clauses.groupBy("text").agg(F.min("query_id").alias("first"))
+        asked = clauses.join(broadcast_if_small(cut(first)), clauses["text"].eqNullSafe(first["text"])).select(
+            clauses["*"], "first"
+        )
+        asked = cut(asked)
+        answered = _top(index, asked.filter("query_id = first").drop("first"), kind, k, len(fields) > 1, total, max_slop)
+        names = answered.columns
+        answered = answered.withColumnRenamed("query_id", "first")
+        return answered.join(broadcast_if_small(asked.select("first", "query_id")), "first").select(*names)
+    return _top(index, clauses, kind, k, len(fields) > 1, total, max_slop)
+
+
+def _top(
+    index: TextIndex, clauses: DataFrame, kind: str, k: int, many_fields: bool, total: bool, max_slop: int
+) -> DataFrame:
+    """The best k documents of each query, scored and counted within the shards by ``plans.ranking``.
+
+    Where the query side is not small, postings meet it by a shuffle: as lists of the queries of each term, or, for keyword
+    and phrase queries, a row per query and posting.
+    """
+    if kind == "phrase":
+        weighted, small, blocks, _, sums = _weighted_phrases(index, clauses)
+        scaled = _scaled_phrases(weighted, _context(clauses, sums), _ALONE)
+    else:
+        weighted, small, blocks, sums = _weighted_terms(index, clauses, [kind], many_fields)
+        scaled = _scaled_terms(weighted, _context(clauses, sums), _ALONE)
+    columns = ["tf", "length"] if kind != "phrase" else ["length", "positions"]
+    postings = _in_blocks(index, blocks).select("bucket", "field", "term", *DOC, *columns)
+    spark = scaled.sparkSession
+    if small:
+        scaled = cut(scaled)
+        names = ["bucket", "field", "term"]
+        numbered = cut(scaled.select(*names).distinct().withColumn("term_no", F.monotonically_increasing_id()))
+        # As large as the broadcast below, whose bounds were measured. The filter there makes Spark prune the buckets that
+        # none of the terms falls into.
+        rows = scaled.join(F.broadcast(numbered), names).drop("bucket", "term").toArrow()
+        known = phrases_of(rows, max_slop) if kind == "phrase" else entries_of(rows, many_fields, kind == "terms", kind in _CONSTANT)
+        met = postings.join(F.broadcast(numbered.filter(F.length("term") > 0)), names).select(*DOC, "term_no", *columns)
+        order = ["term_no"] if kind != "phrase" else ["length", "term_no"]
+    elif kind in ("term", "prefix", "wildcard", "fuzzy") and fits_broadcast(clauses):
+        met, known = _listed(index, postings, scaled, kind in _CONSTANT)
+        order = ["length"]
+    else:
+        scored = score_clauses(index, clauses, [kind], many_clauses=False, many_fields=many_fields, max_slop=max_slop)
+        return top_hits(scored, k, total=total)
+    met = without_removed(met, index.removed)
+    placed = met.withColumn("place", F.row_number().over(Window.partitionBy(*DOC).orderBy(*order)))
+    run = (by_phrases if kind == "phrase" else by_entries)(spark.sparkContext.broadcast(known), max(k, 1))
+    schema = T.StructType([
+        T.StructField("query_id", clauses.schema["query_id"].dataType), T.StructField("shard", T.IntegerType()),
+        T.StructField("batch", T.LongType()), T.StructField("doc_id", index.postings.schema["doc_id"].dataType),
+        T.StructField("score", T.DoubleType()), T.StructField("shard_hits", T.LongType()),
+    ])
+    return _best(placed.mapInArrow(run, schema), k, total)
+
+
+def _listed(index: TextIndex, postings: DataFrame, scaled: DataFrame, constant: bool) -> tuple[DataFrame, Entries]:
+    """Postings with the queries of their terms as a list, joined by a shuffle and placed by shard again, and the queries."""
+    # A row per query.
+    named = scaled.groupBy("query_id").agg(F.max("weight").alias("best"))
+    named = cut(named.withColumn("query", F.row_number().over(Window.orderBy("query_id")) - 1))
+    rows = named.orderBy("query").toArrow()
+    ids, best = rows.column("query_id").combine_chunks(), rows.column("best").to_numpy()
+    one = F.struct("query") if constant else F.struct("query", "weight")
+    lists = scaled.filter(F.length("term") > 0).join(F.broadcast(named), "query_id").groupBy("bucket", "field", "term").agg(F.collect_list(one).alias("own"))
+    carried = ["query"] if constant else ["query", "weight"]
+    lists = lists.select("bucket", "field", "term", *[F.col("own").getField(c).alias(c) for c in carried])
+    met = postings.join(lists, ["bucket", "field", "term"]).drop("bucket", "field", "term")
+    return met.repartition(index.layout.shards, "shard"), listed_entries(ids, best if constant else None)
+
+
+def _best(hits: DataFrame, k: int, total: bool) -> DataFrame:
+    """The best k of each query from the best ones of each shard (``shard_hits``: the number of all, in one row of each)."""
+    of_query = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("doc_id"))
+    rank = F.row_number().over(of_query)
+    if not total:
+        ranked = hits.withColumn("rank", rank).filter(F.col("rank") <= k)
+        return ranked.select("query_id", *DOC, "score", F.col("rank").cast("long").alias("rank"))
+    all_of_query = of_query.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return (
+        hits.withColumn("rank", rank.cast("long")).withColumn("total_hits", F.sum("shard_hits").over(all_of_query))
+        .filter(F.col("rank") <= k)
+        .select("query_id", *DOC, "score", "rank", "total_hits")
+    )
 
 
 def _fields(index: TextIndex, fields: Sequence[str] | str | None) -> list[str]:

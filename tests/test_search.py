@@ -393,3 +393,65 @@ def test_ranges_cover_all_values():
     assert ranges([1, 2, 3, 10, 11, 50, 90], 3) == [(1, 11), (50, 50), (90, 90)]
     assert ranges([1, 2, 3, 10, 11, 50, 90], 9) == [(1, 3), (10, 11), (50, 50), (90, 90)]
     assert ranges([1, 5, 9], 1) == [(1, 9)]
+
+
+def _scores_by_joins(index, clauses, kind, fields, slop=0):
+    from findery.plans.search import score_clauses, top_hits
+
+    return top_hits(score_clauses(index, clauses, [kind], many_clauses=False, many_fields=len(fields) > 1, max_slop=slop), 3)
+
+
+@pytest.mark.parametrize("kind", ["terms", "and", "fields", "prefix", "wildcard", "fuzzy", "phrase", "slop"])
+@pytest.mark.parametrize("small", [True, False])
+def test_blocks_equal_joins(spark, ask, tmp_path, monkeypatch, kind, small):
+    """Ranking by blocks of documents equals joins of queries and postings, also over several batches and replaced documents;
+    equal texts are answered once, for every query."""
+    from findery.plans import search
+
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 6))) for _ in range(40)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    rows = [(i, text(rng.randint(0, 60)), text(3)) for i in range(300)]
+    store = fy.IndexStore(spark, str(tmp_path / "i"), shards=3, buckets=2)
+    store.replace(spark.createDataFrame(rows[:250], "id int, one string, two string"), "id", ["one", "two"])
+    store.upsert(spark.createDataFrame([(*r, 1) for r in rows[200:]], "id int, one string, two string, n int"), "n")
+    index = store.open()
+    name = {"and": "terms", "fields": "terms", "slop": "phrase"}.get(kind, kind)
+    fields = ["one", "two"] if kind == "fields" else ["one"]
+    asked = [text(1) if name in ("prefix", "fuzzy") else "*" + text(1)[:2] if name == "wildcard" else text(2 if kind == "and" else 3) for _ in range(20)]
+    queries = ask(*asked, *asked[:5], "", "?*" if name == "wildcard" else words[0])
+    clauses = search.make_clauses(queries, name, fields, operator="and" if kind in ("and", "fields") else "or", slop=4 if kind == "slop" else 0)
+    want = _scores_by_joins(index, clauses, name, fields, 4 if kind == "slop" else 0)
+    key = lambda r: (r["query_id"], r["rank"])
+    want = [(*key(r), r["doc_id"], r["total_hits"], round(r["score"], 5)) for r in sorted(want.collect(), key=key)]
+    if not small:
+        monkeypatch.setattr(search, "measured", lambda df, *more: (False, *df.agg(*more).first()) if more else (False,))
+    monkeypatch.setattr("findery.plans.ranking.CELLS", 64)
+    monkeypatch.setattr("findery.plans.ranking.GATHERED", 50)
+    got = search._search(index, clauses, name, 3, fields, True, 4 if kind == "slop" else 0)
+    got = [(*key(r), r["doc_id"], r["total_hits"], round(r["score"], 5)) for r in sorted(got.collect(), key=key)]
+    assert got == want and len({q for q, *_ in got}) > 5
+
+
+def test_common_words_make_no_row_per_query(spark, ask, tmp_path):
+    """What is sorted and shuffled grows with the postings, not with the queries that share their terms."""
+    store = fy.IndexStore(spark, str(tmp_path / "i"), shards=2, buckets=1)
+    store.replace(spark.createDataFrame([(i, "valve pump" + f" w{i}" * (i % 3)) for i in range(200)], "id int, text string"), "id", ["text"])
+    top = fy.search_keywords(store.open(), ask(*[f"valve x{i}" for i in range(50)]), 3)
+    assert {r["total_hits"] for r in top.collect()} == {200}
+    plan, rows, left = top._jdf.queryExecution().executedPlan(), [], []
+    left.append(plan)
+    while left:
+        node = left.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            left.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStageExec"):
+            left.append(node.plan())
+            continue
+        metric = node.metrics().get("numOutputRows")
+        if metric.isDefined():
+            rows.append(metric.get().value())
+        left += [node.children().apply(i) for i in range(node.children().size())]
+    assert max(rows) <= 400
