@@ -11,12 +11,12 @@ confirmed on the full sets.
 Links are searched without listing the pairs of a group. First every member of a bucket is compared with the smallest
 one, then those outside the bucket's largest component with one of its members, another in each bucket. Only buckets whose
 members are then still in several components are searched on, for pairs across components. Those of more than ``BLOCK``
-members are first divided by every further band, and only members that agree in a second one meet. What is still larger is
+members are first divided by every further band, and members that agree in a second one meet. Last, what such a bucket then
+still holds in several components meets as a whole, for pairs that share no other band. All that is larger than ``BLOCK`` is
 compared in blocks of two chunks of about ``BLOCK`` members (chunks are dealt by hash); the largest component of a bucket meets
 the others only, and in buckets of more than ``SMALL`` a pair must also pass an upper bound of its similarity, from 16 bits of
 every shingle. So components equal those of all links that a band can find: with 42 bands of 6, a pair at 0.85 shares none with
-a probability of 3e-9, one at 0.8 with 3e-6; where its only chance is a divided bucket it must share two, and misses that with
-6e-8, at 0.8 with 5e-5.
+a probability of 3e-9, one at 0.8 with 3e-6.
 
 Nothing reaches the driver but counts. Hot classes, buckets and components are summed before shuffles, and what remains
 are joins that Spark can split.
@@ -45,6 +45,7 @@ MANTISSA = 10
 VALUE_BITS = 48
 SIGMAS = 6.0
 BLOCK = 2048
+ALONE = -2  # in place of a second band: pairs that share no other
 SMALL = 32
 CHANCE = 0.169919487159739  # of agreement by chance per register, times 2 ** -MANTISSA, for sets of equal size
 _ODD = [np.uint64(2 * pow(0x5DEECE66D, k, 1 << 62) + 1) for k in range(1, 17)]
@@ -344,6 +345,8 @@ def _across(members: DataFrame, reps: DataFrame, rows: int, percent: int) -> Dat
                 reported = alike[:, band] & ~alike[:, :band].any(axis=1)
                 if second >= 0:
                     reported &= alike[:, second] & ~alike[:, band + 1 : second].any(axis=1)
+                elif second == ALONE:
+                    reported &= alike.sum(axis=1) == 1
                 later = later[reported]
                 later = later[_plausible(codes[later], codes[i], n[later], n[i], percent)]
                 if short[i] is not None and len(later):
@@ -415,10 +418,17 @@ def near_duplicates(
     tries = stored(_estimated(tries, reps, percent))
     edges = stored(edges.union(_confirmed(tries, docs, id_col, text_col, size, percent)))
     labels = stored(components(edges))
-    pairs = stored(_across(_divided_again(divided(labels), members), reps, rows, percent))
-    more = stored(_confirmed(pairs, docs, id_col, text_col, size, percent))
-    if not more.isEmpty():
-        labels = stored(components(labels.select(F.col("component").alias("a"), F.col("id").alias("b")).union(more)))
+    def linked(labels: DataFrame, pairs: DataFrame) -> DataFrame:
+        more = stored(_confirmed(pairs, docs, id_col, text_col, size, percent))
+        if more.isEmpty():
+            return labels
+        return stored(components(labels.select(F.col("component").alias("a"), F.col("id").alias("b")).union(more)))
+
+    labels = linked(labels, stored(_across(_divided_again(divided(labels), members), reps, rows, percent)))
+    # Pairs that share the crowded bucket alone, of what is then still in several components.
+    crowded = divided(labels).filter(F.col("cnt") > BLOCK).withColumn("second", F.lit(ALONE))
+    if not crowded.isEmpty():
+        labels = linked(labels, stored(_across(crowded, reps, rows, percent)))
 
     named = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
         "one", "two", "n", F.coalesce("component", "rep").alias("component")

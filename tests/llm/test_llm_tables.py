@@ -547,3 +547,18 @@ def test_toxicity_counts_an_id_once(spark):
     held = spark.range(1, 5000).select("id", (F.col("id") % 2).cast("int").alias("label"))
     assert [(r.n, r.toxic) for r in toxicity.histogram(docs, held, model).collect()] == [(4999, 2500)]
     assert toxicity._one_row(docs, held).count() == 4999
+
+
+def test_a_crowded_bucket_that_is_the_only_one_loses_no_link(spark, monkeypatch):
+    # One band of one register: no second band divides its buckets, and none finds what they lose.
+    random_ = random.Random(8)
+    half = " ".join(f"s{k}" for k in range(40))
+    texts = []
+    for k in range(40):
+        own = [f"{k}x{random_.randrange(10**6)}" for _ in range(30)]
+        texts += [" ".join([half, *own[:n]]) for n in (30, 28)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    run = lambda: {r.id: r.component for r in neardup.near_duplicates(table, bands=1, rows=1).collect()}
+    want = run()
+    monkeypatch.setattr(neardup, "BLOCK", 3)
+    assert run() == want and len(set(want.values())) < 60
