@@ -4,7 +4,8 @@ data is replaced, sources are mixed to their target weights, and what is taken i
 Each stage takes (spark, docs, sf_dir) and returns a table with the columns of ``docs``; the last returns pieces of
 sequences. Documents keep their text but for personal data and, at the end of what a source gives to the mix, a last
 document that is taken in part; a document that the mix takes twice is two rows. Null and empty texts are never toxic or
-duplicates, hold no personal data, and take no words, so the mix leaves them out. Empty tables pass through.
+duplicates, hold no personal data, and take no words, so the mix leaves them out. Empty tables pass through. The tables that
+a stage learns from or compares are removed from the shared folder before its result is read.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from findery.llm import mixing, neardup, packing, pii, toxicity
-from findery.llm.common import WORD, read_table, stored
+from findery.llm.common import WORD, read_table, scratch, stored
 from findery.runtime import broadcast_if_small
 
 ORACLE_SQL = None
@@ -28,7 +29,8 @@ def _fresh(name: str, docs: DataFrame) -> str:
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below their language's rejection threshold; learnt from all labelled documents."""
-    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"), F.lit(True))
+    with scratch(spark):
+        model = toxicity.train(docs, read_table(spark, sf_dir, "labels"), F.lit(True))
     out = _fresh("toxicity", docs)
     scored = toxicity.score(docs, model, out=out)
     empty = F.coalesce(F.length(F.trim("text")), F.lit(0)) == 0
@@ -40,10 +42,11 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     Of rows with one id one stays; rows without an id all stay.
     """
-    found = stored(neardup.near_duplicates(docs, size=5, percent=80))
     key, extra = _fresh("_id", docs), _fresh("_again", docs)
-    dropped = stored(found.filter("id <> component").select(F.col("id").alias(key)).distinct())
-    again = stored(found.filter("id IS NOT NULL").groupBy(F.col("id").alias(extra)).count().filter("count > 1").select(extra))
+    with scratch(spark) as kept_table:
+        found = stored(neardup.near_duplicates(docs, size=5, percent=80))
+        dropped = kept_table(found.filter("id <> component").select(F.col("id").alias(key)).distinct())
+        again = kept_table(found.filter("id IS NOT NULL").groupBy(F.col("id").alias(extra)).count().filter("count > 1").select(extra))
     same = F.col("doc_id").cast("long")
     kept = docs.join(broadcast_if_small(dropped), same == F.col(key), "left_anti")
     once = kept.join(broadcast_if_small(again), same == F.col(extra), "left_anti")
@@ -52,7 +55,9 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _measured(pii.redact(docs))
+    with scratch(spark):
+        clean = pii.redact(docs)
+    return _measured(clean)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

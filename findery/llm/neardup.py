@@ -15,11 +15,12 @@ members are first divided by every further band, and members that agree in a sec
 still holds in several components meets as a whole, for pairs that share no other band. All that is larger than ``BLOCK`` is
 compared in blocks of two chunks of about ``BLOCK`` members (chunks are dealt by hash); the largest component of a bucket meets
 the others only, and in buckets of more than ``SMALL`` a pair must also pass an upper bound of its similarity, from 16 bits of
-every shingle. So components equal those of all links that a band can find: with 42 bands of 6, a pair at 0.85 shares none with
+every shingle, which are made for members of such buckets only. So components equal those of all links that a band can find: with 42 bands of 6, a pair at 0.85 shares none with
 a probability of 3e-9, one at 0.8 with 3e-6.
 
 Nothing reaches the driver but counts. Hot classes, buckets and components are summed before shuffles, and what remains
-are joins that Spark can split.
+are joins that Spark can split. Registers are shuffled once, with their classes, and again for members of pairs only; of a bucket
+only the key is, but for members that share one.
 
 Defined results: a null or empty text has no shingles and no links; a text with fewer words than a shingle is one shingle;
 rows with equal ids count as one document for links; a row without an id is linked with nothing and has no component;
@@ -28,7 +29,7 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache, reduce
 
 import numpy as np
@@ -120,7 +121,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, count: int) -> DataFrame:
-    """(id, n, one, two, registers, codes): set size, two fingerprints of the set, compressed registers, 16 bits per shingle."""
+    """(id, n, one, two, registers): set size, two fingerprints of the set, compressed registers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -132,13 +133,24 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, count: int)
                 [
                     batch.column("id"), pa.array([len(s) for s in sets], type=pa.int64()), pa.array(one, type=pa.int64()),
                     pa.array(two, type=pa.int64()), pa.array([row.tobytes() for row in codes], type=pa.binary()),
-                    pa.array([s.astype(np.uint16).tobytes() for s in sets], type=pa.binary()),
                 ],
-                names=["id", "n", "one", "two", "registers", "codes"],
+                names=["id", "n", "one", "two", "registers"],
             )
 
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return plain.mapInArrow(run, "id long, n long, one long, two long, registers binary, codes binary")
+    return plain.mapInArrow(run, "id long, n long, one long, two long, registers binary")
+
+
+def shingled(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, size: int, kind: type, out: str) -> DataFrame:
+    """(id, ``out``): the shingle hashes of the documents in ``ids``, as numbers of a kind (its lowest bits), one row per id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            found = [s.astype(kind).tobytes() for s in shingle_hashes(batch.column("text"), size)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, type=pa.binary())], names=["id", out])
+
+    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return plain.join(broadcast_if_small(ids), "id", "left_semi").mapInArrow(run, f"id long, {out} binary").dropDuplicates(["id"])
 
 
 def banded(reps: DataFrame, rows: int) -> DataFrame:
@@ -180,18 +192,16 @@ def _estimated(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
             if keep.num_rows:
                 yield keep
 
-    side = lambda name: reps.select(F.col("id").alias(name), F.col("n").alias(f"n_{name}"), F.col("registers").alias(f"r_{name}"))
+    pairs = stored(pairs)
+    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    needed = reps.join(broadcast_if_small(ids), "id", "left_semi")
+    side = lambda name: needed.select(F.col("id").alias(name), F.col("n").alias(f"n_{name}"), F.col("registers").alias(f"r_{name}"))
     return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(run, "a long, b long")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough; sets are made for the documents of the pairs only."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            found = [s.tobytes() for s in shingle_hashes(batch.column("text"), size)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, type=pa.binary())], names=["id", "shingles"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
@@ -205,10 +215,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, si
                 yield keep
 
     ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    needed = stored(
-        plain.join(broadcast_if_small(ids), "id", "left_semi").mapInArrow(sets, "id long, shingles binary").dropDuplicates(["id"])
-    )
+    needed = stored(shingled(docs, ids, id_col, text_col, size, np.uint64, "shingles"))
     side = lambda name: needed.select(F.col("id").alias(name), F.col("shingles").alias(f"s_{name}"))
     return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(run, "a long, b long")
 
@@ -299,9 +306,9 @@ def _divided_again(members: DataFrame, all_members: DataFrame) -> DataFrame:
     return whole.unionByName(_in_parts(stored(twice)))
 
 
-def _across(members: DataFrame, reps: DataFrame, rows: int, percent: int) -> DataFrame:
+def _across(members: DataFrame, reps: DataFrame, rows: int, percent: int, codes_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Plausible pairs (a, b) of different components within a bucket; a pair is reported by the first band it shares, in
-    divided buckets by the first two."""
+    divided buckets by the first two. ``codes_of`` gives (id, codes), 16 bits per shingle, of the documents in a table (id)."""
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         """Whole groups; rows come sorted, and the last group of a batch waits for the next one."""
@@ -360,8 +367,12 @@ def _across(members: DataFrame, reps: DataFrame, rows: int, percent: int) -> Dat
                 a, b = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, type=pa.int64()), pa.array(b, type=pa.int64())], names=["a", "b"])
 
+    members = stored(members)
+    ids = stored(members.groupBy("id").agg(F.max("cnt").alias("most")))
+    needed = reps.join(broadcast_if_small(ids.select("id")), "id", "left_semi").select("id", "registers")
+    codes = codes_of(stored(ids.filter(F.col("most") > SMALL).select("id")))
     with_codes = (
-        _placed(members).join(reps.select("id", "registers", "codes"), "id")
+        _placed(members).join(needed.join(codes, "id", "left"), "id")
         .withColumn("codes", F.when(F.col("cnt") > SMALL, F.col("codes"))).drop("cnt")
     )
     return (
@@ -378,20 +389,26 @@ def near_duplicates(
 ) -> DataFrame:
     """(id, n, component) of every row; ids are linked if 100 * intersection >= ``percent`` * union of their sets."""
     sketch = stored(sketches(docs, id_col, text_col, size, bands * rows))
+    # Equal sets have equal registers.
     classes = stored(
-        sketch.filter("n > 0 AND id IS NOT NULL").groupBy("one", "two", "n").agg(F.min("id").alias("rep"))
-    )
-    reps = stored(
-        sketch.join(classes.withColumnRenamed("rep", "id"), ["id", "one", "two", "n"]).dropDuplicates(["id"])
-        .select("id", "n", "registers", "codes")
+        sketch.filter("n > 0 AND id IS NOT NULL").groupBy("one", "two", "n")
+        .agg(F.min("id").alias("rep"), F.first("registers").alias("registers"))
     )
+    reps = classes.select(F.col("rep").alias("id"), "n", "registers")
+    several = stored(reps.groupBy("id").count().filter("count > 1").select("id"))
+    if not several.isEmpty():  # one set of an id that has several
+        others = broadcast_if_small(several)
+        chosen = reps.join(others, "id", "left_semi").dropDuplicates(["id"])
+        reps = stored(reps.join(others, "id", "left_anti").unionByName(chosen))
     members = stored(banded(reps, rows))
-    buckets = stored(
-        members.groupBy("key").agg(F.min(F.struct("id", "n")).alias("first"), F.count("*").alias("cnt")).filter("cnt > 1")
-        .select("key", F.col("first.id").alias("a"), F.col("first.n").alias("n_a"), "cnt")
+    shared = members.groupBy("key").agg(F.count("*").alias("cnt")).filter("cnt > 1")
+    together = stored(members.join(shared, "key"))
+    first = (
+        together.groupBy("key").agg(F.min(F.struct("id", "n")).alias("first"))
+        .select("key", F.col("first.id").alias("a"), F.col("first.n").alias("n_a"))
     )
     stars = (
-        members.join(buckets, "key").filter((F.col("id") != F.col("a")) & _sizes_fit("n", "n_a", percent))
+        together.join(first, "key").filter((F.col("id") != F.col("a")) & _sizes_fit("n", "n_a", percent))
         .select("a", F.col("id").alias("b")).distinct()
     )
     stars = stored(_estimated(stars, reps, percent))
@@ -399,7 +416,8 @@ def near_duplicates(
     labels = stored(_first_labels(edges))
 
     # Buckets that still hold several components; those of two members have been compared already.
-    open_ = stored(members.join(buckets.filter("cnt > 2").select("key", "cnt"), "key"))
+    open_ = together.filter("cnt > 2")
+    codes_of = lambda ids: shingled(docs, ids, id_col, text_col, size, np.uint16, "codes")
 
     def divided(labels: DataFrame) -> DataFrame:
         """The members of such buckets, with their component, and the largest one of the bucket."""
@@ -418,19 +436,20 @@ def near_duplicates(
     tries = stored(_estimated(tries, reps, percent))
     edges = stored(edges.union(_confirmed(tries, docs, id_col, text_col, size, percent)))
     labels = stored(components(edges))
+
     def linked(labels: DataFrame, pairs: DataFrame) -> DataFrame:
         more = stored(_confirmed(pairs, docs, id_col, text_col, size, percent))
         if more.isEmpty():
             return labels
         return stored(components(labels.select(F.col("component").alias("a"), F.col("id").alias("b")).union(more)))
 
-    labels = linked(labels, stored(_across(_divided_again(divided(labels), members), reps, rows, percent)))
+    labels = linked(labels, stored(_across(_divided_again(divided(labels), members), reps, rows, percent, codes_of)))
     # Pairs that share the crowded bucket alone, of what is then still in several components.
     crowded = divided(labels).filter(F.col("cnt") > BLOCK).withColumn("second", F.lit(ALONE))
     if not crowded.isEmpty():
-        labels = linked(labels, stored(_across(crowded, reps, rows, percent)))
+        labels = linked(labels, stored(_across(crowded, reps, rows, percent, codes_of)))
 
-    named = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
+    named = classes.drop("registers").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
         "one", "two", "n", F.coalesce("component", "rep").alias("component")
     )
     return sketch.join(named, ["one", "two", "n"], "left").select("id", "n", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))

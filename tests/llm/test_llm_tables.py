@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
 import random
 import re
 import time
@@ -562,3 +563,37 @@ def test_a_crowded_bucket_that_is_the_only_one_loses_no_link(spark, monkeypatch)
     want = run()
     monkeypatch.setattr(neardup, "BLOCK", 3)
     assert run() == want and len(set(want.values())) < 60
+
+
+def _tables(spark):
+    folder = f"{spark.conf.get('spark.checkpoint.dir')}/findery-llm"
+    return {name for name in os.listdir(folder) if os.listdir(f"{folder}/{name}")} if os.path.isdir(folder) else set()
+
+
+def _bytes(spark, names):
+    folder = f"{spark.conf.get('spark.checkpoint.dir')}/findery-llm"
+    return sum(os.path.getsize(f"{folder}/{name}/{file}") for name in names for file in os.listdir(f"{folder}/{name}"))
+
+
+def test_near_duplicates_store_shingles_of_crowded_buckets_only(spark):
+    random_ = random.Random(9)
+    texts = [" ".join(str(random_.randrange(10**6)) for _ in range(2000)) for _ in range(200)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    before = _tables(spark)
+    assert neardup.near_duplicates(table).filter("id <> component").isEmpty()
+    # Twice the registers of 504 bytes, bands of 8 bytes and more; 16 bits of each shingle are 4,000 bytes a document.
+    assert _bytes(spark, _tables(spark) - before) < 200 * 2500
+
+
+def test_near_duplicates_of_ids_that_have_several_sets(spark):
+    rows = [(1, "a b c d"), (1, "k l m n"), (1, "a b c d"), (2, "a b c d"), (3, "k l m n"), (3, None), (None, "a b c d")]
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.id, r.n, r.component) for r in found) == {(1, 2, 1): 3, (2, 2, 1): 1, (3, 2, 1): 1, (3, 0, 3): 1, (None, 2, None): 1}
+
+
+def test_pipeline_stages_leave_no_tables_behind(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    for stage, left in ((corpus_pipeline.remove_toxic, 0), (corpus_pipeline.remove_near_duplicates, 2), (corpus_pipeline.replace_personal_data, 0)):
+        before = _tables(spark)
+        out = stage(spark, docs, SMALL)
+        assert len(_tables(spark) - before) == left and 0 < out.count() <= docs.count()
