@@ -597,3 +597,33 @@ def test_pipeline_stages_leave_no_tables_behind(spark):
         before = _tables(spark)
         out = stage(spark, docs, SMALL)
         assert len(_tables(spark) - before) == left and 0 < out.count() <= docs.count()
+
+
+def test_mixer_adds_frequent_and_rare_words_alike(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").unionByName(
+        spark.createDataFrame([(-1, None, "en", "x", 0), (-2, "", None, "x", 0), (-3, "neverseen word", "en", "x", 0)],
+                              spark.read.parquet(f"{SMALL}/documents.parquet").schema)
+    )
+    run = lambda: {r.doc_id: r for r in mixer.scored(docs, F.col("doc_id") % 7 == 2).collect()}
+    some = run()
+    monkeypatch.setattr(mixer, "FREQUENT", 0)
+    none = run()
+    assert some.keys() == none.keys() and len(some) == docs.count()
+    for key, r in some.items():
+        assert (r.held_out, r.n_tokens, r.n_known) == (none[key].held_out, none[key].n_tokens, none[key].n_known)
+        assert (r.base_score, r.score) == pytest.approx((none[key].base_score, none[key].score), rel=1e-9)
+    assert (some[-1].n_tokens, some[-2].n_tokens, some[-3].n_tokens, some[-1].base_score) == (1, 1, 3, some[-2].base_score)
+
+
+def test_mixer_sums_whole_texts_by_few_objects(spark, monkeypatch):
+    # The parts of texts hold a row per text and one per rare pair; what such a row does not have is null.
+    tables = []
+    keep = mixer.stored
+    monkeypatch.setattr(mixer, "stored", lambda df: tables.append(keep(df)) or tables[-1])
+    monkeypatch.setattr(mixer, "FREQUENT", 0)
+    docs = spark.createDataFrame([(k, f"a b{k} b{k}", "en") for k in range(20)], "doc_id long, text string, lang string")
+    mixer.scored(docs, F.col("doc_id") % 7 == 2).collect()
+    parts = tables[-1]
+    assert parts.filter("word IS NULL").count() == 20 and parts.filter("word IS NOT NULL").count() == 60
+    assert parts.filter("word IS NOT NULL AND (n_known IS NOT NULL OR score IS NOT NULL)").isEmpty()
+    assert parts.filter("word IS NULL AND (n <> 4 OR n_bytes IS NULL OR score IS NULL)").isEmpty()
