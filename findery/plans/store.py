@@ -184,7 +184,11 @@ class IndexStore:
             if batches or (not small and not rows):
                 table = self.spark.table(self._postings_table(settings, rows, small))
                 parts.append(table.filter(F.col("batch").isin(batches)).select(*POSTING_COLUMNS))
-        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        if len(parts) == 1:
+            return parts[0]
+        # A union keeps the placement by shard only where that column was named anew in each input.
+        parts = [p.withColumnRenamed("shard", "home") for p in parts]
+        return parts[0].unionByName(parts[1]).withColumnRenamed("home", "shard")
 
     def _parquet(self, name: str, schema: str, batches: Sequence[int]) -> DataFrame:
         paths = [f"{self.root}/{name}/batch={b}" for b in batches]
