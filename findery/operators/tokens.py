@@ -76,8 +76,9 @@ def postings_in_rows(df: DataFrame, keys: Sequence[str], tokens: str = "tokens")
 
     def grouped(rows: Column) -> Column:
         last = F.size(rows) - 1
+        # A text without tokens has no place where a term starts, and gives no row.
         starts = F.filter(
-            F.sequence(F.lit(0), last), lambda i: (i == 0) | (F.get(rows, i)["term"] != F.get(rows, i - 1)["term"])
+            F.when(last >= 0, F.sequence(F.lit(0), last)), lambda i: (i == 0) | (F.get(rows, i)["term"] != F.get(rows, i - 1)["term"])
         )
         return _bound(
             starts,
@@ -92,8 +93,7 @@ def postings_in_rows(df: DataFrame, keys: Sequence[str], tokens: str = "tokens")
             ),
         )
 
-    some = df.select(*keys, tokens).filter(F.exists(tokens, lambda t: t.isNotNull()))
-    rows = some.select(*keys, F.inline(_bound(by_term, grouped)))
+    rows = df.select(*keys, tokens).select(*keys, F.inline(_bound(by_term, grouped)))
     return rows.select(*keys, "term", F.size("positions").alias("tf"), "positions")
 
 

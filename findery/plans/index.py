@@ -29,8 +29,9 @@ DOC = ("shard", "batch", "doc_id")
 # The sequence number of the update that a stored row comes from; null if it came by build or append.
 SEQ = "_seq"
 # Text per shard (the work of one task), and per shard and term bucket (one file of postings). The postings of a shard are
-# sorted by one task, and take some 15 times the text in that; they must fit its memory, or all of them are spilled.
-SHARD_BYTES = 32 * 1024**2
+# sorted by one task, and take some 15 times the text in that; they must fit its memory, or all of them are spilled (with 32 MB
+# they were, in executors of 1.8 GB heap with two tasks).
+SHARD_BYTES = 8 * 1024**2
 FILE_BYTES = 128 * 1024**2
 MAX_BUCKETS = 64
 

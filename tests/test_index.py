@@ -363,3 +363,20 @@ def test_indexing_an_unbound_field_fails_early(spark):
     records = bd.bind(spark.createDataFrame([("1", "x")], "allid string, answer string"), bd.QUESTION)
     with pytest.raises(ValueError, match="Title"):
         build(records, "Allid", ["Title"])
+
+
+def test_a_shard_holds_text_that_a_task_sorts_in_memory(spark):
+    """64 MB of text, of which a task sorts the postings of one shard: they take some 15 times the text."""
+    from findery.plans.index import Layout
+
+    texts = spark.range(64).select(F.col("id").alias("doc_id"), F.repeat(F.lit("words of a text "), 65_536).alias("text"))
+    assert Layout.sized(texts, ["text"], None, None).shards == 8
+
+
+def test_texts_are_analyzed_once_for_their_postings(spark):
+    from findery.plans.index import Layout, make_postings
+
+    docs = spark.createDataFrame([(1, 1, 1, "b a b"), (1, 1, 2, "--"), (1, 1, 3, None)], "shard int, batch long, doc_id long, text string")
+    made = make_postings(docs, ["text"], Layout.of(spark, 1, 1), {}, words, distinct=True)
+    assert sorted((r["doc_id"], r["term"], r["positions"], r["length"]) for r in made.collect()) == [(1, "a", [1], 3), (1, "b", [0, 2], 3)]
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
