@@ -31,8 +31,9 @@ _ALONE = ("query_id", "units", "required")
 _AMONG_OTHERS = (*_ALONE, "clause_id", "role", "n_clauses", "n_must")
 _ROLES = {"should": 0, "must": 1, "must_not": 2}
 _CONSTANT = ("prefix", "wildcard")
-# Conditions pushed to the files: on blocks of terms, and on ids of stored rows.
-PUSHED_BLOCKS = 64
+# Conditions pushed to the files: on blocks of terms, and on ids of stored rows. Each posting read is compared with the ranges of
+# blocks once more, in one method; Java does not compile methods above 8,000 bytes (64 ranges take 10,067, 32 take 5,331).
+PUSHED_BLOCKS = 32
 PUSHED_IDS = 2_048
 
 

@@ -338,6 +338,17 @@ def test_a_search_reads_the_blocks_of_its_terms(spark, paged, ask):
     assert phrase < postings / 20
 
 
+def test_conditions_on_many_blocks_are_compiled(spark, paged):
+    """Java runs methods above 8,000 bytes uncompiled, some twenty times slower."""
+    from findery.plans import search
+
+    frame = search._in_blocks(paged, list(range(0, 60_000, 7)))
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    parts = debug.codegenStringSeq(frame._jdf.queryExecution().executedPlan())
+    sizes = [parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())]
+    assert sizes and max(sizes) < 8_000
+
+
 def test_stored_rows_are_read_by_id(spark, paged, ask):
     queries = ask(*[r["term"] for r in paged.term_stats().filter("df < 4").orderBy("term").limit(10).collect()])
     top = fy.search_keywords(paged, queries, 3)
