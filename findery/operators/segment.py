@@ -4,8 +4,8 @@ One operator serves unspaced Han text and multi-part codes: the text is cut into
 character, or a word, with the separators that follow it), and neighbouring units are joined into one
 token when the dictionary lists them. Matching is greedy from the left, longest entry first.
 
-The dictionary stays a table, of whatever size. Its entries are keyed by their first two units, and only the
-lengths known there are tried: places of a text meet the pairs first, and what they begin meets the entries.
+The dictionary stays a table, of whatever size. Its entries are keyed by their first characters, and only the
+lengths known there are tried: places of a text meet these heads first, and what they begin meets the entries.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from findery.runtime import broadcast_if_small, cut
 _UNIT = f"((?:{HAN}|{NON_HAN_WORD_CHAR}+)(?:(?!{WORD_CHAR})[\\s\\S])*)"
 _TRAILING = f"(?:(?!{WORD_CHAR})[\\s\\S])+$"
 _BLOCK = 256
+# The characters of an entry that its place in a text is looked up by, before the whole entry is.
+_HEAD = 4
 
 
 def units(text: Column) -> Column:
@@ -80,11 +82,14 @@ class Segmenter:
     """
 
     def __init__(self, dictionary: DataFrame, word: str = "word"):
-        parts = units(F.col("entry"))
-        entries = _entries(dictionary, word).withColumn("pair", _pair(F.element_at(parts, 1), F.element_at(parts, 2)))
-        self._entries = cut(entries)
-        self._pairs = cut(self._entries.groupBy("pair").agg(F.sort_array(F.collect_set("n")).alias("lengths")))
-        self._longest = self._entries.agg(F.coalesce(F.max("n"), F.lit(1))).first()[0]
+        entry = F.col("entry")
+        entries = _entries(dictionary, word).withColumns(
+            {"size": F.length(entry), "open": F.regexp_like(entry, F.lit(f"{NON_HAN_WORD_CHAR}$"))}
+        )
+        self._entries = cut(entries.withColumn("head", F.left(entry, F.lit(_HEAD))))
+        self._heads = cut(self._entries.groupBy("head").agg(F.sort_array(F.collect_set("size")).alias("sizes")))
+        widths = F.sort_array(F.collect_set(F.length("head")))
+        self._longest, self._widths = self._entries.agg(F.coalesce(F.max("n"), F.lit(1)), widths).first()
 
     def tokens(self, df: DataFrame, keys: Sequence[str], text: str = "text") -> DataFrame:
         """``(*keys, tokens)``; one shuffle by ``keys`` serves all steps that look at whole texts."""
@@ -93,23 +98,12 @@ class Segmenter:
         if longest == 1:
             return rows.select(*keys, F.transform("_units", _trimmed).alias("tokens"))
 
-        def start(unit: Column, at: Column) -> Column:
-            after = F.try_element_at("_units", at + 2)
-            return F.when(
-                after.isNotNull(),
-                F.struct(at.alias("at"), _pair(unit, after).alias("pair"), F.slice("_units", at + 1, longest).alias("ahead")),
-            )
-
-        begun = (
-            rows.select(*keys, F.explode(F.array_compact(F.transform("_units", start))).alias("_s"))
-            .select(*keys, "_s.*")
-            .join(broadcast_if_small(self._pairs), "pair")
-            .select(*keys, "at", "ahead", F.explode("lengths").alias("n"))
-            .filter(F.col("n") <= F.size("ahead"))
-            .select(*keys, "at", "n", _trimmed(F.array_join(F.slice("ahead", F.lit(1), F.col("n")), "")).alias("entry"))
-        )
+        # An entry that ends in the middle of a word is none.
+        after = F.substr(F.col("ahead"), F.col("size") + 1, F.lit(1))
+        whole = ~F.col("open") | ~F.regexp_like(after, F.lit(NON_HAN_WORD_CHAR))
         matches = (
-            begun.join(broadcast_if_small(self._entries.select("entry")), "entry", "left_semi")
+            self._begun(rows, keys).join(broadcast_if_small(self._entries.drop("head")), "entry")
+            .filter(whole)
             .groupBy(*keys, "at")
             .agg(F.max("n").alias("n"))
             .groupBy(*keys)
@@ -130,10 +124,21 @@ class Segmenter:
         )
         return rows.join(kept, keys, "left").select(*keys, F.transform(joined, _trimmed).alias("tokens"))
 
+    def _begun(self, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """What the places of the texts ``(*keys, _units)`` may begin: ``(*keys, at, ahead, entry)``, a row per length known for
+        the characters there."""
 
-def _pair(first: Column, second: Column) -> Column:
-    """The first unit with the separators after it, and the second without."""
-    return F.concat(first, _trimmed(second))
+        def start(unit: Column, at: Column) -> Column:
+            return F.struct(at.alias("at"), F.array_join(F.slice("_units", at + 1, self._longest), "").alias("ahead"))
+
+        return (
+            rows.select(*keys, F.explode(F.transform("_units", start)).alias("_s"))
+            .select(*keys, "_s.*", F.explode(F.array(*[F.lit(w) for w in self._widths])).alias("width"))
+            .select(*keys, "at", "ahead", F.left("ahead", F.col("width")).alias("head"))
+            .join(broadcast_if_small(self._heads), "head")
+            .select(*keys, "at", "ahead", F.explode("sizes").alias("size"))
+            .select(*keys, "at", "ahead", F.left("ahead", F.col("size")).alias("entry"))
+        )
 
 
 segmenting = Segmenter

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ import findery as fy
 from findery import runtime
 from findery.functions import analysis as an
 from findery.operators import tokens as tk
-from findery.operators.segment import Segmenter, segment
+from findery.operators.segment import Segmenter, segment, units
 
 
 def analyzed(spark, analyzer, *texts):
@@ -106,6 +107,35 @@ def test_segmentation_against_brute_force(spark, sides):
     assert [r["tokens"] for r in rows] == want
 
 
+def test_segmentation_of_words_against_brute_force(spark, sides):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(["a", "ab", "b", "1", " ", "-", " a "]) for _ in range(rng.choice([0, 1, 4, 300]))) for _ in range(25)]
+    words = {"".join(rng.choice(["a", "ab", "b", "1", " ", "-"]) for _ in range(rng.randint(2, 7))).strip(" -") for _ in range(60)}
+
+    def tokens(text):
+        parts, found, at = re.findall("[a-z0-9]+[^a-z0-9]*", text), [], 0
+        while at < len(parts):
+            tried = ((n, "".join(parts[at : at + n]).rstrip(" -")) for n in range(len(parts) - at, 0, -1))
+            n, token = next((n, t) for n, t in tried if n == 1 or t in words)
+            found.append(token)
+            at += n
+        return found
+
+    table = spark.createDataFrame([(w,) for w in words], "word string")
+    rows = segment(spark.createDataFrame(list(enumerate(texts)), "i int, t string"), ["i"], "t", table).orderBy("i").collect()
+    assert [r["tokens"] for r in rows] == [tokens(t) for t in texts]
+
+
+def test_places_meet_few_lengths(spark):
+    """Entries of many lengths that share their first two signs do not make a row per place and length."""
+    rng = random.Random(4)
+    words = {"天地" + "".join(rng.choice("玄黄宇宙洪荒") for _ in range(n % 12)) for n in range(60)}
+    segmenter = Segmenter(spark.createDataFrame([(w,) for w in words], "word string"))
+    texts = spark.createDataFrame([(1, "天地日月" * 500)], "i int, t string")
+    assert segmenter._begun(texts.select("i", units(F.col("t")).alias("_units")), ["i"]).count() <= 500
+    assert segmenter.tokens(texts, ["i"], "t").first()["tokens"] == ["天地", "日", "月"] * 500
+
+
 def test_index_and_search_by_a_dictionary(spark, sides, tmp_path):
     talks = spark.createDataFrame([(1, "天地玄黄宇宙", "天地 x"), (2, "玄黄天地", "y"), (3, "地玄", None)], "id int, han string, plain string")
     store = fy.IndexStore(spark, str(tmp_path / "i"), shards=2, buckets=2, analyzers={"han": Segmenter(spark.createDataFrame([("天地",), ("玄黄宇",), ("玄黄",)], "word string"))})
