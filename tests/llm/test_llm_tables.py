@@ -402,6 +402,28 @@ def test_mixer_learns_from_all_pairs(spark):
     assert mixer.learnt(pairs, n, counts).refined[:, :, 0].sum() == 8 * size
 
 
+def test_mixer_tables_count_every_token(spark):
+    pairs = spark.createDataFrame([(0, b"ab", 3), (1, b"a", 1), (1, b"", 5)], "state int, word binary, c long")
+    counts = mixer.tables(pairs, 3)
+    assert [counts[k].sum() for k in range(mixer.INPUTS)] == [8 * (3 * 3 + 2 + 5)] * mixer.INPUTS
+    # As many rows as tokens, each once, give the same tables.
+    each = pairs.selectExpr("state", "word", "explode(sequence(1, c)) n").selectExpr("state", "word", "1L c")
+    assert (mixer.tables(each, 9) == counts).all()
+
+
+def test_mixer_learns_words_as_new_ones():
+    random_ = np.random.default_rng(0)
+    counts = random_.integers(0, 9, (mixer.INPUTS, 1 << mixer.SLOT_BITS, 2)).astype(np.float32)
+    weights, refined = np.full((mixer.PLACES, mixer.INPUTS, mixer.SEEN), 0.3), np.zeros((256, mixer.STEPS, 2))
+    slots, bit = random_.integers(0, 1 << mixer.SLOT_BITS, (mixer.INPUTS, 50)), np.ones(50, dtype=np.int64)
+    without = mixer.Model(counts, weights, refined)
+    without.prepare(leave_out=False)
+    with_four = mixer.Model(counts + np.array([0, 4], dtype=np.float32), weights, refined)
+    with_four.prepare(leave_out=True)
+    logits, _ = with_four.inputs(slots, bit, np.zeros(50, dtype=np.int64), np.full(50, 4))
+    assert np.allclose(logits, without.logit[slots + (np.arange(mixer.INPUTS) << mixer.SLOT_BITS)[:, None]], atol=1e-5)
+
+
 def test_mixer_states_of_all_classes(spark):
     rows = [(10 * k + j, f"own{k} is{k}", f"c{k}", False) for k in range(12) for j in range(3)]
     found = mixer.typical_words(spark.createDataFrame(rows, "doc_id long, text string, class string, held boolean"))
