@@ -179,3 +179,18 @@ def test_postings_of_a_row_equal_the_grouping(spark):
     key = lambda r: (r["id"], r["term"])
     assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)
     assert "Aggregate" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_postings_of_rows_come_in_the_order_of_an_index(spark):
+    from findery.operators.tokens import postings_in_rows
+    from findery.plans.index import Layout
+
+    rows = [(i, f, [f"w{(i * k) % 97}" for k in range(60)] + [None, "", "é" * 40]) for i in range(40) for f in ("text", "lang")]
+    table = spark.createDataFrame(rows, "id int, field string, tokens array<string>").coalesce(1)
+    found = postings_in_rows(table, ["id", "field"])
+    got = [tuple(r) for r in found.select("field", Layout.block(F.col("field"), F.col("term")).alias("block"), "term", "id").collect()]
+    assert len(got) == len({(g[0], g[2], g[3]) for g in got}) > 2000
+    for field in ("text", "lang"):
+        own = [g[1:] for g in got if g[0] == field]
+        assert own == sorted(own, key=lambda g: (g[0], g[1].encode(), g[2]))
+    assert "lambda" not in found._jdf.queryExecution().analyzed().toString()
