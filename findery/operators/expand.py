@@ -93,7 +93,7 @@ def wildcard_terms(patterns: DataFrame, terms: DataFrame, *, prefix_only: bool =
             }
         )
     else:
-        anchored = _anchored(patterns)
+        anchored = _shaped(_anchored(patterns))
     # At most eleven rows: three widths of each of three kinds, and two kinds without a width.
     used = [(r["kind"], r["width"]) for r in anchored.select("kind", "width").distinct().collect()]
     if not used:
@@ -105,8 +105,8 @@ def wildcard_terms(patterns: DataFrame, terms: DataFrame, *, prefix_only: bool =
     keyed = terms.withColumn("k", F.explode(F.concat(*[_term_anchors(k, w) for k, w in sorted(used)])))
     keyed = keyed.select("*", "k.kind", "k.width", "k.anchor").drop("k")
     small = F.broadcast(anchored) if fits_broadcast(anchored) else anchored
-    matches = F.col("term").startswith(F.col("pattern")) if prefix_only else _matches(F.col("term"), F.col("pattern"))
-    return keyed.join(small, ["field", "kind", "width", "anchor"]).filter(matches).drop("kind", "width", "anchor")
+    matches = F.col("term").startswith(F.col("pattern")) if prefix_only else _matches(F.col("term"))
+    return keyed.join(small, ["field", "kind", "width", "anchor"]).filter(matches).drop("kind", "width", "anchor", *_SHAPE)
 
 
 def _starting(anchored: DataFrame) -> Column:
@@ -121,20 +121,49 @@ def _starting(anchored: DataFrame) -> Column:
     return F.lit(True)
 
 
-def _matches(term: Column, pattern: Column) -> Column:
-    """Does the term match the pattern? Patterns with ``*`` at their ends only need no regular expression."""
-    core = F.regexp_replace(pattern, r"^\*+|\*+$", "")
-    plain = ~core.contains("*") & ~core.contains("?")
-    open_start, open_end = pattern.startswith("*"), pattern.endswith("*")
+def _shaped(patterns: DataFrame) -> DataFrame:
+    """Patterns with what ``_matches`` needs of them, worked out once per pattern and not once per term that it meets."""
+    text = F.regexp_replace("pattern", r"\*+", "*")
     return (
-        F.when(plain & open_start & open_end, term.contains(core))
-        .when(plain & open_start, term.endswith(core))
-        .when(plain & open_end, term.startswith(core))
-        .when(plain, term == core)
-        .otherwise(F.regexp_like(term, pattern_regex(pattern)))
+        patterns.withColumns({
+            "stars": F.length(text) - F.length(F.replace(text, F.lit("*"))),
+            "head": F.regexp_extract(text, "^([^*]*)", 1),
+            "tail": F.when(text.contains("*"), F.regexp_extract(text, "([^*]*)$", 1)).otherwise(F.lit("")),
+            "middle": F.regexp_extract(text, r"(?s)^\*(.*)\*$", 1),
+            "least": F.length(F.replace(text, F.lit("*"))),
+        })
+        .withColumns({
+            "open": F.col("head").contains("?") | F.col("tail").contains("?"),
+            "letters": F.concat(
+                _letters(F.col("head"), lambda i: i), _letters(F.col("tail"), lambda i: i - 1 - F.length("tail"))
+            ),
+            "inner": (F.col("stars") == 2) & (F.col("head") == "") & (F.col("tail") == "") & ~F.col("middle").contains("?"),
+            "regex": F.when(F.col("stars") > 1, pattern_regex(F.col("pattern"))),
+        })
     )
 
 
+_SHAPE = ("stars", "head", "tail", "middle", "least", "open", "letters", "inner", "regex")
+
+
+def _letters(text: Column, place) -> Column:
+    """The characters of a piece but ``?``, each with its place in the term, from the end if negative."""
+    at = F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text))).otherwise(F.array().cast("array<int>"))
+    found = F.transform(at, lambda i: F.struct(place(i).alias("at"), F.substr(text, i, F.lit(1)).alias("x")))
+    return F.filter(found, lambda c: c["x"] != "?")
+
+
+def _matches(term: Column) -> Column:
+    """Does the term match the pattern beside it (``_shaped``)? What stands before the first ``*`` and after the last one has
+    fixed places; only patterns with several ``*`` may need a regular expression for what is between them."""
+    long_enough = F.when(F.col("stars") == 0, F.length(term) == F.col("least")).otherwise(F.length(term) >= F.col("least"))
+    ends = F.when(
+        F.col("open"), F.forall("letters", lambda c: F.substr(term, c["at"], F.lit(1)) == c["x"])
+    ).otherwise(term.startswith(F.col("head")) & term.endswith(F.col("tail")))
+    between = F.when(F.col("stars") <= 1, F.lit(True)).when(F.col("inner"), term.contains(F.col("middle"))).otherwise(F.regexp_like(term, F.col("regex")))
+    return long_enough & ends & between
+
+
 def _spread(terms: DataFrame) -> DataFrame:
     """Vocabulary rows over all cores: comparing them costs far more than moving them."""
     return terms.repartition("field", "term")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import math
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -380,6 +381,22 @@ def test_a_prefix_reads_its_range_of_the_vocabulary(spark, paged, ask):
     assert "StringStartsWith(term,qu)" in scanned(starred, "terms")[1]
 
 
+def test_patterns_match_as_written_and_few_by_regular_expressions(spark):
+    dice = random.Random(3)
+    terms = sorted({"".join(dice.choices("ab\u00e9\U0001f600.", k=dice.randint(1, 7))) for _ in range(300)})
+    patterns = sorted({"".join(dice.choices("ab\u00e9.??**", k=dice.randint(0, 6))) for _ in range(150)} | {"", "*", "**", "?", "*a*", "a*b*a", "*?a*"})
+    asked = spark.createDataFrame([("text", p) for p in patterns], "field string, pattern string")
+    found = expand.wildcard_terms(asked, spark.createDataFrame([("text", t) for t in terms], "field string, term string"))
+    want = set()
+    for p in patterns:
+        by = re.compile("".join({"*": ".*", "?": "."}.get(c, re.escape(c)) for c in p), re.DOTALL)
+        want |= {(p, t) for t in terms if by.fullmatch(t)}
+    assert {(r["pattern"], r["term"]) for r in found.collect()} == want and len(want) > 500
+    # What a pattern needs is worked out before it meets a term, and one star takes no regular expression.
+    shaped = {r["pattern"]: r["regex"] for r in expand._shaped(asked).collect()}
+    assert all((regex is None) == (len(re.findall(r"\*+", p)) <= 1) for p, regex in shaped.items())
+
+
 def test_more_starts_than_can_be_pushed_are_shortened(spark, paged, monkeypatch):
 
     starts = sorted({r["term"][:3] for r in paged.term_stats().limit(300).collect() if len(r["term"]) > 3})
