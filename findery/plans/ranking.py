@@ -75,6 +75,36 @@ class Phrases:
     slop: int
 
 
+@dataclass(frozen=True)
+class Clauses:
+    """The clauses of boolean queries, those of a query side by side from ``first`` on.
+
+    Terms that the same clauses ask for in the same way share a list: the entries of ``lists[i]`` are ``bounds[i]:bounds[i + 1]``.
+    An entry adds its ``factor`` times the term's squared idf and the posting's norm to its clause, or makes it score
+    ``constant``. A clause with ``units`` is one of keywords, whose words have groups as those of ``Entries``.
+    """
+
+    ids: pa.Array
+    first: np.ndarray
+    n_clauses: np.ndarray
+    n_must: np.ndarray
+    role: np.ndarray
+    units: np.ndarray
+    required: np.ndarray
+    constant: np.ndarray
+    lists: np.ndarray
+    bounds: np.ndarray
+    clause: np.ndarray
+    factor: np.ndarray
+    group: np.ndarray
+    parts: np.ndarray
+    group_word: np.ndarray
+    word_clause: np.ndarray
+    word_mult: np.ndarray
+    phrases: tuple[Phrases, ...]  # one for each slop; their ids are clause and field as ``clause * fields + field``
+    fields: int
+
+
 class Kept:
     """The best documents of each query among those added, and the number of all. They are added in the order of their ids."""
 
@@ -416,3 +446,125 @@ def phrases_of(rows: pa.Table, slop: int) -> Phrases:
         ids=coded.dictionary, terms=terms, bounds=bounds, phrase=usable[by_term], pivot=place[np.arange(n), pivot], word=word, slot=place,
         slots=size, repeats=repeats[first].astype(bool), weight=weight[first], slop=slop,
     )
+
+
+def _clause_totals(q: Clauses, n: int, doc: np.ndarray, entry: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(score, hit) per cell of n documents and all clauses, from pairs of a posting and an entry; phrases are not in it."""
+    width = len(q.role)
+    clause = q.clause[entry]
+    cell = doc * width + clause
+    total = np.bincount(cell, q.factor[entry] * value, minlength=n * width)
+    hit = np.bincount(cell, minlength=n * width) > 0
+    total = (total.reshape(n, width) + hit.reshape(n, width) * q.constant).ravel()
+    of_words = np.flatnonzero(q.group[entry] >= 0)
+    if len(of_words):
+        # A word counts once, and is whole where one field holds all terms that it makes of the word.
+        groups, words = len(q.parts), len(q.word_mult)
+        key, found = np.unique(doc[of_words] * groups + q.group[entry[of_words]], return_counts=True)
+        group = key % groups
+        word = key // groups * words + q.group_word[group]
+        lead = np.flatnonzero(np.diff(word, prepend=-1))
+        whole = np.logical_or.reduceat(found >= q.parts[group], lead)
+        word = word[lead]
+        cell, mult = word // words * width + q.word_clause[word % words], q.word_mult[word % words]
+        matched = np.bincount(cell, mult, minlength=n * width).reshape(n, width)
+        complete = np.bincount(cell, mult * whole, minlength=n * width).reshape(n, width)
+        keyword = np.flatnonzero(q.units > 0)
+        total, hit = total.reshape(n, width), hit.reshape(n, width)
+        total[:, keyword] *= matched[:, keyword] / q.units[keyword]
+        hit[:, keyword] &= complete[:, keyword] >= q.required[keyword]
+    return total.reshape(n, width), hit.reshape(n, width)
+
+
+def _combined(q: Clauses, total: np.ndarray, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, document, score) of the documents that each query's clauses admit."""
+    counted = hit & (q.role != 2)
+    matched, must, banned = (
+        np.add.reduceat(x, q.first, axis=1, dtype=np.int32) for x in (counted, hit & (q.role == 1), hit & (q.role == 2))
+    )
+    doc, query = np.nonzero((banned == 0) & (must == q.n_must) & (matched > 0))
+    contrib = np.add.reduceat(np.where(counted, total, 0.0), q.first, axis=1)[doc, query]
+    return query, doc, contrib * (matched[doc, query] / q.n_clauses[query])
+
+
+def by_clauses(clauses, k: int) -> Callable:
+    """For ``mapInArrow``: the best documents of each boolean query from postings (shard, batch, doc_id, place, list_no, idf2, tf,
+    length, word_no, positions), those of a document sorted by length; a posting has a ``list_no`` or a ``word_no``, else -1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q: Clauses = clauses.value
+        kept, here, width = None, None, len(q.role)
+        for table in _whole_documents(batches):
+            now = table.column("shard")[0].as_py(), table.column("batch")[0].as_py()
+            if now != here:
+                if kept is not None:
+                    yield from kept.rows(q.ids, *here)
+                kept, here = Kept(len(q.ids), k), now
+            place, length, list_no, word_no, tf, idf2 = (table.column(c).to_numpy() for c in ("place", "length", "list_no", "word_no", "tf", "idf2"))
+            value = idf2 * (np.sqrt(tf.astype(float)) * (1 / np.sqrt(length.astype(float))))
+            known = list_no >= 0
+            spot = np.searchsorted(q.lists, np.where(known, list_no, 0)) * known
+            first, count = q.bounds[spot], (q.bounds[np.minimum(spot + 1, len(q.lists))] - q.bounds[spot]) * known
+            positions = _column(table, "positions")
+            ends = positions.offsets.to_numpy().astype(np.int64) - positions.offsets[0].as_py()
+            at, own = positions.flatten().to_numpy().astype(np.int64), np.diff(ends)
+            pairs = count + own
+            terms = []
+            for p in q.phrases:
+                term = np.minimum(np.searchsorted(p.terms, word_no), len(p.terms) - 1)
+                term = np.where(p.terms[term] == word_no, term, -1)
+                pairs = pairs + np.where(term >= 0, own * (p.bounds[term + 1] - p.bounds[term]), 0)
+                terms.append(term)
+            starts, ids = np.flatnonzero(place == 1), _column(table, "doc_id")
+            text = np.cumsum((place == 1) | (np.diff(length, prepend=0) != 0)) - 1
+            edges = np.append(starts, len(place))
+            for a, b in _blocks(starts, pairs, width):
+                rows = slice(edges[a], edges[b])
+                doc_of = np.cumsum(place[rows] == 1) - 1
+                row, entry = _expanded(first[rows], count[rows])
+                total, hit = _clause_totals(q, b - a, doc_of[row], entry, value[rows][row])
+                row_of = edges[a] + np.unique(text[rows], return_index=True)[1]
+                for p, term in zip(q.phrases, terms, strict=True):
+                    asked = np.flatnonzero(term[rows] >= 0) + edges[a]
+                    if not len(asked):
+                        continue
+                    row, place_of = _expanded(ends[asked], own[asked])
+                    t, phrase, freq = _phrase_hits(p, text[asked][row] - text[edges[a]], term[asked][row], at[place_of])
+                    score = p.weight[phrase] * (1 / np.sqrt(length[row_of][t].astype(float))) * np.sqrt(freq)
+                    doc, clause = doc_of[row_of - edges[a]][t], p.ids.to_numpy()[phrase] // q.fields
+                    np.add.at(total, (doc, clause), score)
+                    hit[doc, clause] = True
+                kept.add(*_combined(q, total, hit), ids.take(pa.array(starts[a:b])))
+        if kept is not None:
+            yield from kept.rows(q.ids, *here)
+
+    return run
+
+
+def clauses_of(named: pa.Table, entries: pa.Table, phrases: tuple[Phrases, ...], fields: int) -> Clauses:
+    """From (query_id, role, units, required, n_clauses, n_must), a row per clause in the order of their numbers, those of a query
+    together, and (list_no, field, clause, unit, mult, parts, constant, factor), a row per entry."""
+    coded = _column(named, "query_id").dictionary_encode()
+    query = coded.indices.to_numpy()
+    first = np.flatnonzero(np.diff(query, prepend=-1))
+    role, units, required, n_clauses, n_must = (named.column(c).to_numpy() for c in ("role", "units", "required", "n_clauses", "n_must"))
+    list_no, clause, unit, mult, parts, factor = (
+        entries.column(c).to_numpy() for c in ("list_no", "clause", "unit", "mult", "parts", "factor")
+    )
+    is_constant = entries.column("constant").to_numpy()
+    order = np.argsort(list_no, kind="stable")
+    lists, start = np.unique(list_no[order], return_index=True)
+    constant = np.zeros(len(role))
+    np.maximum.at(constant, clause[is_constant], factor[is_constant])
+    group = np.full(len(clause), -1)
+    keyword = np.flatnonzero(units[clause] > 0)
+    field = _column(entries, "field").dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    words, word = np.unique(np.stack([clause, unit, mult])[:, keyword], axis=1, return_inverse=True)
+    groups, own = np.unique(np.stack([word.ravel(), field[keyword], parts[keyword]]), axis=1, return_inverse=True)
+    group[keyword] = own.ravel()
+    return Clauses(
+        ids=coded.dictionary, first=first, n_clauses=n_clauses[first], n_must=n_must[first], role=role, units=units, required=required,
+        constant=constant, lists=lists, bounds=np.append(start, len(list_no)), clause=clause[order].astype(np.int64),
+        factor=np.where(is_constant, 0.0, factor)[order], group=group[order], parts=groups[2], group_word=groups[0],
+        word_clause=words[0].astype(np.int64), word_mult=words[2].astype(float), phrases=phrases, fields=fields,
+    )

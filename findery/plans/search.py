@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +21,7 @@ from findery.operators.expand import fuzzy_terms, wildcard_terms
 from findery.operators.phrase import phrase_freq
 from findery.operators.tokens import analyze, explode_tokens
 from findery.plans.index import DOC, SEQ, TextIndex, without_removed
-from findery.plans.ranking import Entries, by_entries, by_phrases, entries_of, listed_entries, phrases_of
+from findery.plans.ranking import Entries, by_clauses, by_entries, by_phrases, clauses_of, entries_of, listed_entries, phrases_of
 from findery.runtime import any_of, broadcast_if_small, cut, fits_broadcast, measured, ranges
 
 KINDS = ("terms", "term", "prefix", "wildcard", "fuzzy", "phrase")
@@ -35,6 +36,9 @@ _CONSTANT = ("prefix", "wildcard")
 # blocks once more, in one method; Java does not compile methods above 8,000 bytes (64 ranges take 10,067, 32 take 5,331).
 PUSHED_BLOCKS = 32
 PUSHED_IDS = 2_048
+# Boolean queries are scored in blocks up to so many clauses (a document has a cell for each) and entries of lists of them.
+MOST_CLAUSES = 1 << 15
+MOST_ENTRIES = 2_000_000
 
 
 def make_clauses(
@@ -308,26 +312,40 @@ def score_clauses(
     max_slop: int = 0,
 ) -> DataFrame:
     """``(query_id, shard, batch, doc_id, score)`` of every matching document."""
+    return _score_prepared(index, _prepared(index, clauses, kinds, many_fields), kinds, many_clauses, many_fields, max_slop)
+
+
+def _prepared(index: TextIndex, clauses: DataFrame, kinds: Sequence[str], many_fields: bool) -> tuple:
+    """The weighted terms and phrases of clauses of these kinds (None if there are none of a kind), and what scoring needs to
+    know of each clause."""
     unknown = set(kinds) - set(KINDS)
     if unknown:
         raise ValueError(f"unknown clause kinds {sorted(unknown)}")
-    clause = _AMONG_OTHERS if many_clauses else _ALONE
     term_kinds = [k for k in kinds if k != "phrase"]
-    sums, weighted, phrases = [], None, None
+    sums, of_terms, of_phrases = [], None, None
     if term_kinds:
-        weighted, terms_small, term_blocks, of_terms = _weighted_terms(index, clauses, term_kinds, many_fields)
-        sums.append(of_terms)
+        *of_terms, own = _weighted_terms(index, clauses, term_kinds, many_fields)
+        sums.append(own)
     if "phrase" in kinds:
-        phrases, words_small, word_blocks, repeats, of_phrases = _weighted_phrases(index, clauses)
-        sums.append(of_phrases)
-    context = _context(clauses, sums[0] if len(sums) == 1 else sums[0].unionByName(sums[1]))
+        *of_phrases, own = _weighted_phrases(index, clauses)
+        sums.append(own)
+    return of_terms, of_phrases, _context(clauses, sums[0] if len(sums) == 1 else sums[0].unionByName(sums[1]))
 
+
+def _score_prepared(
+    index: TextIndex, prepared: tuple, kinds: Sequence[str], many_clauses: bool, many_fields: bool, max_slop: int
+) -> DataFrame:
+    of_terms, of_phrases, context = prepared
+    clause = _AMONG_OTHERS if many_clauses else _ALONE
+    term_kinds = [k for k in kinds if k != "phrase"]
     hits = []
-    if weighted is not None:
+    if of_terms is not None:
+        weighted, terms_small, term_blocks = of_terms
         scaled = _scaled_terms(weighted, context, clause)
         index_part = _in_blocks(index, term_blocks)
         hits.append(_term_hits(index_part, _build_side(scaled, terms_small), term_kinds, clause, many_fields))
-    if phrases is not None:
+    if of_phrases is not None:
+        phrases, words_small, word_blocks, repeats = of_phrases
         scaled = _scaled_phrases(phrases, context, clause)
         index_part = _in_blocks(index, word_blocks)
         hits.append(_phrase_hits(index_part, _build_side(scaled, words_small), clause, max_slop, repeats))
@@ -426,6 +444,9 @@ def _top(
         known = phrases_of(rows, max_slop) if kind == "phrase" else entries_of(rows, many_fields, kind == "terms", kind in _CONSTANT)
         met = postings.join(F.broadcast(numbered.filter(F.length("term") > 0)), names).select(*DOC, "term_no", *columns)
         order = ["term_no"] if kind != "phrase" else ["length", "term_no"]
+    elif kind in _CONSTANT and (shared := _shared(index, postings, scaled)) is not None:
+        met, known = shared
+        order = ["term_no"]
     elif kind in ("term", "prefix", "wildcard", "fuzzy") and fits_broadcast(clauses):
         met, known = _listed(index, postings, scaled, kind in _CONSTANT)
         order = ["length"]
@@ -435,12 +456,32 @@ def _top(
     met = without_removed(met, index.removed)
     placed = met.withColumn("place", F.row_number().over(Window.partitionBy(*DOC).orderBy(*order)))
     run = (by_phrases if kind == "phrase" else by_entries)(spark.sparkContext.broadcast(known), max(k, 1))
-    schema = T.StructType([
+    return _best(placed.mapInArrow(run, _hits_schema(index, clauses)), k, total)
+
+
+def _hits_schema(index: TextIndex, clauses: DataFrame) -> T.StructType:
+    return T.StructType([
         T.StructField("query_id", clauses.schema["query_id"].dataType), T.StructField("shard", T.IntegerType()),
         T.StructField("batch", T.LongType()), T.StructField("doc_id", index.postings.schema["doc_id"].dataType),
         T.StructField("score", T.DoubleType()), T.StructField("shard_hits", T.LongType()),
     ])
-    return _best(placed.mapInArrow(run, schema), k, total)
+
+
+def _shared(index: TextIndex, postings: DataFrame, scaled: DataFrame) -> tuple[DataFrame, Entries] | None:
+    """Postings with the number of the list of queries that their term matches, which terms share, and the queries of each list;
+    None where the lists are too many for each task to know. The terms are broadcast where they are small."""
+    names = ["bucket", "field", "term"]
+    own = F.sort_array(F.collect_list(F.struct("query_id", "weight")))
+    lists = cut(scaled.filter(F.length("term") > 0).groupBy(*names).agg(own.alias("own")))
+    distinct = cut(lists.select("own").distinct().withColumn("term_no", F.monotonically_increasing_id()))
+    small, size = measured(distinct, F.coalesce(F.sum(F.size("own")), F.lit(0)))
+    if not small or size > MOST_ENTRIES:
+        return None
+    rows = distinct.select("term_no", F.inline("own")).withColumn("mult", F.lit(1).cast("long")).toArrow()
+    asked = cut(lists.join(F.broadcast(distinct), "own").select(*names, "term_no"))
+    in_place = fits_broadcast(asked)
+    met = postings.join(F.broadcast(asked) if in_place else asked, names).drop(*names)
+    return met if in_place else met.repartition(index.layout.shards, "shard"), entries_of(rows, False, False, True)
 
 
 def _listed(index: TextIndex, postings: DataFrame, scaled: DataFrame, constant: bool) -> tuple[DataFrame, Entries]:
@@ -535,8 +576,75 @@ def search_boolean(index: TextIndex, clauses: DataFrame, k: int = 3, *, total: b
     full = cut(_full_clauses(index, clauses))
     kinds = {r["kind"]: r["slop"] for r in full.groupBy("kind").agg(F.max("slop").alias("slop")).limit(len(KINDS) + 1).collect()}
     max_slop = max(kinds.values(), default=0)
-    scored = score_clauses(index, full, list(kinds), many_clauses=True, many_fields=True, max_slop=max_slop)
-    return top_hits(scored, k, total=total)
+    prepared = _prepared(index, full, list(kinds), True)
+    ranked = _boolean_in_blocks(index, full, prepared, k)
+    if ranked is not None:
+        return _best(ranked, k, total)
+    return top_hits(_score_prepared(index, prepared, list(kinds), True, True, max_slop), k, total=total)
+
+
+def _boolean_in_blocks(index: TextIndex, clauses: DataFrame, prepared: tuple, k: int) -> DataFrame | None:
+    """The best documents of each boolean query, scored and counted within the shards by ``plans.ranking``, a row per posting and
+    never a posting and a clause.
+
+    Terms that the same clauses ask for in the same way share a list of entries, and postings carry its number. None where clauses
+    share an id, or they, the lists or the phrases are too many for each task to know; those are joined with the postings.
+    """
+    of_terms, of_phrases, context = prepared
+    rows, ids = clauses.agg(F.count("*"), F.count_distinct(*_CLAUSE)).first()
+    if not 0 < rows == ids <= MOST_CLAUSES or (of_phrases is not None and not of_phrases[1]):
+        return None
+    spark, names, fields = index.postings.sparkSession, ["bucket", "field", "term"], list(index.fields)
+    # A row per clause, of which there are no more than the bound.
+    named = cut(context.withColumn("clause", (F.row_number().over(Window.orderBy(*_CLAUSE)) - 1).cast("long")))
+    numbers = F.broadcast(named.select(*_CLAUSE, "clause", "query_norm"))
+    columns = ["list_no", "idf2", "tf", "length", "word_no", "positions"]
+    none = {"list_no": F.lit(-1).cast("long"), "idf2": F.lit(0.0), "tf": F.lit(0), "word_no": F.lit(-1).cast("long"), "positions": F.array().cast("array<int>")}
+    met, in_place = [], True
+    entries = spark.createDataFrame(
+        [], "list_no long, field string, clause long, unit int, mult long, parts int, constant boolean, factor double"
+    ).toArrow()
+    if of_terms is not None:
+        weighted, _, blocks = of_terms
+        factor = F.when(F.col("constant"), F.col("boost")).otherwise(F.col("boost") * F.col("mult")) * F.col("query_norm")
+        own = F.struct("clause", F.col("unit").cast("int").alias("unit"), "mult", "parts", "constant", factor.alias("factor"))
+        lists = cut(
+            weighted.filter(F.length("term") > 0).join(numbers, list(_CLAUSE)).groupBy(*names)
+            .agg(F.sort_array(F.collect_list(own)).alias("own"), F.max(F.when(~F.col("constant"), F.pow("idf", F.lit(2)))).alias("idf2"))
+        )
+        distinct = cut(lists.select("field", "own").distinct().withColumn("list_no", F.monotonically_increasing_id()))
+        small, size = measured(distinct, F.coalesce(F.sum(F.size("own")), F.lit(0)))
+        if not small or size > MOST_ENTRIES:
+            return None
+        entries = distinct.select("list_no", "field", F.inline("own")).toArrow()
+        asked = cut(lists.join(F.broadcast(distinct), ["field", "own"]).select(*names, F.coalesce("idf2", F.lit(0.0)).alias("idf2"), "list_no"))
+        in_place = fits_broadcast(asked)
+        found = _in_blocks(index, blocks).select(*names, *DOC, "tf", "length").join(F.broadcast(asked) if in_place else asked, names)
+        met.append(found.select(*DOC, *[none[c].alias(c) if c in ("word_no", "positions") else F.col(c) for c in columns]))
+    phrases = []
+    if of_phrases is not None:
+        weighted, _, blocks, _ = of_phrases
+        number = F.array_position(F.array(*[F.lit(f) for f in fields]), F.col("field")).cast("long") - 1
+        scaled = cut(
+            weighted.join(numbers, list(_CLAUSE)).select(
+                *names, (F.col("clause") * len(fields) + number).alias("query_id"), "slop", "slot", "slots", "repeats", "idf",
+                (F.pow("idf_sum", F.lit(2)) * F.col("query_norm")).alias("weight"),
+            )
+        )
+        words = cut(scaled.filter(F.length("term") > 0).select(*names).distinct().withColumn("word_no", F.monotonically_increasing_id()))
+        table = scaled.join(F.broadcast(words), names).drop("bucket", "term").withColumnRenamed("word_no", "term_no").toArrow()
+        for slop in sorted(set(table.column("slop").to_pylist())):
+            phrases.append(phrases_of(table.filter(pc.equal(table.column("slop"), slop)), slop))
+        found = _in_blocks(index, blocks).select(*names, *DOC, "length", "positions").join(F.broadcast(words), names)
+        met.append(found.select(*DOC, *[none[c].alias(c) if c in ("list_no", "idf2", "tf") else F.col(c) for c in columns]))
+    # A union keeps the placement by shard only where that column was named anew in each input.
+    union = reduce(DataFrame.unionByName, [m.withColumnRenamed("shard", "home") for m in met]).withColumnRenamed("home", "shard")
+    union = union if in_place else union.repartition(index.layout.shards, "shard")
+    union = without_removed(union, index.removed)
+    placed = union.withColumn("place", F.row_number().over(Window.partitionBy(*DOC).orderBy("length")))
+    known = clauses_of(named.orderBy("clause").toArrow(), entries, tuple(phrases), len(fields))
+    run = by_clauses(spark.sparkContext.broadcast(known), max(k, 1))
+    return placed.mapInArrow(run, _hits_schema(index, clauses))
 
 
 def _full_clauses(index: TextIndex, clauses: DataFrame) -> DataFrame:

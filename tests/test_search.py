@@ -461,6 +461,75 @@ def test_blocks_equal_joins(spark, ask, tmp_path, monkeypatch, kind, small):
     assert got == want and len({q for q, *_ in got}) > 5
 
 
+def _random_index(spark, path, rng):
+    words = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 6))) for _ in range(40)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    rows = [(i, text(rng.randint(0, 60)), text(3)) for i in range(300)]
+    store = fy.IndexStore(spark, path, shards=3, buckets=2)
+    # Ten ids come twice.
+    store.replace(spark.createDataFrame(rows[:250] + [(i, text(20), text(2)) for i in range(10)], "id int, one string, two string"), "id", ["one", "two"])
+    store.upsert(spark.createDataFrame([(*r, 1) for r in rows[200:]], "id int, one string, two string, n int"), "n")
+    return store.open(), text
+
+
+def _as_rows(top):
+    key = lambda r: (r["query_id"], r["rank"])
+    return [(*key(r), r["doc_id"], r["total_hits"], round(r["score"], 5)) for r in sorted(top.collect(), key=key)]
+
+
+@pytest.mark.parametrize(("kinds", "in_place"), [(None, False), (("phrase",), True), (("term", "prefix"), True)])
+def test_boolean_blocks_equal_joins(spark, tmp_path, monkeypatch, kinds, in_place):
+    """Boolean queries ranked by blocks of documents equal those joined with the postings, clause by clause."""
+    from findery.plans import search
+
+    rng = random.Random(5)
+    index, text = _random_index(spark, str(tmp_path / "i"), rng)
+    rows = []
+    for query in range(40):
+        for clause in range(rng.randint(1, 6)):
+            kind = rng.choice(kinds or search.KINDS)
+            asked = {"terms": text(3), "phrase": text(2), "wildcard": "*" + text(1)[:2] + "?*", "prefix": text(1)[:2]}.get(kind, text(1))
+            occur = rng.choice(["should", "should", "must", "must_not"])
+            rows.append((query, clause, kind, rng.choice(["one", "two", None]), asked, occur, rng.choice([0, 0, 2]), rng.choice(["or", "and"])))
+    rows += [(100, 0, rows[0][2], "one", "", "should", 0, "or"), (101, 0, rows[0][2], "one", "nothing", "must", 0, "or")]
+    schema = "query_id long, clause_id long, kind string, field string, text string, occur string, slop int, operator string"
+    clauses = spark.createDataFrame(rows, schema)
+    full = search._full_clauses(index, clauses)
+    asked = [k for k in search.KINDS if k in {r[2] for r in rows}]
+    want = _as_rows(search.top_hits(search.score_clauses(index, full, asked, many_clauses=True, many_fields=True, max_slop=2), 3))
+    monkeypatch.setattr("findery.plans.ranking.CELLS", 1 << 10)
+    monkeypatch.setattr("findery.plans.ranking.GATHERED", 50)
+    if not in_place:
+        monkeypatch.setattr(search, "fits_broadcast", lambda df: False)
+    top = fy.search_boolean(index, clauses, 3)
+    assert _as_rows(top) == want and len({q for q, *_ in want}) > 10
+    assert "MapInArrow" in top._jdf.queryExecution().executedPlan().toString()
+    if kinds is not None:
+        return
+    # More clauses than a task may know are joined.
+    monkeypatch.setattr(search, "MOST_CLAUSES", 1)
+    top = fy.search_boolean(index, clauses, 3)
+    assert _as_rows(top) == want and "MapInArrow" not in top._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(("kind", "in_place"), [("prefix", False), ("wildcard", True)])
+def test_terms_of_many_patterns_share_lists(spark, ask, tmp_path, monkeypatch, kind, in_place):
+    from findery.plans import search
+
+    rng = random.Random(7)
+    index, text = _random_index(spark, str(tmp_path / "i"), rng)
+    queries = ask(*[text(1)[:2] + ("*" if kind == "wildcard" else "") for _ in range(30)], "")
+    clauses = search.make_clauses(queries, kind, ["one"])
+    want = _as_rows(search._search(index, clauses, kind, 3, ["one"], True))
+    real, rows = search.measured, []
+    monkeypatch.setattr(search, "measured", lambda df, *more: (False, *real(df, *more)[1:]) if "boost" in df.columns else real(df, *more))
+    monkeypatch.setattr(search, "_listed", None)
+    if not in_place:
+        monkeypatch.setattr(search, "fits_broadcast", lambda df: rows.append(df) or False)
+    assert _as_rows(search._search(index, clauses, kind, 3, ["one"], True)) == want and len(want) > 5
+    assert in_place or rows
+
+
 def test_common_words_make_no_row_per_query(spark, ask, tmp_path):
     """What is sorted and shuffled grows with the postings, not with the queries that share their terms."""
     store = fy.IndexStore(spark, str(tmp_path / "i"), shards=2, buckets=1)
